@@ -62,7 +62,7 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
     chains = settled(nodes.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")))
     jumps = settled(edges.filter("parent IS NOT NULL").select("node", F.col("parent").alias("target")))
     reach = 1
-    while reach < max_nodes:
+    while reach < max_nodes and not jumps.isEmpty():
         further = chains.select(F.col("start").alias("target"), F.col("node").alias("above"), (F.col("depth") + reach).alias("depth"))
         longer = jumps.withColumnRenamed("node", "start").join(further, "target").select("start", F.col("above").alias("node"), "depth")
         reachable = chains.unionByName(longer).filter(F.col("depth") < max_nodes)
@@ -88,7 +88,7 @@ def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN
         "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth"))
     state = settled(state)
     looked = 1
-    while looked < max_nodes:
+    while looked < max_nodes and not state.filter("role IS NULL AND pointer IS NOT NULL").isEmpty():
         above = state.select(F.col("node").alias("_above"), F.struct("pointer", "hops", "role", "depth").alias("_up"))
         joined = probe(state, above, F.col("pointer"), "_above")
         state = settled(joined.select(

@@ -118,11 +118,17 @@ def _holder_group(rules: Sequence[Rule], tables: Tables, day) -> DataFrame:
 
 
 def _name_group(rules: Sequence[Rule], tables: Tables, day) -> DataFrame:
-    """People named in a column, ignoring case. Both sides are de-duplicated before they meet."""
-    people = _read(tables, "hr", day).select(F.lower("name").alias("_name"), F.col("id").cast("string").alias("owner")).distinct()
+    """People named in a column, ignoring case.
+
+    Names are de-duplicated before the join, so a name on many rows meets each of its people once. The
+    tagged key keeps both join inputs plain exchanges, which lets adaptive execution split a hot name.
+    """
+    tagged = lambda c: F.concat(F.lit("k"), F.lower(c)).alias("_name")
+    people = _read(tables, "hr", day).select(tagged("name"), F.col("id").cast("string").alias("owner"))
     named = reduce(DataFrame.unionByName, [
-        _read(tables, r.table, day).select(F.lower(str(r.condition)).alias("_name")).distinct().withColumn("role", F.lit(r.role))
-        for r in rules])
+        _read(tables, r.table, day).select(F.lower(str(r.condition)).alias("_n")).distinct()
+        .withColumn("role", F.lit(r.role)) for r in rules])
+    named = named.select(tagged("_n"), "role")
     return people.join(named, "_name").select("role", "owner")
 
 
@@ -184,7 +190,6 @@ def ownership_counts(tables: Tables, day: dt.date | str, rules: Sequence[Rule] =
         ambiguous = reduce(DataFrame.unionByName, [_single(r, tables, day) for r in manager_rules]).filter("n > 1")
         names = names.join(ambiguous.select("role"), "role", "left_anti")
     listed = names.join(role_ids(tables("roles")), "role").join(found, "role", "left")
-    # Two rules may share a role number only if the role table says so; the later one replaces the earlier there.
     return listed.select("role_id", F.coalesce("n", F.lit(0)).alias("owners"))
 
 
