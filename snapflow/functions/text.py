@@ -14,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters Java counts as whitespace (no non-breaking spaces).
+JAVA_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                   "\u2008\u2009\u200a\u2028\u2029\u205f\u3000")
 EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
 ONLY_WHITESPACE = r"^\p{javaWhitespace}*$"
 
@@ -66,9 +69,9 @@ def item_label(name: Column | str, item_id: Column | str) -> Column:
 
 def normalize_header(name: str | None) -> str | None:
     """UPPER_SNAKE form of a column header. Runs on names, on the driver; never on rows."""
-    if name is None or not name.strip():
+    if name is None or not name.strip(JAVA_WHITESPACE):
         return None
-    plain = "".join(ch for ch in unicodedata.normalize("NFD", name.strip()) if not "̀" <= ch <= "ͯ")
+    plain = "".join(ch for ch in unicodedata.normalize("NFD", name.strip(JAVA_WHITESPACE)) if not "̀" <= ch <= "ͯ")
     words = re.sub(r"([a-z])(?=[A-Z])", r"\1 ", plain)
     return re.sub(r"[^A-Za-z0-9]+", "_", words).strip("_").upper()
 
