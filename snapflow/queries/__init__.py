@@ -30,4 +30,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from snapflow.queries import clean, links, load, people, sources  # noqa: F401
+    from snapflow.queries import clean, links, load, people, runs, sources  # noqa: F401

@@ -1,7 +1,6 @@
 """Writers that turn table rows into workbooks, so that the workbook source has files to read.
 
-Every task writes the rows of its own partition; each file gets its name from the partition number, so a
-retried task writes the same file again.
+Books hold a fixed number of rows and are named by their number, so a retried task writes the same file again.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 import pyarrow.fs
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 SPREADSHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -65,22 +64,24 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
     return out.getvalue()
 
 
-def write_workbooks(df: DataFrame, folder: str, sheet_column: str, dates: tuple[str, ...] = (), lead_blank: int = 1) -> None:
-    """One workbook per partition, one sheet per value of ``sheet_column``; ``dates`` hold day numbers."""
+def write_workbooks(df: DataFrame, folder: str, book_column: str, sheet_column: str, dates: tuple[str, ...] = ()) -> None:
+    """One workbook per value of ``book_column``, one sheet per value of ``sheet_column``, a blank row on top.
+
+    A book must be small enough for one task; the caller numbers books so that each holds a fixed number of rows.
+    ``dates`` hold day numbers.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    columns = [c for c in df.columns if c != sheet_column]
+    columns = [c for c in df.columns if c not in (book_column, sheet_column)]
 
-    def write(batches):
+    def write(key: tuple, book: pd.DataFrame) -> pd.DataFrame:
         sheets: dict[str, list[list]] = {}
-        for batch in batches:
-            for record in batch.to_dict("records"):
-                rows = sheets.setdefault(record[sheet_column], [[] for _ in range(lead_blank)] + [list(columns)])
-                rows.append([("date", record[c]) if c in dates and record[c] == record[c] else record[c] for c in columns])
-        if sheets:
-            fs, base = pyarrow.fs.FileSystem.from_uri(folder) if ":" in folder else (pyarrow.fs.LocalFileSystem(), folder)
-            fs.create_dir(base)
-            with fs.open_output_stream(f"{base}/2026-03-02-Full Dump part{TaskContext.get().partitionId():05d}.xlsx") as out:
-                out.write(workbook_bytes(dict(sorted(sheets.items()))))
-        yield pd.DataFrame({"n": [len(sheets)]})
-
-    df.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+        for record in book.sort_values(columns[0]).to_dict("records"):
+            rows = sheets.setdefault(record[sheet_column], [[], list(columns)])
+            rows.append([("date", record[c]) if c in dates and record[c] == record[c] else record[c] for c in columns])
+        fs, base = pyarrow.fs.FileSystem.from_uri(folder) if ":" in folder else (pyarrow.fs.LocalFileSystem(), folder)
+        fs.create_dir(base)
+        with fs.open_output_stream(f"{base}/2026-03-02-Full Dump part{key[0]:05d}.xlsx") as out:
+            out.write(workbook_bytes(dict(sorted(sheets.items()))))
+        return pd.DataFrame({"n": [len(sheets)]})
+
+    df.groupBy(book_column).applyInPandas(write, "n long").write.format("noop").mode("overwrite").save()
