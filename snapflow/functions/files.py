@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE = r"\d{4}-\d{2}-\d{2}"
+# Places where a dataset name may start, as an empty match; the mark cannot occur in a file name.
+BOUNDARY = rf"(?<=[^\p{{L}}\p{{Nd}}-])|(?<={DATE}-)"
+MARK = "\x00"
 
 
 def _col(c: Column | str) -> Column:
@@ -43,16 +46,11 @@ def suffix_candidates(stem_text: Column | str) -> Column:
 
     A boundary is the start of the name, the place after a separator other than ``-``, or the
     place after a ``YYYY-MM-DD-`` group. Names are short, so the array is small; exploding it
-    turns "which dataset does this file belong to" into an equi join.
+    turns "which dataset does this file belong to" into an equi join. One regex pass finds all places.
     """
-    s = _col(stem_text)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.length(s)),
-        lambda i: (i == 1)
-        | F.substring(s, i - 1, F.lit(1)).rlike(r"[^\p{L}\p{Nd}-]")
-        | ((i > 11) & F.substring(s, F.greatest(i - 11, F.lit(1)), F.lit(11)).rlike(f"^{DATE}-$")),
-    )
-    return F.transform(starts, lambda i: F.substring(s, i, F.length(s)))
+    marked = F.regexp_replace(_col(stem_text), BOUNDARY, MARK)
+    pieces = F.split(marked, MARK)
+    return F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), ""))
 
 
 def serial_to_timestamp(c: Column | str) -> Column:

@@ -55,50 +55,54 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
     """``(start, node, depth)``: every start with its managers up the tree, itself at depth 0.
 
     A chain ends at a missing or unknown manager, at a node seen before, or after ``max_nodes`` nodes.
-    Jump pointers double each round, so 50 levels take six joins. Partial chains (at most ``max_nodes`` rows
-    per person) are joined with the person each pointer lands on; nothing is gathered per group.
+
+    The reach nearly doubles each round: the last known node of a chain is joined with that node's own chain,
+    so 50 levels take six joins. A round writes only the rows it adds, and only chains still growing take part.
     """
-    nodes = edges.select("node").unionByName(edges.filter("parent IS NOT NULL").select(F.col("parent").alias("node"))).distinct()
-    chains = settled(nodes.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")))
-    jumps = settled(edges.filter("parent IS NOT NULL").select("node", F.col("parent").alias("target")))
-    reach = 1
-    while reach < max_nodes and not jumps.isEmpty():
-        further = chains.select(F.col("start").alias("target"), F.col("node").alias("above"), (F.col("depth") + reach).alias("depth"))
-        longer = jumps.withColumnRenamed("node", "start").join(further, "target").select("start", F.col("above").alias("node"), "depth")
-        reachable = chains.unionByName(longer).filter(F.col("depth") < max_nodes)
-        chains = settled(reachable.groupBy("start", "node").agg(F.min("depth").alias("depth")))
-        onward = jumps.select(F.col("node").alias("target"), F.col("target").alias("beyond"))
-        jumps = settled(jumps.join(onward, "target").select("node", F.col("beyond").alias("target")))
-        reach *= 2
+    parents = edges.filter("parent IS NOT NULL")
+    nodes = edges.select("node").unionByName(parents.select(F.col("parent").alias("node"))).distinct()
+    first = nodes.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")).unionByName(
+        parents.select(F.col("node").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("depth")))
+    known = settled(first)
+    newest, top = known, 1
+    while top < max_nodes - 1:
+        tails = newest.filter(F.col("depth") == top).select("start", F.col("node").alias("target"))
+        if tails.isEmpty():
+            break
+        above = known.filter("depth > 0").select(F.col("start").alias("target"), "node", F.col("depth").alias("further"))
+        newest = settled(tails.join(above, "target").select("start", "node", (F.col("further") + top).alias("depth"))
+                         .filter(F.col("depth") < max_nodes))
+        known = known.unionByName(newest)
+        top *= 2
+    chains = known.groupBy("start", "node").agg(F.min("depth").alias("depth"))
     wanted = starts.select("start").filter("start IS NOT NULL").distinct()
-    known = chains.join(wanted, "start", "left_semi")
-    alone = wanted.join(chains.select("start"), "start", "left_anti")
-    return known.unionByName(alone.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
+    alone = wanted.join(nodes, F.col("start") == F.col("node"), "left_anti")
+    return chains.join(wanted, "start", "left_semi").unionByName(
+        alone.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
 
 
 def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN) -> DataFrame:
     """``(node, role, depth)``: nearest lead at or above each person, within ``max_nodes`` nodes.
 
     The answer of a person without a lead of their own is the answer of their manager, so pointers double:
-    after round k a person has looked 2**k levels up. Resolved people and exhausted chains leave the join.
-    A cycle only walks in a circle, which cannot change the nearest lead.
+    after round k a person has looked 2**k levels up, and 50 levels take six joins. Only people still looking
+    are joined and written again; a cycle only walks in a circle, which cannot change the nearest lead.
     """
-    state = probe(edges, leads.select("ck", "role"), F.col("node"), "ck").select(
+    looking = F.col("role").isNull() & F.col("pointer").isNotNull()
+    state = settled(probe(edges, leads.select("ck", "role"), F.col("node"), "ck").select(
         "node", F.when(F.col("role").isNull(), F.col("parent")).alias("pointer"), F.lit(1).alias("hops"),
-        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth"))
-    state = settled(state)
-    looked = 1
-    while looked < max_nodes and not state.filter("role IS NULL AND pointer IS NOT NULL").isEmpty():
-        above = state.select(F.col("node").alias("_above"), F.struct("pointer", "hops", "role", "depth").alias("_up"))
-        joined = probe(state, above, F.col("pointer"), "_above")
-        state = settled(joined.select(
-            "node",
-            F.when(F.col("_up.role").isNull(), F.col("_up.pointer")).alias("pointer"),
+        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")))
+    done, active, looked = state.filter(~looking), state.filter(looking), 1
+    while looked < max_nodes and not active.isEmpty():
+        above = done.unionByName(active).select(
+            F.col("node").alias("_above"), F.struct("pointer", "hops", "role", "depth").alias("_up"))
+        moved = settled(probe(active, above, F.col("pointer"), "_above").select(
+            "node", F.when(F.col("_up.role").isNull(), F.col("_up.pointer")).alias("pointer"),
             (F.col("hops") + F.coalesce("_up.hops", F.lit(0))).alias("hops"),
-            F.coalesce("role", "_up.role").alias("role"),
-            F.coalesce("depth", F.col("hops") + F.col("_up.depth")).alias("depth")))
+            F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")))
+        done, active = done.unionByName(moved.filter(~looking)), moved.filter(looking)
         looked *= 2
-    return state.filter(F.col("role").isNotNull() & (F.col("depth") < max_nodes)).select("node", "role", "depth")
+    return done.filter(F.col("role").isNotNull() & (F.col("depth") < max_nodes)).select("node", "role", "depth")
 
 
 def classify(new_staff: DataFrame, nearest: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +148,7 @@ def run_rules(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(
 
     A rule that does not analyse (missing table or column) is reported and left out; the others still run.
     """
+    tables = lru_cache(maxsize=None)(tables)  # one analysed frame per table, however many rules read it
     sound, failures = [], {}
     for r in rules:
         try:

@@ -7,6 +7,7 @@ assets from parts, processes and contracts from suppliers.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -187,7 +188,7 @@ def people_tables(spark, sf):
         "department2": lambda: table(spark, sf, "nation").filter("n_regionkey > 0").select(
             F.concat(F.lit("DEP"), "n_nationkey").alias("ID"), F.lit("Business").alias("DEPARTMENT_TYPE"), F.lit("COO").alias("DOMAIN")),
     }
-    return lambda name: frames[name]()
+    return lru_cache(maxsize=None)(lambda name: frames[name]())
 
 
 def assignations(spark, sf):
