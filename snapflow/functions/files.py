@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 DATE = r"\d{4}-\d{2}-\d{2}"
 # Places where a dataset name may start, as an empty match; the mark cannot occur in a file name.
 BOUNDARY = rf"(?<=[^\p{{L}}\p{{Nd}}-])|(?<={DATE}-)"
-MARK = "\x00"
+MARK = "/"
 
 
 def _col(c: Column | str) -> Column:
@@ -41,16 +41,23 @@ def dataset_key(name: Column | str) -> Column:
     return F.regexp_replace(_col(name), rf"^{DATE}-(?:Full Dump\s+)?", "")
 
 
-def suffix_candidates(stem_text: Column | str) -> Column:
-    """Every suffix of the stem that starts at a real boundary, as an array.
+def stem_pieces(stem_text: Column | str) -> Column:
+    """The stem cut at every place where a dataset name may start.
 
-    A boundary is the start of the name, the place after a separator other than ``-``, or the
-    place after a ``YYYY-MM-DD-`` group. Names are short, so the array is small; exploding it
-    turns "which dataset does this file belong to" into an equi join. One regex pass finds all places.
+    Such a place is the start of the name, follows a separator other than ``-``, or follows a
+    ``YYYY-MM-DD-`` group. One regex pass finds them all.
     """
-    marked = F.regexp_replace(_col(stem_text), BOUNDARY, MARK)
-    pieces = F.split(marked, MARK)
-    return F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), ""))
+    return F.split(F.regexp_replace(_col(stem_text), BOUNDARY, MARK), MARK)
+
+
+def suffixes(pieces: Column | str) -> Column:
+    """Every dataset name the stem may end with, from its pieces.
+
+    Names are short, so the array is small; exploding it turns "which dataset does this file belong to"
+    into an equi join. Compute the pieces in a projection of their own, or each suffix cuts the stem again.
+    """
+    p = _col(pieces)
+    return F.transform(F.sequence(F.lit(1), F.size(p)), lambda i: F.array_join(F.slice(p, i, F.size(p)), ""))
 
 
 def serial_to_timestamp(c: Column | str) -> Column:

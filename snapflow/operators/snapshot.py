@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.session import settled
+from snapflow.session import empty_frame, settled
 
 
 def as_date(day: dt.date | str) -> dt.date:
@@ -63,7 +63,7 @@ def clear_day(spark: SparkSession, table: str, ts_column: str, day: dt.date | st
     """Delete the day's rows of a table."""
     target = spark.table(table)
     if is_partitioned_by(spark, table, ts_column):
-        overwrite_day(spark, table, spark.createDataFrame([], target.schema), ts_column, day)
+        overwrite_day(spark, table, empty_frame(spark, target.schema), ts_column, day)
         return
     kept = target.filter(~F.col(ts_column).eqNullSafe(day_value(target, ts_column, day)))
     replace_all(spark, table, kept)
@@ -71,7 +71,7 @@ def clear_day(spark: SparkSession, table: str, ts_column: str, day: dt.date | st
 
 def clear_all(spark: SparkSession, table: str) -> None:
     """Empty a table, managed or external."""
-    nothing = spark.createDataFrame([], spark.table(table).schema)
+    nothing = empty_frame(spark, spark.table(table).schema)
     nothing.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
 
 

@@ -25,7 +25,7 @@ from snapflow.functions.files import DATE
 from snapflow.operators import clean, link, load, mapping, reference, snapshot
 from snapflow.plans import runlog
 from snapflow.result import StepResult
-from snapflow.session import settled
+from snapflow.session import settled, small_frame
 
 TASK_TYPES = ("TRANSFORMATION", "PERSISTENCE")
 DEFAULT_TABLE = "ingesta_data"
@@ -125,7 +125,7 @@ class JobRun:
     def say(self, level: str, message: str, scope: str = "step") -> None:
         task = self.task if scope != "job" else None
         step = self.step if scope == "step" else None
-        self.log.append((self.name, task, step, dt.datetime.now(dt.UTC).replace(tzinfo=None), level,
+        self.log.append((self.name, task, step, dt.datetime.now(dt.UTC), level,
                          {"job": self.name, "task": self.task, "step": self.step}[scope], message))
 
     def count(self, counter: str, value: int) -> None:
@@ -428,7 +428,7 @@ class JobResult:
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    return dt.datetime.now(dt.UTC)
 
 
 def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int, int]]) -> bool:
@@ -524,15 +524,15 @@ class RunReport:
     spark: SparkSession
 
     def log(self) -> DataFrame:
-        return self.spark.createDataFrame([(self.run, *line) for r in self.results for line in r.log], runlog.LOG)
+        return small_frame(self.spark, [(self.run, *line) for r in self.results for line in r.log], runlog.LOG)
 
     def tasks(self) -> DataFrame:
-        return self.spark.createDataFrame([(self.run, *t) for r in self.results for t in r.tasks], runlog.TASKS)
+        return small_frame(self.spark, [(self.run, *t) for r in self.results for t in r.tasks], runlog.TASKS)
 
     def counters(self) -> DataFrame:
         status = {(j, t): s for r in self.results for j, t, s, _, _ in r.tasks}
         lines = [(self.run, j, t, s, k, status.get((j, t)), c, v) for r in self.results for j, t, s, k, c, v in r.counters]
-        return self.spark.createDataFrame(lines, runlog.STEPS)
+        return small_frame(self.spark, lines, runlog.STEPS)
 
     def jobs(self) -> DataFrame:
         lines = []
@@ -540,7 +540,7 @@ class RunReport:
             levels = [line[4] for line in r.log if line[1] is None and line[2] is None]
             lines.append((self.run, r.name, r.file_path, r.file_type, r.status, r.start, r.end, r.processed, r.failed, 0,
                           levels.count("ERROR"), levels.count("WARN")))
-        return self.spark.createDataFrame(lines, runlog.JOBS)
+        return small_frame(self.spark, lines, runlog.JOBS)
 
 
 Opened = tuple[DataFrame | dict[str, DataFrame], dt.date | str, str]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.text import has_text
 from snapflow.operators.snapshot import as_date, on_day, overwrite_day
+from snapflow.session import small_frame
 
 
 @dataclass(frozen=True)
@@ -185,7 +186,7 @@ def ownership_counts(tables: Tables, day: dt.date | str, rules: Sequence[Rule] =
     found = run.owners.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
     ran = [r for r in rules if r.role not in run.failures]
     spark = run.owners.sparkSession
-    names = spark.createDataFrame([(r.role,) for r in ran], "role string")
+    names = small_frame(spark, [(r.role,) for r in ran], "role string")
     manager_rules = [r for r in ran if r.kind == "manager_is"]
     if manager_rules:
         ambiguous = reduce(DataFrame.unionByName, [_single(r, tables, day) for r in manager_rules]).filter("n > 1")

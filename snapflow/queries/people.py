@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from snapflow.functions.text import extract_cn, item_label
 from snapflow.plans import departments, directory, roles
 from snapflow.queries import query, table
+from snapflow.session import small_frame
 
 DAY = "2026-03-02"
 
@@ -182,8 +183,8 @@ def people_tables(spark, sf):
         "contracts": lambda: table(spark, sf, "supplier").select(
             F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
             F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("C"), "s_nationkey")).alias("owner")),
-        "roles": lambda: spark.createDataFrame(
-            [(n, r) for r, n in ROLE_NUMBERS.items() if r not in UNLISTED], "id int, name string"),
+        "roles": lambda: small_frame(
+            spark, [(n, r) for r, n in ROLE_NUMBERS.items() if r not in UNLISTED], "id int, name string"),
         "roles_assignation": lambda: assignations(spark, sf),
         "department2": lambda: table(spark, sf, "nation").filter("n_regionkey > 0").select(
             F.concat(F.lit("DEP"), "n_nationkey").alias("ID"), F.lit("Business").alias("DEPARTMENT_TYPE"), F.lit("COO").alias("DOMAIN")),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from snapflow.functions import files as names
 from snapflow.queries import query, table
 from snapflow.queries.fixtures import write_workbooks
-from snapflow.session import shared_path
+from snapflow.session import shared_path, small_frame
 from snapflow.sources import files, headers, workbook, xmlrows
 
 
@@ -128,7 +128,7 @@ def a8(spark, sf):
     listing = _dump_names(spark, sf)
     datasets = table(spark, sf, "orders").select(
         F.concat(F.regexp_replace("o_orderpriority", "[^A-Z]+", ""), F.lit("-ES")).alias("suffix")).distinct()
-    datasets = datasets.unionByName(spark.createDataFrame([("ABSENT-ES",)], "suffix string"))
+    datasets = datasets.unionByName(small_frame(spark, [("ABSENT-ES",)], "suffix string"))
     return files.latest_dumps(listing, datasets).select("suffix", names.file_name("path").alias("name"))
 
 

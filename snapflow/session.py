@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Adaptive execution splits hot join partitions and re-plans small sides; the operators rely on it.
 ADAPTIVE = {
@@ -53,3 +57,17 @@ def settled(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few driver-side rows (spec or log lines) as a local relation, without starting Python workers."""
+    schema = T.StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) or [()] * len(schema.fields)
+    arrow = to_arrow_schema(schema)
+    table = pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, schema)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapflow.functions.files import file_name, prefix_date, stem, suffix_candidates
+from snapflow.functions.files import file_name, prefix_date, stem, stem_pieces, suffixes
+from snapflow.session import small_frame
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -35,8 +36,9 @@ def latest_dumps(files: DataFrame, datasets: DataFrame, path: str = "path", suff
     suffix and map task before the exchange.
     """
     name = file_name(path)
-    offers = files.select(F.col(path).alias("_path"), name.alias("_name"), prefix_date(name).alias("_date"),
-                          F.explode(suffix_candidates(stem(name))).alias("_key"))
+    cut = files.select(F.col(path).alias("_path"), name.alias("_name")).select(
+        "_path", "_name", prefix_date("_name").alias("_date"), stem_pieces(stem("_name")).alias("_pieces"))
+    offers = cut.select("_path", "_name", "_date", F.explode(suffixes("_pieces")).alias("_key"))
     wanted = datasets.select(suffix, F.lower(suffix).alias("_key")).distinct()
     newest = Window.partitionBy(suffix).orderBy(F.col("_date").desc_nulls_last(), F.col("_name").desc())
     best = (offers.join(wanted, "_key").withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
@@ -47,7 +49,7 @@ def latest_dumps(files: DataFrame, datasets: DataFrame, path: str = "path", suff
 def resolve_dump(spark: SparkSession, directory: str, suffix: str) -> str:
     """Path of the newest dump of one dataset; an error when there is none."""
     listing = spark.read.format("binaryFile").load(directory).select("path")
-    found = latest_dumps(listing, spark.createDataFrame([(suffix,)], "suffix string")).collect()[0]["path"]
+    found = latest_dumps(listing, small_frame(spark, [(suffix,)], "suffix string")).collect()[0]["path"]
     if found is None:
         raise FileNotFoundError(f"no file for dataset '{suffix}' in {directory}")
     return found
