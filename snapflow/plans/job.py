@@ -386,9 +386,13 @@ def _link(run: JobRun, p: dict) -> None:
         run.settle()
     rules, schema = p.get("rules") or [], p.get("schema")
     ts, entity = p.get("timestampColumn", "TIMESTAMP"), p.get("currentEntityType", "Unknown")
-    links = settled(link.resolve_parents(
+    known, counts = F.col("_rule").isNotNull(), Observation()
+    resolved = link.resolve_parents(
         run.rows, lambda t: run.spark.table(run.table(t, schema)), rules, run.day, p.get("idColumn"), p.get("parentPathColumn"),
-        p.get("parentObjectsColumn"), p.get("parentTypeColumn"), p.get("separator", "/"), p.get("checkIdColumn", "ID"), ts))
+        p.get("parentObjectsColumn"), p.get("parentTypeColumn"), p.get("separator", "/"), p.get("checkIdColumn", "ID"), ts)
+    links = settled(resolved.observe(
+        counts, F.count_if(F.col("_found")).alias("linked"), F.count_if(known & ~F.col("_found")).alias("missing"),
+        F.count_if(~known).alias("unknown")))
     run.read_counters()
     run.counted = True
     for name in dict.fromkeys(r["relationTable"] for r in rules):
@@ -401,9 +405,7 @@ def _link(run: JobRun, p: dict) -> None:
         if rules:
             lines = lines.unionByName(link.missing_log(links, rules, run.day, entity))
         snapshot.append(run.spark, log_table, fit(run.spark, log_table, lines))
-    known = F.col("_rule").isNotNull()
-    c = links.agg(F.count_if(F.col("_found")).alias("linked"), F.count_if(known & ~F.col("_found")).alias("missing"),
-                  F.count_if(~known).alias("unknown")).first()
+    c = {"linked": 0, "missing": 0, "unknown": 0, **observed(counts)}
     for counter in ("linked", "missing", "unknown"):
         run.count(counter, c[counter])
     run.say("SUMMARY", f"LINK_PARENT: {c['linked']} linked, {c['missing']} parent not found, {c['unknown']} unknown parentType")

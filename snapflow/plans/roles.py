@@ -144,22 +144,27 @@ def _groups(rules: Sequence[Rule]) -> list[list[Rule]]:
     return list(grouped.values())
 
 
+def _analysed(rules: Sequence[Rule], tables: Tables, day, failures: dict[str, str]) -> list[DataFrame]:
+    """The frame of a rule group; if the group does not analyse, the frames of the rules that do on their own."""
+    try:
+        return [_BUILDERS[rules[0].kind](rules, tables, day)]
+    except Exception as e:  # noqa: BLE001 - one broken rule must not stop the others
+        if len(rules) == 1:
+            failures[rules[0].role] = f"{type(e).__name__}: {e}"
+            return []
+        return [frame for r in rules for frame in _analysed([r], tables, day, failures)]
+
+
 def run_rules(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES)) -> Ownership:
     """Distinct non-blank ``(role, owner)`` of every rule that can run.
 
     A rule that does not analyse (missing table or column) is reported and left out; the others still run.
     """
     tables = lru_cache(maxsize=None)(tables)  # one analysed frame per table, however many rules read it
-    sound, failures = [], {}
-    for r in rules:
-        try:
-            _BUILDERS[r.kind]([r], tables, day).schema  # noqa: B018 - analyses the rule
-            sound.append(r)
-        except Exception as e:  # noqa: BLE001 - one broken rule must not stop the others
-            failures[r.role] = f"{type(e).__name__}: {e}"
-    if not sound:
+    failures: dict[str, str] = {}
+    parts = [frame for group in _groups(rules) for frame in _analysed(group, tables, day, failures)]
+    if not parts:
         raise ValueError(f"no rule can run: {failures}")
-    parts = [_BUILDERS[g[0].kind](g, tables, day) for g in _groups(sound)]
     found = reduce(DataFrame.unionByName, parts).filter(has_text("owner")).distinct()
     return Ownership(found, failures)
 
