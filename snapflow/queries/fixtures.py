@@ -6,15 +6,14 @@ Books hold a fixed number of rows and are named by their number, so a retried ta
 from __future__ import annotations
 
 import io
-import sys
 import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
-import pyarrow.fs
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from snapflow.sources.paths import filesystem, ship
+
 SPREADSHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
@@ -70,7 +69,7 @@ def write_workbooks(df: DataFrame, folder: str, book_column: str, sheet_column:
     A book must be small enough for one task; the caller numbers books so that each holds a fixed number of rows.
     ``dates`` hold day numbers.
     """
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ship(__name__)
     columns = [c for c in df.columns if c not in (book_column, sheet_column)]
 
     def write(key: tuple, book: pd.DataFrame) -> pd.DataFrame:
@@ -78,7 +77,7 @@ def write_workbooks(df: DataFrame, folder: str, book_column: str, sheet_column:
         for record in book.sort_values(columns[0]).to_dict("records"):
             rows = sheets.setdefault(record[sheet_column], [[], list(columns)])
             rows.append([("date", record[c]) if c in dates and record[c] == record[c] else record[c] for c in columns])
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder) if ":" in folder else (pyarrow.fs.LocalFileSystem(), folder)
+        fs, base = filesystem(folder)
         fs.create_dir(base)
         with fs.open_output_stream(f"{base}/2026-03-02-Full Dump part{key[0]:05d}.xlsx") as out:
             out.write(workbook_bytes(dict(sorted(sheets.items()))))

@@ -19,13 +19,13 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from snapflow.functions.text import JAVA_WHITESPACE
+from snapflow.sources.paths import filesystem, ship
 
 FORMAT = "workbook"
 BATCH_ROWS = 4096
@@ -251,12 +251,8 @@ class WorkbookReader(DataSourceReader):
         self.zone = zoneinfo.ZoneInfo(options.get("timezone", "UTC"))
         self.max_bytes = int(options.get("maxpartitionbytes", 16 << 20))
 
-    @staticmethod
-    def _open_fs(path: str):
-        return pyarrow.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pyarrow.fs.LocalFileSystem(), path)
-
     def partitions(self) -> list[InputPartition]:
-        fs, base = self._open_fs(self.path)
+        fs, base = filesystem(self.path)
         info = fs.get_file_info(base)
         if info.type == pyarrow.fs.FileType.NotFound:
             raise FileNotFoundError(self.path)
@@ -274,7 +270,7 @@ class WorkbookReader(DataSourceReader):
         return [WorkbookGroup(g) for g in groups if g]
 
     def read(self, partition: WorkbookGroup):
-        fs, base = self._open_fs(self.path)
+        fs, base = filesystem(self.path)
         fields = self.schema.fields
         arrow = pa.schema([(f.name, self._arrow_type(f.dataType)) for f in fields])
         batch: list[list] = [[] for _ in fields]
@@ -377,9 +373,7 @@ class WorkbookSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    import sys
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package installed
+    ship(__name__)
     spark.dataSource.register(WorkbookSource)
 
 

@@ -8,12 +8,12 @@ from functools import reduce
 from xml.parsers import expat
 
 import pandas as pd
-import pyarrow.fs
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.sources.paths import filesystem, ship
+
 
 def count_children(stream) -> tuple[str, Counter]:
     """Root name and how often each child name occurs; the file is streamed through an event parser."""
@@ -41,7 +41,7 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
-            fs, local = pyarrow.fs.FileSystem.from_uri(path)
+            fs, local = filesystem(path)
             with fs.open_input_stream(local) as stream:
                 root, seen = count_children(stream)
             found += [(root, tag, n) for tag, n in seen.items()] or [(root, None, 0)]
@@ -50,9 +50,7 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def row_tags(spark: SparkSession, path: str) -> list[str]:
     """Child names that repeat in at least one file; without any, the root names. Files are scanned in parallel."""
-    import sys
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ship(__name__)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     profile = files.mapInPandas(_profile, "root string, tag string, n long")
     tags = profile.groupBy("root", "tag").agg(F.max("n").alias("n")).collect()  # one line per element name
