@@ -19,6 +19,11 @@ def file_name(path: Column | str) -> Column:
     return F.element_at(F.split(_col(path), "/"), -1)
 
 
+def decoded(path: Column | str) -> Column:
+    """File metadata gives paths URL-encoded; this is the plain path. A plus sign stands for itself."""
+    return F.url_decode(F.regexp_replace(_col(path), r"\+", "%2B"))
+
+
 def stem(name: Column | str) -> Column:
     """Lower-cased name without its extension; a leading dot does not start an extension."""
     return F.regexp_replace(F.lower(_col(name)), r"(?s)(?<=.)\.[^.]*$", "")

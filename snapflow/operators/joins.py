@@ -1,4 +1,4 @@
-"""The one join shape behind lookups, reference checks and parent links."""
+"""The one join shape behind lookups, reference checks, parent links and loads."""
 
 from __future__ import annotations
 
@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 KEY = "_probe_key"
 
 
-def probe(left: DataFrame, right: DataFrame, left_key: Column, right_key: str) -> DataFrame:
-    """Left join ``left`` to ``right`` (unique on the text column ``right_key``).
+def tagged(key: Column) -> Column:
+    return F.concat(F.lit("k"), key)
+
+
+def probe(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, how: str = "left") -> DataFrame:
+    """Join ``left`` to ``right``, which is unique on the text column ``right_key``.
+
+    ``how`` is ``left``, ``left_semi`` or ``left_anti``.
 
     * Rows without a key cannot match. They are spread over the cluster by their partition number
       instead of meeting in one task; the leading tag keeps them apart from every real key.
@@ -20,12 +26,16 @@ def probe(left: DataFrame, right: DataFrame, left_key: Column, right_key: str) -
     The partition number is the same when a task is retried, so a lost executor does not move rows.
     """
     spread = F.concat(F.lit("n"), F.spark_partition_id().cast("string"))
-    tagged_left = left.withColumn(KEY, F.coalesce(F.concat(F.lit("k"), left_key), spread))
-    tagged_right = right.withColumn(KEY, F.concat(F.lit("k"), F.col(right_key))).drop(right_key)
-    return tagged_left.join(tagged_right, KEY, "left").drop(KEY)
+    keyed_left = left.withColumn(KEY, F.coalesce(tagged(left_key), spread))
+    keyed_right = right.withColumn(KEY, tagged(F.col(right_key))).drop(right_key)
+    return keyed_left.join(keyed_right, KEY, how).drop(KEY)
+
+
+def text_ids(table: DataFrame, id_column: str, name: str = "_id") -> DataFrame:
+    """Distinct non-null ids as text."""
+    return table.select(F.col(f"`{id_column}`").cast("string").alias(name)).filter(F.col(name).isNotNull()).distinct()
 
 
 def id_set(table: DataFrame, id_column: str, name: str = "_id") -> DataFrame:
     """Distinct non-null ids as text, with a hit flag."""
-    ids = table.select(F.col(id_column).cast("string").alias(name)).filter(F.col(name).isNotNull())
-    return ids.distinct().withColumn("_hit", F.lit(True))
+    return text_ids(table, id_column, name).withColumn("_hit", F.lit(True))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.operators.joins import probe, text_ids
 from snapflow.operators.mapping import conform
 from snapflow.operators.snapshot import resolve
 
@@ -97,9 +98,14 @@ def _text_id(df: DataFrame, column: str) -> Column:
 
 def new_rows(batch: DataFrame, current: DataFrame, batch_id: str, table_id: str = "ID") -> DataFrame:
     """Batch rows with a non-null id the table does not hold. Repeated new ids all stay."""
-    held = current.select(_text_id(current, table_id).alias("_held")).filter("_held IS NOT NULL")
     keyed = batch.filter(F.col(f"`{batch_id}`").isNotNull())
-    return keyed.join(held, _text_id(keyed, batch_id) == F.col("_held"), "left_anti")
+    return probe(keyed, text_ids(current, resolve(current, table_id)), _text_id(keyed, batch_id), "_id", "left_anti")
+
+
+def held_rows(batch: DataFrame, current: DataFrame, batch_id: str, table_id: str = "ID") -> DataFrame:
+    """Batch rows whose id the table holds."""
+    keyed = batch.filter(F.col(f"`{batch_id}`").isNotNull())
+    return probe(keyed, text_ids(current, resolve(current, table_id)), _text_id(keyed, batch_id), "_id", "left_semi")
 
 
 def updated_rows(current: DataFrame, batch: DataFrame, id_column: str = "ID",
@@ -119,10 +125,8 @@ def updated_rows(current: DataFrame, batch: DataFrame, id_column: str = "ID",
     order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
     last = (batch.select(_text_id(batch, id_column).alias("_id"), values.alias("_new"), order.alias("_order"))
             .filter("_id IS NOT NULL").groupBy("_id").agg(F.max_by("_new", "_order").alias("_new"))
-            .select(F.concat(F.lit("k"), "_id").alias("_key"), "_new", F.lit(True).alias("_hit")))
-    joined = current.withColumn("_key", F.coalesce(F.concat(F.lit("k"), _text_id(current, table_id)),
-                                                   F.concat(F.lit("n"), F.spark_partition_id().cast("string"))))
-    joined = joined.join(last, "_key", "left")
+            .withColumn("_hit", F.lit(True)))
+    joined = probe(current, last, _text_id(current, table_id), "_id")
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) if c in mapped
         else F.col(f"`{c}`") for c in current.columns])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.functions.text import has_text
-from snapflow.operators.joins import probe
-from snapflow.operators.snapshot import on_day
+from snapflow.operators.joins import probe, text_ids
+from snapflow.operators.mapping import conform
+from snapflow.operators.snapshot import append, on_day
 from snapflow.session import settled
 
 # Fixed values.
@@ -39,8 +40,7 @@ def new_departments(hr: DataFrame, departments: DataFrame, day: dt.date | str, n
     if null_aware:
         nulls = departments.select(F.count_if(F.col("ID").isNull())).scalar()
         staff = staff.filter(nulls == 0)
-    known = departments.select(F.col("ID").alias("_known"))
-    return staff.join(known, F.col("department") == F.col("_known"), "left_anti").distinct()
+    return probe(staff, text_ids(departments, "ID"), F.col("department"), "_id", "left_anti").distinct()
 
 
 def manager_edges(hr: DataFrame, day: dt.date | str) -> DataFrame:
@@ -124,3 +124,12 @@ def update_departments(hr: DataFrame, departments: DataFrame, roles: DataFrame,
     counts = staff.select(F.count_distinct("department").alias("departments_processed")).withColumn(
         "departments_inserted", inserts.select(F.count(F.lit(1))).scalar())
     return inserts, counts
+
+
+def load_departments(spark: SparkSession, day: dt.date | str, hr: str = "hr", departments: str = "department2",
+                     roles: str = "roles", roles_assignation: str = "roles_assignation") -> tuple[int, int]:
+    """Classify the day's new departments and append them; returns how many were looked at and inserted."""
+    inserts, counts = update_departments(spark.table(hr), spark.table(departments), spark.table(roles), spark.table(roles_assignation), day)
+    result = counts.first()
+    append(spark, departments, conform(inserts, spark.table(departments).schema))
+    return result["departments_processed"], result["departments_inserted"]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.files import DATE
 from snapflow.operators import clean, link, load, mapping, reference, snapshot
-from snapflow.plans import runlog
+from snapflow.plans import directory, runlog
 from snapflow.result import StepResult
 from snapflow.session import settled, small_frame
 
@@ -333,8 +333,7 @@ def _insert(run: JobRun, p: dict) -> None:
         keyed = run.rows.withColumn("_id_text", clean.value_of(run.rows, source).cast("string"))
         rows = load.new_rows(keyed, current, "_id_text", id_column).drop("_id_text")
         if upserting:
-            held = current.select(F.col(snapshot.resolve(current, id_column)).cast("string").alias("_held")).distinct()
-            updates = keyed.join(held, F.col("_id_text") == F.col("_held"), "left_semi").drop("_id_text")
+            updates = load.held_rows(keyed, current, "_id_text", id_column).drop("_id_text")
     if not maps:
         run.say("SUMMARY", "Inserted 0 records (0 columns mapped)")
         return
@@ -548,10 +547,32 @@ class RunReport:
 Opened = tuple[DataFrame | dict[str, DataFrame], dt.date | str, str]
 
 
+def run_directory_import(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], day: dt.date | str,
+                         table: str = "hr", name: str = "directory-import") -> JobResult:
+    """Load the people of the day from directory extracts; no people at all makes the job PARTIAL."""
+    start, log, n = _now(), [(name, None, None, _now(), "INFO", name, "Job started")], 0
+    try:
+        extract = directory.union_extracts(sources)
+        log += [(name, None, None, _now(), "WARN", name, f"Extract '{s}' failed: {e}") for s, e in extract.failures.items()]
+        people = extract.rows if extract.rows is not None else small_frame(spark, [], ", ".join(f"{c} string" for c in directory.ATTRIBUTES))
+        counts = Observation()
+        directory.load_hr(spark, people.observe(counts, F.count(F.lit(1)).alias("rows")), day, table)
+        n = observed(counts).get("rows", 0)
+        log.append((name, None, None, _now(), "INFO", name, f"{n} rows loaded into {table}"))
+        status = "SUCCESS" if n else "PARTIAL"
+    except Exception as e:  # noqa: BLE001
+        log.append((name, None, None, _now(), "ERROR", name, f"Directory import failed: {e}"))
+        status = "FAILED"
+    end = _now()
+    log.append((name, None, None, end, "INFO", name, f"Job completed with status: {status}"))
+    return JobResult(name, status, "N/A", "TABLE", start, end, log, [], [], n)
+
+
 def run_jobs(spark: SparkSession, specs: Iterable[dict], open_batch: Callable[[dict], Opened | None],
-             names: Iterable[str] = (), order_by: Iterable[str] = ("_row",)) -> RunReport:
-    """Run the selected specs. ``open_batch`` gives rows, day and file path; None skips the job, an error fails it."""
-    results = []
+             names: Iterable[str] = (), order_by: Iterable[str] = ("_row",), before: Iterable[JobResult] = ()) -> RunReport:
+    """Run the selected specs. ``open_batch`` gives rows, day and file path; None skips the job, an error fails it.
+    ``before`` are results of imports that ran first and belong into the same report."""
+    results = list(before)
     for spec in selected(specs, names):
         try:
             opened = open_batch(spec)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.functions.text import has_text
+from snapflow.operators.joins import tagged
 from snapflow.operators.snapshot import as_date, on_day, overwrite_day
 from snapflow.session import small_frame
 
@@ -124,12 +125,11 @@ def _name_group(rules: Sequence[Rule], tables: Tables, day) -> DataFrame:
     Names are de-duplicated before the join, so a name on many rows meets each of its people once. The
     tagged key keeps both join inputs plain exchanges, which lets adaptive execution split a hot name.
     """
-    tagged = lambda c: F.concat(F.lit("k"), F.lower(c)).alias("_name")
-    people = _read(tables, "hr", day).select(tagged("name"), F.col("id").cast("string").alias("owner"))
+    people = _read(tables, "hr", day).select(tagged(F.lower("name")).alias("_name"), F.col("id").cast("string").alias("owner"))
     named = reduce(DataFrame.unionByName, [
         _read(tables, r.table, day).select(F.lower(str(r.condition)).alias("_n")).distinct()
         .withColumn("role", F.lit(r.role)) for r in rules])
-    named = named.select(tagged("_n"), "role")
+    named = named.select(tagged(F.col("_n")).alias("_name"), "role")
     return people.join(named, "_name").select("role", "owner")
 
 

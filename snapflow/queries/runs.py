@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapflow.plans import job, runlog
+from snapflow.plans import job, runlog, shapes
 from snapflow.queries import query, table
 from snapflow.queries.links import DAY, customer_ids, order_batch, parent_tables
 from snapflow.session import shared_path
@@ -139,30 +139,11 @@ def g13(spark, sf):
 
 # ---------------------------------------------------------------- job runs
 
-SPEC = {
-    "name": "order-import", "fileType": "EXCEL", "parameters": {"etlLogTable": "g2_log", "currentEntityType": "Order"},
-    "tasks": [
-        {"name": "clean-data", "type": "TRANSFORMATION", "stopOnFailure": True, "subtasks": [
-            {"name": "trim-whitespace", "type": "TRIM"},
-            {"name": "build-id", "type": "CONCATENATE", "parameters": {
-                "sourceColumns": ["Folder", "Number"], "targetColumn": "ID", "separator": "/"}}]},
-        {"name": "persist-data", "type": "PERSISTENCE", "stopOnFailure": True, "subtasks": [
-            {"name": "truncate", "type": "TRUNCATE", "parameters": {"tableName": "g2_orders", "timestampColumn": "TIMESTAMP"}},
-            {"name": "validate-owner", "type": "VALIDATE_REFERENCE", "parameters": {
-                "fieldColumn": "Owner", "referenceTable": "g2_people", "idColumn": "ID"}},
-            {"name": "insert", "type": "INSERT", "parameters": {"tableName": "g2_orders", "mappings": [
-                {"dbColumn": "TIMESTAMP", "autoGenerate": "TIMESTAMP"}, {"excelColumn": "o_totalprice", "dbColumn": "AMOUNT"}]}},
-            {"name": "link-parent", "type": "LINK_PARENT", "parameters": {
-                "idColumn": "ID", "parentPathColumn": "Parent_Path", "parentObjectsColumn": "Parent_Objects",
-                "parentTypeColumn": "Parent_Type", "rules": [
-                    {"parentType": "Part", "checkTable": "g2_parts", "relationTable": "g2_edges", "parentEntityType": "Part"}]}}]}],
-}
-
-
 def _spec(prefix):
-    import json
-
-    return json.loads(json.dumps(SPEC).replace("g2_", f"{prefix}_"))
+    return shapes.entity_job(
+        "order-import", "Orders-XX", f"{prefix}_orders", "Order", id_parts=["Folder", "Number"], columns={"o_totalprice": "AMOUNT"},
+        owners=["Owner"], people=f"{prefix}_people", log=f"{prefix}_log", parent=["Parent_Path", "Parent_Objects", "Parent_Type"],
+        rules=[shapes.parent_rule("Part", f"{prefix}_parts", f"{prefix}_edges", "Part")])
 
 
 def _create(spark, name, columns, partition=None):
@@ -220,6 +201,71 @@ def g14(spark, sf):
     return job.RunReport("one", [result], spark).counters().select("counter", "value")
 
 
+@query("G2_full_load_job", """
+    SELECT CAST(c_custkey AS VARCHAR) AS "ID", upper(c_name) AS "NAME", upper(c_name) || '/' || c_mktsegment AS "LABEL" FROM customer
+    WHERE c_mktsegment <> 'FURNITURE'""")
+def g2_full(spark, sf):
+    """Full load: rows without a segment are dropped, text is upper-cased, a second run replaces the first."""
+    _create(spark, "g2f_customer", "ID STRING, NAME STRING, LABEL STRING")
+    spec = shapes.full_load_job("full", "Customers", "g2f_customer", {"Key": "ID"}, required="Segment", upper=True,
+                                mappings=[{"dbColumn": "LABEL", "concatenate": ["Name", "Segment"], "separator": "/"}])
+    batch = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("Key"), F.concat(F.lit(" "), "c_name").alias("Name"),
+        F.when(F.col("c_mktsegment") != "FURNITURE", F.lower("c_mktsegment")).otherwise(F.lit(" ")).alias("Segment"),
+        F.col("c_custkey").alias("_row"))
+    for _ in range(2):
+        job.run_job(spark, spec, batch, DAY)
+    return spark.table("g2f_customer")
+
+
+@query("G2_lookup_load_job", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS "ID", CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS "OWNER"
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0""")
+def g2_lookup(spark, sf):
+    """Contracts-like load: owner mail to owner id through the newest people snapshot, sentinel to NULL."""
+    _create(spark, "g2l_contracts", "ID STRING, OWNER STRING")
+    people = table(spark, sf, "customer").filter("c_acctbal > 0").select(
+        F.concat(F.lit("C"), "c_custkey", F.lit("@Example.org")).alias("mail"), F.col("c_custkey").alias("id"), F.lit(DAY).cast("timestamp").alias("timestamp"))
+    older = people.withColumn("id", F.lit(-1).cast("long")).withColumn("timestamp", F.lit("2026-03-01").cast("timestamp"))
+    people.unionByName(older).createOrReplaceTempView("g2l_people")
+    spec = shapes.lookup_load_job("contracts", "Contracts", "g2l_contracts", "Owner", "g2l_people", "mail", "id", {"Key": "ID", "Owner": "OWNER"})
+    batch = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Key"), F.when(F.col("o_orderstatus") == "P", F.lit(" Unknown")).otherwise(
+            F.concat(F.lit("c"), "o_custkey", F.lit("@EXAMPLE.org "))).alias("Owner"), F.col("o_orderkey").alias("_row"))
+    job.run_job(spark, spec, batch, DAY)
+    return spark.table("g2l_contracts")
+
+
+@query("G2_new_rows_job", """
+    SELECT CAST(p_partkey AS VARCHAR) AS "ID", CASE WHEN p_size > 25 THEN p_name ELSE upper(p_name) END AS "NAME" FROM part""")
+def g2_new(spark, sf):
+    """Half of the parts are loaded first, then all of them are offered in capitals: only missing ids are taken."""
+    _create(spark, "g2n_parts", "ID STRING, NAME STRING")
+    spec = shapes.new_rows_job("new", "Parts", "g2n_parts", {"Key": "ID"})
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("Key"), F.col("p_name").alias("Name"), "p_size", F.col("p_partkey").alias("_row"))
+    job.run_job(spark, spec, parts.filter("p_size > 25").drop("p_size"), DAY)
+    job.run_job(spark, spec, parts.withColumn("Name", F.upper("Name")).drop("p_size"), DAY)
+    return spark.table("g2n_parts")
+
+
+@query("G2_sheets_upsert_job", f"""
+    SELECT 'customer' AS sheet, CAST(c_custkey AS VARCHAR) AS "ID", CASE WHEN c_acctbal > 0 THEN upper(c_name) ELSE c_name END AS "NAME",
+           CASE WHEN c_acctbal > 0 THEN TIMESTAMP '{DAY}' ELSE TIMESTAMP '2026-03-01' END AS "TIMESTAMP" FROM customer
+    UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name, TIMESTAMP '{DAY}' FROM supplier""")
+def g2_sheets(spark, sf):
+    """Two sheets into two tables; a second dump changes the customers in credit."""
+    for name in ("g2s_customer", "g2s_supplier"):
+        _create(spark, name, "ID STRING, NAME STRING, TIMESTAMP TIMESTAMP")
+    spec = shapes.sheets_upsert_job("chain", "ValueChain")
+    people = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("Id"), F.col("c_name").alias("Name"), "c_acctbal", F.col("c_custkey").alias("_row"))
+    firms = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("Id"), F.col("s_name").alias("Name"), F.col("s_suppkey").alias("_row"))
+    job.run_job(spark, spec, {"g2s_customer": people.drop("c_acctbal")}, "2026-03-01")
+    richer = people.filter("c_acctbal > 0").withColumn("Name", F.upper("Name")).drop("c_acctbal")
+    job.run_job(spark, spec, {"g2s_customer": richer, "g2s_supplier": firms}, DAY)
+    both = spark.table("g2s_customer").withColumn("sheet", F.lit("customer"))
+    return both.unionByName(spark.table("g2s_supplier").withColumn("sheet", F.lit("supplier")))
+
+
 @query("H1_file_drop_ingestion", """
     SELECT CAST(o_orderkey AS VARCHAR) AS "ID", CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END * o_totalprice AS "AMOUNT",
            CASE o_orderstatus WHEN 'O' THEN TIMESTAMP '2026-03-03' ELSE TIMESTAMP '2026-03-02' END AS "TIMESTAMP"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.functions.files import decoded
 from snapflow.sources.paths import filesystem, ship
 
 
@@ -67,6 +68,6 @@ def read_xml(spark: SparkSession, path: str, row_tag: str | None = None, schema:
     def one(tag: str) -> DataFrame:
         reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", "true")
         rows = (reader.schema(schema) if schema else reader).load(path)
-        return rows.select(*[f"`{c}`" for c in rows.columns], F.col("_metadata.file_path").alias("_file"))
+        return rows.select(*[f"`{c}`" for c in rows.columns], decoded(F.col("_metadata.file_path")).alias("_file"))
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(t) for t in tags])

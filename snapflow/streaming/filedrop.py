@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapflow.functions.files import decoded
 from snapflow.plans.job import JobResult, ingest_day, run_job
 from snapflow.sources.workbook import read_workbook
 from snapflow.sources.xmlrows import read_xml
@@ -31,7 +32,7 @@ def ingest_drops(spark: SparkSession, spec: dict, drop_dir: str, checkpoint: str
         stream = stream.select(F.col("path").alias("_path"))
     else:
         stream = spark.readStream.format(file_format).schema(schema).options(**options).load(drop_dir)
-        stream = stream.withColumn("_path", F.col("_metadata.file_path"))
+        stream = stream.withColumn("_path", decoded("_metadata.file_path"))
         if file_format == "parquet":
             stream = stream.withColumn("_row", F.col("_metadata.row_index"))
 

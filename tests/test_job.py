@@ -208,6 +208,21 @@ tasks:
     assert values(runlog.run_totals(report.jobs()), "total_jobs", "failed_jobs", "total_processed") == [(3, 1, 5)]
 
 
+def test_directory_import_comes_first_in_the_report(spark, table):
+    from snapflow.plans.directory import ATTRIBUTES
+
+    hr = table("id STRING, name STRING, mail STRING, department STRING, ckmanager STRING, title STRING, timestamp TIMESTAMP", "timestamp")
+    people = spark.createDataFrame([("A",) * 7], ", ".join(f"{c} string" for c in ATTRIBUTES))
+    sources = {"good": lambda: people, "bad": lambda: spark.table("no_such_export")}
+    done = job.run_directory_import(spark, sources, DAY, hr)
+    empty = job.run_directory_import(spark, {"bad": sources["bad"]}, DAY, hr)
+    broken = job.run_directory_import(spark, sources, DAY, "no_such_table")
+    assert spark.table(hr).count() == 0  # the empty import cleared the day
+    report = job.run_jobs(spark, [], None, before=[done, empty, broken])
+    assert [r.status for r in report.results] == ["SUCCESS", "PARTIAL", "FAILED"]
+    assert values(report.jobs(), "status", "processed") == [("FAILED", 0), ("PARTIAL", 0), ("SUCCESS", 1)]
+
+
 def test_unreadable_file_skips_the_job(spark):
     report = job.run_jobs(spark, [{"name": "x"}], lambda s: None)
     assert values(report.jobs(), "status", "warnings") == [("SKIPPED", 1)]

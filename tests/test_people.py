@@ -120,6 +120,16 @@ def test_null_department_id_suppresses_new_ones(spark):
     assert classified(spark, staff, [("lead", 32)])[1] == (1, 1)
 
 
+def test_load_departments(spark, table):
+    name = table("ID STRING, DEPARTMENT_TYPE STRING, DOMAIN STRING")
+    hr_of(spark, {"id": "lead", "department": "Dev"}).createOrReplaceTempView("ld_hr")
+    spark.createDataFrame(ROLES, "id int, name string").createOrReplaceTempView("ld_roles")
+    spark.createDataFrame([("lead", 32)], "CK string, ID int").createOrReplaceTempView("ld_assigned")
+    assert departments.load_departments(spark, DAY, "ld_hr", name, "ld_roles", "ld_assigned") == (1, 1)
+    assert departments.load_departments(spark, DAY, "ld_hr", name, "ld_roles", "ld_assigned") == (0, 0)
+    assert values(spark.table(name)) == [("Dev", "IT", "CIO")]
+
+
 def test_several_lead_roles_and_day(spark):
     hr = hr_of(spark, {"id": "a"}, {"id": "b", "timestamp": OLD})
     leads = departments.domain_leads(spark.createDataFrame([("a", 26), ("a", 32), ("b", 26)], "CK string, ID int"),
