@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.session import empty_frame, settled
+from snapflow.session import discard, empty_frame, settled
 
 
 def as_date(day: dt.date | str) -> dt.date:
@@ -97,6 +97,8 @@ def append(spark: SparkSession, table: str, batch: DataFrame) -> None:
 
 def replace_all(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Overwrite a table with rows that may be computed from it: settle first, then swap."""
-    stable = settled(rows)
+    scratch: list[str] = []
+    stable = settled(rows, scratch)
     ordered = stable.select(*[f"`{c}`" for c in spark.table(table).columns])
     ordered.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    discard(spark, scratch)  # only after the swap: until then it is the one full copy

@@ -11,7 +11,7 @@ from snapflow.functions.text import has_text
 from snapflow.operators.joins import probe, text_ids
 from snapflow.operators.mapping import conform
 from snapflow.operators.snapshot import append, on_day
-from snapflow.session import settled
+from snapflow.session import discard, settled
 
 # Fixed values.
 DOMAIN_LEAD_ROLES = [
@@ -51,7 +51,7 @@ def manager_edges(hr: DataFrame, day: dt.date | str) -> DataFrame:
     return edges.select("node", F.when(has_text("parent"), F.col("parent")).alias("parent"))
 
 
-def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHAIN) -> DataFrame:
+def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHAIN, scratch: list[str] | None = None) -> DataFrame:
     """``(start, node, depth)``: every start with its managers up the tree, itself at depth 0.
 
     A chain ends at a missing or unknown manager, at a node seen before, or after ``max_nodes`` nodes.
@@ -63,7 +63,7 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
     nodes = edges.select("node").unionByName(parents.select(F.col("parent").alias("node"))).distinct()
     first = nodes.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")).unionByName(
         parents.select(F.col("node").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("depth")))
-    known = settled(first)
+    known = settled(first, scratch)
     newest, top = known, 1
     while top < max_nodes - 1:
         tails = newest.filter(F.col("depth") == top).select("start", F.col("node").alias("target"))
@@ -71,7 +71,7 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
             break
         above = known.filter("depth > 0").select(F.col("start").alias("target"), "node", F.col("depth").alias("further"))
         newest = settled(tails.join(above, "target").select("start", "node", (F.col("further") + top).alias("depth"))
-                         .filter(F.col("depth") < max_nodes))
+                         .filter(F.col("depth") < max_nodes), scratch)
         known = known.unionByName(newest)
         top *= 2
     chains = known.groupBy("start", "node").agg(F.min("depth").alias("depth"))
@@ -81,7 +81,7 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
         alone.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
 
 
-def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN) -> DataFrame:
+def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN, scratch: list[str] | None = None) -> DataFrame:
     """``(node, role, depth)``: nearest lead at or above each person, within ``max_nodes`` nodes.
 
     The answer of a person without a lead of their own is the answer of their manager, so pointers double:
@@ -91,7 +91,7 @@ def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN
     looking = F.col("role").isNull() & F.col("pointer").isNotNull()
     state = settled(probe(edges, leads.select("ck", "role"), F.col("node"), "ck").select(
         "node", F.when(F.col("role").isNull(), F.col("parent")).alias("pointer"), F.lit(1).alias("hops"),
-        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")))
+        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")), scratch)
     done, active, looked = state.filter(~looking), state.filter(looking), 1
     while looked < max_nodes and not active.isEmpty():
         above = done.unionByName(active).select(
@@ -99,7 +99,7 @@ def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN
         moved = settled(probe(active, above, F.col("pointer"), "_above").select(
             "node", F.when(F.col("_up.role").isNull(), F.col("_up.pointer")).alias("pointer"),
             (F.col("hops") + F.coalesce("_up.hops", F.lit(0))).alias("hops"),
-            F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")))
+            F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")), scratch)
         done, active = done.unionByName(moved.filter(~looking)), moved.filter(looking)
         looked *= 2
     return done.filter(F.col("role").isNotNull() & (F.col("depth") < max_nodes)).select("node", "role", "depth")
@@ -116,11 +116,11 @@ def classify(new_staff: DataFrame, nearest: DataFrame) -> DataFrame:
 
 
 def update_departments(hr: DataFrame, departments: DataFrame, roles: DataFrame, roles_assignation: DataFrame,
-                       day: dt.date | str, null_aware: bool = True) -> tuple[DataFrame, DataFrame]:
+                       day: dt.date | str, null_aware: bool = True, scratch: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows to append to the department table, and the counts (processed, inserted) as a one-row frame."""
-    staff = settled(new_departments(hr, departments, day, null_aware))
+    staff = settled(new_departments(hr, departments, day, null_aware), scratch)
     leads = domain_leads(roles_assignation, roles, hr, day)
-    inserts = settled(classify(staff, nearest_leads(manager_edges(hr, day), leads)))
+    inserts = settled(classify(staff, nearest_leads(manager_edges(hr, day), leads, scratch=scratch)), scratch)
     counts = staff.select(F.count_distinct("department").alias("departments_processed")).withColumn(
         "departments_inserted", inserts.select(F.count(F.lit(1))).scalar())
     return inserts, counts
@@ -129,7 +129,10 @@ def update_departments(hr: DataFrame, departments: DataFrame, roles: DataFrame,
 def load_departments(spark: SparkSession, day: dt.date | str, hr: str = "hr", departments: str = "department2",
                      roles: str = "roles", roles_assignation: str = "roles_assignation") -> tuple[int, int]:
     """Classify the day's new departments and append them; returns how many were looked at and inserted."""
-    inserts, counts = update_departments(spark.table(hr), spark.table(departments), spark.table(roles), spark.table(roles_assignation), day)
+    scratch: list[str] = []
+    inserts, counts = update_departments(spark.table(hr), spark.table(departments), spark.table(roles), spark.table(roles_assignation),
+                                         day, scratch=scratch)
     result = counts.first()
     append(spark, departments, conform(inserts, spark.table(departments).schema))
+    discard(spark, scratch)
     return result["departments_processed"], result["departments_inserted"]

@@ -25,7 +25,7 @@ from snapflow.functions.files import DATE
 from snapflow.operators import clean, link, load, mapping, reference, snapshot
 from snapflow.plans import directory, runlog
 from snapflow.result import StepResult
-from snapflow.session import settled, small_frame
+from snapflow.session import discard, settled, small_frame
 
 TASK_TYPES = ("TRANSFORMATION", "PERSISTENCE")
 DEFAULT_TABLE = "ingesta_data"
@@ -121,6 +121,7 @@ class JobRun:
     step_type: str = ""
     processed: int = 0
     failed: int = 0
+    scratch: list[str] = field(default_factory=list)
 
     def say(self, level: str, message: str, scope: str = "step") -> None:
         task = self.task if scope != "job" else None
@@ -145,7 +146,7 @@ class JobRun:
         """Compute the batch once, write the reject log that came with it, report its counters."""
         if not self.lazy:
             return
-        frame = settled(self.rows)
+        frame = settled(self.rows, self.scratch)
         self.read_counters()
         for log_table in dict.fromkeys(t for t, _ in self.pending_logs if t):
             columns = [c for t, c in self.pending_logs if t == log_table]
@@ -391,7 +392,7 @@ def _link(run: JobRun, p: dict) -> None:
         p.get("parentObjectsColumn"), p.get("parentTypeColumn"), p.get("separator", "/"), p.get("checkIdColumn", "ID"), ts)
     links = settled(resolved.observe(
         counts, F.count_if(F.col("_found")).alias("linked"), F.count_if(known & ~F.col("_found")).alias("missing"),
-        F.count_if(~known).alias("unknown")))
+        F.count_if(~known).alias("unknown")), run.scratch)
     run.read_counters()
     run.counted = True
     for name in dict.fromkeys(r["relationTable"] for r in rules):
@@ -501,6 +502,7 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
                 run.rows = rows.observe(read, F.count(F.lit(1)).alias("rows"))
                 run.watch(read, lambda r, c: r.say("INFO", f"Read {c.get('rows', 0)} rows", "job"))
                 broken |= _run_tasks(run, tasks, status)
+            discard(spark, run.scratch)
             log += run.log
             counters += run.counters
             processed += run.processed

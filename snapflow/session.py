@@ -49,14 +49,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage through a reliable checkpoint.
+def settled(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+    """Compute a frame once and cut its lineage: written to the shared folder and read back.
 
-    Used where several writes read one frame and where an iterative plan would grow: the blocks
-    sit in shared storage, so a lost executor neither recomputes nor changes them.
+    Used where several writes read one frame and where an iterative plan would grow. The rows sit in shared
+    storage, so a lost executor neither recomputes nor changes them; being columnar, each reader only scans the
+    columns it needs, and Spark knows the size. ``scratch`` collects the path for ``discard``.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete settled frames that nothing reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in scratch:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    scratch.clear()
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

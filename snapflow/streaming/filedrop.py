@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.functions.files import decoded
 from snapflow.plans.job import JobResult, ingest_day, run_job
 from snapflow.sources.workbook import read_workbook
 from snapflow.sources.xmlrows import read_xml
@@ -14,42 +15,42 @@ from snapflow.sources.xmlrows import read_xml
 LISTING = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
+def read_drop(spark: SparkSession, path: str, file_format: str, spec: dict, schema: T.StructType | None, **options: str) -> DataFrame:
+    """Rows of one dropped file, with a ``_row`` order where the format has one."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)  # a file name is not a pattern
+    if file_format == "workbook":
+        return read_workbook(spark, path, schema, sheet_index=max(0, spec.get("sheetIndex", 0)))
+    if file_format == "xml":
+        rows = read_xml(spark, literal, (spec.get("parameters") or {}).get("rowTag"), schema)
+        return rows.withColumn("_row", F.monotonically_increasing_id())
+    reader = spark.read.format(file_format).options(**options)
+    rows = (reader.schema(schema) if schema else reader).load(literal)
+    return rows.withColumn("_row", F.col("_metadata.row_index") if file_format == "parquet" else F.monotonically_increasing_id())
+
+
 def ingest_drops(spark: SparkSession, spec: dict, drop_dir: str, checkpoint: str, file_format: str = "parquet",
-                 schema: T.StructType | None = None, order_by: tuple[str, ...] = ("_row",), **options: str) -> list[JobResult]:
+                 schema: T.StructType | None = None, order_by: tuple[str, ...] = ("_row",), max_files: int | None = None,
+                 **options: str) -> list[JobResult]:
     """Process the files that arrived since the last call and return one job result per file.
 
-    The stream's checkpoint remembers processed files. A file is one dump: its name gives the ingest day, and
-    files run in name order, so a later dump of a day replaces the earlier one. A batch that is replayed after
-    a failure clears and loads the same days again, which changes nothing.
-
-    Workbooks and XML files are discovered by a listing stream and then read by their own sources; other
-    formats are read by the stream itself and need a ``schema``.
+    The stream only discovers files, and its checkpoint remembers them; contents are not read by it. Each new
+    file is then read by its own source, so a job scans its own file and nothing else. A file is one dump: its
+    name gives the ingest day, and files run in name order, so a later dump of a day replaces the earlier one.
+    A batch that is replayed after a failure clears and loads the same days again, which changes nothing.
     """
     results: list[JobResult] = []
-    listed = file_format in ("workbook", "xml")
-    if listed:
-        stream = spark.readStream.format("binaryFile").schema(LISTING).options(**options).load(drop_dir)
-        stream = stream.select(F.col("path").alias("_path"))
-    else:
-        stream = spark.readStream.format(file_format).schema(schema).options(**options).load(drop_dir)
-        stream = stream.withColumn("_path", decoded("_metadata.file_path"))
-        if file_format == "parquet":
-            stream = stream.withColumn("_row", F.col("_metadata.row_index"))
-
-    def rows_of(batch: DataFrame, path: str) -> DataFrame:
-        if file_format == "workbook":
-            return read_workbook(batch.sparkSession, path, sheet_index=max(0, spec.get("sheetIndex", 0)))
-        if file_format == "xml":
-            tag = (spec.get("parameters") or {}).get("rowTag")
-            return read_xml(batch.sparkSession, path, tag).withColumn("_row", F.monotonically_increasing_id())
-        return batch.filter(F.col("_path") == path).drop("_path")
+    listing = spark.readStream.format("binaryFile").schema(LISTING)
+    if max_files:
+        listing = listing.option("maxFilesPerTrigger", max_files)
 
     def each(batch: DataFrame, _epoch: int) -> None:
-        found = [r["_path"] for r in batch.select("_path").distinct().collect()]  # names of the new files
+        session = batch.sparkSession
+        found = [r["path"] for r in batch.select("path").distinct().collect()]  # names of the new files
         for path in sorted(found, key=lambda p: (p.rsplit("/", 1)[-1], p)):
-            results.append(run_job(batch.sparkSession, spec, rows_of(batch, path), ingest_day(path), order_by, path))
+            rows = read_drop(session, path, file_format, spec, schema, **options)
+            results.append(run_job(session, spec, rows, ingest_day(path), order_by, path))
 
-    query = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    query = (listing.load(drop_dir).select("path").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return results
