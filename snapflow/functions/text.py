@@ -26,7 +26,10 @@ def _col(c: Column | str) -> Column:
 
 
 def jtrim(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), EDGE_CONTROL, "")
+    """Most values need no trimming: a look at both ends saves them the regular expression."""
+    c = _col(c)
+    padded = (F.ascii(c) <= 32) | (F.ascii(F.substring(c, -1, 1)) <= 32)
+    return F.when(padded, F.regexp_replace(c, EDGE_CONTROL, "")).otherwise(c)
 
 
 def is_blank(c: Column | str) -> Column:

@@ -27,7 +27,7 @@ class Mapping:
 
     @staticmethod
     def of(spec: dict) -> "Mapping":
-        return Mapping(spec["dbColumn"], spec.get("excelColumn"), spec.get("autoGenerate") or None,
+        return Mapping(spec["dbColumn"], spec.get("excelColumn"), (spec.get("autoGenerate") or "").strip() or None,
                        tuple(spec.get("concatenate") or ()), spec.get("separator") or "")
 
 

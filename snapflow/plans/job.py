@@ -122,6 +122,7 @@ class JobRun:
     processed: int = 0
     failed: int = 0
     scratch: list[str] = field(default_factory=list)
+    steps: list[tuple] = field(default_factory=list)
 
     def say(self, level: str, message: str, scope: str = "step") -> None:
         task = self.task if scope != "job" else None
@@ -427,6 +428,7 @@ class JobResult:
     counters: list[tuple]
     processed: int = 0
     failed: int = 0
+    steps: list[tuple] = field(default_factory=list)
 
 
 def _now() -> dt.datetime:
@@ -445,7 +447,7 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
         try:
             for s in task.steps:
                 ahead.pop(0)
-                run.step, run.step_type = s.name, s.type
+                run.step, run.step_type, begun = s.name, s.type, _now()
                 run.consumers_left = 1 + sum(k in ("INSERT", "LINK_PARENT", "VALIDATE_REFERENCE") for k in ahead)
                 run.say("INFO", "Step started")
                 try:
@@ -457,8 +459,10 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
                 except Exception as e:
                     run.say("ERROR", f"Step failed: {e}")
                     run.say("INFO", "Step completed with status: FAILED")
+                    run.steps.append((run.name, task.name, s.name, s.type, "FAILED", begun, _now()))
                     raise
                 run.say("INFO", "Step completed with status: SUCCESS")
+                run.steps.append((run.name, task.name, s.name, s.type, "SUCCESS", begun, _now()))
             run.step = None
             if task.type == "PERSISTENCE" and run.pending_logs:
                 run.settle()
@@ -485,6 +489,7 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
     log: list[tuple] = [(name, None, None, start, "INFO", name, "Job started")]
     status: dict[str, tuple[str, int, int]] = {}
     counters: list[tuple] = []
+    steps: list[tuple] = []
     processed = failed = 0
     tasks: list[Task] = []
     try:
@@ -505,6 +510,7 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
             discard(spark, run.scratch)
             log += run.log
             counters += run.counters
+            steps += run.steps
             processed += run.processed
             failed += run.failed
         states = [s for s, _, _ in status.values()]
@@ -515,7 +521,7 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
     end = _now()
     log.append((name, None, None, end, "INFO", name, f"Job completed with status: {outcome}"))
     return JobResult(name, outcome, file_path, spec.get("fileType", "EXCEL").upper(), start, end, log,
-                     [(name, t, *v) for t, v in status.items()], counters, processed, failed)
+                     [(name, t, *v) for t, v in status.items()], counters, processed, failed, steps)
 
 
 @dataclass
@@ -532,10 +538,11 @@ class RunReport:
     def tasks(self) -> DataFrame:
         return small_frame(self.spark, [(self.run, *t) for r in self.results for t in r.tasks], runlog.TASKS)
 
+    def steps(self) -> DataFrame:
+        return small_frame(self.spark, [(self.run, *s) for r in self.results for s in r.steps], runlog.STEPS)
+
     def counters(self) -> DataFrame:
-        status = {(j, t): s for r in self.results for j, t, s, _, _ in r.tasks}
-        lines = [(self.run, j, t, s, k, status.get((j, t)), c, v) for r in self.results for j, t, s, k, c, v in r.counters]
-        return small_frame(self.spark, lines, runlog.STEPS)
+        return small_frame(self.spark, [(self.run, *c) for r in self.results for c in r.counters], runlog.COUNTERS)
 
     def jobs(self) -> DataFrame:
         lines = []
@@ -593,14 +600,16 @@ def run_jobs(spark: SparkSession, specs: Iterable[dict], open_batch: Callable[[d
     return RunReport(uuid.uuid4().hex, results, spark)
 
 
-def open_dump(spark: SparkSession, directory: str) -> Callable[[dict], Opened]:
-    """Opener for a folder of dated dumps: newest file of the spec's dataset, its date, its sheets."""
+def open_dump(spark: SparkSession, directory: str | None = None) -> Callable[[dict], Opened]:
+    """Opener for a folder of dated dumps: newest file of the spec's dataset, its date, its sheets.
+    Without a folder the spec names the file itself."""
     from snapflow.sources.files import resolve_dump
     from snapflow.sources.workbook import read_workbook, sheet_catalog
     from snapflow.sources.xmlrows import read_xml
 
     def opener(spec: dict) -> Opened:
-        path = resolve_dump(spark, directory, spec["source"]["location"]["path"])
+        wanted = spec["source"]["location"]["path"]
+        path = resolve_dump(spark, directory, wanted) if directory else wanted
         day = ingest_day(path)
         if spec.get("fileType", "EXCEL").upper() == "XML":
             rows = read_xml(spark, path, (spec.get("parameters") or {}).get("rowTag"))

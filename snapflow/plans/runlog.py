@@ -1,6 +1,7 @@
 """Run log and run summary as DataFrames.
 
-``LOG``: one line per message of a job, task or step. ``TASKS``: one line per task. ``JOBS``: one line per job.
+``LOG``: one line per message of a job, task or step. ``JOBS``, ``TASKS``, ``STEPS``: one line each.
+``COUNTERS``: one line per counter of a step.
 Frames may hold the history of many runs; every function takes the columns that identify one run or job.
 """
 
@@ -15,7 +16,8 @@ from snapflow.functions.text import jtrim
 
 LOG = "run string, job string, task string, step string, timestamp timestamp, level string, source string, message string"
 TASKS = "run string, job string, task string, status string, processed long, failed long"
-STEPS = "run string, job string, task string, step string, type string, status string, counter string, value long"
+STEPS = "run string, job string, task string, step string, type string, status string, start_time timestamp, end_time timestamp"
+COUNTERS = "run string, job string, task string, step string, type string, counter string, value long"
 JOBS = ("run string, job string, file_path string, file_type string, status string, start_time timestamp, "
         "end_time timestamp, processed long, failed long, skipped long, errors long, warnings long")
 

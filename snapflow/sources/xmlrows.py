@@ -16,16 +16,20 @@ from snapflow.functions.files import decoded
 from snapflow.sources.paths import filesystem, ship
 
 
-def count_children(stream) -> tuple[str, Counter]:
-    """Root name and how often each child name occurs; the file is streamed through an event parser."""
-    depth, root, seen = 0, "", Counter()
+def count_children(stream) -> tuple[str, Counter, set[str]]:
+    """Root name, how often each child name occurs, and which of them ever hold attributes or elements.
+    The file is streamed through an event parser."""
+    depth, root, child, seen, structured = 0, "", "", Counter(), set()
 
-    def start(name, _attributes):
-        nonlocal depth, root
+    def start(name, attributes):
+        nonlocal depth, root, child
         if depth == 0:
             root = name
         elif depth == 1:
+            child = name
             seen[name] += 1
+        if depth == 2 or (depth == 1 and attributes):
+            structured.add(child)
         depth += 1
 
     def end(_name):
@@ -35,7 +39,7 @@ def count_children(stream) -> tuple[str, Counter]:
     parser = expat.ParserCreate()
     parser.StartElementHandler, parser.EndElementHandler = start, end
     parser.ParseFile(stream)
-    return root, seen
+    return root, seen, structured
 
 
 def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -44,13 +48,14 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in batch["path"]:
             fs, local = filesystem(path)
             with fs.open_input_stream(local) as stream:
-                root, seen = count_children(stream)
-            found += [(root, tag, n) for tag, n in seen.items()] or [(root, None, 0)]
+                root, seen, structured = count_children(stream)
+            found += [(root, tag, n if tag in structured else 0) for tag, n in seen.items()] or [(root, None, 0)]
         yield pd.DataFrame(found, columns=["root", "tag", "n"])
 
 
 def row_tags(spark: SparkSession, path: str) -> list[str]:
-    """Child names that repeat in at least one file; without any, the root names. Files are scanned in parallel."""
+    """Child names that repeat in at least one file and are more than text; without any, the root names.
+    Files are scanned in parallel."""
     ship(__name__)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     profile = files.mapInPandas(_profile, "root string, tag string, n long")

@@ -205,6 +205,9 @@ tasks:
     assert runlog.messages(log, "WARN").filter("message like '%is empty%'").count() == 1
     assert values(runlog.run_status(report.jobs()), "status") == [("PARTIAL",)]
     assert runlog.messages(log, "ERROR").filter("job = 'none'").count() == 1
+    assert values(report.steps().groupBy("job", "type", "status").count()) == [
+        ("chain", "INSERT", "SUCCESS", 2), ("chain", "TRIM", "SUCCESS", 2), ("j", "INSERT", "SUCCESS", 1)]
+    assert report.counters().filter("counter = 'inserted'").count() == 3 and report.tasks().count() == 3
     assert values(runlog.run_totals(report.jobs()), "total_jobs", "failed_jobs", "total_processed") == [(3, 1, 5)]
 
 

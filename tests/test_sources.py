@@ -144,6 +144,12 @@ def test_xml_without_repeats_is_one_row(spark, tmp_path):
     assert values(xmlrows.read_xml(spark, str(tmp_path)), "a", "b") == [(1, "x")]
 
 
+def test_repeated_text_is_a_list_of_the_root_row(spark, tmp_path):
+    put(tmp_path, "list.xml", "<doc><t>a</t><t>b</t><n>1</n></doc>")
+    row, = xmlrows.read_xml(spark, str(tmp_path)).collect()
+    assert (row["t"], row["n"]) == (["a", "b"], 1)
+
+
 def test_xml_several_repeated_names(spark, tmp_path):
     put(tmp_path, "two.xml", "<d><p><x>1</x></p><p><x>2</x></p><q><y>3</y></q><q><y>4</y></q></d>")
     assert values(xmlrows.read_xml(spark, str(tmp_path)), "x", "y") == [(None, 3), (None, 4), (1, None), (2, None)]
