@@ -14,6 +14,8 @@ where something is written: clearing, loading, reference checks with their log,
 from __future__ import annotations
 
 import datetime as dt
+import re
+import threading
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -86,8 +88,6 @@ def selected(specs: Iterable[dict], names: Iterable[str] = ()) -> list[dict]:
 
 def ingest_day(file_name: str, today: dt.date | None = None) -> dt.date:
     """First date in a file name, else today. The column form is ``functions.files.ingest_date``."""
-    import re
-
     found = re.search(DATE, file_name.rsplit("/", 1)[-1], flags=re.ASCII)
     try:
         return dt.date.fromisoformat(found.group()) if found else today or dt.date.today()
@@ -162,12 +162,24 @@ class JobRun:
         return f"{schema}.{name}" if schema else name
 
 
-def observed(observation: Observation) -> dict:
-    """Counters of an observation whose action has finished; a plan reduced to nothing has none."""
-    try:
-        return observation.get
-    except Exception:  # noqa: BLE001 - an empty relation reports an empty row
-        return {}
+def observed(observation: Observation, patience: float = 60.0) -> dict:
+    """Counters of an observation whose action has finished.
+
+    A plan reduced to nothing has none, and neither has a frame a custom step threw away; waiting for that one
+    would never end.
+    """
+    found: dict = {}
+
+    def ask() -> None:
+        try:
+            found.update(observation.get)
+        except Exception:  # noqa: BLE001 - an empty relation reports an empty row
+            pass
+
+    waiter = threading.Thread(target=ask, daemon=True)
+    waiter.start()
+    waiter.join(patience)
+    return dict(found)
 
 
 def fit(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:

@@ -75,9 +75,9 @@ def lookup_load_job(name: str, dataset: str, table: str, column: str, reference:
         step("load", "INSERT", tableName=table, autoMap=False, mappings=renames(columns))], **extra)
 
 
-def new_rows_job(name: str, dataset: str, table: str, columns: Mapping[str, str] | None = None, **extra) -> dict:
+def new_rows_job(name: str, dataset: str, table: str, columns: Mapping[str, str] | None = None, trim: bool = True, **extra) -> dict:
     """Only ids the table does not hold yet are added."""
-    return job(name, dataset, [step("trim", "TRIM")], [
+    return job(name, dataset, [step("trim", "TRIM")] if trim else [], [
         step("load", "INSERT", tableName=table, autoMap=True, skipExisting=True, idColumn="ID", mappings=renames(columns or {}))], **extra)
 
 

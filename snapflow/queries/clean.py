@@ -44,13 +44,14 @@ def b3(spark, sf):
 
 
 @query("B4_deduplicate", """
-    SELECT event_id, k AS user_key, event_type FROM (
+    SELECT event_id, CAST(k AS VARCHAR) AS user_key, event_type FROM (
       SELECT *, row_number() OVER (PARTITION BY k ORDER BY event_id) AS rn FROM (
         SELECT event_id, event_type, CASE WHEN user_id % 10 <> 0 THEN user_id END AS k FROM events)) WHERE rn = 1""")
 def b4(spark, sf):
     keyed = table(spark, sf, "events").select(
         "event_id", F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_key"), "event_type")
-    return clean.deduplicate(keyed, "user_key", order_by=["event_id"]).rows
+    first = clean.deduplicate(keyed, "user_key", order_by=["event_id"]).rows
+    return first.withColumn("user_key", F.col("user_key").cast("string"))
 
 
 @query("B5_filter_null", """

@@ -95,13 +95,14 @@ _LINKED = """
 
 @query("C14_link_parent_edges", _LINKED + f"""
     SELECT CASE l.f WHEN 'A' THEN 'LINE_ORDER' ELSE 'LINE_PART' END AS relation_table, id AS "ID_1", pid AS "ID_2",
-           TIMESTAMP '{DAY}' AS "TIMESTAMP", CASE l.f WHEN 'N' THEN 1 END AS "SIMILARITY"
+           TIMESTAMP '{DAY}' AS "TIMESTAMP", CASE l.f WHEN 'N' THEN '1' END AS "SIMILARITY"
     FROM lines l JOIN parents p ON l.f = p.f AND l.parent = p.pid""")
 def c14(spark, sf):
     links = line_links(spark, sf)
     orders = link.edges(links, RULES, "LINE_ORDER", DAY)[0].withColumn("relation_table", F.lit("LINE_ORDER"))
     parts = link.edges(links, RULES, "LINE_PART", DAY)[0].withColumn("relation_table", F.lit("LINE_PART"))
-    return orders.unionByName(parts, allowMissingColumns=True)
+    both = orders.unionByName(parts, allowMissingColumns=True)
+    return both.withColumn("SIMILARITY", F.col("SIMILARITY").cast("string"))
 
 
 @query("C15_missing_parent_log", _LINKED + f"""

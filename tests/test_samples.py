@@ -1,0 +1,60 @@
+import datetime as dt
+
+import pytest
+from conftest import values
+
+from snapflow.operators import snapshot
+from snapflow.plans import job, samples
+
+DAY, TS = "2026-03-02", dt.datetime(2026, 3, 2)
+BY_NAME = {s["name"]: s for s in samples.specs()}
+
+
+def kinds(spec):
+    return [s.type for t in job.bind(spec) for s in t.steps]
+
+
+def test_there_are_25_and_all_bind():
+    assert len(BY_NAME) == 25 and all(kinds(s) for s in BY_NAME.values())
+
+
+@pytest.mark.parametrize("name, checks, rules", [
+    ("action-import", 2, 1), ("audit-report-import", 0, 0), ("business-entity-import", 7, 0), ("control-import", 2, 3), ("control-objective-import", 3, 1),
+    ("event-import", 5, 1), ("issue-import", 3, 4), ("itrmp-import", 1, 0), ("minimum-standard-import", 2, 1), ("policy-import", 1, 1),
+    ("process-import", 3, 0), ("product-import", 2, 0), ("risk-import", 2, 4), ("subprocess-import", 1, 1), ("test-plan-import", 1, 1), ("test-result-import", 2, 1)])
+def test_checks_and_links(name, checks, rules):
+    steps = [s for t in job.bind(BY_NAME[name]) for s in t.steps]
+    assert sum(s.type == "VALIDATE_REFERENCE" for s in steps) == checks
+    assert sum(len(s.params["rules"]) for s in steps if s.type == "LINK_PARENT") == rules
+
+
+def test_other_shapes():
+    assert kinds(BY_NAME["employee-import"]) == ["TRIM", "UPPERCASE", "TRUNCATE", "INSERT"]
+    assert kinds(BY_NAME["scopetesting-import"]) == ["TRIM", "FILTER_NULL", "TRUNCATE", "INSERT"]
+    assert kinds(BY_NAME["contracts-import"]) == ["TRIM", "LOOKUP", "TRUNCATE", "INSERT"]
+    assert kinds(BY_NAME["orx-import"]) == ["TRIM", "INSERT"] and kinds(BY_NAME["thirdparties-import"]) == ["INSERT"]
+    assert BY_NAME["valuechain-import"]["processAllSheets"] and kinds(BY_NAME["valuechain-import"]) == ["TRIM", "INSERT"]
+    link = job.bind(BY_NAME["issue-import"])[1].steps[-1].params["rules"]
+    assert link[0] == {"parentType": "SOXRisk", "checkTable": "RISK", "relationTable": "ISSUES_RISK", "parentEntityType": "Risk", "extraColumns": {"SIMILARITY": 1}}
+    assert link[2] == {"parentType": "Service", "checkTable": "AUDITREPORT", "relationTable": "ISSUES_AUDITREPORT", "parentEntityType": "Audit report"}
+
+
+def test_regulation_then_policy(spark, table):
+    """Two linked entities: the child's parent must have been loaded the same day."""
+    for name in ("REGULATION", "POLICY"):
+        table("ID STRING, NAME STRING, DESCRIPTION STRING, DOMAIN_OWNER STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP", name=name)
+    table("ID_1 STRING, ID_2 STRING, TIMESTAMP TIMESTAMP", name="POLICY_REGULATION")
+    table("WHERE_A STRING, A STRING, WHERE_B STRING, B STRING, CAUSE STRING, ACTION STRING, TIMESTAMP TIMESTAMP", name="ETL_LOG")
+    table("ID STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP", name="HR")
+    snapshot.append(spark, "HR", spark.createDataFrame([("N1", TS)], "ID string, TIMESTAMP timestamp"))
+    regulations = spark.createDataFrame([("/x", "R1", "Rule one", "d", 0)], "Folder_Path string, Identifier string, Regulation_Name string, Regulation_Description string, _row long")
+    policies = spark.createDataFrame(
+        [("/p", "P1", "One", "d", "N1", "/x", "R1", "Mandate", 0), ("/p", "P2", "Two", None, "N9", "/x", "R2", "Mandate", 1)],
+        "Folder_Path string, Identifier string, Policy_Name string, Policy_Description string, Domain_Owner string, Parent_Path string, "
+        "Parent_Objects string, Parent_Object_Types string, _row long")
+    batches = {"regulation-import": regulations, "policy-import": policies}
+    report = job.run_jobs(spark, samples.specs(), lambda s: (batches[s["name"]], DAY, "f"), names=batches)
+    assert values(report.jobs(), "job", "status", "processed") == [("policy-import", "SUCCESS", 2), ("regulation-import", "SUCCESS", 1)]
+    assert values(spark.table("POLICY"), "ID", "NAME", "DOMAIN_OWNER") == [("/p/P1", "One", "N1"), ("/p/P2", "Two", "")]
+    assert values(spark.table("POLICY_REGULATION")) == [("/p/P1", "/x/R1", TS)]
+    assert values(spark.table("ETL_LOG"), "WHERE_A", "A", "CAUSE") == [("Regulation", "/x/R2", "Unknown"), ("Unknown", "Domain_Owner", "/p/P2")]
