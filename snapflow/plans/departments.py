@@ -76,7 +76,7 @@ def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHA
         top *= 2
     chains = known.groupBy("start", "node").agg(F.min("depth").alias("depth"))
     wanted = starts.select("start").filter("start IS NOT NULL").distinct()
-    alone = wanted.join(nodes, F.col("start") == F.col("node"), "left_anti")
+    alone = wanted.join(known.filter("depth = 0").select("start"), "start", "left_anti")
     return chains.join(wanted, "start", "left_semi").unionByName(
         alone.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
 

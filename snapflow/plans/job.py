@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import threading
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -27,7 +26,7 @@ from snapflow.functions.files import DATE
 from snapflow.operators import clean, link, load, mapping, reference, snapshot
 from snapflow.plans import directory, runlog
 from snapflow.result import StepResult
-from snapflow.session import discard, settled, small_frame
+from snapflow.session import discard, observed, settled, small_frame
 
 TASK_TYPES = ("TRANSFORMATION", "PERSISTENCE")
 DEFAULT_TABLE = "ingesta_data"
@@ -162,26 +161,6 @@ class JobRun:
         return f"{schema}.{name}" if schema else name
 
 
-def observed(observation: Observation, patience: float = 60.0) -> dict:
-    """Counters of an observation whose action has finished.
-
-    A plan reduced to nothing has none, and neither has a frame a custom step threw away; waiting for that one
-    would never end.
-    """
-    found: dict = {}
-
-    def ask() -> None:
-        try:
-            found.update(observation.get)
-        except Exception:  # noqa: BLE001 - an empty relation reports an empty row
-            pass
-
-    waiter = threading.Thread(target=ask, daemon=True)
-    waiter.start()
-    waiter.join(patience)
-    return dict(found)
-
-
 def fit(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
     return mapping.conform(rows, spark.table(table).schema)
 

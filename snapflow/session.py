@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -84,3 +85,23 @@ def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
     table = pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
     return spark.createDataFrame(table, schema)
+
+
+def observed(observation: Observation, patience: float = 60.0) -> dict:
+    """Counters of an observation whose action has finished.
+
+    A plan reduced to nothing has none, and neither has a frame a custom step threw away; waiting for that one
+    would never end.
+    """
+    found: dict = {}
+
+    def ask() -> None:
+        try:
+            found.update(observation.get)
+        except Exception:  # noqa: BLE001 - an empty relation reports an empty row
+            pass
+
+    waiter = threading.Thread(target=ask, daemon=True)
+    waiter.start()
+    waiter.join(patience)
+    return dict(found)
