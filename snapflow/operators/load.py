@@ -132,6 +132,19 @@ def updated_rows(current: DataFrame, batch: DataFrame, id_column: str = "ID",
         else F.col(f"`{c}`") for c in current.columns])
 
 
+def touched_partitions(current: DataFrame, batch: DataFrame, id_column: str, partitions: Sequence[str]) -> DataFrame:
+    """Rows of every partition that holds an id of the batch. NULL partition values count like any other."""
+    held = held_keys(current, batch, id_column).select(*[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(partitions)]).distinct()
+    same = reduce(Column.__and__, [F.col(f"`{p}`").eqNullSafe(F.col(f"_p{i}")) for i, p in enumerate(partitions)])
+    return current.join(held, same, "left_semi")
+
+
+def held_keys(current: DataFrame, batch: DataFrame, id_column: str) -> DataFrame:
+    """Table rows whose id is in the batch."""
+    table_id = resolve(current, id_column)
+    return probe(current, text_ids(batch, resolve(batch, id_column)), _text_id(current, table_id), "_id", "left_semi")
+
+
 def upsert(current: DataFrame, batch: DataFrame, id_column: str = "ID", order_by: Sequence[str] = ("_row",)) -> DataFrame:
     """Existing ids updated, new ids inserted, null ids dropped."""
     fresh = new_rows(batch, current, resolve(batch, id_column), id_column)

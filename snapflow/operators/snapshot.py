@@ -55,8 +55,7 @@ def replace_day(current: DataFrame, batch: DataFrame, ts_column: str, day: dt.da
 
 
 def is_partitioned_by(spark: SparkSession, table: str, column: str) -> bool:
-    parts = [c.name.lower() for c in spark.catalog.listColumns(table) if c.isPartition]
-    return parts == [column.lower()]
+    return [c.lower() for c in partition_columns(spark, table)] == [column.lower()]
 
 
 def clear_day(spark: SparkSession, table: str, ts_column: str, day: dt.date | str) -> None:
@@ -69,10 +68,20 @@ def clear_day(spark: SparkSession, table: str, ts_column: str, day: dt.date | st
     replace_all(spark, table, kept)
 
 
+def _overwrite(spark: SparkSession, table: str, rows: DataFrame, mode: str) -> None:
+    """Overwrite the whole table (``static``) or the partitions in ``rows`` (``dynamic``), whatever the session says."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        rows.select(*[f"`{c}`" for c in spark.table(table).columns]).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def clear_all(spark: SparkSession, table: str) -> None:
     """Empty a table, managed or external."""
-    nothing = empty_frame(spark, spark.table(table).schema)
-    nothing.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    _overwrite(spark, table, empty_frame(spark, spark.table(table).schema), "static")
 
 
 def overwrite_day(spark: SparkSession, table: str, batch: DataFrame, ts_column: str, day: dt.date | str) -> None:
@@ -95,10 +104,19 @@ def append(spark: SparkSession, table: str, batch: DataFrame) -> None:
     batch.select(*[f"`{c}`" for c in spark.table(table).columns]).write.insertInto(table)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def replace_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Overwrite the partitions that ``rows`` has, and no others."""
+    scratch: list[str] = []
+    _overwrite(spark, table, settled(rows, scratch), "dynamic")
+    discard(spark, scratch)
+
+
 def replace_all(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Overwrite a table with rows that may be computed from it: settle first, then swap."""
     scratch: list[str] = []
-    stable = settled(rows, scratch)
-    ordered = stable.select(*[f"`{c}`" for c in spark.table(table).columns])
-    ordered.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    _overwrite(spark, table, settled(rows, scratch), "static")
     discard(spark, scratch)  # only after the swap: until then it is the one full copy

@@ -356,8 +356,11 @@ def _insert(run: JobRun, p: dict) -> None:
 
 def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapping.Mapping], order: list[str],
                    id_column: str, inserts: DataFrame) -> int:
-    """Write an upsert and return how many batch rows were updates. Plain files cannot change in place, so a
-    table with updates is rewritten; without any, the new rows are just appended."""
+    """Write an upsert and return how many batch rows were updates.
+
+    Plain files cannot change in place. Where the update leaves the partition columns alone, only the partitions
+    that hold an updated id are rewritten; otherwise the table is. Without updates the new rows are just appended.
+    """
     n = updates.count()
     if n and not any(m.target.upper() == id_column.upper() for m in maps):
         raise ValueError(f"no mapping found for idColumn {id_column}")
@@ -367,8 +370,13 @@ def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapp
         snapshot.append(run.spark, target, inserts)
         return n
     changes = mapping.project(updates, maps, run.day, carry=order)
-    content = load.updated_rows(run.spark.table(target), changes, id_column, order).unionByName(inserts)
-    snapshot.replace_all(run.spark, target, content)
+    current, partitions = run.spark.table(target), snapshot.partition_columns(run.spark, target)
+    if partitions and not {p.upper() for p in partitions} & {m.target.upper() for m in maps}:
+        affected = load.touched_partitions(current, changes, id_column, partitions)
+        snapshot.replace_partitions(run.spark, target, load.updated_rows(affected, changes, id_column, order))
+        snapshot.append(run.spark, target, inserts)
+    else:
+        snapshot.replace_all(run.spark, target, load.updated_rows(current, changes, id_column, order).unionByName(inserts))
     return n
 
 

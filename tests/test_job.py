@@ -117,6 +117,19 @@ def test_skip_existing_and_upsert(spark, table):
     assert spark.table(target).count() == 3
 
 
+def test_upsert_rewrites_only_touched_partitions(spark, table):
+    target = table("ID STRING, NAME STRING, LAND STRING", "LAND")
+    rows = [("1", "a", "ES"), ("2", "b", "ES"), ("3", "c", "FR"), ("4", "d", None)]
+    snapshot.append(spark, target, spark.createDataFrame(rows, "ID string, NAME string, LAND string").coalesce(1))
+    files = lambda: set(spark.table(target).inputFiles())
+    before = files()
+    batch = spark.createDataFrame([("2", "B", 0), ("4", "D", 1), ("9", "new", 2)], "Id string, Name string, _row long")
+    result = job.run_job(spark, spec(insert(target, upsertMode=True)), batch, DAY)
+    assert result.status == "SUCCESS", messages(result, "ERROR")
+    assert values(spark.table(target)) == [("1", "a", "ES"), ("2", "B", "ES"), ("3", "c", "FR"), ("4", "D", None), ("9", "new", None)]
+    assert [f for f in before if "LAND=FR" in f][0] in files() and not any("LAND=ES" in f and f in before for f in files())
+
+
 def test_upsert_needs_the_id_mapped(spark, table):
     target = table("ID STRING, NAME STRING")
     snapshot.append(spark, target, spark.createDataFrame([("1", "a")], "ID string, NAME string"))

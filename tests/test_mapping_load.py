@@ -68,6 +68,29 @@ def test_day_partition_overwrite_keeps_other_days(spark, table, kind):
     assert spark.table(name).count() == 0
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_overwrites_do_not_depend_on_the_session(spark, table, mode):
+    name = table("ID STRING, TS DATE", "TS")
+    days = spark.sql("select 'a' as ID, date'2026-03-01' as TS union all select 'b', date'2026-03-02'")
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        snapshot.append(spark, name, days)
+        snapshot.replace_partitions(spark, name, days.filter("ID = 'b'").withColumn("ID", F.lit("c")))
+        assert values(spark.table(name), "ID") == [("a",), ("c",)]
+        snapshot.overwrite_day(spark, name, days.limit(0), "TS", "2026-03-01")
+        assert values(spark.table(name), "ID") == [("c",)]
+        snapshot.replace_all(spark, name, spark.table(name).unionByName(days).filter("ID != 'b'"))
+        assert values(spark.table(name), "ID") == [("a",), ("c",)]
+        snapshot.replace_all(spark, name, days.filter("ID = 'b'"))
+        assert values(spark.table(name), "ID") == [("b",)]
+        snapshot.clear_all(spark, name)
+        assert spark.table(name).count() == 0 and spark.conf.get(setting) == mode
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_clear_day_of_an_unpartitioned_table(spark, table):
     name = table("ID STRING, TS TIMESTAMP")
     snapshot.append(spark, name, spark.createDataFrame([("a", D1), ("b", D2), ("n", None)], "ID string, TS timestamp"))
