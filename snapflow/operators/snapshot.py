@@ -93,7 +93,8 @@ def overwrite_day(spark: SparkSession, table: str, batch: DataFrame, ts_column:
     ts_name = resolve(target, ts_column)
     ts_type = target.schema[ts_name].dataType
     iso = as_date(day).isoformat()
-    literal = f"DATE'{iso}'" if isinstance(ts_type, T.DateType) else f"TIMESTAMP'{iso} 00:00:00'"
+    kind = {T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP_NTZ"}.get(type(ts_type), "TIMESTAMP")
+    literal = f"{kind}'{iso}'"
     rest = [c for c in target.columns if c != ts_name]
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{ts_name}` = {literal}) SELECT * FROM {{batch}}",
               batch=batch.select(*[f"`{c}`" for c in rest]))

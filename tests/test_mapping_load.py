@@ -53,7 +53,7 @@ def test_day_filters_and_replace(spark):
     assert values(snapshot.replace_day(df, empty, "TS", "2026-03-02"), "ID") == [("a",), ("c",)]
 
 
-@pytest.mark.parametrize("kind", ["TIMESTAMP", "DATE"])
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ", "DATE"])
 def test_day_partition_overwrite_keeps_other_days(spark, table, kind):
     name = table(f"ID STRING, TS {kind}", "TS")
     day = lambda i, d: spark.createDataFrame([(i, d)], "ID string, TS timestamp").withColumn("TS", F.col("TS").cast(kind))
