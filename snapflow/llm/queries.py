@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe
+from snapflow.llm import bpe, secrets
 from snapflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op8_secrets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs.select("doc_id", "text"), secrets.train(docs)).select("doc_id", "secrets")
+    of = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+                        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.listed(F.col("secrets")).alias("spans"), of(3).alias("n_markov"))
