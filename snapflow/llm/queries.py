@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, secrets
+from snapflow.llm import bpe, secrets, simhash
 from snapflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
                         F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
                         secrets.listed(F.col("secrets")).alias("spans"), of(3).alias("n_markov"))
+
+
+@query("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
