@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, secrets, simhash
+from snapflow.llm import bpe, secrets, simhash, warc
 from snapflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op4_warc", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
+    w AS (SELECT d, max(page_id) AS winner FROM p WHERE n >= 1000 GROUP BY d)
+    SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> winner THEN winner END AS refers_to
+    FROM p LEFT JOIN w ON p.d = w.d""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.write(warc.decide(pages), warc.fresh_folder(spark))
+    return warc.read(manifest, pages.schema["page_id"].dataType).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
