@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, secrets, simhash, warc
-from snapflow.llm.common import table
+from snapflow.llm import bpe, langid, secrets, simhash, warc
+from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = warc.write(warc.decide(pages), warc.fresh_folder(spark))
     return warc.read(manifest, pages.schema["page_id"].dataType).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_langid")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(fold("doc_id", 5) != 0))
+    return langid.identify(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
