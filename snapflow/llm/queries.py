@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, langid, secrets, simhash, toxicity, warc
+from snapflow.llm import bpe, decontam, langid, secrets, simhash, toxicity, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(fold("doc_id", 4) != 2))
     return toxicity.score(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "stretch", "agreeing", "covered")
