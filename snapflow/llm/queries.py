@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, decontam, langid, secrets, simhash, toxicity, warc
+from snapflow.llm import ann, bpe, decontam, langid, secrets, simhash, toxicity, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", "stretch", "agreeing", "covered")
+
+
+@query("op7_ann")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
