@@ -22,7 +22,7 @@ from snapflow.llm.common import hash_sample
 from snapflow.session import settled
 
 PIVOTS, POST, PROBE = 128, 4, 48
-RERANKED, LEAST_RERANKED = 0.06, 24  # share of what a file holds for a query, and at least so many
+RERANKED, LEAST_RERANKED = 0.06, 48  # share of what a file holds for a query, and at least so many
 SHARD_POSTINGS, BLOCK_QUERIES = 20_000, 2_000
 
 
