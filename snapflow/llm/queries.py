@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, langid, lm, secrets, simhash, toxicity, warc
+from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, secrets, simhash, toxicity, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lm")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
+@query("op5_licenses", licenses.sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(table(spark, sf_dir, "documents"), licenses.known(spark))

@@ -115,14 +115,14 @@ def _ratio(token: Column, table: Column) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda s, p: s + F.coalesce(F.get(table, p), F.lit(0.0)))
 
 
-def find(docs: DataFrame, model: Markov, text_column: str = "text") -> DataFrame:
-    """Add ``secrets``: array<struct<start, kind, end>>, sorted; kind is a place in ``KINDS``, offsets are code points.
+def find(docs: DataFrame, model: Markov, text_column: str = "text", into: str = "secrets") -> DataFrame:
+    """Add ``into``: array<struct<start, kind, end>>, sorted; kind is a place in ``KINDS``, offsets are code points.
 
     Base spans of different kinds may overlap and all stay; a Markov span is added only where it overlaps no base
-    span. A null or empty text has none. Every row is judged by itself; other columns stay, and a column that is
-    already called ``secrets`` is replaced.
+    span. A null or empty text has none. Every row is judged by itself; other columns stay, and a column that already
+    has the name ``into`` is replaced.
     """
-    names = [c for c in docs.columns if c != "secrets"]
+    names = [c for c in docs.columns if c != into]
     own = {c: f"_in{i}" for i, c in enumerate(names)}
     df = docs.select(*[F.col(f"`{c}`").alias(own[c]) for c in names], F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
     for pattern, into in ((ASSIGN, "_assign"), (ACCESS, "_access"), (HEX, "_hex"), (TOKEN, "_token")):
@@ -136,7 +136,7 @@ def find(docs: DataFrame, model: Markov, text_column: str = "text") -> DataFrame
         .withColumn("_odd", F.when(F.col("_token").isNotNull(), odd)))
     free = F.filter("_odd", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     return df.select(*[F.col(own[c]).alias(c) for c in names], F.when(F.col("_odd").isNull(), F.col("_base")).otherwise(
-        F.array_sort(F.concat("_base", _as_spans(free, 3)))).alias("secrets"))
+        F.array_sort(F.concat("_base", _as_spans(free, 3)))).alias(into))
 
 
 def listed(spans: Column) -> Column:
