@@ -35,12 +35,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark, and ``n_chars`` follows."""
-    found = secrets.find(docs, secrets.train(docs)).withColumn("_clean", secrets.redact(F.col("text"), F.col("secrets")))
-    changed = F.size("secrets") > 0
+    spans = "_redacted_spans"
+    found = secrets.find(docs, secrets.train(docs), into=spans).withColumn(f"{spans}_text", secrets.redact(F.col("text"), F.col(spans)))
+    clean, changed = F.col(f"{spans}_text"), F.size(spans) > 0
     return found.select(*[
-        F.col("_clean").alias(c) if c == "text"
-        else F.when(changed, F.length("_clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars"
-        else F.col(f"`{c}`") for c in docs.columns if c != "secrets"])
+        clean.alias(c) if c == "text"
+        else F.when(changed, F.length(clean).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars"
+        else F.col(f"`{c}`") for c in docs.columns])
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
