@@ -77,26 +77,3 @@ def normalize_header(name: str | None) -> str | None:
     plain = "".join(ch for ch in unicodedata.normalize("NFD", name.strip(JAVA_WHITESPACE)) if not "̀" <= ch <= "ͯ")
     words = re.sub(r"([a-z])(?=[A-Z])", r"\1 ", plain)
     return re.sub(r"[^A-Za-z0-9]+", "_", words).strip("_").upper()
-
-
-def normalized(c: Column | str) -> Column:
-    """The same UPPER_SNAKE rule for header names held as data.
-
-    Spark has no Unicode decomposition, so accented Latin letters are folded with ``translate``.
-    """
-    plain = F.translate(_col(c), ACCENTED, FOLDED)
-    spaced = F.regexp_replace(plain, r"([a-z])(?=[A-Z])", "$1 ")
-    snake = F.regexp_replace(F.regexp_replace(spaced, r"[^A-Za-z0-9]+", "_"), r"^_|_$", "")
-    return F.when(has_text(c), F.upper(snake))
-
-
-def _accent_pairs() -> tuple[str, str]:
-    pairs = {}
-    for code in range(0xC0, 0x250):
-        base = [ch for ch in unicodedata.normalize("NFD", chr(code)) if not "̀" <= ch <= "ͯ"]
-        if len(base) == 1 and base[0].isascii():
-            pairs[chr(code)] = base[0]
-    return "".join(pairs), "".join(pairs.values())
-
-
-ACCENTED, FOLDED = _accent_pairs()

@@ -5,6 +5,7 @@ These are pure functions over frames; ``snapshot`` holds the table writers.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping as Map
 from collections.abc import Sequence
 from functools import reduce
@@ -15,9 +16,10 @@ from pyspark.sql import types as T
 
 from snapflow.operators.joins import probe, text_ids
 from snapflow.operators.mapping import conform
-from snapflow.operators.snapshot import resolve
+from snapflow.operators.snapshot import as_date, resolve
 
 REASON = "_reason"
+REASONS = ("type", "null", "length", "key")
 
 
 def limits_of(schema: T.StructType) -> tuple[list[str], dict[str, int]]:
@@ -60,8 +62,9 @@ def mark_rejects(batch: DataFrame, schema: T.StructType, primary_key: Sequence[s
     """Add ``_reason``: why the table would refuse the row, or NULL.
 
     Of several good rows with one primary key, the first in ``order_by`` order wins unless the table already
-    has the key. ``order_by`` must identify a row. The winner per key comes from a partial aggregate, and is
-    joined back on the row identity rather than on the key, so a hot key never gathers its rows in one task.
+    has the key. ``order_by`` may repeat over keys (row numbers of several files) but has to tell apart the rows of one
+    key. The winner per key comes from a partial aggregate, and is joined back on the key with the row identity, so a hot
+    key never gathers its rows in one task.
     """
     declared_required, declared_lengths = limits_of(schema)
     required = declared_required if required is None else required
@@ -69,19 +72,17 @@ def mark_rejects(batch: DataFrame, schema: T.StructType, primary_key: Sequence[s
     marked = batch.withColumn(REASON, _value_reason(batch, schema, [*required, *primary_key], lengths))
     if not primary_key:
         return marked
-    keys = [resolve(batch, c) for c in primary_key]
-    identity = list(order_by)
-    first = F.min(identity[0] if len(identity) == 1 else F.struct(*identity)).alias("_first")
-    winners = marked.filter(F.col(REASON).isNull()).groupBy(*[F.col(k).cast("string").alias(f"_k_{k}") for k in keys]).agg(first)
+    keys = {f"_k{i}": F.col(f"`{resolve(batch, c)}`").cast("string") for i, c in enumerate(primary_key)}
+    identity = F.struct(*[F.col(f"`{c}`") for c in order_by])
+    marked = marked.withColumns(keys).withColumn("_id", identity)
+    winners = marked.filter(F.col(REASON).isNull()).groupBy(*keys).agg(F.min("_id").alias("_id"))
     if existing is not None:
-        held = existing.select(*[F.col(resolve(existing, k)).cast("string").alias(f"_k_{k}") for k in keys])
-        winners = winners.join(held, [f"_k_{k}" for k in keys], "left_anti")
-    winners = winners.select("_first" if len(identity) > 1 else F.col("_first").alias(identity[0]))
-    if len(identity) > 1:
-        winners = winners.select("_first.*")
-    flagged = marked.join(winners.withColumn("_wins", F.lit(True)), identity, "left")
+        held = existing.select(*[F.col(f"`{resolve(existing, c)}`").cast("string").alias(k) for k, c in zip(keys, primary_key)])
+        winners = winners.join(held, list(keys), "left_anti")
+    place = F.struct(*keys, "_id").cast("string")  # differs from what the winners were grouped on: both sides can be split
+    flagged = marked.withColumn("_at", place).join(winners.select(place.alias("_at"), F.lit(True).alias("_wins")), "_at", "left")
     reason = F.coalesce(F.col(REASON), F.when(F.col("_wins").isNull(), F.lit("key")))
-    return flagged.withColumn(REASON, reason).select(*[f"`{c}`" for c in marked.columns])
+    return flagged.withColumn(REASON, reason).select(*[f"`{c}`" for c in batch.columns], REASON)
 
 
 def accepted(marked: DataFrame, schema: T.StructType) -> DataFrame:
@@ -92,6 +93,16 @@ def rejected(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col(REASON).isNotNull())
 
 
+def reject_rows(marked: DataFrame, identity: Sequence[str], job: str, target: str, day: dt.date | str) -> DataFrame:
+    """Refused rows as ``JOB, TABLE_NAME, ROW_KEY, REASON, ROW_VALUES, TIMESTAMP``: where the row came from, why it is
+    refused, and its mapped values as JSON text."""
+    own = [c for c in marked.columns if c not in identity and c != REASON]
+    as_text = lambda columns: F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"})
+    return rejected(marked).select(
+        F.lit(job).alias("JOB"), F.lit(target).alias("TABLE_NAME"), as_text(identity).alias("ROW_KEY"), F.col(REASON).alias("REASON"),
+        as_text(own).alias("ROW_VALUES"), F.lit(as_date(day)).cast("timestamp").alias("TIMESTAMP"))
+
+
 def _text_id(df: DataFrame, column: str) -> Column:
     return F.col(f"`{resolve(df, column)}`").cast("string")
 

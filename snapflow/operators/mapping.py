@@ -14,6 +14,8 @@ from snapflow.functions.text import concat_nonblank, normalize_header
 from snapflow.operators.clean import value_of
 from snapflow.operators.snapshot import as_date
 
+DEFAULT = "CURRENT_DEFAULT"  # where a table's schema keeps a column's default, as SQL
+
 
 @dataclass(frozen=True)
 class Mapping:
@@ -42,7 +44,7 @@ class MappingPlan:
         if self.unmatched_headers:
             out.append(f"headers without a table column, ignored: {self.unmatched_headers}")
         if self.unmapped_columns:
-            out.append(f"table columns without a mapping, left NULL: {self.unmapped_columns}")
+            out.append(f"table columns without a mapping, left at their default: {self.unmapped_columns}")
         return out
 
 
@@ -92,12 +94,12 @@ def project(df: DataFrame, mappings: Sequence[Mapping], day: dt.date | str, carr
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bring mapped columns to a table's columns, order and types; unmapped columns become NULL.
+    """Bring mapped columns to a table's columns, order and types; an unmapped column gets its DEFAULT, else NULL.
     A value that does not convert becomes NULL too, so call it after bad rows are split off."""
     have = {c.upper(): c for c in df.columns}
     return df.select(*[
         (F.col(f"`{have[f.name.upper()]}`").try_cast(f.dataType) if f.name.upper() in have
-         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+         else F.expr(f.metadata.get(DEFAULT, "NULL")).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def source_of_column(target: str, mappings: Sequence[Mapping]) -> str:

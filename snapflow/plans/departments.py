@@ -18,7 +18,6 @@ DOMAIN_LEAD_ROLES = [
     "COO_DomainLead", "RB_DomainLead", "HR_DomainLead", "WB_DomainLead",
     "CFO_DomainLead", "CRO_DomainLead", "CIO_DomainLead",
 ]
-MAX_CHAIN = 50  # nodes per chain, the start included
 
 
 def domain_leads(roles_assignation: DataFrame, roles: DataFrame, hr: DataFrame, day: dt.date | str) -> DataFrame:
@@ -51,58 +50,70 @@ def manager_edges(hr: DataFrame, day: dt.date | str) -> DataFrame:
     return edges.select("node", F.when(has_text("parent"), F.col("parent")).alias("parent"))
 
 
-def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int = MAX_CHAIN, scratch: list[str] | None = None) -> DataFrame:
+def manager_chains(starts: DataFrame, edges: DataFrame, max_nodes: int | None = None, scratch: list[str] | None = None) -> DataFrame:
     """``(start, node, depth)``: every start with its managers up the tree, itself at depth 0.
 
-    A chain ends at a missing or unknown manager, at a node seen before, or after ``max_nodes`` nodes.
+    A chain ends at a missing or unknown manager or at a node seen before, however long it is; ``max_nodes`` cuts it
+    earlier if given.
 
-    The reach nearly doubles each round: the last known node of a chain is joined with that node's own chain,
-    so 50 levels take six joins. A round writes only the rows it adds, and only chains still growing take part.
+    Only the wanted starts are followed. Jump pointers double each round: a pointer of round k leads 2**k levels up,
+    one row per person, and moves every known node of a chain that many levels at once, so 50 levels take six joins.
+    The work ends with the round that adds no new node to any chain, which also ends cycles.
     """
-    parents = edges.filter("parent IS NOT NULL")
-    nodes = edges.select("node").unionByName(parents.select(F.col("parent").alias("node"))).distinct()
-    first = nodes.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")).unionByName(
-        parents.select(F.col("node").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("depth")))
-    known = settled(first, scratch)
-    newest, top = known, 1
-    while top < max_nodes - 1:
-        tails = newest.filter(F.col("depth") == top).select("start", F.col("node").alias("target"))
-        if tails.isEmpty():
-            break
-        above = known.filter("depth > 0").select(F.col("start").alias("target"), "node", F.col("depth").alias("further"))
-        newest = settled(tails.join(above, "target").select("start", "node", (F.col("further") + top).alias("depth"))
-                         .filter(F.col("depth") < max_nodes), scratch)
-        known = known.unionByName(newest)
-        top *= 2
-    chains = known.groupBy("start", "node").agg(F.min("depth").alias("depth"))
+    mine: list[str] = [] if scratch is None else scratch
     wanted = starts.select("start").filter("start IS NOT NULL").distinct()
-    alone = wanted.join(known.filter("depth = 0").select("start"), "start", "left_anti")
-    return chains.join(wanted, "start", "left_semi").unionByName(
-        alone.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")))
+    known = settled(wanted.select("start", F.col("start").alias("node"), F.lit(0).alias("depth")), mine)
+    jumps, reach = edges.filter("parent IS NOT NULL").select("node", "parent"), 1
+    while max_nodes is None or reach < max_nodes:
+        above = jumps.select(F.col("node").alias("_below"), "parent")
+        moved = probe(known, above, F.col("node"), "_below").filter("parent IS NOT NULL").select(
+            "start", F.col("parent").alias("node"), (F.col("depth") + reach).alias("depth"))
+        fresh = moved.groupBy("start", "node").agg(F.min("depth").alias("depth")).join(
+            known.select("start", "node"), ["start", "node"], "left_anti")
+        if max_nodes is not None:
+            fresh = fresh.filter(F.col("depth") < max_nodes)
+        fresh = settled(fresh, mine)
+        if fresh.isEmpty():
+            break
+        known, reach = known.unionByName(fresh), 2 * reach
+        beyond = jumps.select(F.col("node").alias("_below"), F.col("parent").alias("_next"))
+        jumps = settled(probe(jumps, beyond, F.col("parent"), "_below").filter("_next IS NOT NULL").select("node", F.col("_next").alias("parent")), mine)
+    if scratch is None:
+        known = settled(known)
+        discard(edges.sparkSession, mine)
+    return known
 
 
-def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int = MAX_CHAIN, scratch: list[str] | None = None) -> DataFrame:
-    """``(node, role, depth)``: nearest lead at or above each person, within ``max_nodes`` nodes.
+def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int | None = None, scratch: list[str] | None = None) -> DataFrame:
+    """``(node, role, depth)``: nearest lead at or above each person; within ``max_nodes`` nodes, if given.
 
     The answer of a person without a lead of their own is the answer of their manager, so pointers double:
     after round k a person has looked 2**k levels up, and 50 levels take six joins. Only people still looking
-    are joined and written again; a cycle only walks in a circle, which cannot change the nearest lead.
+    are joined and written again. Who has looked further up than there are people still looking is in a cycle
+    without a lead, or below one, and has none.
     """
+    mine: list[str] = [] if scratch is None else scratch
     looking = F.col("role").isNull() & F.col("pointer").isNotNull()
     state = settled(probe(edges, leads.select("ck", "role"), F.col("node"), "ck").select(
         "node", F.when(F.col("role").isNull(), F.col("parent")).alias("pointer"), F.lit(1).alias("hops"),
-        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")), scratch)
+        "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")), mine)
     done, active, looked = state.filter(~looking), state.filter(looking), 1
-    while looked < max_nodes and not active.isEmpty():
+    while looked <= active.count() and (max_nodes is None or looked < max_nodes):
         above = done.unionByName(active).select(
             F.col("node").alias("_above"), F.struct("pointer", "hops", "role", "depth").alias("_up"))
         moved = settled(probe(active, above, F.col("pointer"), "_above").select(
             "node", F.when(F.col("_up.role").isNull(), F.col("_up.pointer")).alias("pointer"),
             (F.col("hops") + F.coalesce("_up.hops", F.lit(0))).alias("hops"),
-            F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")), scratch)
+            F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")), mine)
         done, active = done.unionByName(moved.filter(~looking)), moved.filter(looking)
         looked *= 2
-    return done.filter(F.col("role").isNotNull() & (F.col("depth") < max_nodes)).select("node", "role", "depth")
+    found = done.filter(F.col("role").isNotNull()).select("node", "role", "depth")
+    if max_nodes is not None:
+        found = found.filter(F.col("depth") < max_nodes)
+    if scratch is None:
+        found = settled(found)
+        discard(edges.sparkSession, mine)
+    return found
 
 
 def classify(new_staff: DataFrame, nearest: DataFrame) -> DataFrame:
@@ -119,8 +130,9 @@ def update_departments(hr: DataFrame, departments: DataFrame, roles: DataFrame,
                        day: dt.date | str, null_aware: bool = True, scratch: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows to append to the department table, and the counts (processed, inserted) as a one-row frame."""
     staff = settled(new_departments(hr, departments, day, null_aware), scratch)
-    leads = domain_leads(roles_assignation, roles, hr, day)
-    inserts = settled(classify(staff, nearest_leads(manager_edges(hr, day), leads, scratch=scratch)), scratch)
+    leads, rounds = domain_leads(roles_assignation, roles, hr, day), []
+    inserts = settled(classify(staff, nearest_leads(manager_edges(hr, day), leads, scratch=rounds)), scratch)
+    discard(hr.sparkSession, rounds)
     counts = staff.select(F.count_distinct("department").alias("departments_processed")).withColumn(
         "departments_inserted", inserts.select(F.count(F.lit(1))).scalar())
     return inserts, counts

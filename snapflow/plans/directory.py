@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.text import clean_attr, extract_cn, jtrim
 from snapflow.operators.snapshot import as_date, overwrite_day
+from snapflow.session import settled
 
 # Person column -> directory attribute.
 ATTRIBUTES = {
@@ -48,12 +49,15 @@ def map_attributes(entries: DataFrame) -> DataFrame:
     return entries.select(*[F.try_element_at("attributes", F.lit(a)).cast("string").alias(c) for c, a in ATTRIBUTES.items()])
 
 
-def union_extracts(sources: Mapping[str, Callable[[], DataFrame]]) -> Extract:
-    """Concatenate the extracts, duplicates kept. A source that cannot be analysed contributes nothing."""
+def union_extracts(sources: Mapping[str, Callable[[], DataFrame]], scratch: list[str] | None = None) -> Extract:
+    """Concatenate the extracts, duplicates kept. A source that cannot be planned or read contributes nothing.
+
+    Each extract is read and written by itself, so a file that turns out unreadable fails its own extract only.
+    """
     frames, failures = [], {}
     for name, read in sources.items():
         try:
-            frames.append(read().select(*ATTRIBUTES))
+            frames.append(settled(read().select(*ATTRIBUTES), scratch))
         except Exception as e:  # noqa: BLE001 - one broken source must not stop the others
             failures[name] = f"{type(e).__name__}: {e}"
     return Extract(reduce(DataFrame.unionByName, frames) if frames else None, failures)

@@ -29,8 +29,8 @@ from snapflow.result import StepResult
 from snapflow.session import discard, observed, settled, small_frame
 
 TASK_TYPES = ("TRANSFORMATION", "PERSISTENCE")
-DEFAULT_TABLE = "ingesta_data"
-SOURCE_COLUMNS = ("_file", "_sheet_index", "_sheet", "_row", "_path")
+DEFAULT_TABLE = "snapshot_rows"
+SOURCE_COLUMNS = ("_file", "_sheet_index", "_sheet", "_row", "_path", "_uid")
 KEY_PROPERTY = "snapflow.primaryKey"
 
 
@@ -146,7 +146,8 @@ class JobRun:
         """Compute the batch once, write the reject log that came with it, report its counters."""
         if not self.lazy:
             return
-        frame = settled(self.rows, self.scratch)
+        # The written id tells rows apart where file and row number repeat; it is as stable as the file it sits in.
+        frame = settled(self.rows.withColumn("_uid", F.monotonically_increasing_id()), self.scratch)
         self.read_counters()
         for log_table in dict.fromkeys(t for t, _ in self.pending_logs if t):
             columns = [c for t, c in self.pending_logs if t == log_table]
@@ -210,7 +211,7 @@ def _deduplicate(run: JobRun, p: dict) -> None:
         def report(r: JobRun, c: dict) -> None:
             kept = c.get("rows", 0)
             r.count("removed", before.get("rows", 0) - kept)
-            r.say("INFO", f"Deduplicated on '{p['keyColumn']}': removed {before.get('rows', 0) - kept} duplicates, {kept} remaining")
+            r.say("INFO", f"{p['keyColumn']}: {kept} distinct rows kept, {before.get('rows', 0) - kept} repeats dropped")
         run.watch(result.counters["out"], report)
 
 
@@ -222,7 +223,7 @@ def _filter_null(run: JobRun, p: dict) -> None:
         def report(r: JobRun, c: dict) -> None:
             removed = c.get("rows", 0) - c.get("kept", 0)
             r.count("removed", removed)
-            r.say("INFO", f"Filtered on '{p['column']}': removed {removed} null/blank rows, {c.get('kept', 0)} remaining")
+            r.say("INFO", f"{p['column']}: {c.get('kept', 0)} rows have a value, {removed} without one dropped")
         run.watch(result.counters["filter"], report)
 
 
@@ -241,8 +242,7 @@ def _lookup(run: JobRun, p: dict) -> None:
             hit, total = c.get("resolved", 0), c.get("rows", 0)
             r.count("resolved", hit)
             r.count("nulled", total - hit)
-            r.say("SUMMARY", f"LOOKUP '{p['sourceColumn']}' -> '{p['targetColumn']}' via {name}: "
-                             f"{hit} resolved, {total - hit} set to null")
+            r.say("SUMMARY", f"{p['targetColumn']} from {name} by {p['sourceColumn']}: {hit} found, {total - hit} emptied")
         run.watch(result.counters["lookup"], report)
 
 
@@ -259,13 +259,13 @@ def _truncate(run: JobRun, p: dict) -> None:
         snapshot.clear_day(run.spark, target, ts, run.day)
     else:
         snapshot.clear_all(run.spark, target)
-    run.say("INFO", f"Table '{target}' truncated" + (f" for {run.day}" if ts else ""))
+    run.say("INFO", f"emptied {target}" + (f" of {run.day}" if ts else ""))
 
 
 @step("SELECT", "PERSISTENCE")
 def _select(run: JobRun, p: dict) -> None:
     reference.check_query(run.spark, p.get("query", "SELECT 1"))
-    run.say("INFO", "Check completed")
+    run.say("INFO", "check query ran")
 
 
 @step("VALIDATE_REFERENCE", "PERSISTENCE")
@@ -286,7 +286,7 @@ def _validate(run: JobRun, p: dict) -> None:
     def report(r: JobRun, c: dict) -> None:
         r.count("processed", c.get("rows", 0))
         r.count("cleared", c.get("cleared", 0))
-        r.say("SUMMARY", f"VALIDATE_REFERENCE '{field_column}' -> '{name}': {c.get('cleared', 0)} invalid values cleared")
+        r.say("SUMMARY", f"{field_column} against {name}: {c.get('cleared', 0)} unknown values emptied")
     run.watch(counts, report)
 
 
@@ -328,13 +328,19 @@ def _insert(run: JobRun, p: dict) -> None:
         if upserting:
             updates = load.held_rows(keyed, current, "_id_text", id_column).drop("_id_text")
     if not maps:
-        run.say("SUMMARY", "Inserted 0 records (0 columns mapped)")
+        run.say("SUMMARY", f"nothing for {target}: no column has a mapping")
         return
-    order = [c for c in run.order_by if c in rows.columns] or list(run.order_by)
+    order = [c for c in (*run.order_by, "_uid") if c in rows.columns] or list(run.order_by)
     projected = mapping.project(rows, maps, run.day, carry=order)
-    marked = load.mark_rejects(projected, schema, key, order, existing=run.spark.table(target) if key else None)
+    required = [*load.limits_of(schema)[0], *p.get("requiredColumns", [])]  # plain file tables do not keep NOT NULL
+    marked = load.mark_rejects(projected, schema, key, order, existing=run.spark.table(target) if key else None, required=required)
     counts = Observation()
-    marked = marked.observe(counts, F.count_if(F.col(load.REASON).isNull()).alias("ok"), F.count(load.REASON).alias("bad"))
+    marked = marked.observe(counts, F.count_if(F.col(load.REASON).isNull()).alias("ok"), F.count(load.REASON).alias("bad"),
+                            *[F.count_if(F.col(load.REASON) == r).alias(r) for r in load.REASONS])
+    if p.get("rejectTable"):  # good and refused rows are both written: decide once
+        marked = settled(marked, run.scratch)
+        rejects = run.table(p["rejectTable"], p.get("schema"))
+        snapshot.append(run.spark, rejects, fit(run.spark, rejects, load.reject_rows(marked, order, run.name, target, run.day)))
     good = load.accepted(marked, schema)
     if updates is not None:
         updated = _apply_updates(run, target, updates, maps, order, id_column, good)
@@ -346,12 +352,15 @@ def _insert(run: JobRun, p: dict) -> None:
     ok, bad = seen.get("ok", 0), seen.get("bad", 0)
     run.count("inserted", ok)
     run.count("failed", bad)
+    for reason in load.REASONS:
+        if seen.get(reason):
+            run.count(f"failed_{reason}", seen[reason])
     run.count("updated", updated)
     run.processed += ok + updated
     run.failed += bad
     if bad:
-        run.say("WARN", f"{bad} row(s) rejected by the table's rules")
-    run.say("SUMMARY", f"Inserted {ok}" + (f" ({bad} failed)" if bad else "") + f", updated {updated} records ({len(maps)} columns mapped)")
+        run.say("WARN", f"{target} refuses {bad} rows: " + ", ".join(f"{seen[r]} by {r}" for r in load.REASONS if seen.get(r)))
+    run.say("SUMMARY", f"{target}, {len(maps)} columns: {ok} rows added, {updated} changed, {bad} refused")
 
 
 def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapping.Mapping], order: list[str],
@@ -363,9 +372,9 @@ def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapp
     """
     n = updates.count()
     if n and not any(m.target.upper() == id_column.upper() for m in maps):
-        raise ValueError(f"no mapping found for idColumn {id_column}")
+        raise ValueError(f"{id_column} identifies rows but nothing is mapped to it")
     if n and len(maps) == 1:
-        run.say("WARN", f"no columns to update (only {id_column} is mapped)")
+        run.say("WARN", f"{id_column} is the one mapped column, so rows keep their values")
     if n == 0 or len(maps) == 1:
         snapshot.append(run.spark, target, inserts)
         return n
@@ -408,7 +417,7 @@ def _link(run: JobRun, p: dict) -> None:
     c = {"linked": 0, "missing": 0, "unknown": 0, **observed(counts)}
     for counter in ("linked", "missing", "unknown"):
         run.count(counter, c[counter])
-    run.say("SUMMARY", f"LINK_PARENT: {c['linked']} linked, {c['missing']} parent not found, {c['unknown']} unknown parentType")
+    run.say("SUMMARY", f"parents: {c['linked']} linked, {c['missing']} absent, {c['unknown']} of a type without rule")
 
 
 # ---------------------------------------------------------------- one job
@@ -440,7 +449,7 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
     ahead = [s.type for t in tasks for s in t.steps]
     for task in tasks:
         run.task, run.step = task.name, None
-        run.say("INFO", "Task started", "task")
+        run.say("INFO", "task begins", "task")
         before = (run.processed, run.failed)
         outcome = "SUCCESS"
         try:
@@ -448,19 +457,19 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
                 ahead.pop(0)
                 run.step, run.step_type, begun = s.name, s.type, _now()
                 run.consumers_left = 1 + sum(k in ("INSERT", "LINK_PARENT", "VALIDATE_REFERENCE") for k in ahead)
-                run.say("INFO", "Step started")
+                run.say("INFO", "step begins")
                 try:
                     kind, fn = STEPS[s.type]
                     if kind == task.type:
                         fn(run, s.params)
                     else:
-                        run.say("WARN", f"Unknown {task.type.lower()} type: {s.type}")
+                        run.say("WARN", f"{s.type} is no step of a {task.type.lower()} task")
                 except Exception as e:
-                    run.say("ERROR", f"Step failed: {e}")
-                    run.say("INFO", "Step completed with status: FAILED")
+                    run.say("ERROR", f"step broke off: {e}")
+                    run.say("INFO", "step ends: FAILED")
                     run.steps.append((run.name, task.name, s.name, s.type, "FAILED", begun, _now()))
                     raise
-                run.say("INFO", "Step completed with status: SUCCESS")
+                run.say("INFO", "step ends: SUCCESS")
                 run.steps.append((run.name, task.name, s.name, s.type, "SUCCESS", begun, _now()))
             run.step = None
             if task.type == "PERSISTENCE" and run.pending_logs:
@@ -468,12 +477,12 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
         except Exception as e:  # noqa: BLE001 - a task failure is a result, not a crash
             broken, outcome = True, "FAILED"
             run.step = None
-            run.say("ERROR", f"Task failed: {e}", "task")
-        run.say("INFO", f"Task completed with status: {outcome}", "task")
+            run.say("ERROR", f"task broke off: {e}", "task")
+        run.say("INFO", f"task ends: {outcome}", "task")
         _, processed, failed = status[task.name]
         status[task.name] = (outcome, processed + run.processed - before[0], failed + run.failed - before[1])
         if outcome == "FAILED" and task.stop_on_failure:
-            run.say("ERROR", f"Stopping job due to task failure: {task.name}", "job")
+            run.say("ERROR", f"nothing runs after {task.name}", "job")
             break
     if not broken and run.pending_counters:
         run.rows.write.format("noop").mode("overwrite").save()  # nothing wrote the rows; counters need one pass
@@ -481,11 +490,17 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
     return broken
 
 
+def _order(rows: DataFrame, order_by: Iterable[str]) -> tuple[str, ...]:
+    """The order of a batch: row numbers count within a file and sheet, so those come first where they are known."""
+    given = tuple(order_by)
+    return tuple(c for c in ("_file", "_sheet_index") if c in rows.columns and c not in given) + given if given == ("_row",) else given
+
+
 def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, DataFrame], day: dt.date | str,
             order_by: Iterable[str] = ("_row",), file_path: str = "N/A") -> JobResult:
     """Run one job over a batch, or over one batch per sheet (then the sheet name is the target table)."""
     name, start = spec["name"], _now()
-    log: list[tuple] = [(name, None, None, start, "INFO", name, "Job started")]
+    log: list[tuple] = [(name, None, None, start, "INFO", name, "job begins")]
     status: dict[str, tuple[str, int, int]] = {}
     counters: list[tuple] = []
     steps: list[tuple] = []
@@ -498,13 +513,13 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
         broken = False
         sheets = batches if isinstance(batches, dict) else {None: batches}
         for sheet, rows in sheets.items():
-            run = JobRun(spark, name, rows, snapshot.as_date(day), tuple(order_by), sheet)
+            run = JobRun(spark, name, rows, snapshot.as_date(day), _order(rows, order_by), sheet)
             if sheet is not None and rows.isEmpty():
-                run.say("WARN", f"Sheet '{sheet}' is empty, skipping", "job")
+                run.say("WARN", f"no rows in sheet {sheet}", "job")
             else:
                 read = Observation()
                 run.rows = rows.observe(read, F.count(F.lit(1)).alias("rows"))
-                run.watch(read, lambda r, c: r.say("INFO", f"Read {c.get('rows', 0)} rows", "job"))
+                run.watch(read, lambda r, c: r.say("INFO", f"{c.get('rows', 0)} rows in the batch", "job"))
                 broken |= _run_tasks(run, tasks, status)
             discard(spark, run.scratch)
             log += run.log
@@ -515,10 +530,10 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
         states = [s for s, _, _ in status.values()]
         outcome = "SUCCESS" if not broken else "FAILED" if all(s == "FAILED" for s in states) else "PARTIAL"
     except Exception as e:  # noqa: BLE001
-        log.append((name, None, None, _now(), "ERROR", name, f"Job failed: {e}"))
+        log.append((name, None, None, _now(), "ERROR", name, f"job broke off: {e}"))
         outcome = "FAILED"
     end = _now()
-    log.append((name, None, None, end, "INFO", name, f"Job completed with status: {outcome}"))
+    log.append((name, None, None, end, "INFO", name, f"job ends: {outcome}"))
     return JobResult(name, outcome, file_path, spec.get("fileType", "EXCEL").upper(), start, end, log,
                      [(name, t, *v) for t, v in status.items()], counters, processed, failed, steps)
 
@@ -558,10 +573,10 @@ Opened = tuple[DataFrame | dict[str, DataFrame], dt.date | str, str]
 def run_directory_import(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], day: dt.date | str,
                          table: str = "hr", name: str = "directory-import") -> JobResult:
     """Load the people of the day from directory extracts; no people at all makes the job PARTIAL."""
-    start, log, n = _now(), [(name, None, None, _now(), "INFO", name, "Job started")], 0
+    start, log, n = _now(), [(name, None, None, _now(), "INFO", name, "job begins")], 0
     try:
         extract = directory.union_extracts(sources)
-        log += [(name, None, None, _now(), "WARN", name, f"Extract '{s}' failed: {e}") for s, e in extract.failures.items()]
+        log += [(name, None, None, _now(), "WARN", name, f"no people from {s}: {e}") for s, e in extract.failures.items()]
         people = extract.rows if extract.rows is not None else small_frame(spark, [], ", ".join(f"{c} string" for c in directory.ATTRIBUTES))
         counts = Observation()
         directory.load_hr(spark, people.observe(counts, F.count(F.lit(1)).alias("rows")), day, table)
@@ -569,10 +584,10 @@ def run_directory_import(spark: SparkSession, sources: dict[str, Callable[[], Da
         log.append((name, None, None, _now(), "INFO", name, f"{n} rows loaded into {table}"))
         status = "SUCCESS" if n else "PARTIAL"
     except Exception as e:  # noqa: BLE001
-        log.append((name, None, None, _now(), "ERROR", name, f"Directory import failed: {e}"))
+        log.append((name, None, None, _now(), "ERROR", name, f"import broke off: {e}"))
         status = "FAILED"
     end = _now()
-    log.append((name, None, None, end, "INFO", name, f"Job completed with status: {status}"))
+    log.append((name, None, None, end, "INFO", name, f"job ends: {status}"))
     return JobResult(name, status, "N/A", "TABLE", start, end, log, [], [], n)
 
 
@@ -587,12 +602,12 @@ def run_jobs(spark: SparkSession, specs: Iterable[dict], open_batch: Callable[[d
         except Exception as e:  # noqa: BLE001 - one job must not stop the others
             at = _now()
             results.append(JobResult(spec["name"], "FAILED", "N/A", spec.get("fileType", "EXCEL").upper(), None, at,
-                                     [(spec["name"], None, None, at, "ERROR", spec["name"], f"Failed to prepare job: {e}")], [], []))
+                                     [(spec["name"], None, None, at, "ERROR", spec["name"], f"no batch: {e}")], [], []))
             continue
         if opened is None:
             at = _now()
             results.append(JobResult(spec["name"], "SKIPPED", "N/A", spec.get("fileType", "EXCEL").upper(), None, at,
-                                     [(spec["name"], None, None, at, "WARN", spec["name"], "Job skipped: data file could not be loaded")], [], []))
+                                     [(spec["name"], None, None, at, "WARN", spec["name"], "left out: its dump is not there")], [], []))
             continue
         rows, day, path = opened
         results.append(run_job(spark, spec, rows, day, order_by, path))

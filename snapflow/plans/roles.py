@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from snapflow.functions.text import has_text
 from snapflow.operators.joins import tagged
 from snapflow.operators.snapshot import as_date, on_day, overwrite_day
-from snapflow.session import small_frame
+from snapflow.session import discard, settled, small_frame
 
 
 @dataclass(frozen=True)
@@ -144,29 +144,40 @@ def _groups(rules: Sequence[Rule]) -> list[list[Rule]]:
     return list(grouped.values())
 
 
-def _analysed(rules: Sequence[Rule], tables: Tables, day, failures: dict[str, str]) -> list[DataFrame]:
-    """The frame of a rule group; if the group does not analyse, the frames of the rules that do on their own."""
+def _ran(rules: Sequence[Rule], tables: Tables, day, failures: dict[str, str], scratch: list[str] | None) -> list[DataFrame]:
+    """The written rows of a rule group; if the group fails, in planning or in running, those of the rules that run alone."""
     try:
-        return [_BUILDERS[rules[0].kind](rules, tables, day)]
+        return [settled(_BUILDERS[rules[0].kind](rules, tables, day).filter(has_text("owner")), scratch)]
     except Exception as e:  # noqa: BLE001 - one broken rule must not stop the others
         if len(rules) == 1:
             failures[rules[0].role] = f"{type(e).__name__}: {e}"
             return []
-        return [frame for r in rules for frame in _analysed([r], tables, day, failures)]
+        return [frame for r in rules for frame in _ran([r], tables, day, failures, scratch)]
 
 
-def run_rules(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES)) -> Ownership:
-    """Distinct non-blank ``(role, owner)`` of every rule that can run.
-
-    A rule that does not analyse (missing table or column) is reported and left out; the others still run.
-    """
+def _rule_rows(tables: Tables, day: dt.date | str, rules: Sequence[Rule], scratch: list[str] | None) -> Ownership:
+    """Non-blank ``(role, owner)`` of every rule that can run, repeats included, and why the others cannot."""
     tables = lru_cache(maxsize=None)(tables)  # one analysed frame per table, however many rules read it
     failures: dict[str, str] = {}
-    parts = [frame for group in _groups(rules) for frame in _analysed(group, tables, day, failures)]
+    parts = [frame for group in _groups(rules) for frame in _ran(group, tables, day, failures, scratch)]
     if not parts:
         raise ValueError(f"no rule can run: {failures}")
-    found = reduce(DataFrame.unionByName, parts).filter(has_text("owner")).distinct()
-    return Ownership(found, failures)
+    managers = [r for r in rules if r.kind == "manager_is" and r.role not in failures]
+    if managers:
+        for row in reduce(DataFrame.unionByName, [_single(r, tables, day) for r in managers]).filter("n > 1").collect():  # one row per rule
+            failures[row["role"]] = f"its subquery has {row['n']} rows"
+    return Ownership(reduce(DataFrame.unionByName, parts), failures)
+
+
+def run_rules(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES), scratch: list[str] | None = None) -> Ownership:
+    """Distinct non-blank ``(role, owner)`` of every rule that can run.
+
+    Each group of rules is run and written by itself. A rule that fails (a missing table, an unreadable file, a manager
+    rule whose subquery has several rows) is reported and left out; the others still run. Nothing runs twice but the
+    group of a failed rule.
+    """
+    run = _rule_rows(tables, day, rules, scratch)
+    return Ownership(run.owners.distinct(), run.failures)
 
 
 def role_ids(roles: DataFrame) -> DataFrame:
@@ -174,29 +185,28 @@ def role_ids(roles: DataFrame) -> DataFrame:
     return roles.filter("name IS NOT NULL").groupBy(F.col("name").alias("role")).agg(F.max("id").alias("role_id"))
 
 
-def owner_roles(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES)) -> Ownership:
+def _ids_of(rules: Sequence[Rule], tables: Tables) -> DataFrame:
+    """Role ids of the rules' names: one row per rule at most, so it can be sent to every task."""
+    return F.broadcast(role_ids(tables("roles").filter(F.col("name").isin([r.role for r in rules]))))
+
+
+def owner_roles(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES), scratch: list[str] | None = None) -> Ownership:
     """``(timestamp, owner_id, role_id)`` of the day. Rules whose name is not in ``roles`` are skipped."""
-    run = run_rules(tables, day, rules)
-    rows = run.owners.join(role_ids(tables("roles")), "role").select(
+    run = _rule_rows(tables, day, rules, scratch)
+    rows = run.owners.join(_ids_of(rules, tables), "role").select(
         F.lit(as_date(day)).cast("timestamp").alias("timestamp"), F.col("owner").alias("owner_id"), "role_id")
     return Ownership(rows.distinct(), run.failures)
 
 
-def ownership_counts(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES)) -> DataFrame:
+def ownership_counts(tables: Tables, day: dt.date | str, rules: Sequence[Rule] = tuple(RULES), run: Ownership | None = None) -> DataFrame:
     """``(role_id, owners)`` for every rule that ran, rules without owners included.
 
-    A manager rule whose subquery has several rows did not run.
+    ``run`` takes what ``run_rules`` has already found, so that counting runs no rule again.
     """
-    run = run_rules(tables, day, rules)
+    run = run_rules(tables, day, rules) if run is None else run
     found = run.owners.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
-    ran = [r for r in rules if r.role not in run.failures]
-    spark = run.owners.sparkSession
-    names = small_frame(spark, [(r.role,) for r in ran], "role string")
-    manager_rules = [r for r in ran if r.kind == "manager_is"]
-    if manager_rules:
-        ambiguous = reduce(DataFrame.unionByName, [_single(r, tables, day) for r in manager_rules]).filter("n > 1")
-        names = names.join(ambiguous.select("role"), "role", "left_anti")
-    listed = names.join(role_ids(tables("roles")), "role").join(found, "role", "left")
+    names = small_frame(run.owners.sparkSession, [(r.role,) for r in rules if r.role not in run.failures], "role string")
+    listed = names.join(_ids_of(rules, tables), "role").join(found, "role", "left")
     return listed.select("role_id", F.coalesce("n", F.lit(0)).alias("owners"))
 
 
@@ -208,6 +218,8 @@ def result_counts(counts: DataFrame) -> DataFrame:
 def replace_owner_roles(spark: SparkSession, tables: Tables, day: dt.date | str, target: str = "owner_role",
                         rules: Sequence[Rule] = tuple(RULES)) -> dict[str, str]:
     """Replace the day in the owner-role table, even when no owner was found; returns the failed rules."""
-    run = owner_roles(tables, day, rules)
+    scratch: list[str] = []
+    run = owner_roles(tables, day, rules, scratch)
     overwrite_day(spark, target, run.owners, "timestamp", day)
+    discard(spark, scratch)
     return run.failures

@@ -23,7 +23,7 @@ JOBS = ("run string, job string, file_path string, file_type string, status stri
 
 # Worst first.
 STATUS_PRIORITY = ["FAILED", "PARTIAL", "SUCCESS", "SKIPPED", "RUNNING", "PENDING"]
-SHEET_NAME_LIMIT = 31
+SHEET_NAME_LIMIT = 31  # characters of a sheet title
 
 
 def job_status(tasks: DataFrame, by: Sequence[str] = ("run", "job")) -> DataFrame:
@@ -93,9 +93,14 @@ def execution_log(log: DataFrame) -> DataFrame:
 
 
 def dataset_group(job: Column | str) -> Column:
-    """Job name without its language suffix, at most 31 characters."""
+    """Job name without its language suffix."""
     name = F.col(job) if isinstance(job, str) else job
-    return F.substring(jtrim(F.regexp_replace(name, r"(?i)[-_](es|en|fr|de|it|pt)$", "")), 1, SHEET_NAME_LIMIT)
+    return jtrim(F.regexp_replace(name, r"(?i)[-_](es|en|fr|de|it|pt)$", ""))
+
+
+def sheet_title(dataset: Column | str) -> Column:
+    """A dataset's name as a sheet title; for display, as two names may share one."""
+    return F.substring(dataset, 1, SHEET_NAME_LIMIT)
 
 
 def log_by_dataset(log: DataFrame) -> DataFrame:

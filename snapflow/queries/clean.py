@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapflow.functions.text import normalized
-from snapflow.operators import clean
+from snapflow.operators import clean, mapping
 from snapflow.queries import query, table
 
+DAY = "2026-03-02"
+
 WS = "' ' || chr(9) || chr(10)"
 
 
@@ -89,8 +90,10 @@ def b6_latest(spark, sf):
 
 
 @query("B7_normalize_header", """
-    SELECT p_partkey, upper(replace(p_name, ' ', '_')) || '_SIZE_' || upper(p_type) || '_REGION' AS header FROM part""")
+    SELECT p_partkey AS "PART_KEY", p_name AS "PART_NAME", p_brand AS "REGION_DE_ORIGEN", p_size AS "SIZE_2" FROM part""")
 def b7(spark, sf):
-    """Header texts built from part names: padding, dashes, camel case and an accent."""
-    raw = F.concat(F.lit("  "), F.translate("p_name", " ", "-"), F.lit("Size ."), F.lower("p_type"), F.lit("_Región "))
-    return table(spark, sf, "part").select("p_partkey", normalized(raw).alias("header"))
+    """Headers with padding, dashes, camel case and accents meet the table's columns through the mapping that jobs use."""
+    batch = table(spark, sf, "part").select(F.col("p_partkey").alias("  partKey "), F.col("p_name").alias("part--name"),
+                                            F.col("p_brand").alias("Región de origen"), F.col("p_size").alias("Size (2)"))
+    plan = mapping.auto_map(batch.columns, ["PART_KEY", "PART_NAME", "REGION_DE_ORIGEN", "SIZE_2"])
+    return mapping.project(batch, plan.mappings, DAY)

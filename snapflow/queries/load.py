@@ -48,6 +48,22 @@ def c3(spark, sf):
     return mapping.conform(mapping.project(batch, plan.mappings, DAY), target)
 
 
+@query("C3_column_defaults", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, 'dump' AS origin, 7 AS rank FROM customer")
+def c3_defaults(spark, sf):
+    """Columns that nothing is mapped to get their DEFAULT."""
+    from snapflow.session import shared_path
+
+    name = "c3_defaults"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (id STRING, name STRING, origin STRING DEFAULT 'dump', rank INT DEFAULT 3 + 4) USING parquet "
+              f"LOCATION '{shared_path(spark, name)}'")
+    batch = table(spark, sf, "customer").select(F.col("c_custkey").alias("Id"), F.col("c_name").alias("Name"))
+    target = spark.table(name)
+    plan = mapping.auto_map(batch.columns, target.columns)
+    snapshot.append(spark, name, mapping.conform(mapping.project(batch, plan.mappings, DAY), target.schema))
+    return spark.table(name)
+
+
 SUPPLIER = T.StructType([T.StructField("ID", T.StringType()), T.StructField("NAME", T.StringType()),
                          T.StructField("BALANCE", T.DoubleType()), T.StructField("TIMESTAMP", T.TimestampType())])
 
@@ -109,12 +125,14 @@ LINE = T.StructType([T.StructField("ID", T.StringType()), T.StructField("STATUS"
 
 
 def _order_batch(spark, sf):
-    """Orders keyed by customer (so keys repeat), with unreadable amounts, missing and overlong texts."""
+    """Orders keyed by customer (so keys repeat), from two files whose row numbers are the same, with unreadable
+    amounts, missing and overlong texts."""
     key = F.col("o_orderkey")
     amount = F.when(key % 11 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
     return table(spark, sf, "orders").select(
         F.concat(F.lit("C"), F.col("o_custkey")).alias("ID"), F.when(key % 13 != 0, F.col("o_orderstatus")).alias("STATUS"),
-        amount.alias("AMOUNT"), F.col("o_orderpriority").alias("KIND"), key.alias("_row"))
+        amount.alias("AMOUNT"), F.col("o_orderpriority").alias("KIND"),
+        F.concat(F.lit("f"), key % 2).alias("_file"), F.floor(key / 2).alias("_row"))
 
 
 _MARKED = """
@@ -122,8 +140,8 @@ _MARKED = """
                         o_orderpriority AS kind FROM orders),
     checked AS (SELECT *, CASE WHEN k % 11 = 0 THEN 'type' WHEN k % 13 = 0 THEN 'null'
                                WHEN length(kind) > 8 THEN 'length' END AS reason FROM raw),
-    winners AS (SELECT min(k) AS k FROM checked WHERE reason IS NULL
-                AND id NOT IN (SELECT 'C' || c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY id),
+    winners AS (SELECT k FROM (SELECT k, row_number() OVER (PARTITION BY id ORDER BY k % 2, k // 2) AS rn FROM checked WHERE reason IS NULL
+                AND id NOT IN (SELECT 'C' || c_custkey FROM customer WHERE c_acctbal < 0)) WHERE rn = 1),
     marked AS (SELECT c.*, coalesce(c.reason, CASE WHEN w.k IS NULL THEN 'key' END) AS why
                FROM checked c LEFT JOIN winners w ON c.k = w.k)
 """
@@ -131,8 +149,8 @@ _MARKED = """
 
 def _marked(spark, sf):
     held = table(spark, sf, "customer").filter("c_acctbal < 0").select(F.concat(F.lit("C"), "c_custkey").alias("ID"))
-    return load.mark_rejects(_order_batch(spark, sf), LINE, primary_key=["ID"], existing=held, required=["STATUS"],
-                             lengths={"KIND": 8})
+    return load.mark_rejects(_order_batch(spark, sf), LINE, primary_key=["ID"], order_by=["_file", "_row"], existing=held,
+                             required=["STATUS"], lengths={"KIND": 8})
 
 
 @query("C8_append_load", _MARKED + """
@@ -142,12 +160,32 @@ def c8(spark, sf):
 
 
 @query("C9_bad_row_isolation", _MARKED + """
-    SELECT coalesce(why, 'accepted') AS outcome, count(*) AS n_rows, CAST(sum(k) AS BIGINT) AS key_sum FROM marked GROUP BY 1""")
+    SELECT coalesce(why, 'accepted') AS outcome, count(*) AS n_rows, CAST(sum(k // 2) AS BIGINT) AS key_sum FROM marked GROUP BY 1""")
 def c9(spark, sf):
     return (_marked(spark, sf).groupBy(F.coalesce(load.REASON, F.lit("accepted")).alias("outcome"))
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("_row").alias("key_sum")))
 
 
+@query("C9_reject_table", _MARKED.replace("AND id NOT IN (SELECT 'C' || c_custkey FROM customer WHERE c_acctbal < 0)", "") + """
+    SELECT 'f' || (k % 2) AS file, k // 2 AS number, why AS reason, id, CASE WHEN k % 13 <> 0 THEN status END AS status FROM marked WHERE why IS NOT NULL""")
+def c9_table(spark, sf):
+    """A job's INSERT writes each refused row with its origin, reason and values."""
+    from snapflow.plans.job import run_job
+    from snapflow.session import shared_path
+
+    columns = {"c9_lines": "ID STRING, STATUS STRING, AMOUNT DOUBLE, KIND VARCHAR(8)",
+               "c9_rejects": "JOB STRING, TABLE_NAME STRING, ROW_KEY STRING, REASON STRING, ROW_VALUES STRING, TIMESTAMP TIMESTAMP"}
+    for name, ddl in columns.items():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{shared_path(spark, name)}'")
+    run_job(spark, {"name": "lines", "tasks": [{"name": "load", "type": "PERSISTENCE", "subtasks": [{"name": "insert", "type": "INSERT", "parameters": {
+        "tableName": "c9_lines", "primaryKey": ["ID"], "requiredColumns": ["STATUS"], "rejectTable": "c9_rejects"}}]}]}, _order_batch(spark, sf), DAY)
+    of = lambda column, name: F.get_json_object(column, f"$.{name}")
+    return spark.table("c9_rejects").select(
+        of("ROW_KEY", "_file").alias("file"), of("ROW_KEY", "_row").cast("long").alias("number"), F.col("REASON").alias("reason"),
+        of("ROW_VALUES", "ID").alias("id"), of("ROW_VALUES", "STATUS").alias("status"))
+
+
 def _part_table(spark, sf):
     return table(spark, sf, "part").filter("p_size <= 25").select(
         F.col("p_partkey").cast("string").alias("ID"), F.col("p_name").alias("NAME"), F.col("p_retailprice").alias("PRICE"),

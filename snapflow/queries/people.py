@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from snapflow.functions.text import extract_cn, item_label
 from snapflow.plans import departments, directory, roles
 from snapflow.queries import query, table
+from snapflow.session import shared_path
 from snapflow.session import small_frame
 
 DAY = "2026-03-02"
@@ -68,6 +69,24 @@ def d1(spark, sf):
     return directory.union_extracts(_units(spark, sf)).rows
 
 
+def unreadable(spark, schema):
+    """A Parquet file that is none: planning accepts it, reading fails."""
+    folder = shared_path(spark, "unreadable")
+    spark.range(1).select(F.lit("not a table").alias("value")).coalesce(1).write.text(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+@query("D1_directory_unreadable", _ENTRIES + f"SELECT {_PERSON} FROM entries WHERE seg = 'BUILDING'")
+def d1_unreadable(spark, sf):
+    """An extract whose file turns out unreadable while it is read does not stop the others."""
+    units = _units(spark, sf)
+    broken = ", ".join(f"{c} string" for c in directory.ATTRIBUTES)
+    extract = directory.union_extracts({"torn": lambda: unreadable(spark, broken), "building": units["building"]})
+    if list(extract.failures) != ["torn"]:
+        raise AssertionError(f"failures: {extract.failures}")
+    return extract.rows
+
+
 @query("D2_attribute_mapping", _ENTRIES + f"SELECT {_PERSON} FROM entries")
 def d2(spark, sf):
     return directory.map_attributes(directory_entries(spark, sf))
@@ -240,8 +259,9 @@ _LEADS = """
                 WHERE r.name LIKE '%\\_DomainLead' ESCAPE '\\' GROUP BY ck)
 """
 _CHAIN = """
-    , chain AS (SELECT id AS start, id AS node, 0 AS depth FROM hr
-                UNION ALL SELECT start, ckmanager, depth + 1 FROM chain JOIN hr ON node = id WHERE ckmanager IS NOT NULL AND depth < 49),
+    , chain AS (SELECT id AS start, id AS node, 0 AS depth, [id] AS visited FROM hr
+                UNION ALL SELECT start, ckmanager, depth + 1, list_append(visited, ckmanager) FROM chain JOIN hr ON node = id
+                WHERE ckmanager IS NOT NULL AND NOT list_contains(visited, ckmanager)),
     chains AS (SELECT start, node, min(depth) AS depth FROM chain GROUP BY start, node)
 """
 _NEAREST = _LEADS + _CHAIN + """
@@ -305,6 +325,7 @@ def e5_counts(spark, sf):
 
 # ---------------------------------------------------------------- roles
 
+# The rules of plans/roles.py, as SQL.
 _APPLIES = "(applicability <> 'NOT APPLICABLE' OR applicability IS NULL)"
 _ON = "(status <> 'INACTIVE' OR status IS NULL)"
 _CEO = "SELECT id FROM hr WHERE lower(title) = 'country manager v'"
@@ -387,6 +408,19 @@ def f3(spark, sf):
     return roles.owner_roles(people_tables(spark, sf), DAY).owners
 
 
+@query("F3_owner_roles_unreadable", PEOPLE_SQL + _OWNED + f"""
+    SELECT TIMESTAMP '{DAY}' AS timestamp, owner AS owner_id, r.id AS role_id FROM owned JOIN roles r ON owned.role = r.name
+    WHERE owned.role NOT LIKE 'Risk owner%'""")
+def f3_unreadable(spark, sf):
+    """Rules over a table that turns out unreadable while it is read are left out, and only those."""
+    t = people_tables(spark, sf)
+    torn = unreadable(spark, t("risk").schema)
+    run = roles.owner_roles(lambda name: torn if name == "risk" else t(name), DAY)
+    if sorted(run.failures) != ["Risk owner", "Risk owner delegate"]:
+        raise AssertionError(f"failures: {run.failures}")
+    return run.owners
+
+
 @query("F4_replace_owner_roles", PEOPLE_SQL + _OWNED + f"""
     SELECT TIMESTAMP '{DAY}' AS timestamp, owner AS owner_id, r.id AS role_id FROM owned JOIN roles r ON owned.role = r.name
     UNION ALL SELECT TIMESTAMP '2026-03-01', id, 1 FROM hr""")
@@ -415,7 +449,8 @@ def f5(spark, sf):
 @query("F5_result_counts", PEOPLE_SQL + _OWNED + """
     SELECT (SELECT count(*) FROM roles) AS roles_processed, (SELECT count(*) FROM owned JOIN roles r ON owned.role = r.name) AS total_records""")
 def f5_result(spark, sf):
-    return roles.result_counts(roles.ownership_counts(people_tables(spark, sf), DAY))
+    t = people_tables(spark, sf)
+    return roles.result_counts(roles.ownership_counts(t, DAY, run=roles.run_rules(t, DAY)))
 
 
 @query("F6_item_label", """

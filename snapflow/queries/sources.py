@@ -76,16 +76,30 @@ def a3(spark, sf):
 
 
 def _customer_xml(spark, sf):
+    """Customers with zero-padded ids as lists; beside them, single records: one file per region."""
     folder = shared_path(spark, "xml")
-    rows = table(spark, sf, "customer").select("c_custkey", "c_name", F.struct("c_nationkey", "c_mktsegment").alias("place"))
-    rows.write.format("xml").option("rootTag", "customers").option("rowTag", "customer").save(folder)
+    rows = table(spark, sf, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("id"), F.col("c_name").alias("name"),
+                                               F.struct("c_nationkey", "c_mktsegment").alias("place"))
+    rows.write.format("xml").option("rootTag", "customers").option("rowTag", "customer").save(f"{folder}/lists")
+    region = table(spark, sf, "region").select(F.format_string("<region><id>%05d</id><name>%s</name></region>", "r_regionkey", "r_name").alias("value"), "r_regionkey")
+    region.write.partitionBy("r_regionkey").text(f"{folder}/records")
     return folder
 
 
-@query("A6_xml_rows", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+@query("A6_xml_rows", """
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment AS segment FROM customer
+    UNION ALL SELECT lpad(CAST(r_regionkey AS VARCHAR), 5, '0'), r_name, NULL, NULL FROM region""")
 def a6(spark, sf):
+    """Values stay text, and files that hold one record only are rows like those of a list."""
     rows = xmlrows.read_xml(spark, _customer_xml(spark, sf))
-    return rows.select("c_custkey", "c_name", F.col("place.c_nationkey").cast("int").alias("c_nationkey"), "place.c_mktsegment")
+    return rows.select("id", "name", F.col("place.c_nationkey").alias("nation"), F.col("place.c_mktsegment").alias("segment"))
+
+
+@query("A7_xml_records", """
+    SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM region) AS records, (SELECT count(*) FROM region) AS single_files""")
+def a7_xml(spark, sf):
+    counts = xmlrows.record_counts(spark, _customer_xml(spark, sf))
+    return counts.agg(F.sum("records").alias("records"), F.count_if(F.col("path").contains("/records/")).alias("single_files"))
 
 
 @query("A7_file_metadata", """

@@ -21,6 +21,10 @@ ADAPTIVE = {
 }
 
 
+# For the thread to fetch an answer that is already there.
+ANSWER_SECONDS = 10.0
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
@@ -73,6 +77,11 @@ def discard(spark: SparkSession, scratch: list[str]) -> None:
     scratch.clear()
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -87,21 +96,27 @@ def small_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(table, schema)
 
 
-def observed(observation: Observation, patience: float = 60.0) -> dict:
+def observed(observation: Observation) -> dict:
     """Counters of an observation whose action has finished.
 
-    A plan reduced to nothing has none, and neither has a frame a custom step threw away; waiting for that one
-    would never end.
+    An answer arrives with the action's own event, so all events sent so far are waited for, however late the
+    listeners are; a queue that does not drain within a day is an error. Once the events are through, an observation
+    without an answer was optimised away: its plan was reduced to nothing, or a custom step threw its frame away.
+    Only then the counters are empty.
     """
+    SparkSession.active().sparkContext._jsc.sc().listenerBus().waitUntilEmpty(86_400_000)
     found: dict = {}
+    broken: list[Exception] = []
 
     def ask() -> None:
         try:
             found.update(observation.get)
-        except Exception:  # noqa: BLE001 - an empty relation reports an empty row
-            pass
-
-    waiter = threading.Thread(target=ask, daemon=True)
-    waiter.start()
-    waiter.join(patience)
+        except Exception as e:  # noqa: BLE001 - handed to the caller below
+            broken.append(e)
+
+    asking = threading.Thread(target=ask, daemon=True)  # asking for a lost observation never ends
+    asking.start()
+    asking.join(ANSWER_SECONDS)
+    if broken:
+        raise broken[0]
     return dict(found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -49,30 +50,49 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fs, local = filesystem(path)
             with fs.open_input_stream(local) as stream:
                 root, seen, structured = count_children(stream)
-            found += [(root, tag, n if tag in structured else 0) for tag, n in seen.items()] or [(root, None, 0)]
-        yield pd.DataFrame(found, columns=["root", "tag", "n"])
+            found += [(path, root, tag, n if tag in structured else 0) for tag, n in seen.items()] or [(path, root, None, 0)]
+        yield pd.DataFrame(found, columns=["path", "root", "tag", "n"])
 
 
-def row_tags(spark: SparkSession, path: str) -> list[str]:
-    """Child names that repeat in at least one file and are more than text; without any, the root names.
-    Files are scanned in parallel."""
+def _profiles(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, root, tag, n``: per file its root and how often each child occurs; 0 for children that are only text."""
     ship(__name__)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    profile = files.mapInPandas(_profile, "root string, tag string, n long")
-    tags = profile.groupBy("root", "tag").agg(F.max("n").alias("n")).collect()  # one line per element name
-    return sorted({t["tag"] for t in tags if t["n"] > 1}) or sorted({t["root"] for t in tags})
+    return files.mapInPandas(_profile, "path string, root string, tag string, n long")
+
+
+def row_tags(spark: SparkSession, path: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """Child names that repeat in at least one file and are more than text; and ``(file, root)`` of the files that hold none.
+
+    Files are scanned in parallel. Back come one line per element name, and one per file without a row.
+    """
+    profiles = _profiles(spark, path)
+    tags = sorted(r["tag"] for r in profiles.filter("n > 1").select("tag").distinct().collect())
+    bare = profiles.groupBy("path", "root").agg(F.bool_or(F.col("tag").isin(tags) & (F.col("n") > 0)).alias("held"))
+    return tags, [(r["path"], r["root"]) for r in bare.filter("NOT coalesce(held, false)").orderBy("path").collect()]
+
+
+def record_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``path, records`` of XML files: the most frequent record child, or 1 for a file that is a record itself."""
+    return _profiles(spark, path).groupBy("path").agg(F.greatest(F.max("n"), F.lit(1)).alias("records"))
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Rows of an XML file or folder through Spark's XML reader, with the file in ``_file``.
 
-    Pass ``row_tag`` where it is known: it saves a pass. Several repeated names give the union of their rows.
+    Values are text, so that ids keep their zeros; pass ``schema`` for types. Pass ``row_tag`` where it is known: it
+    saves a pass. Several repeated names give the union of their rows. A file that holds none of the names that repeat
+    elsewhere is one row by itself, its root.
     """
-    tags = [row_tag] if row_tag else row_tags(spark, path)
+    tags, bare = ([row_tag], []) if row_tag else row_tags(spark, path)
 
-    def one(tag: str) -> DataFrame:
-        reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", "true")
-        rows = (reader.schema(schema) if schema else reader).load(path)
+    def one(tag: str, where: str | list[str]) -> DataFrame:
+        reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", "true").option("inferSchema", "false")
+        rows = (reader.schema(schema) if schema else reader).load(where)
         return rows.select(*[f"`{c}`" for c in rows.columns], decoded(F.col("_metadata.file_path")).alias("_file"))
 
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(t) for t in tags])
+    lone: dict[str, list[str]] = {}
+    for file, root in bare:
+        lone.setdefault(root, []).append(re.sub(r"([\[\]{}*?\\])", r"\\\1", file))  # a file name is not a pattern
+    frames = [one(t, path) for t in tags] + [one(root, files) for root, files in lone.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

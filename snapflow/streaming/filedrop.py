@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.plans.job import JobResult, ingest_day, run_job
+from snapflow.session import file_exists, small_frame
 from snapflow.sources.workbook import read_workbook
 from snapflow.sources.xmlrows import read_xml
 
+LEDGER = "path STRING, modified TIMESTAMP, status STRING, at TIMESTAMP"
 LISTING = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
@@ -28,29 +31,54 @@ def read_drop(spark: SparkSession, path: str, file_format: str, spec: dict, sche
     return rows.withColumn("_row", F.col("_metadata.row_index") if file_format == "parquet" else F.monotonically_increasing_id())
 
 
+def _outcomes(spark: SparkSession, ledger: str) -> DataFrame:
+    """Newest recorded outcome of each dropped file: ``path, modified, status``."""
+    rows = spark.read.schema(LEDGER).parquet(ledger)
+    return rows.groupBy("path").agg(F.max_by(F.struct("modified", "status"), "at").alias("o")).select("path", "o.*")
+
+
 def ingest_drops(spark: SparkSession, spec: dict, drop_dir: str, checkpoint: str, file_format: str = "parquet",
                  schema: T.StructType | None = None, order_by: tuple[str, ...] = ("_row",), max_files: int | None = None,
                  **options: str) -> list[JobResult]:
-    """Process the files that arrived since the last call and return one job result per file.
+    """Process the files that arrived since the last call, and those that failed in it; one job result per file.
+
+    The stream only discovers files, and its checkpoint remembers them; contents are not read by it. Each file is then
+    read by its own source, so a job scans its own file and nothing else. A file is one dump: its name gives the ingest
+    day. Files run by day, then by arrival, then by name, so that the dump that arrived last is what a day holds.
 
-    The stream only discovers files, and its checkpoint remembers them; contents are not read by it. Each new
-    file is then read by its own source, so a job scans its own file and nothing else. A file is one dump: its
-    name gives the ingest day, and files run in name order, so a later dump of a day replaces the earlier one.
-    A batch that is replayed after a failure clears and loads the same days again, which changes nothing.
+    The outcome of every file is recorded beside the checkpoint. A file whose job failed is tried again by the next call,
+    unless a later dump of its day has been loaded meanwhile. A batch that is replayed after a crash passes over the files
+    that are recorded as loaded, so their log and edge rows are not written twice.
     """
-    results: list[JobResult] = []
+    ledger, results = f"{checkpoint.rstrip('/')}-outcomes", []
+    if not file_exists(spark, ledger):
+        small_frame(spark, [], LEDGER).write.parquet(ledger)
+
+    def load(found: list[tuple[str, dt.datetime]]) -> None:
+        known = {r["path"]: r for r in _outcomes(spark, ledger).collect()}  # one line per file name
+        loaded = {}
+        for r in known.values():
+            if r["status"] != "FAILED":
+                day = ingest_day(r["path"])
+                loaded[day] = max(loaded.get(day, r["modified"]), r["modified"])
+        for path, modified in sorted(set(found), key=lambda f: (ingest_day(f[0]), f[1], f[0].rsplit("/", 1)[-1], f[0])):
+            before = known.get(path)
+            if before is not None and before["modified"] == modified and (before["status"] != "FAILED" or loaded.get(ingest_day(path), modified) > modified):
+                continue
+            result = run_job(spark, spec, read_drop(spark, path, file_format, spec, schema, **options), ingest_day(path), order_by, path)
+            results.append(result)
+            line = small_frame(spark, [(path, modified, result.status, dt.datetime.now(dt.UTC))], LEDGER)
+            line.write.mode("append").parquet(ledger)
+
+    load([(r["path"], r["modified"]) for r in _outcomes(spark, ledger).filter("status = 'FAILED'").collect()])
     listing = spark.readStream.format("binaryFile").schema(LISTING)
     if max_files:
         listing = listing.option("maxFilesPerTrigger", max_files)
 
     def each(batch: DataFrame, _epoch: int) -> None:
-        session = batch.sparkSession
-        found = [r["path"] for r in batch.select("path").distinct().collect()]  # names of the new files
-        for path in sorted(found, key=lambda p: (p.rsplit("/", 1)[-1], p)):
-            rows = read_drop(session, path, file_format, spec, schema, **options)
-            results.append(run_job(session, spec, rows, ingest_day(path), order_by, path))
+        load([(r["path"], r["modificationTime"]) for r in batch.select("path", "modificationTime").collect()])  # names of the new files
 
-    query = (listing.load(drop_dir).select("path").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    query = (listing.load(drop_dir).select("path", "modificationTime").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return results

@@ -156,3 +156,24 @@ def test_upsert_with_only_the_id_mapped_changes_nothing(spark):
     current = spark.createDataFrame([("1", "a")], "ID string, NAME string")
     batch = spark.createDataFrame([("1", 0)], "ID string, _row int")
     assert values(load.updated_rows(current, batch)) == [("1", "a")]
+
+
+def test_two_files_with_equal_row_numbers_keep_every_row(spark):
+    rows = [("A", "f1", 0), ("B", "f1", 1), ("A", "f2", 0), ("C", "f2", 1)]
+    batch = spark.createDataFrame(rows, "ID string, _file string, _row long")
+    marked = load.mark_rejects(batch, batch.select("ID").schema, ["ID"], ["_file", "_row"])
+    assert values(marked, "ID", "_file", load.REASON) == [("A", "f1", None), ("A", "f2", "key"), ("B", "f1", None), ("C", "f2", None)]
+    assert load.mark_rejects(batch.select("ID", "_row"), batch.select("ID").schema, ["ID"]).count() == 4
+
+
+def test_a_job_over_two_files_loads_each_key_once(spark, table):
+    from snapflow.plans.job import run_job
+
+    target, rejects = table("ID STRING, V STRING"), table("JOB STRING, TABLE_NAME STRING, ROW_KEY STRING, REASON STRING, ROW_VALUES STRING, TIMESTAMP TIMESTAMP")
+    batch = spark.createDataFrame([("A", "1", 0), ("B", "2", 1), ("A", "3", 0), ("C", "4", 1)], "ID string, V string, _row long")
+    spec = {"name": "j", "tasks": [{"name": "t", "type": "PERSISTENCE", "subtasks": [{"name": "i", "type": "INSERT", "parameters": {
+        "tableName": target, "primaryKey": ["ID"], "rejectTable": rejects}}]}]}
+    result = run_job(spark, spec, batch, "2026-03-02")
+    assert (result.processed, result.failed) == (3, 1)
+    assert sorted(r["ID"] for r in spark.table(target).collect()) == ["A", "B", "C"]
+    assert [r["REASON"] for r in spark.table(rejects).collect()] == ["key"]

@@ -51,7 +51,7 @@ def test_load_hr_replaces_the_day_even_when_empty(spark, table):
 # ---------------------------------------------------------------- departments
 
 
-def chain_of(spark, start, *pairs, nodes=50):
+def chain_of(spark, start, *pairs, nodes=None):
     hr = hr_of(spark, *[{"id": i, "ckmanager": m} for i, m in pairs])
     starts = spark.createDataFrame([(start,)], "start string")
     rows = departments.manager_chains(starts, departments.manager_edges(hr, DAY), nodes).collect()
@@ -59,18 +59,25 @@ def chain_of(spark, start, *pairs, nodes=50):
 
 
 def test_chains(spark):
-    assert chain_of(spark, "emp", ("emp", "mgr"), ("mgr", "root"), ("root", None)) == ["emp", "mgr", "root"]
-    assert chain_of(spark, "a", ("a", "b"), ("b", "a")) == ["a", "b"]
-    assert chain_of(spark, "x", ("x", "a"), ("a", "b"), ("b", "c"), ("c", "a")) == ["x", "a", "b", "c"]
-    assert chain_of(spark, "nobody", ("a", None)) == ["nobody"]
-    assert chain_of(spark, "e", ("e", "gone")) == ["e", "gone"]
-    assert chain_of(spark, "e", ("e", "  ")) == ["e"]
-    assert chain_of(spark, "a", ("a", "a")) == ["a"]
+    tree = [("kiln", "oven"), ("oven", "forge"), ("forge", None), ("lone", None), ("self", "self"), ("blank", " \t"), ("gap", "unlisted")]
+    assert chain_of(spark, "kiln", *tree) == ["kiln", "oven", "forge"]
+    assert chain_of(spark, "forge", *tree) == ["forge"]
+    assert chain_of(spark, "gap", *tree) == ["gap", "unlisted"]
+    assert chain_of(spark, "blank", *tree) == ["blank"]
+    assert chain_of(spark, "self", *tree) == ["self"]
+    assert chain_of(spark, "stranger", *tree) == ["stranger"]
 
 
-def test_deep_chain_is_capped(spark):
-    pairs = [(str(i), str(i + 1)) for i in range(70)]
-    assert chain_of(spark, "0", *pairs) == [str(i) for i in range(50)]
+@pytest.mark.parametrize("ring", [2, 3, 5])
+def test_chain_ends_in_a_ring(spark, ring):
+    pairs = [(f"r{i}", f"r{(i + 1) % ring}") for i in range(ring)] + [("tail", "stem"), ("stem", "r0")]
+    assert chain_of(spark, "tail", *pairs) == ["tail", "stem", *[f"r{i}" for i in range(ring)]]
+
+
+def test_long_chain_is_whole_unless_a_limit_is_given(spark):
+    pairs = [(str(i), str(i + 1)) for i in range(120)] + [("120", "100")]
+    assert chain_of(spark, "0", *pairs) == [str(i) for i in range(121)]
+    assert chain_of(spark, "0", *pairs, nodes=50) == [str(i) for i in range(50)]
 
 
 def test_nearest_lead_against_a_plain_walk(spark):
@@ -84,7 +91,7 @@ def test_nearest_lead_against_a_plain_walk(spark):
     expected = {}
     for start in parent:
         at, depth, seen = start, 0, set()
-        while at is not None and at not in seen and depth < 50:
+        while at is not None and at not in seen:
             if at in lead:
                 expected[str(start)] = (lead[at], depth)
                 break

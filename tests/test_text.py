@@ -45,12 +45,6 @@ def test_normalize_header_of_nothing():
     assert text.normalize_header(None) is None and text.normalize_header(" \t") is None
 
 
-def test_normalized_column_agrees_with_the_name_rule(spark):
-    df = spark.createDataFrame([(r,) for r, _ in HEADERS] + [(None,), (" ",)], "h string")
-    for row in df.select("h", text.normalized("h").alias("n")).collect():
-        assert row["n"] == text.normalize_header(row["h"])
-
-
 @pytest.mark.parametrize("raw, expected", [("mail: a@b", "a@b"), (" x ", "x"), ("a: b: c", "b: c"), (":", ""), (None, None), ("a\nb: c", "c")])
 def test_clean_attr(spark, raw, expected):
     assert one(spark, text.clean_attr(F.lit(raw).cast("string"))) == expected
