@@ -24,6 +24,7 @@ ASSIGN_VALUE = 6
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_=-]{20,}"
+LEAN = 20.0  # occurrences that the general frequency of a character counts for
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{5,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -75,7 +76,8 @@ def _pairs(strings: DataFrame, column: str, label: int) -> DataFrame:
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows: int = 2000, random_strings: int = 6000) -> Markov:
     """Fit both models.
 
-    Ordinary identifiers: words of 5 or more characters from at most ``rows`` documents, base spans cut out.
+    Ordinary identifiers: words of 5 or more characters from at most ``rows`` documents, base spans cut out, as they are
+    and in capitals (so that capitals alone do not look random).
     Random strings: base spans of the same documents, and ``random_strings`` digests written in hex, Base64 and
     upper-case letters with digits. Pair counts come back as one row per pair of ``ALPHABET``, a fixed number.
     With no document at all the ordinary model is uniform.
@@ -86,6 +88,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     sample = all_docs.join(F.broadcast(ids), "doc_id", "left_semi")  # at most `rows` ids
     marked = f"{ASSIGN}|{ACCESS}|{HEX}"
     words = sample.select(F.explode(F.regexp_extract_all(F.regexp_replace("text", marked, " "), F.lit(IDENTIFIER), F.lit(0))).alias("s"))
+    words = words.select(F.explode(F.array("s", F.upper("s"), F.initcap("s"))).alias("s"))
     known = sample.select(F.explode(F.regexp_extract_all("text", F.lit(f"{ACCESS}|{HEX}"), F.lit(0))).alias("s"))
     digest = F.sha2(F.col("id").cast("string").cast("binary"), 256)
     base64 = F.substring(F.base64(F.unhex(digest)), 1, 40)
@@ -95,16 +98,17 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     counts = (_pairs(words, "s", 0).union(_pairs(known.union(made), "s", 1)).groupBy("pair")
               .agg(F.sum(1 - F.col("label")).alias("ordinary"), F.sum("label").alias("random")).collect())
     size = len(ALPHABET)
-    table = {r["pair"]: r for r in counts}
-    ratios = []
+    table = {r["pair"]: (r["ordinary"], r["random"]) for r in counts}
+    pairs = [[[table.get(a * size + b, (0, 0))[k] for b in range(size)] for a in range(size)] for k in (0, 1)]
 
-    for first in range(size):
-        row = [table.get(first * size + second) for second in range(size)]
-        ordinary, random = sum(r["ordinary"] for r in row if r), sum(r["random"] for r in row if r)
-        for r in row:
-            o, x = (r["ordinary"], r["random"]) if r else (0, 0)
-            ratios.append(math.log((x + 0.5) / (random + 0.5 * size)) - math.log((o + 0.5) / (ordinary + 0.5 * size)))
-    return Markov(tuple(round(x, 4) for x in ratios))
+    def conditional(model: list[list[int]]) -> list[list[float]]:
+        """Second character given the first, leaning on how common the second is where the first was rarely seen."""
+        common = [sum(row[b] for row in model) + 0.5 for b in range(size)]
+        total = sum(common)
+        return [[(row[b] + LEAN * common[b] / total) / (sum(row) + LEAN) for b in range(size)] for row in model]
+
+    ordinary, random = map(conditional, pairs)
+    return Markov(tuple(round(math.log(random[a][b] / ordinary[a][b]), 4) for a in range(size) for b in range(size)))
 
 
 def _ratio(token: Column, table: Column) -> Column:
@@ -125,8 +129,8 @@ def find(docs: DataFrame, model: Markov, text_column: str = "text", into: str =
     names = [c for c in docs.columns if c != into]
     own = {c: f"_in{i}" for i, c in enumerate(names)}
     df = docs.select(*[F.col(f"`{c}`").alias(own[c]) for c in names], F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
-    for pattern, into in ((ASSIGN, "_assign"), (ACCESS, "_access"), (HEX, "_hex"), (TOKEN, "_token")):
-        df = _matches(df, pattern, into)
+    for pattern, kind in ((ASSIGN, "_assign"), (ACCESS, "_access"), (HEX, "_hex"), (TOKEN, "_token")):
+        df = _matches(df, pattern, kind)
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1))
     long_enough = F.filter(F.zip_with("_assign", values, lambda m, v: F.when(F.length(v) >= ASSIGN_VALUE, m)), lambda m: m.isNotNull())
     table = F.split(F.lit(",".join(map(str, model.ratios))), ",").cast("array<double>")  # folded to one constant
@@ -135,8 +139,8 @@ def find(docs: DataFrame, model: Markov, text_column: str = "text", into: str =
         _as_spans(F.when(F.col("_assign").isNotNull(), long_enough), 0), _as_spans(F.col("_access"), 1), _as_spans(F.col("_hex"), 2))))
         .withColumn("_odd", F.when(F.col("_token").isNotNull(), odd)))
     free = F.filter("_odd", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return df.select(*[F.col(own[c]).alias(c) for c in names], F.when(F.col("_odd").isNull(), F.col("_base")).otherwise(
-        F.array_sort(F.concat("_base", _as_spans(free, 3)))).alias(into))
+    df = df.withColumn("_spans", F.when(F.col("_odd").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", _as_spans(free, 3)))))
+    return df.select(*[F.col(own[c]).alias(c) for c in names], F.col("_spans").alias(into))
 
 
 def listed(spans: Column) -> Column:

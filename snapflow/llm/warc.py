@@ -80,7 +80,7 @@ class _Archive:
         self.fs, at = pa.fs.FileSystem.from_uri(folder)
         self.fs.create_dir(at, recursive=True)
         self.path, self.at, self.level = f"{folder}/{name}", f"{at}/{name}", level
-        self.out = self.fs.open_output_stream(self.at)
+        self.out = self.fs.open_output_stream(self.at, compression=None)  # the name must not add a second compression
         self.waiting: list[bytes] | None = []
         self.held = self.records = self.size = self.dictionary = 0
 
@@ -188,10 +188,10 @@ def read(manifest: DataFrame, id_type: T.DataType | None = None, payloads: bool
 
     def of(path: str) -> Iterator[tuple]:
         fs, at = pa.fs.FileSystem.from_uri(path)
-        with fs.open_input_stream(at) as f:
+        with fs.open_input_stream(at, compression=None) as f:
             start = f.read(8)
         size = int.from_bytes(start[4:8], "little") if start[:4] == DICTIONARY_FRAME else 0
-        with fs.open_input_stream(at) as f:
+        with fs.open_input_stream(at, compression=None) as f:
             words = embedded_dictionary(f.read(8 + size)) if size else None
             press = zstandard.ZstdDecompressor(dict_data=words) if words else zstandard.ZstdDecompressor()
             for warc, http, payload in parse(io.BufferedReader(press.stream_reader(f, read_across_frames=True), 1 << 20)):
