@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from snapflow.llm.common import id_and_text, small_batches
 
 END = 1 << 19  # stands behind the last symbol; no merge has it
-WORD_CACHE = 250_000  # words kept per generation and worker; two generations live at a time
+WORD_CACHE = 100_000  # words kept per generation and worker; two generations live at a time
 _SPACES = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() takes these for spaces, Unicode does not
 _CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -186,7 +186,7 @@ def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_colu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(spec.value)
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most=4 << 20):
             done = [bpe.encode(t) for t in batch.column("text").to_pylist()]
             yield _columns([x[0] for x in done], [x[1] for x in done], batch.column("doc_id"))
 

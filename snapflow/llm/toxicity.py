@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from snapflow.llm.common import hash_sample, id_and_text, small_batches, texts
 
+BATCH_BYTES = 2 << 20  # text taken at a time: its n-grams take some forty times as much
 BUCKETS, SIZE, GRAMS, WINDOW, THRESHOLD = 1 << 18, 8, (3, 4, 5), 3, 0.3
 # Every ASCII byte but letters and digits is a space; A-Z in lower case.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
@@ -179,7 +180,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("score double, predicted int").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most=BATCH_BYTES):
             s = held.value.scores(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
@@ -191,7 +192,7 @@ def keep_clean(docs: DataFrame, model: Model, text_column: str = "text", thresho
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text_column):
+        for batch in small_batches(batches, text_column, BATCH_BYTES):
             data = [t or b"" for t in texts(batch, text_column)]
             yield batch.filter(pa.array(held.value.scores(data) < threshold))
 
