@@ -86,8 +86,11 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
     """
     tagged = labelled.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ranked = tagged.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn(
-        "at", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("at") <= rows_per_language)
+    # A language may hold most rows: its smallest hashes are first found in many parts, then among those of all parts.
+    order = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
+    hashed = tagged.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(256)))
+    parted = hashed.withColumn("at", order("lang", "part")).filter(F.col("at") <= rows_per_language)
+    ranked = parted.withColumn("at", order("lang")).filter(F.col("at") <= rows_per_language)
     chosen = ranked.orderBy("at", "h", "lang").limit(rows).select("doc_id", "lang").distinct()
     sample = tagged.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("text", "lang")  # at most `rows` ids
 
