@@ -89,8 +89,9 @@ def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int | None = No
 
     The answer of a person without a lead of their own is the answer of their manager, so pointers double:
     after round k a person has looked 2**k levels up, and 50 levels take six joins. Only people still looking
-    are joined and written again. Who has looked further up than there are people still looking is in a cycle
-    without a lead, or below one, and has none.
+    are joined and written again. Above whoever is d levels below their lead stand people at every smaller distance,
+    so the work ends with the round that finds no lead: nobody is further away, and who is still looking has none,
+    which also ends cycles.
     """
     mine: list[str] = [] if scratch is None else scratch
     looking = F.col("role").isNull() & F.col("pointer").isNotNull()
@@ -98,13 +99,15 @@ def nearest_leads(edges: DataFrame, leads: DataFrame, max_nodes: int | None = No
         "node", F.when(F.col("role").isNull(), F.col("parent")).alias("pointer"), F.lit(1).alias("hops"),
         "role", F.when(F.col("role").isNotNull(), F.lit(0)).alias("depth")), mine)
     done, active, looked = state.filter(~looking), state.filter(looking), 1
-    while looked <= active.count() and (max_nodes is None or looked < max_nodes):
+    while (max_nodes is None or looked < max_nodes) and not active.isEmpty():
         above = done.unionByName(active).select(
             F.col("node").alias("_above"), F.struct("pointer", "hops", "role", "depth").alias("_up"))
         moved = settled(probe(active, above, F.col("pointer"), "_above").select(
             "node", F.when(F.col("_up.role").isNull(), F.col("_up.pointer")).alias("pointer"),
             (F.col("hops") + F.coalesce("_up.hops", F.lit(0))).alias("hops"),
             F.col("_up.role").alias("role"), (F.col("hops") + F.col("_up.depth")).alias("depth")), mine)
+        if moved.filter(F.col("role").isNotNull()).isEmpty():
+            break
         done, active = done.unionByName(moved.filter(~looking)), moved.filter(looking)
         looked *= 2
     found = done.filter(F.col("role").isNotNull()).select("node", "role", "depth")

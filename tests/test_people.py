@@ -101,6 +101,17 @@ def test_nearest_lead_against_a_plain_walk(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("people", [3, 51, 200])
+def test_single_chain_reaches_its_lead_from_the_last_person(spark, people):
+    """Nobody else is there to keep the work going; a cycle below no lead ends it all the same."""
+    chain = [("p0", None)] + [(f"p{i}", f"p{i - 1}") for i in range(1, people)]
+    leads = spark.createDataFrame([("p0", "TOP")], "ck string, role string")
+    for more in ([], [("x", "y"), ("y", "x"), ("z", "x")]):
+        edges = spark.createDataFrame(chain + more, "node string, parent string")
+        got = {r["node"]: (r["role"], r["depth"]) for r in departments.nearest_leads(edges, leads).collect()}
+        assert got == {f"p{i}": ("TOP", i) for i in range(people)}
+
+
 ROLES = [(26, "COO_DomainLead"), (32, "CIO_DomainLead"), (5, "Other")]
 
 
