@@ -1,13 +1,20 @@
 """Licence texts by canonical digest.
 
 A text is put into a canonical form (lower case, copyright lines dropped, equivalent spellings made one, punctuation and
-white space one space) and its SHA-256 is joined to the digests of known licence texts in the same form. Whole documents
-and single lines are looked up, so that both a licence file and a licence statement inside other text are found.
+white space one space) and its SHA-256 is joined to the digests of known licence texts in the same form. Whole documents,
+single lines and paragraphs are looked up, so that a licence file, a licence statement inside other text, and a known
+text of several lines or paragraphs inside a larger document are found. Paragraphs are parted by lines without a letter
+or digit; a text of several paragraphs is found where all of its paragraphs follow each other.
+
+Entire texts of common licences are carried as digests in ``license_digests.csv``, one line per paragraph.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import csv
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Spellings that count as equal, and known statements and texts by licence.
@@ -48,6 +55,10 @@ Unless required by applicable law or agreed to in writing, software distributed
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 BROADCAST_ROWS = 100_000
 NOT_WORD = r"[^\p{L}\p{N}]+"
+PARAGRAPH_BREAK = r"\n[^\p{L}\p{N}]*\n"
+WRAPPED = r"\A[^\p{L}\p{N}]*[\p{L}\p{N}][^\n]*\n[^\n]*[\p{L}\p{N}]"  # words on two lines; tried once, at the start
+DIGESTS = Path(__file__).with_name("license_digests.csv")
+LOOKUP = "license string, digest string, variant string, k int, n int"
 
 
 def without_copyright(text: Column) -> Column:
@@ -62,28 +73,61 @@ def canonical(lowered: Column) -> Column:
     return out
 
 
+def _digest(unit: Column) -> Column:
+    return F.sha2(canonical(unit).cast("binary"), 256)
+
+
+def lookup(texts: DataFrame) -> DataFrame:
+    """``license, digest, variant, k, n`` of ``license, text``: a row for the entire text, where ``k`` is null, and one for
+    each of its ``n`` paragraphs."""
+    bare = texts.select("license", without_copyright(F.col("text")).alias("text"))
+    whole = bare.select("license", _digest(F.col("text")).alias("digest"), "text")
+    parts = F.filter(F.split("text", PARAGRAPH_BREAK), lambda p: p.rlike(r"[\p{L}\p{N}]"))
+    paragraphs = whole.select("license", F.col("digest").alias("variant"), parts.alias("p")).select(
+        "license", "variant", F.size("p").alias("n"), F.posexplode("p").alias("k", "unit"))
+    return whole.select("license", "digest", F.lit(None).cast("string").alias("variant"), F.lit(None).cast("int").alias("k"), F.lit(None).cast("int").alias("n")).unionByName(
+        paragraphs.select("license", _digest(F.col("unit")).alias("digest"), "variant", "k", "n")).distinct()
+
+
 def known(spark) -> DataFrame:
-    """``license, digest`` of the table above: a fixed, small number of rows."""
-    rows = spark.createDataFrame(KNOWN, "license string, text string")
-    return rows.select("license", F.sha2(canonical(without_copyright(F.col("text"))).cast("binary"), 256).alias("digest")).distinct()
+    """The lookup table of the texts above and of the digests file: a fixed, small number of rows."""
+    with DIGESTS.open() as f:
+        held = [(r["license"], r["digest"], r["variant"] or None, int(r["k"]) if r["k"] else None, int(r["n"]) if r["n"] else None) for r in csv.DictReader(f)]
+    return lookup(spark.createDataFrame(KNOWN, "license string, text string")).union(spark.createDataFrame(held, LOOKUP)).distinct()
 
 
 def find(docs: DataFrame, licenses: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, scope, license, units`` for each licence a document holds.
 
-    ``scope`` is ``whole`` if the entire document is the licence text, ``line`` for lines that are one (``units`` counts
-    them). Null texts and texts or lines without a letter or digit match nothing. Rows that repeat an id add up; a text
-    known under several licences gives a row for each. Texts are not shuffled, only matches are grouped.
+    ``scope`` is ``whole`` if the entire document is the licence text, ``line`` for lines that are one, ``paragraph`` for
+    texts of several lines or paragraphs inside a larger document (``units`` counts them). Null texts and units without a
+    letter or digit match nothing. Rows that repeat an id add up; a text known under several licences gives a row for
+    each. Texts are not shuffled, only matches are grouped. ``licenses`` without paragraphs (``license, digest``) finds
+    whole texts and lines only.
     """
+    if "k" not in licenses.columns:
+        licenses = licenses.select("license", "digest", *[F.lit(None).cast(t).alias(c) for c, t in (("variant", "string"), ("k", "int"), ("n", "int"))])
     lowered = docs.select(F.col(f"`{id_column}`").alias("doc_id"), without_copyright(F.col(f"`{text_column}`")).alias("text")).filter(F.col("text").isNotNull())
-    units = lowered.select("doc_id", F.explode(F.concat(
-        F.array(F.struct(F.lit("whole").alias("scope"), F.col("text").alias("unit"))),
-        F.transform(F.split("text", "\n"), lambda line: F.struct(F.lit("line").alias("scope"), line.alias("unit"))))).alias("u")).select("doc_id", "u.*")
-    digests = units.select("doc_id", "scope", F.sha2(canonical(F.col("unit")).cast("binary"), 256).alias("digest"))
+    unit = lambda scope, at, text: F.struct(F.lit(scope).alias("scope"), at.cast("int").alias("at"), text.alias("unit"))
+    units = lowered.select("doc_id", F.xxhash64("text").alias("key"), F.explode(F.concat(
+        F.array(unit("whole", F.lit(None), F.col("text"))),
+        F.transform(F.split("text", "\n"), lambda line: unit("line", F.lit(None), line)),
+        F.transform(F.split("text", PARAGRAPH_BREAK), lambda p, i: unit("paragraph", i, p)))).alias("u")).select("doc_id", "key", "u.*")
+    digests = units.select("doc_id", "key", "scope", "at", F.when(F.col("scope") == "paragraph", F.col("unit").rlike(WRAPPED)).alias("wrapped"), _digest(F.col("unit")).alias("digest"))
     # The table above is a handful of rows; a caller's own table of more than BROADCAST_ROWS is shuffled instead.
     few = licenses.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return (digests.join(F.broadcast(licenses) if few else licenses, "digest")
-            .groupBy("doc_id", "scope", "license").agg(F.count("*").alias("units")))
+    matches = digests.join(F.broadcast(licenses) if few else licenses, "digest").filter(
+        F.when(F.col("scope") == "paragraph", (F.col("n") > 1) | ((F.col("n") == 1) & F.col("wrapped"))).otherwise(F.col("k").isNull()))
+    place = ["doc_id", "key", "scope", "license", "start"]
+    runs = (matches.withColumn("start", F.col("at") - F.col("k")).groupBy(*place, "variant", "n", "k").agg(F.count("*").alias("rows"))
+            .groupBy(*place, "variant", "n").agg(F.count("*").alias("met"), F.min("rows").alias("units")).filter(F.col("met") == F.coalesce("n", F.lit(1)))
+            .groupBy(*place).agg(F.max("units").alias("units"), F.max("n").alias("n")))
+    # What a document that is a licence text holds is that text; a text without its title, within one that has it, is not counted again.
+    entire = F.max(F.col("scope") == "whole").over(Window.partitionBy("doc_id", "key"))
+    before = Window.partitionBy("doc_id", "key", "scope", "license").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max(F.col("start") + F.col("n")).over(before) > F.col("start"), F.lit(False))
+    return (runs.select("*", entire.alias("entire"), reached.alias("within")).filter(((F.col("scope") != "paragraph") | ~F.col("entire")) & ~F.col("within"))
+            .groupBy("doc_id", "scope", "license").agg(F.sum("units").alias("units")))
 
 
 def _quoted(text: str) -> str:

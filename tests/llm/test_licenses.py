@@ -1,3 +1,6 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from snapflow.llm import licenses
@@ -24,3 +27,27 @@ def test_repeated_rows_and_large_tables(spark, monkeypatch):
     monkeypatch.setattr(licenses, "BROADCAST_ROWS", 1)
     assert licenses.find(docs, licenses.known(spark)).count() == 4
     assert licenses.find(docs.limit(0), licenses.known(spark)).count() == 0
+
+
+def test_texts_of_several_lines_inside_documents(spark):
+    mit = licenses.KNOWN[3][1]
+    header = "\n".join("# " + line for line in licenses.KNOWN[6][1].replace("; you may", ";\nyou may").split("\n"))
+    texts = [
+        "# Tool\n\nWhat it does.\n\n## License\n\n" + mit.replace("MIT License\n", "MIT License\n\nCopyright (c) 2020 Somebody\n").replace(", ", ",\n") + "\n\nMore.",
+        "#!/bin/sh\n#\n# Copyright 2020 Somebody\n#\n" + header + "\n#\n\nexit 0\n",
+        "Intro.\n\nThis project is licensed under\nthe terms of the MIT license.\n\nEnd.",
+        "The last part alone.\n\n" + mit.rsplit("\n\n", 1)[1],
+        "Words.\n\n" + mit + "\n\nWords.\n\n" + mit,
+    ]
+    assert found(spark, texts) == [(0, "paragraph", "MIT", 1), (1, "paragraph", "Apache-2.0", 1), (2, "paragraph", "MIT", 1), (4, "paragraph", "MIT", 2)]
+
+
+def test_entire_texts(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / f).exists() for f in files.values()):
+        pytest.skip("licence texts are not installed here")
+    texts = [(folder / f).read_text() for f in files.values()]
+    rows = found(spark, texts + ["Notes on the third party code.\n\n" + t for t in texts])
+    assert [r[:3] for r in rows if r[0] < len(files)] == [(i, "whole", n) for i, n in enumerate(files)]
+    assert {(len(files) + i, "paragraph", n, 1) for i, n in enumerate(files)} <= set(rows)
