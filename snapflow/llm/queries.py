@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, secrets, simhash, toxicity, warc
+from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, negatives, secrets, simhash, toxicity, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_licenses", licenses.sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find(table(spark, sf_dir, "documents"), licenses.known(spark))
+
+
+@query("op11_hard_negatives", """
+    WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+               FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id, list_inner_product(a.v, r.v)::BIGINT AS score
+          FROM e AS a JOIN e AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+    QUALIFY rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, turned = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    rows = rows.withColumn("label", F.when(turned, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
