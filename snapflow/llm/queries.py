@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, negatives, secrets, simhash, toxicity, warc
+from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, negatives, secrets, simhash, toxicity, trie, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,29 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("label", F.when(turned, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return negatives.mine(rows, F.col("vec_id") % 100 == 0).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query("op12_prefix_trie", """
+    WITH t AS (SELECT conv_id, row(coalesce(role, ''), coalesce(text, '')) AS said,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS at
+               FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, list(said ORDER BY at) AS own,
+                 xor(list_reduce(list_concat([4294967295::UBIGINT], flatten([[ascii(x)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split(conv_id::VARCHAR, '')])),
+                                 lambda a, x: CASE WHEN xor(a, x) % 2 = 1 THEN xor(xor(a, x) >> 1, 3988292384::UBIGINT) ELSE xor(a, x) >> 1 END),
+                     4294967295::UBIGINT) % 6 AS h
+          FROM t GROUP BY conv_id),
+    b AS (SELECT c.conv_id, list_concat(coalesce(p.own, [])[1:c.h::INT], c.own[c.h::INT + 1:]) AS turns
+          FROM c LEFT JOIN c AS p ON p.conv_id = c.conv_id - c.conv_id % 100),
+    m AS (SELECT conv_id, len(turns) AS n, turns[1:d] AS path, d FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM b)),
+    n AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+          FROM m GROUP BY path, d),
+    k AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.d > 0 THEN (n_convs - 1) * length(n.path[n.d][2]) ELSE 0 END AS own_saved
+          FROM n LEFT JOIN k ON k.path = n.path AND k.d = n.d),
+    s AS (SELECT path[1:up] AS path, up AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(own_saved)::BIGINT AS saved_tokens
+          FROM (SELECT path, n_children, own_saved, unnest(range(d + 1)) AS up FROM f) GROUP BY ALL)
+    SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+    FROM f JOIN s ON s.path = f.path AND s.d = f.d LEFT JOIN n AS p ON p.path = f.path[1:f.d - 1] AND p.d = f.d - 1""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(table(spark, sf_dir, "conversations"))
