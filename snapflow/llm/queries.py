@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, negatives, secrets, simhash, toxicity, trie, warc
+from snapflow.llm import ann, bpe, decontam, langid, licenses, lm, negatives, quality, secrets, simhash, toxicity, trie, warc
 from snapflow.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,9 +121,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op12_prefix_trie", """
     WITH t AS (SELECT conv_id, row(coalesce(role, ''), coalesce(text, '')) AS said,
-                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS at
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
                FROM conversations WHERE conv_id IS NOT NULL),
-    c AS (SELECT conv_id, list(said ORDER BY at) AS own,
+    c AS (SELECT conv_id, list(said ORDER BY place) AS own,
                  xor(list_reduce(list_concat([4294967295::UBIGINT], flatten([[ascii(x)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split(conv_id::VARCHAR, '')])),
                                  lambda a, x: CASE WHEN xor(a, x) % 2 = 1 THEN xor(xor(a, x) >> 1, 3988292384::UBIGINT) ELSE xor(a, x) >> 1 END),
                      4294967295::UBIGINT) % 6 AS h
@@ -143,3 +143,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM f JOIN s ON s.path = f.path AND s.d = f.d LEFT JOIN n AS p ON p.path = f.path[1:f.d - 1] AND p.d = f.d - 1""")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.build(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("quality").alias("posterior"))
