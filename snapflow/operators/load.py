@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.operators.joins import probe, text_ids
+from snapflow.operators.joins import among, probe, text_ids
 from snapflow.operators.mapping import conform
 from snapflow.operators.snapshot import as_date, resolve
 
@@ -107,16 +107,35 @@ def _text_id(df: DataFrame, column: str) -> Column:
     return F.col(f"`{resolve(df, column)}`").cast("string")
 
 
+def _held_ids(keyed: DataFrame, current: DataFrame, batch_id: str, table_id: str) -> DataFrame:
+    """Distinct ids of the table, without most of those that no batch row has."""
+    table_id = resolve(current, table_id)
+    near = among(current.select(F.col(f"`{table_id}`")), _text_id(current, table_id), text_ids(keyed, batch_id))
+    return text_ids(near, table_id)
+
+
 def new_rows(batch: DataFrame, current: DataFrame, batch_id: str, table_id: str = "ID") -> DataFrame:
     """Batch rows with a non-null id the table does not hold. Repeated new ids all stay."""
     keyed = batch.filter(F.col(f"`{batch_id}`").isNotNull())
-    return probe(keyed, text_ids(current, resolve(current, table_id)), _text_id(keyed, batch_id), "_id", "left_anti")
+    return probe(keyed, _held_ids(keyed, current, batch_id, table_id), _text_id(keyed, batch_id), "_id", "left_anti")
+
+
+def held_places(current: DataFrame, ids: DataFrame, id_column: str, partitions: Sequence[str]) -> DataFrame:
+    """``_id`` and, as text, ``_p0, _p1, ...``: the partitions in which the table holds each of the distinct text ``ids``.
+
+    One scan that reads the id and the partition columns; rows that cannot match are dropped before the shuffle.
+    """
+    table_id = resolve(current, id_column)
+    narrow = current.select(_text_id(current, table_id).alias("_id"), *[F.col(f"`{p}`").cast("string").alias(f"_p{i}") for i, p in enumerate(partitions)])
+    near = among(narrow.filter(F.col("_id").isNotNull()), F.col("_id"), ids)
+    return probe(near, ids, F.col("_id"), "_id", "left_semi").distinct()
 
 
-def held_rows(batch: DataFrame, current: DataFrame, batch_id: str, table_id: str = "ID") -> DataFrame:
-    """Batch rows whose id the table holds."""
+def split_by_ids(batch: DataFrame, batch_id: str, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Batch rows with a non-null id: those whose id is not in ``held`` (text ``_id``), and those whose id is."""
     keyed = batch.filter(F.col(f"`{batch_id}`").isNotNull())
-    return probe(keyed, text_ids(current, resolve(current, table_id)), _text_id(keyed, batch_id), "_id", "left_semi")
+    ids = held.select("_id").distinct()
+    return tuple(probe(keyed, ids, _text_id(keyed, batch_id), "_id", how) for how in ("left_anti", "left_semi"))
 
 
 def updated_rows(current: DataFrame, batch: DataFrame, id_column: str = "ID",
@@ -143,19 +162,6 @@ def updated_rows(current: DataFrame, batch: DataFrame, id_column: str = "ID",
         else F.col(f"`{c}`") for c in current.columns])
 
 
-def touched_partitions(current: DataFrame, batch: DataFrame, id_column: str, partitions: Sequence[str]) -> DataFrame:
-    """Rows of every partition that holds an id of the batch. NULL partition values count like any other."""
-    held = held_keys(current, batch, id_column).select(*[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(partitions)]).distinct()
-    same = reduce(Column.__and__, [F.col(f"`{p}`").eqNullSafe(F.col(f"_p{i}")) for i, p in enumerate(partitions)])
-    return current.join(held, same, "left_semi")
-
-
-def held_keys(current: DataFrame, batch: DataFrame, id_column: str) -> DataFrame:
-    """Table rows whose id is in the batch."""
-    table_id = resolve(current, id_column)
-    return probe(current, text_ids(batch, resolve(batch, id_column)), _text_id(current, table_id), "_id", "left_semi")
-
-
 def upsert(current: DataFrame, batch: DataFrame, id_column: str = "ID", order_by: Sequence[str] = ("_row",)) -> DataFrame:
     """Existing ids updated, new ids inserted, null ids dropped."""
     fresh = new_rows(batch, current, resolve(batch, id_column), id_column)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from pyspark.sql import types as T
 
 from snapflow.functions.text import has_text
 from snapflow.operators.clean import value_of
-from snapflow.operators.joins import id_set, probe
+from snapflow.operators.joins import id_set, probe, text_ids
 from snapflow.operators.snapshot import as_date, on_day
 from snapflow.result import StepResult
 
@@ -54,6 +57,62 @@ def flag_reference(df: DataFrame, reference: DataFrame, field_column: str, day:
     return checked.select(*kept, F.when(bad, entry).alias(log_column))
 
 
+@dataclass(frozen=True)
+class Check:
+    """One reference check: values of ``field`` have to be ids that ``reference`` holds on the day."""
+
+    field: str
+    name: str
+    reference: DataFrame
+    reference_id: str = "ID"
+    ts_column: str = "TIMESTAMP"
+    id_column: str | None = None
+    entity_type: str = "Unknown"
+    log_column: str = "_reject"
+
+
+def check_rounds(checks: Sequence[Check]) -> list[list[Check]]:
+    """Checks that can run at once: a check sees what earlier ones cleared, so a column that one of them clears and another
+    reads, as its field or in its log, starts a new round."""
+    rounds: list[list[Check]] = []
+    for c in checks:
+        cleared = {x.field for x in rounds[-1]} if rounds else set()
+        if not rounds or c.field in cleared or c.id_column in cleared:
+            rounds.append([])
+        rounds[-1].append(c)
+    return rounds
+
+
+def flag_references(df: DataFrame, checks: Sequence[Check], day: dt.date | str, uid: str = "_uid") -> DataFrame:
+    """``flag_reference`` for the checks of one round in one join; ``uid`` tells the rows of ``df`` apart.
+
+    The values to check become rows of (uid, check, value), which meet one set of ids: each table, id column and snapshot
+    column is read once, however many checks use it. What is unknown comes back as the checks that failed per row. So the
+    batch is shuffled twice, once by value and once by row.
+    """
+    source = lambda c: (c.name.lower(), c.reference_id, c.ts_column)
+    sets = list(dict.fromkeys(source(c) for c in checks))
+    read = {source(c): c for c in checks}
+    ids = reduce(DataFrame.unionByName, [
+        on_day(read[s].reference, s[2], day).select(F.concat(F.lit(f"{i}:"), F.col(f"`{s[1]}`").cast("string")).alias("_id")) for i, s in enumerate(sets)])
+    texts = [value_of(df, c.field).cast("string") for c in checks]
+    asked = F.array(*[F.when(has_text(t), F.struct(F.lit(j).alias("check"), F.concat(F.lit(f"{sets.index(source(c))}:"), t).alias("key")))
+                      for j, (c, t) in enumerate(zip(checks, texts))])
+    melted = df.select(F.col(uid).alias("_of"), F.explode(F.filter(asked, lambda a: a.isNotNull())).alias("a")).select("_of", "a.*")
+    unknown = probe(melted, text_ids(ids, "_id", "_id"), F.col("key"), "_id", "left_anti")
+    failed = unknown.groupBy("_of").agg(F.collect_set("check").alias("_failed"))
+    joined = df.join(failed, df[uid] == failed["_of"], "left").drop("_of")
+    out, bad = {c: F.col(f"`{c}`") for c in df.columns}, []
+    for j, (c, text) in enumerate(zip(checks, texts)):
+        wrong = F.coalesce(F.array_contains("_failed", j), F.lit(False))
+        entry = log_entry("Unknown", c.field, text, c.entity_type, row_id(df, c.id_column), "loading data with empty value", day)
+        bad.append(F.when(wrong, entry).alias(c.log_column))
+        if c.field in df.columns:
+            empty = F.lit("") if isinstance(df.schema[c.field].dataType, T.StringType) else F.lit(None)
+            out[c.field] = F.when(wrong, empty).otherwise(out[c.field])
+    return joined.select(*[v.alias(k) for k, v in out.items()], *bad)
+
+
 def log_rows(df: DataFrame, log_columns: list[str]) -> DataFrame:
     """All attached log rows, in one scan of the frame."""
     entries = F.filter(F.array(*log_columns), lambda e: e.isNotNull())

@@ -7,8 +7,10 @@ A spec is a plain dict in the shape of a job file::
             {"name": ..., "type": "TRIM", "parameters": {...}}]}]}
 
 Steps run in list order; the ``order`` keys are ignored. Transformations only extend the plan. Work happens
-where something is written: clearing, loading, reference checks with their log, links. The batch is settled
-(reliable checkpoint) when several writes read it, and never more than once between two changes.
+where something is written: loading, reference checks with their log, links. The batch is settled (reliable
+checkpoint) when several writes read it. A cleared day or table is only remembered until the next step: an INSERT
+that fills it replaces the old rows in one write, so readers never meet the gap, and a job that breaks off in between
+leaves the old rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +28,13 @@ from pyspark.sql import functions as F
 from snapflow.functions.files import DATE
 from snapflow.operators import clean, link, load, mapping, reference, snapshot
 from snapflow.plans import directory, runlog
+from snapflow.plans.parallel import at_once
 from snapflow.result import StepResult
 from snapflow.session import discard, observed, settled, small_frame
 
 TASK_TYPES = ("TRANSFORMATION", "PERSISTENCE")
 DEFAULT_TABLE = "snapshot_rows"
-SOURCE_COLUMNS = ("_file", "_sheet_index", "_sheet", "_row", "_path", "_uid")
+SOURCE_COLUMNS = ("_file", "_sheet_index", "_sheet", "_row", "_path", "_uid", "_arrived")
 KEY_PROPERTY = "snapflow.primaryKey"
 
 
@@ -112,6 +116,11 @@ class JobRun:
     task: str | None = None
     step: str | None = None
     pending_logs: list[tuple[str | None, str]] = field(default_factory=list)
+    pending_checks: list[reference.Check] = field(default_factory=list)
+    check_counts: list[tuple] = field(default_factory=list)
+    clearing: tuple[str, str | None] | None = None
+    lines: list[DataFrame] = field(default_factory=list)
+    lines_scratch: list[str] = field(default_factory=list)
     pending_counters: list[tuple] = field(default_factory=list)
     reads: set[str] = field(default_factory=set)
     lazy: bool = True
@@ -143,17 +152,51 @@ class JobRun:
         self.pending_counters, (self.task, self.step, self.step_type) = [], (task, step, kind)
 
     def settle(self) -> None:
-        """Compute the batch once, write the reject log that came with it, report its counters."""
+        """Compute the batch once, with the reference checks that are due, write their log, report the counters."""
         if not self.lazy:
             return
         # The written id tells rows apart where file and row number repeat; it is as stable as the file it sits in.
-        frame = settled(self.rows.withColumn("_uid", F.monotonically_increasing_id()), self.scratch)
+        rounds = reference.check_rounds(self.pending_checks)
+        rows = self.rows.withColumn("_uid", F.monotonically_increasing_id())
+        for checks in rounds:
+            if len(checks) == 1:
+                c = checks[0]
+                rows = reference.flag_reference(rows, c.reference, c.field, self.day, c.reference_id, c.ts_column, c.id_column, c.entity_type, c.log_column)
+            else:
+                rows = reference.flag_references(settled(rows, self.scratch), checks, self.day)
+        if self.pending_checks:
+            counts = Observation()
+            rows = rows.observe(counts, F.count(F.lit(1)).alias("rows"), *[F.count(c.log_column).alias(c.log_column) for c in self.pending_checks])
+            for (task, step, kind, report), c in zip(self.check_counts, self.pending_checks):
+                self.pending_counters.append((task, step, kind, counts, lambda r, seen, c=c, report=report: report(r, seen.get("rows", 0), seen.get(c.log_column, 0))))
+        frame = settled(rows, self.scratch)
         self.read_counters()
-        for log_table in dict.fromkeys(t for t, _ in self.pending_logs if t):
-            columns = [c for t, c in self.pending_logs if t == log_table]
-            snapshot.append(self.spark, log_table, fit(self.spark, log_table, reference.log_rows(frame, columns)))
+        for log_table in dict.fromkeys(t for t, _ in self.pending_logs):
+            entries = reference.log_rows(frame, [c for t, c in self.pending_logs if t == log_table])
+            if log_table:
+                snapshot.append(self.spark, log_table, fit(self.spark, log_table, entries))
+            else:
+                self.lines.append(settled(entries, self.lines_scratch))
         self.rows = frame.drop(*[c for _, c in self.pending_logs])
-        self.pending_logs, self.reads, self.lazy, self.counted = [], set(), False, True
+        self.pending_logs, self.pending_checks, self.check_counts, self.reads, self.lazy, self.counted = [], [], [], set(), False, True
+
+    def reading(self, table: str) -> None:
+        """Say that the plan reads a table. What was to be cleared in it goes first."""
+        if self.clearing and snapshot.full_name(self.spark, table) == snapshot.full_name(self.spark, self.clearing[0]):
+            self.clear()
+        self.reads.add(snapshot.full_name(self.spark, table))
+
+    def clear(self) -> None:
+        """Clear now what no INSERT has replaced."""
+        if self.clearing is None:
+            return
+        (target, ts), self.clearing = self.clearing, None
+        if snapshot.full_name(self.spark, target) in self.reads:  # the pending plan still reads what is about to go
+            self.settle()
+        if ts:
+            snapshot.clear_day(self.spark, target, ts, self.day)
+        else:
+            snapshot.clear_all(self.spark, target)
 
     def touch(self, rows: DataFrame) -> None:
         self.rows, self.lazy = rows, True
@@ -236,7 +279,7 @@ def _lookup(run: JobRun, p: dict) -> None:
                           p.get("nullValues") or [])
     _transformed(run, result)
     if result.counters:
-        run.reads.add(name.lower())
+        run.reading(name)
 
         def report(r: JobRun, c: dict) -> None:
             hit, total = c.get("resolved", 0), c.get("rows", 0)
@@ -252,42 +295,41 @@ def _target(run: JobRun, p: dict) -> str:
 
 @step("TRUNCATE", "PERSISTENCE")
 def _truncate(run: JobRun, p: dict) -> None:
+    """Clear the day, or the table. Only noted here: see ``JobRun.clear`` and the INSERT step."""
     target, ts = _target(run, p), p.get("timestampColumn")
-    if target.lower() in run.reads:  # the pending plan still reads what is about to go
-        run.settle()
-    if ts:
-        snapshot.clear_day(run.spark, target, ts, run.day)
-    else:
-        snapshot.clear_all(run.spark, target)
-    run.say("INFO", f"emptied {target}" + (f" of {run.day}" if ts else ""))
+    run.clear()
+    columns = run.spark.table(target).columns  # a table that is not there fails now
+    if ts and snapshot.resolve(run.spark.table(target), ts) not in columns:
+        raise ValueError(f"{target} has no column {ts}")
+    run.clearing = (target, ts)
+    run.say("INFO", f"empties {target}" + (f" of {run.day}" if ts else ""))
 
 
 @step("SELECT", "PERSISTENCE")
 def _select(run: JobRun, p: dict) -> None:
+    run.clear()  # the query may look at the table
     reference.check_query(run.spark, p.get("query", "SELECT 1"))
     run.say("INFO", "check query ran")
 
 
 @step("VALIDATE_REFERENCE", "PERSISTENCE")
 def _validate(run: JobRun, p: dict) -> None:
-    """Consecutive checks pile up in one plan; the step after them settles it and writes the log once."""
+    """Consecutive checks pile up; the step after them runs all of them at once and writes the log once."""
     name = run.table(p["referenceTable"], p.get("schema"))
     column, field_column = f"_reject_{len(run.pending_logs)}", p["fieldColumn"]
-    flagged = reference.flag_reference(
-        run.rows, run.spark.table(name), field_column, run.day, reference_id=p.get("referenceIdColumn", "ID"),
-        ts_column=p.get("timestampColumn", "TIMESTAMP"), id_column=p.get("idColumn"),
-        entity_type=p.get("currentEntityType", "Unknown"), log_column=column)
-    counts = Observation()
-    run.touch(flagged.observe(counts, F.count(column).alias("cleared"), F.count(F.lit(1)).alias("rows")))
+    run.reading(name)
+    run.pending_checks.append(reference.Check(
+        field_column, name, run.spark.table(name), p.get("referenceIdColumn", "ID"), p.get("timestampColumn", "TIMESTAMP"), p.get("idColumn"),
+        p.get("currentEntityType", "Unknown"), column))
     log_table = p.get("etlLogTable")
     run.pending_logs.append((run.table(log_table, p.get("schema")) if log_table else None, column))
-    run.reads.add(name.lower())
+    run.lazy = True
 
-    def report(r: JobRun, c: dict) -> None:
-        r.count("processed", c.get("rows", 0))
-        r.count("cleared", c.get("cleared", 0))
-        r.say("SUMMARY", f"{field_column} against {name}: {c.get('cleared', 0)} unknown values emptied")
-    run.watch(counts, report)
+    def report(r: JobRun, rows: int, cleared: int) -> None:
+        r.count("processed", rows)
+        r.count("cleared", cleared)
+        r.say("SUMMARY", f"{field_column} against {name}: {cleared} unknown values emptied")
+    run.check_counts.append((run.task, run.step, run.step_type, report))
 
 
 def _primary_key(run: JobRun, target: str, p: dict) -> list[str]:
@@ -311,29 +353,34 @@ def _plan_mappings(run: JobRun, target: str, p: dict) -> list[mapping.Mapping]:
 
 @step("INSERT", "PERSISTENCE")
 def _insert(run: JobRun, p: dict) -> None:
-    """Append, skip existing, or upsert. Rows the table would refuse are split off and counted."""
+    """Append, skip existing, upsert, or replace what a TRUNCATE before it cleared. Rows the table would refuse are split
+    off and counted."""
     target, id_column = _target(run, p), p.get("idColumn", "ID")
     upserting, skipping = p.get("upsertMode") is True, p.get("skipExisting") is True
     key = _primary_key(run, target, p)
     if run.pending_logs or run.consumers_left > 1 or key or upserting or skipping:
         run.settle()
     maps = _plan_mappings(run, target, p)
+    replacing = _replaced(run, target, maps, upserting or skipping or not maps)
     schema = run.spark.table(target).schema
     rows, updates, updated = run.rows, None, 0
     if upserting or skipping:
-        current = run.spark.table(run.table(target, p.get("schema")))
-        source = mapping.source_of_column(id_column, maps)
-        keyed = run.rows.withColumn("_id_text", clean.value_of(run.rows, source).cast("string"))
-        rows = load.new_rows(keyed, current, "_id_text", id_column).drop("_id_text")
+        name = run.table(target, p.get("schema"))
+        keyed = run.rows.withColumn("_id_text", clean.value_of(run.rows, mapping.source_of_column(id_column, maps)).cast("string"))
         if upserting:
-            updates = load.held_rows(keyed, current, "_id_text", id_column).drop("_id_text")
+            ids = keyed.select(F.col("_id_text").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+            held = settled(load.held_places(run.spark.table(name), ids, id_column, snapshot.partition_columns(run.spark, name)), run.scratch)
+            rows, updates = (part.drop("_id_text") for part in load.split_by_ids(keyed, "_id_text", held))
+        else:
+            rows = load.new_rows(keyed, run.spark.table(name), "_id_text", id_column).drop("_id_text")
     if not maps:
         run.say("SUMMARY", f"nothing for {target}: no column has a mapping")
         return
     order = [c for c in (*run.order_by, "_uid") if c in rows.columns] or list(run.order_by)
     projected = mapping.project(rows, maps, run.day, carry=order)
     required = [*load.limits_of(schema)[0], *p.get("requiredColumns", [])]  # plain file tables do not keep NOT NULL
-    marked = load.mark_rejects(projected, schema, key, order, existing=run.spark.table(target) if key else None, required=required)
+    existing = _kept(run, target, replacing) if key else None
+    marked = load.mark_rejects(projected, schema, key, order, existing=existing, required=required)
     counts = Observation()
     marked = marked.observe(counts, F.count_if(F.col(load.REASON).isNull()).alias("ok"), F.count(load.REASON).alias("bad"),
                             *[F.count_if(F.col(load.REASON) == r).alias(r) for r in load.REASONS])
@@ -343,9 +390,13 @@ def _insert(run: JobRun, p: dict) -> None:
         snapshot.append(run.spark, rejects, fit(run.spark, rejects, load.reject_rows(marked, order, run.name, target, run.day)))
     good = load.accepted(marked, schema)
     if updates is not None:
-        updated = _apply_updates(run, target, updates, maps, order, id_column, good)
-    else:
+        updated = _apply_updates(run, target, updates, held, maps, order, id_column, good)
+    elif replacing is None:
         snapshot.append(run.spark, target, good)
+    elif replacing:
+        snapshot.overwrite_day(run.spark, target, good, replacing, run.day)
+    else:
+        snapshot.replace_all(run.spark, target, good)
     run.read_counters()
     run.counted = True
     seen = observed(counts)
@@ -363,12 +414,37 @@ def _insert(run: JobRun, p: dict) -> None:
     run.say("SUMMARY", f"{target}, {len(maps)} columns: {ok} rows added, {updated} changed, {bad} refused")
 
 
-def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapping.Mapping], order: list[str],
+def _replaced(run: JobRun, target: str, maps: list[mapping.Mapping], alone: bool) -> str | None:
+    """What the coming write replaces: a day (its column), the whole table (an empty text), or nothing (None).
+
+    Rows can replace a cleared day where all of them are stamped with it. Any other clearing that is due happens now.
+    """
+    if run.clearing is None:
+        return None
+    cleared, ts = run.clearing
+    same = snapshot.full_name(run.spark, cleared) == snapshot.full_name(run.spark, target)
+    stamped = ts is None or any(m.target.upper() == ts.upper() and (m.generate or "").upper() == "TIMESTAMP" for m in maps)
+    if alone or not same or not stamped:
+        run.clear()
+        return None
+    run.clearing = None
+    return ts or ""
+
+
+def _kept(run: JobRun, target: str, replacing: str | None) -> DataFrame | None:
+    """Rows of the table that stay beside the ones being written."""
+    current = run.spark.table(target)
+    if replacing is None:
+        return current
+    return current.filter(~F.col(replacing).eqNullSafe(snapshot.day_value(current, replacing, run.day))) if replacing else None
+
+
+def _apply_updates(run: JobRun, target: str, updates: DataFrame, held: DataFrame, maps: list[mapping.Mapping], order: list[str],
                    id_column: str, inserts: DataFrame) -> int:
     """Write an upsert and return how many batch rows were updates.
 
     Plain files cannot change in place. Where the update leaves the partition columns alone, only the partitions
-    that hold an updated id are rewritten; otherwise the table is. Without updates the new rows are just appended.
+    that hold an updated id are read and rewritten; otherwise the table is. Without updates the new rows are just appended.
     """
     n = updates.count()
     if n and not any(m.target.upper() == id_column.upper() for m in maps):
@@ -381,7 +457,8 @@ def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapp
     changes = mapping.project(updates, maps, run.day, carry=order)
     current, partitions = run.spark.table(target), snapshot.partition_columns(run.spark, target)
     if partitions and not {p.upper() for p in partitions} & {m.target.upper() for m in maps}:
-        affected = load.touched_partitions(current, changes, id_column, partitions)
+        places = {tuple(r) for r in held.drop("_id").distinct().collect()}  # one line per partition
+        affected = snapshot.within(current, places, partitions)
         snapshot.replace_partitions(run.spark, target, load.updated_rows(affected, changes, id_column, order))
         snapshot.append(run.spark, target, inserts)
     else:
@@ -391,6 +468,7 @@ def _apply_updates(run: JobRun, target: str, updates: DataFrame, maps: list[mapp
 
 @step("LINK_PARENT", "PERSISTENCE")
 def _link(run: JobRun, p: dict) -> None:
+    run.clear()
     if run.pending_logs or run.consumers_left > 1:
         run.settle()
     rules, schema = p.get("rules") or [], p.get("schema")
@@ -401,25 +479,30 @@ def _link(run: JobRun, p: dict) -> None:
         p.get("parentObjectsColumn"), p.get("parentTypeColumn"), p.get("separator", "/"), p.get("checkIdColumn", "ID"), ts)
     links = settled(resolved.observe(
         counts, F.count_if(F.col("_found")).alias("linked"), F.count_if(known & ~F.col("_found")).alias("missing"),
-        F.count_if(~known).alias("unknown")), run.scratch)
+        F.count_if(~known).alias("unknown")), run.scratch, by=("_found", "_rule"))  # each write below opens its own folders
     run.read_counters()
     run.counted = True
     for name in dict.fromkeys(r["relationTable"] for r in rules):
         target = run.table(name, schema)
-        for part in link.edges(links, rules, name, run.day, p.get("id1Column", "ID_1"), p.get("id2Column", "ID_2"), ts):
-            snapshot.append(run.spark, target, fit(run.spark, target, part))
+        parts = [fit(run.spark, target, part) for part in link.edges(links, rules, name, run.day, p.get("id1Column", "ID_1"), p.get("id2Column", "ID_2"), ts)]
+        snapshot.append(run.spark, target, reduce(DataFrame.unionByName, parts))
+    lines = link.unknown_log(links, run.day, entity)
+    if rules:
+        lines = lines.unionByName(link.missing_log(links, rules, run.day, entity))
     if p.get("etlLogTable"):
         log_table = run.table(p["etlLogTable"], schema)
-        lines = link.unknown_log(links, run.day, entity)
-        if rules:
-            lines = lines.unionByName(link.missing_log(links, rules, run.day, entity))
         snapshot.append(run.spark, log_table, fit(run.spark, log_table, lines))
+    else:
+        run.lines.append(settled(lines, run.lines_scratch))
     c = {"linked": 0, "missing": 0, "unknown": 0, **observed(counts)}
     for counter in ("linked", "missing", "unknown"):
         run.count(counter, c[counter])
     run.say("SUMMARY", f"parents: {c['linked']} linked, {c['missing']} absent, {c['unknown']} of a type without rule")
 
 
+BUILT_IN = frozenset(STEPS)
+
+
 # ---------------------------------------------------------------- one job
 
 
@@ -437,6 +520,8 @@ class JobResult:
     processed: int = 0
     failed: int = 0
     steps: list[tuple] = field(default_factory=list)
+    lines: list[DataFrame] = field(default_factory=list)  # reject-log rows of steps that name no log table
+    scratch: list[str] = field(default_factory=list)  # where they are written; yours to ``discard``
 
 
 def _now() -> dt.datetime:
@@ -461,6 +546,10 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
                 try:
                     kind, fn = STEPS[s.type]
                     if kind == task.type:
+                        if run.pending_checks and s.type != "VALIDATE_REFERENCE":
+                            run.settle()
+                        if s.type not in BUILT_IN:  # a step of the user's may read any table
+                            run.clear()
                         fn(run, s.params)
                     else:
                         run.say("WARN", f"{s.type} is no step of a {task.type.lower()} task")
@@ -472,7 +561,7 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
                 run.say("INFO", "step ends: SUCCESS")
                 run.steps.append((run.name, task.name, s.name, s.type, "SUCCESS", begun, _now()))
             run.step = None
-            if task.type == "PERSISTENCE" and run.pending_logs:
+            if run.pending_checks:
                 run.settle()
         except Exception as e:  # noqa: BLE001 - a task failure is a result, not a crash
             broken, outcome = True, "FAILED"
@@ -484,6 +573,10 @@ def _run_tasks(run: JobRun, tasks: list[Task], status: dict[str, tuple[str, int,
         if outcome == "FAILED" and task.stop_on_failure:
             run.say("ERROR", f"nothing runs after {task.name}", "job")
             break
+    if not broken:
+        run.clear()
+    elif run.clearing:
+        run.say("WARN", f"{run.clearing[0]} keeps its rows: nothing was loaded in their place", "job")
     if not broken and run.pending_counters:
         run.rows.write.format("noop").mode("overwrite").save()  # nothing wrote the rows; counters need one pass
         run.read_counters()
@@ -504,6 +597,8 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
     status: dict[str, tuple[str, int, int]] = {}
     counters: list[tuple] = []
     steps: list[tuple] = []
+    lines: list[DataFrame] = []
+    kept: list[str] = []
     processed = failed = 0
     tasks: list[Task] = []
     try:
@@ -525,6 +620,8 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
             log += run.log
             counters += run.counters
             steps += run.steps
+            lines += run.lines
+            kept += run.lines_scratch
             processed += run.processed
             failed += run.failed
         states = [s for s, _, _ in status.values()]
@@ -535,7 +632,7 @@ def run_job(spark: SparkSession, spec: dict, batches: DataFrame | dict[str, Data
     end = _now()
     log.append((name, None, None, end, "INFO", name, f"job ends: {outcome}"))
     return JobResult(name, outcome, file_path, spec.get("fileType", "EXCEL").upper(), start, end, log,
-                     [(name, t, *v) for t, v in status.items()], counters, processed, failed, steps)
+                     [(name, t, *v) for t, v in status.items()], counters, processed, failed, steps, lines, kept)
 
 
 @dataclass
@@ -592,26 +689,29 @@ def run_directory_import(spark: SparkSession, sources: dict[str, Callable[[], Da
 
 
 def run_jobs(spark: SparkSession, specs: Iterable[dict], open_batch: Callable[[dict], Opened | None],
-             names: Iterable[str] = (), order_by: Iterable[str] = ("_row",), before: Iterable[JobResult] = ()) -> RunReport:
-    """Run the selected specs. ``open_batch`` gives rows, day and file path; None skips the job, an error fails it.
-    ``before`` are results of imports that ran first and belong into the same report."""
-    results = list(before)
-    for spec in selected(specs, names):
+             names: Iterable[str] = (), order_by: Iterable[str] = ("_row",), before: Iterable[JobResult] = (), parallel: int = 1) -> RunReport:
+    """Run the selected specs, up to ``parallel`` of them at once. ``open_batch`` gives rows, day and file path; None skips the
+    job, an error fails it. ``before`` are results of imports that ran first and belong into the same report.
+
+    The report lists jobs in the order of the specs. Jobs that run at once see each other's tables as they happen to be;
+    writes to one table take turns. Specs that depend on each other belong into separate calls.
+    """
+    order_by = tuple(order_by)
+
+    def run(spec: dict) -> JobResult:
+        kind = spec.get("fileType", "EXCEL").upper()
         try:
             opened = open_batch(spec)
         except Exception as e:  # noqa: BLE001 - one job must not stop the others
             at = _now()
-            results.append(JobResult(spec["name"], "FAILED", "N/A", spec.get("fileType", "EXCEL").upper(), None, at,
-                                     [(spec["name"], None, None, at, "ERROR", spec["name"], f"no batch: {e}")], [], []))
-            continue
+            return JobResult(spec["name"], "FAILED", "N/A", kind, None, at, [(spec["name"], None, None, at, "ERROR", spec["name"], f"no batch: {e}")], [], [])
         if opened is None:
             at = _now()
-            results.append(JobResult(spec["name"], "SKIPPED", "N/A", spec.get("fileType", "EXCEL").upper(), None, at,
-                                     [(spec["name"], None, None, at, "WARN", spec["name"], "left out: its dump is not there")], [], []))
-            continue
+            return JobResult(spec["name"], "SKIPPED", "N/A", kind, None, at, [(spec["name"], None, None, at, "WARN", spec["name"], "left out: its dump is not there")], [], [])
         rows, day, path = opened
-        results.append(run_job(spark, spec, rows, day, order_by, path))
-    return RunReport(uuid.uuid4().hex, results, spark)
+        return run_job(spark, spec, rows, day, order_by, path)
+
+    return RunReport(uuid.uuid4().hex, [*before, *at_once(spark, run, selected(specs, names), parallel)], spark)
 
 
 def open_dump(spark: SparkSession, directory: str | None = None) -> Callable[[dict], Opened]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from snapflow.functions.text import has_text
 from snapflow.operators.joins import tagged
 from snapflow.operators.snapshot import as_date, on_day, overwrite_day
+from snapflow.plans.parallel import at_once
 from snapflow.session import discard, settled, small_frame
 
 
@@ -76,6 +77,7 @@ RULES = [
 ]
 
 Tables = Callable[[str], DataFrame]
+GROUPS_AT_ONCE = 4  # rule groups that are run and written at a time
 
 
 @dataclass
@@ -159,7 +161,9 @@ def _rule_rows(tables: Tables, day: dt.date | str, rules: Sequence[Rule], scratc
     """Non-blank ``(role, owner)`` of every rule that can run, repeats included, and why the others cannot."""
     tables = lru_cache(maxsize=None)(tables)  # one analysed frame per table, however many rules read it
     failures: dict[str, str] = {}
-    parts = [frame for group in _groups(rules) for frame in _ran(group, tables, day, failures, scratch)]
+    groups = _groups(rules)
+    answers = at_once(SparkSession.active(), lambda group: _ran(group, tables, day, failures, scratch), groups, GROUPS_AT_ONCE)
+    parts = [frame for frames in answers for frame in frames]
     if not parts:
         raise ValueError(f"no rule can run: {failures}")
     managers = [r for r in rules if r.kind == "manager_is" and r.role not in failures]

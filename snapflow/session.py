@@ -54,32 +54,48 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+def settled(df: DataFrame, scratch: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Compute a frame once and cut its lineage: written to the shared folder and read back.
 
     Used where several writes read one frame and where an iterative plan would grow. The rows sit in shared
     storage, so a lost executor neither recomputes nor changes them; being columnar, each reader only scans the
-    columns it needs, and Spark knows the size. ``scratch`` collects the path for ``discard``.
+    columns it needs, and Spark knows the size. ``scratch`` collects the path for ``discard``. ``by`` names columns whose
+    values get a folder each, so that a reader of one value opens its files only; they come last in the frame.
     """
     path = shared_path(df.sparkSession, "settled")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     if scratch is not None:
         scratch.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fields = sorted(df.schema.fields, key=lambda f: f.name in by)
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files and folders right below a folder."""
+    target, fs = _path(spark, folder)
+    return [status.getPath().toString() for status in fs.listStatus(target)]
 
 
 def discard(spark: SparkSession, scratch: list[str]) -> None:
     """Delete settled frames that nothing reads any more."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in scratch:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+        delete(spark, path)
     scratch.clear()
 
 
 def file_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, fs = _path(spark, path)
+    return fs.exists(target)
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
