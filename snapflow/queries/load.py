@@ -239,3 +239,80 @@ def c17(spark, sf):
     lines.createOrReplaceTempView("c17_lineitem")
     answer = reference.check_query(spark, "SELECT count(*) FROM c17_lineitem")
     return lines.groupBy().agg(F.lit(answer).cast("long").alias("answer"))
+
+
+def _day_region(spark, name):
+    from snapflow.session import shared_path
+
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (ID STRING, AMOUNT DOUBLE, TIMESTAMP TIMESTAMP, REGION STRING) USING parquet PARTITIONED BY (TIMESTAMP, REGION) "
+              f"LOCATION '{shared_path(spark, name)}'")
+
+
+def _amounts(spark, sf, condition, factor=1):
+    return table(spark, sf, "orders").filter(condition).select(
+        F.col("o_orderkey").cast("string").alias("Id"), (F.col("o_totalprice") * factor).alias("Amount"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("Region"), F.col("o_orderkey").alias("_row"))
+
+
+@query("C1_day_region_table", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS "ID", o_totalprice * CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS "AMOUNT",
+           CASE o_orderstatus WHEN 'F' THEN TIMESTAMP '2026-03-02' ELSE TIMESTAMP '2026-03-01' END AS "TIMESTAMP",
+           CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS "REGION"
+    FROM orders WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderpriority <> '2-HIGH')""")
+def c1_day_region(spark, sf):
+    """A job replaces one day of a table partitioned by day and region, with rows that lack one of the day's regions."""
+    from snapflow.plans.job import run_job
+
+    name = "c1_day_region"
+    _day_region(spark, name)
+    spec = {"name": "regions", "tasks": [{"name": "load", "type": "PERSISTENCE", "subtasks": [
+        {"name": "clear", "type": "TRUNCATE", "parameters": {"tableName": name, "timestampColumn": "TIMESTAMP"}},
+        {"name": "insert", "type": "INSERT", "parameters": {"tableName": name, "mappings": [{"dbColumn": "TIMESTAMP", "autoGenerate": "TIMESTAMP"}]}}]}]}
+    for batch, day in ((_amounts(spark, sf, "o_orderstatus = 'O'"), "2026-03-01"), (_amounts(spark, sf, "o_orderstatus = 'P'"), "2026-03-02"),
+                       (_amounts(spark, sf, "o_orderstatus = 'F' AND o_orderpriority <> '2-HIGH'", 2), "2026-03-02")):
+        run_job(spark, spec, batch, day)
+    return spark.table(name)
+
+
+@query("C11_upsert_partitions", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS "ID", o_totalprice * CASE WHEN o_orderstatus = 'O' AND o_orderkey % 10 = 0 THEN 3 ELSE 1 END AS "AMOUNT",
+           CASE WHEN o_orderstatus = 'F' THEN TIMESTAMP '2026-03-02' WHEN o_orderstatus = 'O' THEN TIMESTAMP '2026-03-01' END AS "TIMESTAMP",
+           CASE WHEN o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' THEN o_orderpriority END AS "REGION" FROM orders
+    WHERE o_orderstatus <> 'P' OR o_orderkey % 10 = 0""")
+def c11_partitions(spark, sf):
+    """An upsert whose ids lie in the regions of one of two days, or are new: only those partitions are rewritten."""
+    from snapflow.plans.job import run_job
+
+    name = "c11_partitions"
+    _day_region(spark, name)
+    stamped = lambda rows, day: rows.select(F.col("Id").alias("ID"), F.col("Amount").alias("AMOUNT"), F.lit(day).cast("timestamp").alias("TIMESTAMP"),
+                                            F.col("Region").alias("REGION"))
+    snapshot.append(spark, name, stamped(_amounts(spark, sf, "o_orderstatus = 'O'"), "2026-03-01"))
+    snapshot.append(spark, name, stamped(_amounts(spark, sf, "o_orderstatus = 'F'"), "2026-03-02"))
+    spec = {"name": "prices", "tasks": [{"name": "load", "type": "PERSISTENCE", "subtasks": [
+        {"name": "upsert", "type": "INSERT", "parameters": {"tableName": name, "upsertMode": True}}]}]}
+    changed = _amounts(spark, sf, "o_orderkey % 10 = 0 AND o_orderstatus = 'O'", 3).unionByName(_amounts(spark, sf, "o_orderkey % 10 = 0 AND o_orderstatus = 'P'"))
+    run_job(spark, spec, changed.drop("Region"), "2026-03-03")
+    return spark.table(name)
+
+
+@query("C13_several_checks", """
+    WITH good AS (SELECT 'C' || c_custkey AS id FROM customer WHERE c_acctbal > 0),
+    batch AS (SELECT o_orderkey AS k, 'C' || o_custkey AS a, CASE WHEN o_orderkey % 3 <> 0 THEN 'C' || (o_custkey + 1) END AS b,
+                     CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE 'C' || (o_custkey * 2) END AS c FROM orders)
+    SELECT k, CASE WHEN a IN (SELECT id FROM good) THEN a ELSE '' END AS a, CASE WHEN b IS NULL OR b IN (SELECT id FROM good) THEN b ELSE '' END AS b,
+           CASE WHEN c = ' ' OR c IN (SELECT id FROM good) THEN c ELSE '' END AS c,
+           (CASE WHEN a IN (SELECT id FROM good) THEN 0 ELSE 1 END) + (CASE WHEN b IS NULL OR b IN (SELECT id FROM good) THEN 0 ELSE 1 END)
+           + (CASE WHEN c = ' ' OR c IN (SELECT id FROM good) THEN 0 ELSE 1 END) AS cleared FROM batch""")
+def c13_several(spark, sf):
+    """Three fields against one set of ids, in one join."""
+    people = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.concat(F.lit("C"), "c_custkey").alias("ID"), F.lit(DAY).cast("timestamp").alias("TIMESTAMP"))
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    batch = table(spark, sf, "orders").select(
+        key.alias("k"), F.concat(F.lit("C"), customer).alias("a"), F.when(key % 3 != 0, F.concat(F.lit("C"), customer + 1)).alias("b"),
+        F.when(key % 5 == 0, F.lit(" ")).otherwise(F.concat(F.lit("C"), customer * 2)).alias("c"))
+    checks = [reference.Check(f, "people", people, log_column=f"_{f}") for f in "abc"]
+    flagged = reference.flag_references(batch, checks, DAY, uid="k")
+    cleared = sum((F.col(f"_{f}").isNotNull().cast("int") for f in "abc"), F.lit(0))
+    return flagged.select("k", "a", "b", "c", cleared.alias("cleared"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.plans import job, runlog, shapes
@@ -266,6 +269,30 @@ def g2_sheets(spark, sf):
     return both.unionByName(spark.table("g2s_supplier").withColumn("sheet", F.lit("supplier")))
 
 
+@query("G2_jobs_at_once", """
+    SELECT 'customers' AS job, 'SUCCESS' AS status, CAST(c_custkey AS VARCHAR) AS "ID" FROM customer
+    UNION ALL SELECT 'suppliers', 'SUCCESS', CAST(s_suppkey AS VARCHAR) FROM supplier
+    UNION ALL SELECT 'parts', 'SUCCESS', CAST(p_partkey AS VARCHAR) FROM part""")
+def g2_at_once(spark, sf):
+    """Three specs at once, two of which replace their table while the third fills its own day."""
+    keys = {"customers": ("customer", "c_custkey"), "suppliers": ("supplier", "s_suppkey"), "parts": ("part", "p_partkey")}
+    specs = []
+    for name in keys:
+        _create(spark, f"g2p_{name}", "ID STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP" if name == "parts" else None)
+        clear = {"timestampColumn": "TIMESTAMP"} if name == "parts" else {}
+        specs.append(shapes.job(name, name, [shapes.step("trim", "TRIM")], [
+            shapes.step("clear", "TRUNCATE", tableName=f"g2p_{name}", **clear), shapes.step("load", "INSERT", tableName=f"g2p_{name}", mappings=[shapes.STAMP])]))
+
+    def opened(spec):
+        source, key = keys[spec["name"]]
+        return table(spark, sf, source).select(F.col(key).cast("string").alias("Id"), F.col(key).alias("_row")), DAY, "N/A"
+
+    for _ in range(2):
+        report = job.run_jobs(spark, specs, opened, parallel=3)
+    rows = reduce(DataFrame.unionByName, [spark.table(f"g2p_{n}").select(F.lit(n).alias("job"), "ID") for n in keys])
+    return report.jobs().select("job", "status").join(rows, "job")
+
+
 @query("H1_file_drop_ingestion", """
     SELECT CAST(o_orderkey AS VARCHAR) AS "ID", CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END * o_totalprice AS "AMOUNT",
            CASE o_orderstatus WHEN 'O' THEN TIMESTAMP '2026-03-03' ELSE TIMESTAMP '2026-03-02' END AS "TIMESTAMP"

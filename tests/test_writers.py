@@ -1,0 +1,271 @@
+"""Replacing, upserting, checking and running at once: what is written, what is read, and what stays untouched."""
+
+import datetime as dt
+import random
+import re
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from snapflow.operators import load, reference, snapshot
+from snapflow.operators.joins import among, text_ids
+from snapflow.plans import job, shapes
+from snapflow.plans.parallel import at_once
+
+DAY, TS, OLD = "2026-03-02", dt.datetime(2026, 3, 2), dt.datetime(2026, 3, 1)
+ROWS = "ID string, REGION string, TS timestamp"
+
+
+def files(spark, name, part=""):
+    return {f for f in spark.table(name).inputFiles() if part in f}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def regions(spark, table):
+    def make(partition):
+        name = table("ID STRING, REGION STRING, TS TIMESTAMP", partition)
+        snapshot.append(spark, name, spark.createDataFrame(
+            [("a", "ES", OLD), ("b", "FR", OLD), ("c", "ES", TS), ("d", "FR", TS), ("e", None, TS), ("n", "ES", None)], ROWS).coalesce(1))
+        return name
+    return make
+
+
+@pytest.mark.parametrize("partition", ["TS, REGION", "REGION, TS", "TS", "REGION", None])
+def test_replacing_a_day(spark, regions, partition):
+    name = regions(partition)
+    before, mode = files(spark, name), spark.conf.get(snapshot.OVERWRITE_MODE)
+    others = [("a", "ES", OLD), ("b", "FR", OLD), ("n", "ES", None)]
+    snapshot.overwrite_day(spark, name, spark.createDataFrame([("x", "ES", None), ("y", "IT", OLD)], ROWS), "ts", DAY)
+    assert values(spark.table(name), "ID", "REGION", "TS") == sorted([*others, ("x", "ES", TS), ("y", "IT", TS)])
+    if partition and "TS" in partition:
+        assert {f for f in before if "TS=2026-03-02" not in f.replace("%20", " ")} <= files(spark, name)
+    snapshot.clear_day(spark, name, "TS", DAY)
+    snapshot.clear_day(spark, name, "TS", DAY)
+    assert values(spark.table(name), "ID", "REGION", "TS") == sorted(others)
+    assert spark.conf.get(snapshot.OVERWRITE_MODE) == mode
+
+
+def test_regions_with_odd_names(spark, regions):
+    name = regions("TS, REGION")
+    odd = ["it's", "back\\slash", "a=b/c", "é ", "", "null"]
+    snapshot.overwrite_day(spark, name, spark.createDataFrame([(str(i), r, TS) for i, r in enumerate(odd)], ROWS), "TS", DAY)
+    snapshot.overwrite_day(spark, name, spark.createDataFrame([("z", "ES", TS)], ROWS), "TS", DAY)
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID") == [("z",)]
+
+
+def test_a_batch_that_fails_leaves_the_day(spark, regions):
+    name = regions("TS, REGION")
+    before = values(spark.table(name))
+    broken = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("broken"))).otherwise(F.lit("x")).alias("ID"), F.lit("ES").alias("REGION"), F.lit(TS).alias("TS"))
+    for write in (lambda: snapshot.overwrite_day(spark, name, broken, "TS", DAY), lambda: snapshot.replace_all(spark, name, broken),
+                  lambda: snapshot.replace_partitions(spark, name, broken)):
+        with pytest.raises(Exception, match="broken"):
+            write()
+        assert values(spark.table(name)) == before
+
+
+def spec(target, *steps, insert=None):
+    mappings = [{"dbColumn": "TS", "autoGenerate": "TIMESTAMP"}]
+    return shapes.job("j", "J", [], [shapes.step("clear", "TRUNCATE", tableName=target, timestampColumn="TS"), *steps,
+                                     shapes.step("load", "INSERT", tableName=target, **{"mappings": mappings, **(insert or {})})])
+
+
+def batch(spark, *ids):
+    return spark.createDataFrame([(i, "ES", n) for n, i in enumerate(ids)], "Id string, Region string, _row long")
+
+
+def said(result, level):
+    return [line[6] for line in result.log if line[4] == level]
+
+
+def test_a_cleared_day_is_replaced_in_one_write(spark, regions, monkeypatch):
+    name, seen = regions("TS, REGION"), []
+    swap = snapshot._overwrite
+    monkeypatch.setattr(snapshot, "_overwrite", lambda s, t, path, mode: (seen.append(sorted(r[0] for r in values(s.table(t).filter(F.col("TS") == TS), "ID"))), swap(s, t, path, mode)))
+    result = job.run_job(spark, spec(name), batch(spark, "x", "y"), DAY)
+    assert result.status == "SUCCESS" and seen == [["c", "d", "e"]]  # one swap, and the old rows are there until it
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID") == [("x",), ("y",)]
+
+
+def test_a_job_that_breaks_off_keeps_the_day(spark, regions):
+    name = regions("TS")
+    result = job.run_job(spark, spec(name, shapes.step("gate", "SELECT", query="SELECT 1 WHERE false")), batch(spark, "x"), DAY)
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID") == []  # the query may look at the table, so it is cleared before
+    name = regions("TS")
+    result = job.run_job(spark, spec(name, shapes.step("check", "VALIDATE_REFERENCE", fieldColumn="Id", referenceTable="no_such_table")), batch(spark, "x"), DAY)
+    assert result.status == "FAILED" and f"{name} keeps its rows: nothing was loaded in their place" in said(result, "WARN")
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID") == [("c",), ("d",), ("e",)]
+
+
+def test_clearing_without_a_load_and_loads_that_cannot_replace(spark, regions):
+    name = regions("TS")
+    only = {"name": "j", "tasks": spec(name)["tasks"][:1]}
+    only["tasks"][0]["subtasks"] = only["tasks"][0]["subtasks"][:1]
+    assert job.run_job(spark, only, batch(spark, "x"), DAY).status == "SUCCESS"
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID") == []
+    name = regions("TS")  # the rows bring their own day, so the day is cleared and they are added
+    rows = batch(spark, "x").withColumn("Ts", F.lit(OLD))
+    assert job.run_job(spark, spec(name, insert={"mappings": []}), rows, DAY).status == "SUCCESS"
+    assert values(spark.table(name), "ID") == [("a",), ("b",), ("n",), ("x",)]
+    name, other = regions("TS"), regions("TS")
+    two = spec(name)
+    two["tasks"][0]["subtasks"][1]["parameters"]["tableName"] = other
+    assert job.run_job(spark, two, batch(spark, "x"), DAY).status == "SUCCESS"
+    assert values(spark.table(name), "ID") == [("a",), ("b",), ("n",)] and spark.table(other).count() == 7
+
+
+def test_replacing_with_keys_lookups_and_skips(spark, regions):
+    name = regions("TS, REGION")
+    keyed = spec(name, insert={"primaryKey": ["ID"]})
+    result = job.run_job(spark, keyed, batch(spark, "c", "a", "x", "x"), DAY)  # c goes with its day, a is held by another one
+    assert (result.processed, result.failed) == (2, 2) and values(spark.table(name).filter(F.col("TS") == TS), "ID") == [("c",), ("x",)]
+    look = shapes.step("look", "LOOKUP", sourceColumn="Id", targetColumn="Region", referenceTable=name, referenceKeyColumn="ID", referenceValueColumn="REGION")
+    before = {"name": "j", "tasks": [{"name": "clean", "type": "TRANSFORMATION", "subtasks": [look]}, *spec(name)["tasks"]]}
+    assert job.run_job(spark, before, batch(spark, "c", "q"), DAY).status == "SUCCESS"
+    assert values(spark.table(name).filter(F.col("TS") == TS), "ID", "REGION") == [("c", "ES"), ("q", None)]
+    skipped = job.run_job(spark, spec(name, insert={"skipExisting": True}), batch(spark, "c", "a", "w"), DAY)
+    assert skipped.processed == 2 and values(spark.table(name).filter(F.col("TS") == TS), "ID") == [("c",), ("w",)]
+
+
+# ---------------------------------------------------------------- ids
+
+
+def test_the_id_map_keeps_every_held_id_and_few_others(spark):
+    ids = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") * 7).alias("_id"))
+    table = spark.range(50_000).select(F.concat(F.lit("k"), "id").alias("ID"), F.lit(1).alias("x"))
+    kept = {r["ID"] for r in among(table, F.col("ID"), ids).collect()}
+    held = {f"k{i * 7}" for i in range(3000)}
+    assert held <= kept and len(kept) <= len(held) + 20
+    assert among(table.limit(0), F.col("ID"), ids).count() == 0 and among(table, F.col("ID"), ids.limit(0)).count() == 0
+
+
+def test_a_skip_load_shuffles_no_foreign_ids(spark):
+    current = spark.range(100_000).select(F.concat(F.lit("t"), "id").alias("ID"))
+    rows = spark.createDataFrame([("t5", 0), ("new", 1), (None, 2)], "Id string, _row long")
+    fresh = load.new_rows(rows, current, "Id")
+    assert values(fresh) == [("new", 1)]
+    near = among(current, F.col("ID"), text_ids(rows, "Id"))
+    assert near.count() <= 3
+    text = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("BITMAP") > 0 if "BITMAP" in text else "bitmap_construct_agg" in text
+
+
+def test_an_upsert_reads_only_the_touched_partitions(spark, regions):
+    name = regions("TS, REGION")
+    ids = spark.createDataFrame([("c",), ("e",), ("zz",)], "_id string")
+    held = load.held_places(spark.table(name), ids, "ID", ["TS", "REGION"])
+    assert values(held) == [("c", "2026-03-02 00:00:00", "ES"), ("e", "2026-03-02 00:00:00", None)]
+    places = {tuple(r) for r in held.drop("_id").distinct().collect()}
+    affected = snapshot.within(spark.table(name), places, ["TS", "REGION"])
+    assert values(affected, "ID") == [("c",), ("e",)]
+    text = plan(load.updated_rows(affected, spark.createDataFrame([("c", "C", 0)], "ID string, NOTE string, _row long"), "ID"))
+    scan = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text)
+    assert text.count(f"FileScan parquet spark_catalog.default.{name}") <= 1 and "2026-03-02" in scan.group(1) and "REGION" in scan.group(1)
+    # the metadata shows it too: only those files are listed
+    assert {f for f in affected.inputFiles()} <= files(spark, name)
+    assert values(snapshot.within(spark.table(name), set(), ["TS", "REGION"])) == []
+
+
+def test_upsert_job_leaves_other_partitions(spark, regions):
+    name = regions("TS, REGION")
+    before = files(spark, name)
+    rows = spark.createDataFrame([("c", 0), ("new", 1)], "Id string, _row long")
+    up = {"name": "j", "tasks": [{"name": "t", "type": "PERSISTENCE", "subtasks": [
+        {"name": "u", "type": "INSERT", "parameters": {"tableName": name, "upsertMode": True, "autoMap": False,
+                                                      "mappings": [{"excelColumn": "Id", "dbColumn": "ID"}]}}]}]}
+    result = job.run_job(spark, up, rows, DAY)
+    assert result.status == "SUCCESS" and {r[0] for r in values(spark.table(name), "ID")} == {"a", "b", "c", "d", "e", "n", "new"}
+    assert before <= files(spark, name)  # nothing but the id is mapped, so nothing is rewritten
+
+
+# ---------------------------------------------------------------- checks
+
+
+def random_rows(spark, n=300):
+    rng = random.Random(4)
+    pick = lambda: rng.choice(["p1", "p2", "gone", " ", "", None, "P1"])
+    return spark.createDataFrame([(i, pick(), pick(), pick(), rng.choice([1, 2, 9, None])) for i in range(n)], "_uid long, a string, b string, c string, d int")
+
+
+def test_checks_in_one_join_equal_checks_in_turn(spark):
+    people = spark.createDataFrame([("p1", TS), ("p2", OLD), ("p2", TS), ("1", TS)], "ID string, TIMESTAMP timestamp")
+    firms = spark.createDataFrame([("gone", TS)], "NO string, TIMESTAMP timestamp")
+    rows = random_rows(spark)
+    checks = [reference.Check("a", "people", people, id_column="c", log_column="_0"), reference.Check("b", "People", people, log_column="_1"),
+              reference.Check("d", "people", people, entity_type="E", log_column="_2"), reference.Check("c", "firms", firms, "NO", log_column="_3"),
+              reference.Check("absent", "firms", firms, "NO", log_column="_4"), reference.Check("a", "firms", firms, "NO", id_column="b", log_column="_5")]
+    rounds = reference.check_rounds(checks)
+    assert [[c.log_column for c in r] for r in rounds] == [["_0", "_1", "_2", "_3", "_4"], ["_5"]]
+    one, turn = rows, rows
+    for r in rounds:
+        one = reference.flag_references(one, r, DAY)
+    for c in checks:
+        turn = reference.flag_reference(turn, c.reference, c.field, DAY, c.reference_id, c.ts_column, c.id_column, c.entity_type, c.log_column)
+    assert values(one.select(*turn.columns)) == values(turn) and turn.filter("_0 is not null").count() > 10
+    assert values(reference.flag_references(rows.limit(0), rounds[0], DAY)) == []
+
+
+def test_a_check_that_logs_a_cleared_column_waits(spark):
+    people = spark.createDataFrame([("p1", TS)], "ID string, TIMESTAMP timestamp")
+    checks = [reference.Check("a", "people", people), reference.Check("b", "people", people, id_column="a")]
+    assert len(reference.check_rounds(checks)) == 2
+
+
+def test_seven_checks_read_the_reference_once(spark, table):
+    people = table("ID STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP")
+    spark.sql(f"INSERT INTO {people} VALUES ('x', TIMESTAMP'2026-03-02')")
+    rows = spark.range(100).select(F.col("id").alias("_uid"), *[F.concat(F.lit("v"), "id").alias(f"f{i}") for i in range(7)])
+    checks = [reference.Check(f"f{i}", people, spark.table(people), log_column=f"_{i}") for i in range(7)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(reference.flag_references(rows, checks, DAY))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("FileScan parquet") == 1
+    # by value and by row for the batch; the ids and the failed rows once each
+    exchanges = [line for line in text.splitlines() if re.search(r"[-+] Exchange ", line)]
+    assert len(exchanges) <= 6 and sum("_uid" in line for line in exchanges) == 1 and sum("_probe_key" in line for line in exchanges) == 2
+
+
+def test_reject_lines_without_a_log_table(spark, table):
+    people, target = table("ID STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP"), table("ID STRING, OWNER STRING, MATE STRING")
+    rows = spark.createDataFrame([("1", "gone", "lost", 0), ("2", None, None, 1)], "Id string, Owner string, Mate string, _row long")
+    steps = [{"name": f"c{f}", "type": "VALIDATE_REFERENCE", "parameters": {"fieldColumn": f, "referenceTable": people, "idColumn": "Id"}} for f in ("Owner", "Mate")]
+    result = job.run_job(spark, {"name": "j", "tasks": [{"name": "t", "type": "PERSISTENCE", "subtasks": [
+        *steps, {"name": "i", "type": "INSERT", "parameters": {"tableName": target}}]}]}, rows, DAY)
+    assert result.status == "SUCCESS" and values(spark.table(target)) == [("1", "", ""), ("2", None, None)]
+    assert [values(f, "A", "WHERE_B", "CAUSE") for f in result.lines] == [[("Mate", "lost", "1"), ("Owner", "gone", "1")]] and result.scratch
+    assert {(c[2], c[4]): c[5] for c in result.counters}["cOwner", "cleared"] == 1
+
+
+# ---------------------------------------------------------------- at once
+
+
+def test_jobs_at_once_equal_jobs_in_turn(spark, table):
+    reports = []
+    for parallel in (1, 4):
+        names = [table("ID STRING, TS TIMESTAMP", "TS") for _ in range(3)]
+        shared = table("ID STRING, TS TIMESTAMP", "TS")
+        specs = [{**spec(n), "name": f"own{i}"} for i, n in enumerate(names)]
+        specs += [{"name": f"add{i}", "tasks": [{"name": "t", "type": "PERSISTENCE", "subtasks": [
+            {"name": "i", "type": "INSERT", "parameters": {"tableName": shared}}]}]} for i in range(4)] + [{"name": "none"}]
+
+        def opened(s):
+            if s["name"] == "none":
+                raise FileNotFoundError("no dump")
+            return batch(spark, f"{s['name']}-1", f"{s['name']}-2"), DAY, "N/A"
+
+        report = job.run_jobs(spark, specs, opened, parallel=parallel)
+        reports.append(([(r.name, r.status, r.processed, sorted(c[2:] for c in r.counters)) for r in report.results], [values(spark.table(n)) for n in names], values(spark.table(shared))))
+    assert reports[0] == reports[1] and len(reports[0][2]) == 8 and reports[0][0][-1][:2] == ("none", "FAILED")
+
+
+def test_at_once_keeps_the_order_and_raises(spark):
+    assert at_once(spark, lambda x: x * x, range(9), 4) == [x * x for x in range(9)] and at_once(spark, str, [], 4) == []
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, lambda x: 1 // x, [1, 0, 2], 2)
