@@ -664,7 +664,7 @@ class RunReport:
         return small_frame(self.spark, lines, runlog.JOBS)
 
 
-Opened = tuple[DataFrame | dict[str, DataFrame], dt.date | str, str]
+Opened = tuple  # rows or rows by sheet, day, file path, and where an opener wrote rows: paths to discard after the job
 
 
 def run_directory_import(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], day: dt.date | str,
@@ -708,8 +708,11 @@ def run_jobs(spark: SparkSession, specs: Iterable[dict], open_batch: Callable[[d
         if opened is None:
             at = _now()
             return JobResult(spec["name"], "SKIPPED", "N/A", kind, None, at, [(spec["name"], None, None, at, "WARN", spec["name"], "left out: its dump is not there")], [], [])
-        rows, day, path = opened
-        return run_job(spark, spec, rows, day, order_by, path)
+        rows, day, path, *scratch = opened
+        result = run_job(spark, spec, rows, day, order_by, path)
+        for written in scratch:
+            discard(spark, written)
+        return result
 
     return RunReport(uuid.uuid4().hex, [*before, *at_once(spark, run, selected(specs, names), parallel)], spark)
 
@@ -718,7 +721,7 @@ def open_dump(spark: SparkSession, directory: str | None = None) -> Callable[[di
     """Opener for a folder of dated dumps: newest file of the spec's dataset, its date, its sheets.
     Without a folder the spec names the file itself."""
     from snapflow.sources.files import resolve_dump
-    from snapflow.sources.workbook import read_workbook, sheet_catalog
+    from snapflow.sources.workbook import read_sheets, read_workbook
     from snapflow.sources.xmlrows import read_xml
 
     def opener(spec: dict) -> Opened:
@@ -729,7 +732,7 @@ def open_dump(spark: SparkSession, directory: str | None = None) -> Callable[[di
             rows = read_xml(spark, path, (spec.get("parameters") or {}).get("rowTag"))
             return rows.withColumn("_row", F.monotonically_increasing_id()), day, path
         if spec.get("processAllSheets", False):
-            names = [r["_sheet"] for r in sheet_catalog(spark, path).orderBy("_sheet_index").collect()]
-            return {n: read_workbook(spark, path, sheet_name=n) for n in names}, day, path
+            scratch: list[str] = []
+            return read_sheets(spark, path, scratch), day, path, scratch
         return read_workbook(spark, path, sheet_index=max(0, spec.get("sheetIndex", 0))), day, path
     return opener

@@ -25,18 +25,37 @@ def header_rows(raw: DataFrame, sheet: Sequence[str] = ("_file", "_sheet"), orde
     return first.select(*sheet, "_header_row", names.alias("headers"))
 
 
+def header_places(headers: DataFrame, key: str) -> DataFrame:
+    """``key, n, columns, far``: per sheet the number of header cells and, by name, the positions that bear it, first position first.
+
+    A name of the form ``column_<j>`` with j beyond the header also names the cell at j; ``far`` lists those cells.
+    """
+    n = F.size("headers").alias("n")
+    cells = headers.select(key, n, F.posexplode("headers").alias("i", "name"))
+    j = F.regexp_extract("name", r"^column_(0|[1-9]\d*)$", 1).try_cast("int")
+    cells = cells.withColumn("j", F.when(j >= F.col("n"), j))
+    named = cells.groupBy(key, "name").agg(F.sort_array(F.collect_list("i")).alias("places"), F.max("j").alias("j"), F.max("n").alias("n"))
+    places = F.when(F.col("j").isNotNull(), F.concat("places", F.array("j"))).otherwise(F.col("places"))
+    return named.groupBy(key).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct(F.get("places", F.lit(0)).alias("at"), "name", places.alias("places")))).alias("columns"),
+                                  F.collect_list("j").alias("far"))
+
+
 def with_headers(raw: DataFrame, sheet: Sequence[str] = ("_file", "_sheet"), order: str = "_row",
                  cells: str = "cells") -> DataFrame:
     """Data rows as a map ``header -> cell``; absent cells have no key, of equal headers the last one stays.
 
-    Cells beyond the header are named ``column_<index>``. Rows up to the header row are dropped.
+    Cells beyond the header are named ``column_<index>``. Rows up to the header row are dropped. Which columns share a
+    name is found once per sheet, so a row takes time in proportion to its cells.
     """
     key = F.to_json(F.struct(*sheet))
     headers = header_rows(raw, sheet, order, cells).select(key.alias("_key"), "_header_row", "headers")
-    joined = probe(raw, headers, key, "_key").filter(F.col(order) > F.col("_header_row"))
-    pairs = F.transform(cells, lambda c, i: F.struct(
-        F.coalesce(F.get("headers", i), F.concat(F.lit("column_"), i.cast("string"))).alias("key"), c.alias("value")))
-    joined = joined.withColumn("_pairs", F.filter(pairs, lambda p: p["value"].isNotNull()))
-    last = F.filter("_pairs", lambda p, i: F.array_position(
-        F.transform(F.slice("_pairs", i + 2, F.size("_pairs") + 1), lambda q: q["key"]), p["key"]) == 0)
-    return joined.select(*sheet, order, F.map_from_entries(last).alias("values"))
+    told = headers.select("_key", "_header_row").join(header_places(headers, "_key"), "_key")
+    joined = probe(raw, told, key, "_key").filter(F.col(order) > F.col("_header_row"))
+    cell = lambda i: F.get(cells, i)
+    last = lambda c: F.get(F.filter(F.transform(F.reverse(c["places"]), cell), lambda x: x.isNotNull()), F.lit(0))
+    inside = F.transform("columns", lambda c: F.struct(
+        c["name"].alias("key"), F.when(F.size(c["places"]) == 1, cell(F.get(c["places"], F.lit(0)))).otherwise(last(c)).alias("value")))
+    beyond = F.transform(F.filter(F.transform(cells, lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda x: (x["i"] >= F.col("n")) & ~F.array_contains("far", x["i"])),
+                         lambda x: F.struct(F.concat(F.lit("column_"), x["i"].cast("string")).alias("key"), x["c"].alias("value")))
+    pairs = F.filter(F.concat(inside, beyond), lambda p: p["value"].isNotNull())
+    return joined.select(*sheet, order, F.map_from_entries(pairs).alias("values"))

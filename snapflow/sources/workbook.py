@@ -11,10 +11,13 @@ Formula cells give their cached value; error cells, unreadable numbers and empty
 from __future__ import annotations
 
 import datetime as dt
+import json
 import posixpath
 import re
 import zipfile
+import zlib
 import zoneinfo
+from collections import OrderedDict
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -22,9 +25,10 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from snapflow.functions.text import JAVA_WHITESPACE
+from snapflow.session import empty_frame, settled
 from snapflow.sources.paths import filesystem, ship
 
 FORMAT = "workbook"
@@ -101,6 +105,42 @@ def number_text(x: float) -> str:
     return f"{sign}{joined[0]}.{joined[1:].rstrip('0') or '0'}E{power}"
 
 
+class SharedStrings:
+    """The shared strings of a workbook, by number.
+
+    Strings are kept in deflated blocks; the blocks that were used last are kept as text too. So a table takes about what it
+    takes in the file, plus at most ``OPEN_BLOCKS`` blocks, however many strings it has.
+    """
+
+    BLOCK, OPEN_BLOCKS = 1024, 64
+
+    def __init__(self, texts):
+        self._blocks: list[bytes] = []
+        self._open: OrderedDict[int, list[str]] = OrderedDict()
+        block: list[str] = []
+        for text in texts:
+            block.append(text)
+            if len(block) == self.BLOCK:
+                self._close(block)
+                block = []
+        if block:
+            self._close(block)
+
+    def _close(self, block: list[str]) -> None:
+        self._blocks.append(zlib.compress("\0".join(block).encode("utf-8", "surrogatepass"), 1))  # XML text has no NUL
+
+    def __getitem__(self, number: int) -> str:
+        at, place = divmod(number, self.BLOCK)
+        block = self._open.get(at)
+        if block is None:
+            block = self._open[at] = zlib.decompress(self._blocks[at]).decode("utf-8", "surrogatepass").split("\0")
+            if len(self._open) > self.OPEN_BLOCKS:
+                self._open.popitem(last=False)
+        else:
+            self._open.move_to_end(at)
+        return block[place]
+
+
 class Workbook:
     """Sheet list and row streams of one open xlsx package."""
 
@@ -108,7 +148,7 @@ class Workbook:
         self.zip = zipfile.ZipFile(stream)
         self._members = set(self.zip.namelist())
         self.sheets = self._sheet_list()
-        self._strings: list[str] | None = None
+        self._strings: SharedStrings | None = None
         self._date_styles: list[bool] | None = None
 
     def _xml(self, member: str):
@@ -129,12 +169,13 @@ class Workbook:
         return found
 
     @property
-    def strings(self) -> list[str]:
+    def strings(self) -> SharedStrings:
         if self._strings is None:
-            self._strings = []
             if "xl/sharedStrings.xml" in self._members:
                 with self.zip.open("xl/sharedStrings.xml") as stream:
-                    self._strings = [self._shared_text(e) for e in _elements(stream, "si")]
+                    self._strings = SharedStrings(self._shared_text(e) for e in _elements(stream, "si"))
+            else:
+                self._strings = SharedStrings([])
         return self._strings
 
     @staticmethod
@@ -248,9 +289,21 @@ class WorkbookReader(DataSourceReader):
         self.sheet_index = int(options.get("sheetindex", 0))
         self.sheet_name = options.get("sheetname")
         self.all_sheets = options.get("allsheets", "false").lower() == "true"
+        self.headers = json.loads(options["headers"]) if "headers" in options else None  # one per schema field
+        self.only: dict[str, set] = {}
         self.zone = zoneinfo.ZoneInfo(options.get("timezone", "UTC"))
         self.max_bytes = int(options.get("maxpartitionbytes", 16 << 20))
 
+    def pushFilters(self, filters):
+        """Files and sheets that a query asks for by name are the only ones that are opened."""
+        for f in filters:
+            column = f.attribute[0] if getattr(f, "attribute", None) and len(f.attribute) == 1 else None
+            if column in ("_file", "_sheet") and isinstance(f, (EqualTo, In)):
+                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.only[column] = self.only.get(column, wanted) & wanted
+            else:
+                yield f
+
     def partitions(self) -> list[InputPartition]:
         fs, base = filesystem(self.path)
         info = fs.get_file_info(base)
@@ -262,6 +315,8 @@ class WorkbookReader(DataSourceReader):
                      if f.is_file and f.extension.lower() == "xlsx" and not f.base_name.startswith(("~", ".", "_"))]
         groups, filled = [[]], 0
         for f in sorted(found, key=lambda f: f.path):
+            if "_file" in self.only and self.path + f.path[len(base):] not in self.only["_file"]:
+                continue
             if groups[-1] and filled + f.size > self.max_bytes:
                 groups.append([])
                 filled = 0
@@ -302,6 +357,8 @@ class WorkbookReader(DataSourceReader):
     def _lines(self, path: str, book: Workbook):
         for index in self._wanted(path, book):
             name = book.sheets[index][0]
+            if "_sheet" in self.only and name not in self.only["_sheet"]:
+                continue
             if self.mode == "sheets":
                 yield path, index, name
             elif self.mode == "profile":
@@ -322,20 +379,24 @@ class WorkbookReader(DataSourceReader):
 
     def _rows(self, path, index, name, book):
         headers, data = sheet_table(book.rows(index))
-        place = {f.name: i for i, f in enumerate(self.schema.fields)}
-        convert = [self._converter(f.dataType) for f in self.schema.fields]
+        places: dict[str, list[int]] = {}
+        own: dict[str, int] = {}
+        for i, f in enumerate(self.schema.fields):
+            header = self.headers[i] if self.headers else f.name
+            if header is None or (not self.headers and META.get(header) == f.dataType):
+                own[f.name] = i
+            else:
+                places.setdefault(header, []).append(i)
+        convert = [self._converter(f.dataType) if i not in own.values() else None for i, f in enumerate(self.schema.fields)]
         fixed = {"_file": path, "_sheet_index": index, "_sheet": name}
         for number, row in enumerate(data):
-            line = [None] * len(place)
+            line = [None] * len(convert)
             for column, value in row.items():
-                at = place.get(header_of(headers, column))
-                if at is not None:
+                for at in places.get(header_of(headers, column), ()):
                     line[at] = convert[at](value)
-            for key, value in fixed.items():
-                if key in place:
-                    line[place[key]] = value
-            if "_row" in place:
-                line[place["_row"]] = number
+            for key, value in {**fixed, "_row": number}.items():
+                if key in own:
+                    line[own[key]] = value
             yield line
 
     def _arrow_type(self, kind: T.DataType):
@@ -355,7 +416,7 @@ class WorkbookReader(DataSourceReader):
 
 
 class WorkbookSource(DataSource):
-    """``spark.read.format("workbook")``; options sheetIndex, sheetName, allSheets, mode, timeZone, maxPartitionBytes."""
+    """``spark.read.format("workbook")``; options sheetIndex, sheetName, allSheets, mode, headers, timeZone, maxPartitionBytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -374,6 +435,7 @@ class WorkbookSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     ship(__name__)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # for filters on _file and _sheet
     spark.dataSource.register(WorkbookSource)
 
 
@@ -388,20 +450,54 @@ def sheet_catalog(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, mode="sheets").load(path)
 
 
-def infer_schema(spark: SparkSession, path: str, **sheet) -> T.StructType:
-    """Columns over all workbooks below ``path``, by first position and name; mixed kinds become text.
+def _headers(spark: SparkSession, path: str, by: tuple[str, ...] = (), **sheet) -> dict[tuple, list[T.StructField]]:
+    """Columns over all workbooks below ``path``, by first position and name; mixed kinds become text. ``by`` keeps sheets apart.
 
-    Profiling runs on the executors; only one line per distinct header comes back.
+    Profiling runs on the executors; only one line per distinct header (and sheet) comes back.
     """
     profile = _reader(spark, mode="profile", **sheet).load(path)
     kinds = F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("kinds", ","), lambda k: k != ""))))
-    columns = profile.groupBy("header").agg(F.min("position").alias("position"), kinds.alias("kinds")).collect()
+    first = [F.min("_sheet_index").alias("place")]
+    found = profile.groupBy(*by, "header").agg(F.min("position").alias("position"), kinds.alias("kinds"), *first).collect()
     of_kind = {"float": T.DoubleType(), "bool": T.BooleanType(), "datetime": T.TimestampType()}
-    fields = []
-    for c in sorted(columns, key=lambda c: (c["position"], c["header"])):
+    fields: dict[tuple, list[T.StructField]] = {}
+    order = {}
+    for c in found:
+        of = tuple(c[b] for b in by)
+        order[of] = min(order.get(of, c["place"]), c["place"])
+    for c in sorted(found, key=lambda c: (c["position"], c["header"])):
         only = c["kinds"][0] if len(c["kinds"]) == 1 else "str"
-        fields.append(T.StructField(c["header"], of_kind.get(only, T.StringType())))
-    return T.StructType(fields)
+        fields.setdefault(tuple(c[b] for b in by), []).append(T.StructField(c["header"], of_kind.get(only, T.StringType())))
+    return {of: fields[of] for of in sorted(fields, key=lambda of: (order[of], of))}
+
+
+def infer_schema(spark: SparkSession, path: str, **sheet) -> T.StructType:
+    """Columns over all workbooks below ``path``, by first position and name; mixed kinds become text."""
+    return T.StructType(_headers(spark, path, **sheet).get((), []))
+
+
+def read_sheets(spark: SparkSession, path: str, scratch: list[str]) -> dict[str, DataFrame]:
+    """Rows of every sheet of every workbook below ``path``, by sheet name, each with its own columns and types.
+
+    Each workbook is parsed twice in all: once for the columns of all sheets, once for their rows, which are written with a
+    folder per sheet. A sheet's frame reads its own folder. ``scratch`` collects what is written, for ``discard``. A sheet
+    without a header has no rows.
+    """
+    columns = _headers(spark, path, by=("_sheet",), allSheets="true")
+    kinds = list(dict.fromkeys((f.name, f.dataType) for fields in columns.values() for f in fields))
+    place = {kind: f"c{i}" for i, kind in enumerate(kinds)}
+    meta = [T.StructField(n, t) for n, t in META.items()]
+    schema = T.StructType([*[T.StructField(place[k], k[1]) for k in kinds], *meta])
+    reader = _reader(spark, allSheets="true", headers=json.dumps([*[h for h, _ in kinds], *[None] * len(META)]))
+    rows = settled(reader.schema(schema).load(path), scratch, by=("_sheet",))
+    frames = {}
+    for (sheet,), fields in columns.items():
+        named = {f.name for f in fields}
+        frames[sheet] = rows.filter(F.col("_sheet") == sheet).select(
+            *[F.col(place[f.name, f.dataType]).alias(f.name) for f in fields], *[c for c in META if c not in named])
+    names = sheet_catalog(spark, path).groupBy("_sheet").agg(F.min("_sheet_index").alias("i")).orderBy("i", "_sheet").collect()
+    bare = empty_frame(spark, T.StructType(meta))
+    return {r["_sheet"]: frames.get(r["_sheet"], bare) for r in names}
 
 
 def read_workbook(spark: SparkSession, path: str, schema: T.StructType | None = None, sheet_index: int = 0,

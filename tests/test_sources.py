@@ -1,7 +1,11 @@
 import datetime as dt
+import random
+import sys
+import tracemalloc
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.queries.fixtures import workbook_bytes
@@ -175,3 +179,113 @@ def test_headers_of_raw_cells(spark):
         ("f", "t", 0, ["H"]), ("f", "u", 0, [" "])], "_file string, _sheet string, _row int, cells array<string>")
     found = {(r["_sheet"], r["_row"]): r["values"] for r in headers.with_headers(raw).collect()}
     assert found == {("s", 2): {"A": "1", "column_1": "2", "column_3": "4"}, ("s", 3): {"A": "3"}}
+
+
+def test_wide_and_repeated_headers(spark):
+    """Two thousand columns; names that repeat, name a cell beyond the header, or look like one."""
+    width = 2000
+    heads = [f"h{i % 1500}" for i in range(width)]
+    heads[3], heads[4], heads[5], heads[6] = "column_2003", "column_1", "column_007", "column_99999999999999"
+    cells = [None if i % 7 == 0 else str(i) for i in range(width + 6)]
+    want = {}
+    for i, c in enumerate(cells):
+        if c is not None:
+            want[heads[i] if i < width else f"column_{i}"] = c
+    raw = spark.createDataFrame([("f", "s", 0, heads)] + [("f", "s", n, cells) for n in range(1, 40)] + [("f", "s", 40, None), ("f", "s", 41, cells[:2])],
+                                "_file string, _sheet string, _row int, cells array<string>")
+    found = {r["_row"]: r["values"] for r in headers.with_headers(raw).collect()}
+    assert all(found[n] == want for n in range(1, 40)) and found[41] == {"h1": "1"} and not found[40]
+
+
+def test_shared_strings_stay_small():
+    texts = [f"text number {i} {chr(0xE9)}" for i in range(300_000)]
+    tracemalloc.start()
+    table = workbook.SharedStrings(iter(texts))
+    for i in random.Random(1).sample(range(len(texts)), 3000):
+        assert table[i] == texts[i]
+    size, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    listed = sum(map(sys.getsizeof, texts))
+    assert size < listed / 2 and len(table._open) <= table.OPEN_BLOCKS
+    assert [workbook.SharedStrings(["", "a\nb", ""])[i] for i in range(3)] == ["", "a\nb", ""]
+    with pytest.raises(IndexError):
+        workbook.SharedStrings([])[0]
+
+
+def test_a_book_with_many_strings(spark, tmp_path):
+    rows = [["K", "V"], *[[f"k{i}", f"v{i % 5000}"] for i in range(60_000)]]
+    put(tmp_path, "b.xlsx", book(rows))
+    df = workbook.read_workbook(spark, str(tmp_path))
+    assert df.count() == 60_000 and df.filter(F.substring("V", 2, 9).cast("int") != F.substring("K", 2, 9).cast("int") % 5000).count() == 0
+
+
+def test_all_sheets_in_one_read(spark, tmp_path, monkeypatch):
+    put(tmp_path, "a.xlsx", workbook_bytes({"One": [["Id", "X"], ["a", 1]], "T'wo / 2": [["Id", "X", "Y"], [7, "text", True]], "Bare": []}))
+    put(tmp_path, "b.xlsx", workbook_bytes({"Late": [["_row", "Id"], ["own", "z"]], "One": [["X", "Z"], [2, "zz"]]}))
+    opened = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(workbook.WorkbookReader, "_opened", opened, raising=False)
+    lines = workbook.WorkbookReader._lines
+    monkeypatch.setattr(workbook.WorkbookReader, "_lines", lambda self, path, book: (self._opened.add(1), lines(self, path, book))[1])
+    scratch = []
+    sheets = workbook.read_sheets(spark, str(tmp_path), scratch)
+    parsed = opened.value
+    assert list(sheets) == ["Late", "One", "T'wo / 2", "Bare"] and len(scratch) == 1
+    one, two, late = sheets["One"], sheets["T'wo / 2"], sheets["Late"]
+    assert dict(one.dtypes)["X"] == "double" and dict(two.dtypes)["X"] == "string" and dict(two.dtypes)["Id"] == "double"
+    assert values(one, "Id", "X", "Z") == [(None, 2.0, "zz"), ("a", 1.0, None)] and values(two, "Id", "X", "Y") == [(7.0, "text", True)]
+    assert values(late, "_row", "Id") == [("own", "z")] and sheets["Bare"].count() == 0
+    assert one.columns[:3] == ["Id", "X", "Z"] or one.columns[:3] == ["X", "Id", "Z"]
+    for name, frame in sheets.items():
+        lone = workbook.read_workbook(spark, str(tmp_path), sheet_name=name)
+        assert values(frame, *sorted(set(lone.columns) - {"_row"})) == values(lone, *sorted(set(lone.columns) - {"_row"}))
+    assert parsed <= 6  # two books: columns, rows, and the sheet list, which parses no rows
+
+
+def test_filters_on_file_and_sheet_reach_the_source(spark, tmp_path):
+    for n in "abc":
+        put(tmp_path, f"{n}.xlsx", workbook_bytes({"S": [["Id"], [n]], "T": [["Id"], [n + "t"]]}))
+    put(tmp_path, "d.xlsx", "no workbook")
+    df = workbook.read_workbook(spark, str(tmp_path), T.StructType([T.StructField("Id", T.StringType())]), all_sheets=True)
+    picked = df.filter((F.col("_file") == str(tmp_path / "b.xlsx")) & F.col("_sheet").isin("T", "U"))
+    assert values(picked, "Id") == [("bt",)]  # the broken file is not opened
+    with pytest.raises(Exception, match="zip"):
+        df.filter("_sheet = 'T'").collect()
+
+
+def test_lone_records_of_every_shape(spark, tmp_path):
+    """Beside lists, and with the lists' own root: attributes, nesting, repeats, declared encodings, empty roots."""
+    put(tmp_path, "list.xml", "<rows><row><a>1</a></row><row><a>2</a></row></rows>")
+    put(tmp_path, "same root.xml", "<rows><note>n</note></rows>")
+    put(tmp_path, "none.xml", "<rows/>")
+    put(tmp_path, "latin.xml", "<?xml version='1.0' encoding='ISO-8859-1'?><card id='7'><a>é</a></card>".encode("latin-1"))
+    put(tmp_path, "deep+1.xml", "<card><place k='v'>Rome<zip>01</zip></place><t>x</t><t>y</t></card>")
+    rows = xmlrows.read_xml(spark, str(tmp_path))
+    found = {r["_file"].rsplit("/", 1)[-1]: r.asDict(True) for r in rows.filter("a is null or a not in ('1', '2')").collect()}
+    assert rows.count() == 6 and set(found) == {"same root.xml", "none.xml", "latin.xml", "deep+1.xml"}
+    assert found["same root.xml"]["note"] == "n" and found["latin.xml"]["a"] == "é" and found["latin.xml"]["_id"] == "7"
+    assert found["deep+1.xml"]["place"] == {"_VALUE": "Rome", "_k": "v", "zip": "01"} and found["deep+1.xml"]["t"] == ["x", "y"]
+    assert all(v is None for k, v in found["none.xml"].items() if k != "_file")
+    assert xmlrows.row_tags(spark, str(tmp_path)) == (["row"], ["card", "rows"])
+
+
+def test_lone_records_as_sparks_reader_names_them(spark, tmp_path):
+    texts = ["<r><a>1</a><b><c>x</c><c>y</c></b></r>", "<r z='1'><a q='2'>t</a><b/></r>", "<r><d> s </d><e><f g='h'/></e></r>"]
+    for i, t in enumerate(texts):
+        put(tmp_path, f"{i}.xml", t)
+    own = xmlrows.read_xml(spark, str(tmp_path))
+    theirs = spark.read.format("xml").option("rowTag", "r").option("inferSchema", "false").load(str(tmp_path))
+    assert sorted(theirs.columns) == sorted(c for c in own.columns if c != "_file")
+    assert values(own, "d", "_z") == values(theirs, "d", "_z")
+
+
+def test_many_small_records(spark, tmp_path):
+    for i in range(300):
+        put(tmp_path / str(i % 7), f"{i}.xml", f"<card><id>{i:05d}</id></card>")
+    scratch = []
+    assert values(xmlrows.read_xml(spark, str(tmp_path), scratch=scratch), "id") == [(f"{i:05d}",) for i in range(300)] and len(scratch) == 1
+
+
+def test_typed_lone_records(spark, tmp_path):
+    put(tmp_path, "a.xml", "<card><id>7</id></card>")
+    rows = xmlrows.read_xml(spark, str(tmp_path), schema=T.StructType([T.StructField("id", T.IntegerType())]))
+    assert values(rows, "id") == [(7,)]

@@ -243,6 +243,32 @@ def test_reject_lines_without_a_log_table(spark, table):
     assert {(c[2], c[4]): c[5] for c in result.counters}["cOwner", "cleared"] == 1
 
 
+# ---------------------------------------------------------------- links
+
+
+def test_links_are_read_once_per_rule_and_outcome(spark, table, monkeypatch):
+    checks, edges, log = table("ID STRING, TIMESTAMP TIMESTAMP", "TIMESTAMP"), table("ID_1 STRING, ID_2 STRING, TIMESTAMP TIMESTAMP"), table(
+        "WHERE_A STRING, A STRING, WHERE_B STRING, B STRING, CAUSE STRING, ACTION STRING, TIMESTAMP TIMESTAMP")
+    spark.sql(f"INSERT INTO {checks} VALUES ('p/1', TIMESTAMP'2026-03-02')")
+    rows = spark.createDataFrame([("a", "p", "1", "K0", 0), ("b", "p", "1", "K1", 1), ("c", "p", "9", "K1", 2), ("d", "p", "9", "K9", 3)],
+                                 "ID string, Path string, Obj string, Type string, _row long")
+    read, append = [], snapshot.append
+
+    def watched(session, name, df):
+        read.append((name, re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(df))))
+        append(session, name, df)
+
+    monkeypatch.setattr(snapshot, "append", watched)
+    rules = [{"parentType": f"K{i}", "checkTable": checks, "relationTable": edges, "parentEntityType": "P"} for i in range(2)]
+    step = {"name": "l", "type": "LINK_PARENT", "parameters": {"idColumn": "ID", "parentPathColumn": "Path", "parentObjectsColumn": "Obj", "parentTypeColumn": "Type", "etlLogTable": log, "rules": rules}}
+    result = job.run_job(spark, {"name": "j", "tasks": [{"name": "t", "type": "PERSISTENCE", "subtasks": [step]}]}, rows, DAY)
+    assert result.status == "SUCCESS" and values(spark.table(edges), "ID_1", "ID_2") == [("a", "p/1"), ("b", "p/1")]
+    assert values(spark.table(log), "A", "B") == [("K9", "d"), ("p/9", "c")]
+    assert [t for t, _ in read] == [edges, log]  # one write each
+    scans = [f for _, filters in read for f in filters]
+    assert len(scans) == 4 and all("_rule" in f for f in scans) and sum("_found" in f for f in scans) == 3
+
+
 # ---------------------------------------------------------------- at once
 
 
