@@ -1,11 +1,13 @@
 """Benchmark passages in training text, by spaced seeds, with DataFrame functions only.
 
-A seed hashes five of seven neighbouring words; fixed masks say which two are ignored, so a changed word between the
-chosen ones does not hide a passage. Training windows and benchmark windows are joined on the hash. Around a hit, the
+A seed hashes five of seven or eight neighbouring words; fixed masks say which are ignored, so a changed word between
+the chosen ones does not hide a passage. Training windows and benchmark windows are joined on the hash. Around a hit, the
 words of both sides are compared place by place along the hit's diagonal, and a stretch in which at least four fifths
 of the words agree is a leak.
 
-With the two masks below every stretch of 8 words with one substitution and of 13 words with two is hit by a seed.
+With the first three masks below every stretch of 8 or 9 words with one substitution, and of 10 to 13 words with two, is
+hit by a seed: no pair that the threshold admits is missed. Items of 5 to 7 words are leaks only where all their words
+agree; the last mask serves those that are too short for the others.
 """
 
 from __future__ import annotations
@@ -13,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MASKS = ((0, 1, 2, 5, 6), (0, 2, 3, 4, 6))
-SPAN = 7
-LEAST_WORDS = 8  # a benchmark text with fewer words is no evidence and never reported
+MASKS = ((0, 1, 2, 5, 6), (0, 2, 3, 4, 6), (0, 1, 4, 6, 7), (0, 1, 2, 3, 4))
+SHORT = 3  # the mask that is used for items of fewer words than the others need
+LEAST_WORDS, TOLERANT = 5, 8  # fewer words are no evidence and never reported; from so many on, a fifth may differ
 STRETCH, SIMILARITY = 13, 0.8
 BROADCAST_WINDOWS = 500_000  # benchmark windows up to which they are sent to every task: about 16 MB of hashes
 
@@ -29,11 +31,16 @@ def _seed(mask: int, at: Column) -> Column:
     return F.xxhash64(F.lit(mask), *[F.get("words", at + i) for i in MASKS[mask]])
 
 
-def _windows(df: DataFrame, carry: list[str]) -> DataFrame:
-    """One row per place and mask: ``carry``, ``at``, ``mask``, ``seed``, and whether a window stands before it."""
-    placed = df.filter(F.size("words") >= SPAN).select(*carry, "words", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("at"))
-    return placed.select(*carry, "words", "at", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("mask"), _seed(m, F.col("at")).alias("seed")) for m in range(len(MASKS))])).alias("w")).select(*carry, "words", "at", "w.*")
+def _span(mask: int) -> int:
+    return MASKS[mask][-1] + 1
+
+
+def _windows(df: DataFrame, carry: list[str], masks: list[int]) -> DataFrame:
+    """One row per place and mask: ``carry``, ``at``, ``mask``, ``seed``."""
+    least = min(map(_span, masks))
+    placed = df.filter(F.size("words") >= least).select(*carry, "words", F.explode(F.sequence(F.lit(0), F.size("words") - least)).alias("at"))
+    seeds = F.array(*[F.when(F.col("at") <= F.size("words") - _span(m), F.struct(F.lit(m).alias("mask"), _seed(m, F.col("at")).alias("seed"))) for m in masks])
+    return placed.select(*carry, "words", "at", F.explode(F.filter(seeds, lambda s: s.isNotNull())).alias("w")).select(*carry, "words", "at", "w.*")
 
 
 def _before(mask: Column) -> Column:
@@ -52,18 +59,21 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
 
     ``agreeing`` of the ``stretch`` words of the best stretch agree (13 words, or the whole item if it is shorter);
     ``covered`` counts the item's words that agree along the best diagonal. ``text_key`` and ``text_length`` name the whole
-    text, also where ids are null or repeat; equal rows give one. Null and empty texts, and items of fewer than 8 words,
-    give nothing. Equal items are reported under each of their ids.
+    text, also where ids are null or repeat; equal rows give one. Null and empty texts, and items of fewer than 5 words,
+    give nothing; items of 5 to 7 words count where all of them agree. Equal items are reported under each of their ids.
 
     The benchmark's windows are counted first. Up to ``broadcast_windows`` they are sent to every task and the texts are
     not shuffled at all; beyond, windows are shuffled with their hashes only and texts are joined back for the comparison.
     """
     items = benchmark.select(F.col(f"`{item_column}`").alias("item_id"), words(F.col(f"`{item_text}`")).alias("words")).filter(F.size("words") >= LEAST_WORDS).distinct()
-    seeds = _windows(items, ["item_id"]).select("item_id", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "seed", _before(F.col("mask")).alias("item_before"))
+    # Whether there are such short items is asked once; texts are not cut for a mask that no item has.
+    brief = F.size("words") < min(_span(m) for m in range(SHORT))
+    masks = [*range(SHORT), *([SHORT] if items.filter(brief).take(1) else [])]
+    seeds = _windows(items, ["item_id"], masks).filter((F.col("mask") != SHORT) | brief).select("item_id", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "seed", _before(F.col("mask")).alias("item_before"))
     texts = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text")).filter(F.col("text").isNotNull())
     texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), F.length("text").alias("text_length"), words(F.col("text")).alias("words"))
     small = seeds.limit(broadcast_windows + 1).count() <= broadcast_windows
-    windows = _windows(texts, ["doc_id", "text_key", "text_length"])
+    windows = _windows(texts, ["doc_id", "text_key", "text_length"], masks)
 
     # A run of hits on one diagonal is looked at once: where the window before it, on both sides, does not match.
     first = F.col("item_before").isNull() | F.col("before").isNull() | (F.col("item_before") != F.col("before"))
@@ -88,7 +98,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
                        lambda i: F.aggregate(F.slice("agree", i, F.col("stretch")), F.lit(0), lambda s, x: s + x))
     found = (aligned.withColumn("agreeing", F.array_max(sums))
              .withColumn("covered", F.aggregate("agree", F.lit(0), lambda s, x: s + x))
-             .filter(F.col("agreeing") >= F.ceil(F.col("stretch") * SIMILARITY)))
+             .filter(F.col("agreeing") >= F.when(F.col("stretch") < TOLERANT, F.col("stretch")).otherwise(F.ceil(F.col("stretch") * SIMILARITY))))
     return found.groupBy("doc_id", "text_key", "text_length", "item_id").agg(
         F.max("stretch").alias("stretch"), F.max("agreeing").alias("agreeing"), F.max("covered").alias("covered"))
 

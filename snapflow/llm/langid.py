@@ -80,19 +80,26 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
           rows_per_language: int = 400, rows: int = 8000, clusters: int = 4) -> Model | None:
     """Fit idf and centroids; None when no row has both a letter and a language.
 
-    At most ``rows_per_language`` rows of a language and ``rows`` in all are used, those whose ids hash smallest. Ids
-    are chosen first, so that no long text takes part in the choice; the tasks send back n-gram counts, whose size
-    does not depend on the length of a text.
+    Document frequencies are counted over all rows with a language and a letter, in the tasks. The centroids are fitted on at
+    most ``rows_per_language`` documents of a language and ``rows`` in all: the ids whose hashes are smallest, found by one
+    threshold per language. A document is an id and a language; of several texts the one that hashes smallest is
+    used, so a repeated id is one document. The tasks send back n-gram counts, whose size does not depend on the
+    length of a text.
     """
     tagged = labelled.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # A language may hold most rows: its smallest hashes are first found in many parts, then among those of all parts.
-    order = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
-    hashed = tagged.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(256)))
-    parted = hashed.withColumn("at", order("lang", "part")).filter(F.col("at") <= rows_per_language)
-    ranked = parted.withColumn("at", order("lang")).filter(F.col("at") <= rows_per_language)
-    chosen = ranked.orderBy("at", "h", "lang").limit(rows).select("doc_id", "lang").distinct()
-    sample = tagged.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("text", "lang")  # at most `rows` ids
+    hashed = tagged.select("doc_id", "lang").distinct().withColumn("h", F.xxhash64("doc_id"))
+    # Hashes are even, so about twice the wanted number lies below this share of their range.
+    counts = hashed.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("first"))
+    kept = counts.orderBy("first", "lang").limit(rows).withColumn("share", F.least(F.lit(1.0), F.lit(2.0 * rows_per_language + 100) / F.col("n")))
+    below = F.when(F.col("share") < 1, (F.col("share") * 2.0**64 - 2.0**63).cast("long")).otherwise(F.lit(2**63 - 1))
+    near = hashed.join(F.broadcast(kept.select(F.col("lang").alias("_lang"), below.alias("_below"))), F.col("lang") == F.col("_lang")).filter("h <= _below")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")  # some 900 rows of a language
+    ranked = near.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= rows_per_language)
+    chosen = ranked.orderBy("at", "h", "lang").limit(rows).select("doc_id", "lang")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    sample = (tagged.join(F.broadcast(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))), same, "left_semi")  # at most `rows` rows
+              .groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")).select("text", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, most=2 << 20):
@@ -100,12 +107,23 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
             packed = [zlib.compress(v.astype(np.uint32).tobytes(), 1) for v in vectors([t for t, _ in lettered])]
             yield pa.RecordBatch.from_arrays([pa.array([x for _, x in lettered], pa.string()), pa.array(packed, pa.binary())], ["lang", "counts"])
 
-    found = sample.mapInArrow(run, "lang string, counts binary").orderBy("lang", F.xxhash64("counts")).collect()[:2 * rows]  # ids may repeat
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = np.zeros(DIMENSIONS, np.int64), 0
+        for batch in small_batches(batches, most=2 << 20):
+            for at in range(0, batch.num_rows, 256):
+                lettered = [t for t in texts(batch.slice(at, 256)) if _LETTER.search(t.decode())]
+                seen += (vectors(lettered) > 0).sum(axis=0)
+                n += len(lettered)
+        where = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(where, -1).astype(np.int32)), pa.array(np.append(seen[where], n))], ["slot", "n"])
+
+    found = sample.mapInArrow(run, "lang string, counts binary").orderBy("lang", "counts").collect()  # at most `rows`, each of fixed size
     if not found:
         return None
+    frequencies = {r["slot"]: r["n"] for r in tagged.select("text").mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()}  # a line per dimension
     counts = np.array([np.frombuffer(zlib.decompress(r["counts"]), np.uint32) for r in found], np.float32)
     langs = np.array([r["lang"] for r in found])
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
+    idf = np.log((1 + frequencies[-1]) / (1 + np.array([frequencies.get(d, 0) for d in range(DIMENSIONS)]))).astype(np.float32) + 1
     model = Model(sorted(set(langs)), idf, np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.zeros(0))
     v, centroids, owner, least = model.weighted(counts), [], [], []
     for place, lang in enumerate(model.languages):

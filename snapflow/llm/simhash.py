@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,24 +156,27 @@ def _rooted(prints: DataFrame, scratch: list[str]) -> tuple[DataFrame, DataFrame
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document with the smallest id stays.
 
-    Rows that repeat an id are one document, and the row whose values hash smallest stays. Of a component that has
-    null ids only, one row stays; beside any other id rows with a null id go. Columns are those of ``docs``.
+    A component is one of texts: rows that repeat an id with texts of different components are documents of their own, and
+    of several rows with the smallest id the one whose values hash smallest stays. Of a component that has null ids only, one
+    row stays; beside any other id rows with a null id go. Columns are those of ``docs``.
     """
     scratch: list[str] = []
     prints = settled(fingerprints(docs, id_column, text_column), scratch)
     rooted, least = _rooted(prints, scratch)
     least = settled(least, scratch)
     chosen = least.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias("_kept")).distinct()
-    order = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    named = (docs.join(chosen, docs[id_column] == chosen["_kept"], "left_semi")
-             .withColumn("_at", F.row_number().over(Window.partitionBy(f"`{id_column}`").orderBy(order))).filter("_at = 1").drop("_at"))
-    nameless = docs.filter(F.col(f"`{id_column}`").isNull())
-    if not prints.filter(F.col("doc_id").isNull()).take(1):
+    # An id that one row has names its text. Rows of other ids are told apart by fingerprint, which only they are read for again.
+    shared = settled(prints.groupBy("doc_id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_shared")), scratch)
+    named = docs.join(chosen, docs[id_column] == chosen["_kept"], "left_semi")
+    if not shared.take(1):
         return named
-    lone = rooted.join(least.filter(F.col("component_id").isNull()), "r", "left_semi").select("print", "r")
-    marked = _with_print(nameless, text_column).join(lone, "print")
-    return named.unionByName(marked.groupBy("r").agg(F.min_by("row", F.xxhash64(F.col("row").cast("string"))).alias("row"))
-                             .select(*[F.col("row")[c].alias(c) for c in docs.columns]))
+    named = named.join(shared, named[id_column] == shared["_shared"], "left_anti")
+    doubtful = _with_print(docs.join(shared, docs[id_column].eqNullSafe(shared["_shared"]), "left_semi"), text_column)
+    placed = doubtful.withColumn("k", F.col("print").cast("string")).join(rooted.select(F.col("print").cast("string").alias("k"), "r"), "k")
+    own_id = F.col(f"row.`{id_column}`")
+    best = (placed.join(least, "r").filter(own_id.eqNullSafe(F.col("component_id"))).groupBy("r")
+            .agg(F.min_by("row", F.xxhash64(F.col("row").cast("string"))).alias("row")))
+    return named.unionByName(best.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
 
 
 def _with_print(rows: DataFrame, text_column: str) -> DataFrame:

@@ -11,6 +11,7 @@ its distinct words.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.llm.common import hash_sample, id_and_text, small_batches, texts
+from snapflow.session import discard, settled
 
 BATCH_BYTES = 2 << 20  # text taken at a time: its n-grams take some forty times as much
 BUCKETS, SIZE, GRAMS, WINDOW, THRESHOLD = 1 << 18, 8, (3, 4, 5), 3, 0.3
+RUN = 64  # words that stay together where a long training text is cut
 # Every ASCII byte but letters and digits is a space; A-Z in lower case.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
 
@@ -148,19 +151,27 @@ def fit(batch: list[bytes], toxic: np.ndarray, rounds: int = 24, rate: float = 4
     return Model((embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", rows: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", rows: int = 4000, words: int = 4_000_000) -> Model:
     """Fit on at most ``rows`` labelled documents, half of them toxic if there are as many, whose ids hash smallest.
 
     Rows without id, label or text and labels without a document take no part; an id labelled twice counts as toxic if one
-    label says so. The bound is on rows: their whole texts are used.
+    label says so, and of several texts of one id the one that hashes smallest is used. Whole texts are used as long as
+    they have ``words`` words together; beyond that the longest ones are cut to runs of ``RUN`` words, chosen by hash in the
+    tasks, as many from each as the bound leaves. So the driver holds at most ``words`` words.
     """
     marks = labels.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{label_column}`").cast("int").alias("toxic")).filter(
         "doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = docs.select(F.col(f"`{id_column}`").alias("doc_id")).filter(docs[text_column].isNotNull()).distinct()
     known = marks.join(ids, "doc_id", "left_semi")
     chosen = hash_sample(known.filter("toxic = 1"), "doc_id", rows // 2).union(hash_sample(known.filter("toxic = 0"), "doc_id", rows - rows // 2))
-    picked = id_and_text(docs.filter(docs[text_column].isNotNull()), id_column, text_column).join(F.broadcast(chosen), "doc_id").toArrow()  # at most `rows` ids
-    picked = picked.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    texts_of = (id_and_text(docs.filter(docs[text_column].isNotNull()), id_column, text_column).join(F.broadcast(chosen), "doc_id")  # at most `rows` ids
+                .groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")))
+    scratch: list[str] = []
+    texts_of = settled(texts_of, scratch)
+    lengths = [r["n"] for r in texts_of.select(F.size(F.split(F.trim(F.col("text")), r"\s+")).alias("n")).collect()]
+    most = _cap(lengths, words)
+    picked = _cut(texts_of, most).toArrow().sort_by([("doc_id", "ascending")])
+    discard(docs.sparkSession, scratch)
     clean = known.filter("toxic = 0").count()
     toxic = np.array(picked.column("toxic").to_pylist(), np.int64)
     model = fit([t.encode() for t in picked.column("text").to_pylist()], toxic)
@@ -170,6 +181,36 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     return model
 
 
+def _cap(lengths: list[int], words: int) -> int | None:
+    """The most words a text may keep so that all together have no more than ``words``; None if no text has to be cut."""
+    left, open_texts = words, len(lengths)
+    for n in sorted(lengths):
+        if n * open_texts > left:
+            return max(RUN, left // open_texts)
+        left, open_texts = left - n, open_texts - 1
+    return None
+
+
+def _cut(rows: DataFrame, most: int | None) -> DataFrame:
+    """Texts of more than ``most`` words reduced to the runs of ``RUN`` words whose hashes are smallest, in their order."""
+    if most is None:
+        return rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            out = []
+            for text in texts(batch):
+                w = text.split()
+                if len(w) > most:
+                    runs = [b" ".join(w[i:i + RUN]) for i in range(0, len(w), RUN)]
+                    best = sorted(sorted(range(len(runs)), key=lambda i: (zlib.crc32(runs[i]), i))[:max(1, most // RUN)])
+                    text = b"\n".join(runs[i] for i in best)
+                out.append(text.decode())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(out, pa.string())], ["doc_id", "toxic", "text"])
+
+    return rows.select("doc_id", "toxic", "text").mapInArrow(run, rows.select("doc_id", "toxic", "text").schema)
+
+
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` of every whole text; a null text is an empty one, which has the score of no words.
 

@@ -24,7 +24,7 @@ def plain(docs, items):
             for shift in range(-len(t), len(w)):
                 agree = [int(0 <= k + shift < len(w) and w[k + shift] == t[k]) for k in range(len(t)) if 0 <= k + shift < len(w)]
                 best = max([sum(agree[k:k + stretch]) for k in range(len(agree) - stretch + 1)], default=0)
-                if best >= -(-stretch * 4 // 5):
+                if best >= (-(-stretch * 4 // 5) if stretch >= decontam.TOLERANT else stretch):
                     found[d, i] = max(found.get((d, i), 0), best)
     return found
 
@@ -32,13 +32,13 @@ def plain(docs, items):
 def corpus():
     rng = random.Random(8)
     word = lambda: f"w{rng.randrange(400)}"
-    items = [(i, " ".join(word() for _ in range(rng.choice([8, 9, 13, 30, 60])))) for i in range(12)] + [(50, "too short to be evidence"), (51, None), (52, "")]
+    items = [(i, " ".join(word() for _ in range(rng.choice([5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 30, 60])))) for i in range(36)] + [(50, "too short as evidence"), (51, None), (52, "")]
     items.append((53, items[3][1]))  # the same text under another id
     docs = []
-    for d in range(40):
+    for d in range(90):
         w = [word() for _ in range(rng.randrange(1, 120))]
         if d % 2:
-            passage = tokens(items[rng.randrange(12)][1])
+            passage = tokens(items[rng.randrange(36)][1])
             for _ in range(rng.randrange(0, 1 + len(passage) // 9)):
                 passage[rng.randrange(len(passage))] = "changed"
             at = rng.randrange(len(w))
@@ -60,8 +60,31 @@ def test_guarantee_of_the_masks():
     from itertools import combinations
 
     def hit(length, changed):
-        return any(all(at + k not in changed for k in m) for m in decontam.MASKS for at in range(length - max(m)))
-    assert all(hit(8, {c}) for c in range(8)) and all(hit(13, set(c)) for c in combinations(range(13), 2))
+        return any(all(at + k not in changed for k in m) for m in decontam.MASKS[:decontam.SHORT] for at in range(length - max(m)))
+    for length in range(8, 14):
+        allowed = length - -(-length * 4 // 5)
+        assert all(hit(length, set(c)) for c in combinations(range(length), allowed))
+    assert hit(7, set()) and decontam.MASKS[decontam.SHORT] == tuple(range(decontam.LEAST_WORDS))
+
+
+def test_every_placement_in_short_items(spark):
+    """Items of 5 to 13 words with all placements of as many changed words as are allowed, and of one more."""
+    from itertools import combinations
+
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(4, 14)]
+    docs, want = [], set()
+    for n, text in items:
+        allowed = n - -(-n * 4 // 5) if n >= 8 else 0
+        for many in (0, allowed, allowed + 1):
+            for places in combinations(range(n), many):
+                words = text.split()
+                for p in places:
+                    words[p] = "changed"
+                docs.append((len(docs), "before " + " ".join(words) + " after"))
+                if many <= allowed and n >= 5:
+                    want.add((docs[-1][0], n))
+    got = decontam.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and len(want) > 200
 
 
 def test_keep_clean(spark):

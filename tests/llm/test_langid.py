@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from snapflow.llm import langid
@@ -41,3 +42,32 @@ def test_nothing_to_learn(spark):
 def test_sample_is_bounded_per_language(spark):
     docs = spark.createDataFrame([(i, f"word{i} the", "en") for i in range(50)] + [(100, "das wort", "de")], "doc_id long, text string, lang string")
     assert langid.train(docs, rows_per_language=5, clusters=2).languages == ["de", "en"]
+
+
+def test_a_hot_id_hides_no_language(spark):
+    """One id on 20,000 rows is one document; languages late in the alphabet are learned."""
+    rows = [(1, "aaa bab aba", "aa")] * 20_000 + [(10 + i, f"der hund und die katze {i}", "de") for i in range(10)] + [(30 + i, f"le chien et le chat {i}", "fr") for i in range(10)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7), rows_per_language=10, rows=25)
+    assert model.languages == ["aa", "de", "fr"]
+
+
+def test_long_texts_and_many_languages(spark):
+    rows = [(1, "the cat and the dog " * 500_000, "en"), (2, "der hund und die katze", "de")] + [(100 + i, f"wort{i}", f"x{i}") for i in range(50)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=40)
+    assert len(model.languages) == 40
+    assert langid.train(spark.createDataFrame(rows[:2], "doc_id long, text string, lang string")).languages == ["de", "en"]
+
+
+def test_frequencies_of_all_rows_and_nearest_centroid(spark):
+    """Against plain sums: idf over every training row though the centroids use a sample, then the largest cosine."""
+    rng = np.random.default_rng(3)
+    words = {"en": ["the", "and", "cat", "dog", "house"], "de": ["der", "und", "katze", "hund", "haus"]}
+    rows = [(i, " ".join(rng.choice(words[lang], 6)), lang) for i in range(120) for lang in [["en", "de"][i % 2]]]
+    model = langid.train(spark.createDataFrame([*rows, (None, "12 3", "en")], "doc_id long, text string, lang string").repartition(5), rows_per_language=20)
+    v = langid.vectors([t.encode() for _, t, _ in rows])
+    assert np.allclose(model.idf, np.log((1 + len(rows)) / (1 + (v > 0).sum(axis=0))) + 1, atol=1e-5)
+    weighted = np.log1p(v) * model.idf
+    cosine = weighted / np.linalg.norm(weighted, axis=1, keepdims=True) @ model.centroids.T
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), model).collect()}
+    for (i, _, lang), row in zip(rows, cosine):
+        assert got[i][0] == model.languages[model.owner[row.argmax()]] == lang and abs(got[i][1] - row.max()) < 1e-5

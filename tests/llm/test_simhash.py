@@ -85,6 +85,16 @@ def test_keep_one(spark):
     assert simhash.keep_one(docs.limit(0)).count() == simhash.classes(docs.limit(0)).count() == 0
 
 
+def test_keep_one_where_ids_repeat(spark):
+    x, y = "one two three four five six seven", "completely other words stand in this text here"
+    keep = lambda rows: sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert keep([(3, y), (5, x), (5, y)]) == [(3, y), (5, x)]
+    assert keep([(5, x), (5, y), (5, x)]) == sorted([(5, x), (5, y)], key=str)
+    assert keep([(5, x), (5, y), (4, x), (None, y)]) == sorted([(4, x), (5, y)], key=str)
+    assert keep([(None, x), (None, x), (None, y), (1, y)]) == sorted([(None, x), (1, y)], key=str)
+    assert len(keep([(i % 3, f"{x} number {i % 4} {i % 4} {i % 4}") for i in range(300)])) <= 4
+
+
 def test_forest_has_the_components_of_all_pairs():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 20, dtype=np.uint64)

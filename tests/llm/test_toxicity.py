@@ -73,3 +73,35 @@ def test_held_out_on_the_tables(spark):
     held = toxicity.score(docs.filter(fold("doc_id", 4) == 2), model).join(labels, "doc_id")
     c = held.selectExpr("count_if(toxic = 1 AND predicted = 1)", "count_if(toxic = 1)", "count_if(toxic = 0 AND predicted = 1)", "count_if(toxic = 0)").first()
     assert c[0] >= 0.8 * c[1] and c[2] <= 0.03 * c[3]  # a tenth of the toxic labels have nothing toxic in the text
+
+
+def test_repeated_ids_and_long_training_texts(spark):
+    """One id on thousands of rows is one text; a text of many megabytes is cut to runs, and the model still learns."""
+    rows = made(400, 5)
+    long = " ".join(r[1] for r in made(400, 6) if not r[2])
+    docs = [r[:2] for r in rows] + [(4, rows[4][1])] * 4000 + [(5000, (long + " ") * 60)]
+    labels = [(r[0], r[2]) for r in rows] + [(5000, 0)]
+    d, m = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert len(docs[-1][1]) > 5_000_000
+    model = toxicity.train(d, m, rows=390, words=60_000)
+    fresh = made(200, 7)
+    scores, truth = model.scores([r[1].encode() for r in fresh]), np.array([r[2] for r in fresh])
+    assert (scores[truth == 1] >= toxicity.THRESHOLD).mean() >= 0.95 and (scores[truth == 0] >= toxicity.THRESHOLD).mean() <= 0.05
+
+
+def test_the_bound_on_words(spark):
+    assert toxicity._cap([5, 5, 5], 100) is None and toxicity._cap([10, 1000, 1000], 410) == 200 and toxicity._cap([], 10) is None
+    texts = spark.createDataFrame([(1, 0, " ".join(f"w{i}" for i in range(1000))), (2, 1, "short one")], "doc_id long, toxic int, text string")
+    cut = {r["doc_id"]: r["text"].split() for r in toxicity._cut(texts, 200).collect()}
+    assert cut[2] == ["short", "one"] and len(cut[1]) == 3 * toxicity.RUN and cut[1] == sorted(cut[1], key=lambda w: int(w[1:]))
+
+
+def test_scores_against_plain_sums(spark):
+    """The folded weights give what averaging n-gram by n-gram gives."""
+    rng = np.random.default_rng(2)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), -0.5)
+    for text in ("", "Idiot", "one two THREE four, five", "a b c d e f g " * 30):
+        words = [w for w in text.encode().translate(toxicity._FOLD).split()]
+        best = 0.0 if not words else max(
+            np.mean(np.concatenate([model.weights[toxicity.grams([w])[0]] for w in words[max(0, i - toxicity.WINDOW + 1):i + 1]])) for i in range(len(words)))
+        assert model.scores([text.encode()])[0] == pytest.approx(1 / (1 + np.exp(-(best + model.bias))), abs=1e-5)
