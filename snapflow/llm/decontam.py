@@ -39,8 +39,9 @@ def _windows(df: DataFrame, carry: list[str], masks: list[int]) -> DataFrame:
     """One row per place and mask: ``carry``, ``at``, ``mask``, ``seed``."""
     least = min(map(_span, masks))
     placed = df.filter(F.size("words") >= least).select(*carry, "words", F.explode(F.sequence(F.lit(0), F.size("words") - least)).alias("at"))
-    seeds = F.array(*[F.when(F.col("at") <= F.size("words") - _span(m), F.struct(F.lit(m).alias("mask"), _seed(m, F.col("at")).alias("seed"))) for m in masks])
-    return placed.select(*carry, "words", "at", F.explode(F.filter(seeds, lambda s: s.isNotNull())).alias("w")).select(*carry, "words", "at", "w.*")
+    # No window over the end; a condition behind the explode leaves all of this in one generated loop.
+    seeds = F.array(*[F.struct(F.lit(m).alias("mask"), F.when(F.col("at") <= F.size("words") - _span(m), _seed(m, F.col("at"))).alias("seed")) for m in masks])
+    return placed.select(*carry, "words", "at", F.explode(seeds).alias("w")).select(*carry, "words", "at", "w.*").filter(F.col("seed").isNotNull())
 
 
 def _before(mask: Column) -> Column:
