@@ -22,7 +22,13 @@ def files(spark, name, part=""):
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The plan as text, with whole filter lists: long attribute numbers would cut them."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.unset("spark.sql.maxMetadataStringLength")
 
 
 @pytest.fixture
