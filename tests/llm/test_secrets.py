@@ -2,11 +2,13 @@ import hashlib
 import random
 import re
 import string
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from snapflow.llm import secrets
+from snapflow.llm.common import fold
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 HEX40 = hashlib.sha1(b"x").hexdigest()
@@ -62,3 +64,26 @@ def test_redaction(spark, model):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find(docs, secrets.train(docs)).count() == 0
+
+
+def test_the_markov_models_alone_on_held_out_values(spark):
+    """Values that the patterns find in documents the models have not seen, and random strings of other ids, judged by the
+    models alone; beside them ordinary identifiers made of the same documents' words."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    unseen = fold("doc_id", 5) == 1
+    model, held = secrets.train(docs.filter(~unseen)), docs.filter(unseen)
+    table = F.split(F.lit(",".join(map(str, model.ratios))), ",").cast("array<double>")
+    known = f"{secrets.ACCESS}|{secrets.HEX}"
+    digest = F.base64(F.unhex(F.sha2(F.concat(F.lit("other"), "id").cast("binary"), 256)))
+    words = held.select(F.explode(F.regexp_extract_all(F.regexp_replace("text", f"{secrets.ASSIGN}|{known}", " "), F.lit(secrets.IDENTIFIER), F.lit(0))).alias("s"))
+    three = words.groupBy(F.xxhash64("s") % 10_000).agg(F.slice(F.array_sort(F.collect_set("s")), 1, 3).alias("w"))
+    strings = [held.select(F.explode(F.regexp_extract_all("text", F.lit(known), F.lit(0))).alias("s"), F.lit("found").alias("kind")),
+               held.select(F.explode(F.regexp_extract_all("text", F.lit(secrets.ASSIGN), F.lit(1))).alias("s"), F.lit("found").alias("kind")),
+               spark.range(500).select(F.regexp_replace(F.substring(digest, 1, 32), "[+/=]", "x").alias("s"), F.lit("random").alias("kind")),
+               three.select(F.array_join(F.transform("w", lambda x: F.initcap(x)), "").alias("s"), F.lit("camel").alias("kind")),
+               three.select(F.concat(F.array_join("w", "_"), F.lit("_2")).alias("s"), F.lit("snake").alias("kind"))]
+    rows = reduce(lambda a, b: a.union(b), strings).filter(F.length("s") >= 20)
+    caught = secrets._ratio(F.col("s"), table) >= F.greatest(F.lit(model.total), model.mean * (F.length("s") - 1))
+    share = {r["kind"]: (r["n"], r["c"] / r["n"]) for r in rows.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(caught).alias("c")).collect()}
+    assert min(n for n, _ in share.values()) >= 20
+    assert share["found"][1] >= 0.95 and share["random"][1] >= 0.95 and share["camel"][1] <= 0.002 and share["snake"][1] <= 0.002
