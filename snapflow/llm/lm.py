@@ -1,15 +1,17 @@
 """Language-model scores by logistic context mixing, beside a smoothed word model.
 
-A text is its words in lower case and an end mark. The mixing model spells each word as bytes, a space behind it, and
-predicts every bit: hashed contexts (the last one to four bytes of the word, and all of it so far) each give a
-prediction from counts over the training words, gated weight sets combine them in the logistic domain, and adaptive
-probability maps refine the outcome. Weights and maps are trained online: a block of words is predicted first and
-updates them afterwards, with a word's own occurrence taken out of the counts. The product over a word's bits is its
-probability, so a text's score adds up over its words.
-
-Spark's part: texts are cut into blocks, each with its own list of distinct words. Words are counted over all blocks,
-scored once each however often they occur, and joined back to the blocks that use them. Count tables have a fixed number
-of slots, whatever the size of the corpus.
+A text is its words in lower case and an end mark. Each word is a string of bits: one says whether the corpus knows it,
+then a known word has the bits of its code, predicted behind the word before it (``wordcode``), and an unknown one is
+spelled, a space behind it. Spelling predicts every bit of every byte from hashed contexts (the last one to four bytes
+of the word, and all of it so far). In both, counts over the training words give a prediction per context, gated weight
+sets combine them in the logistic domain, and adaptive probability maps refine the outcome. Weights and maps are trained
+online: a block is predicted first and updates them afterwards, with an item's own occurrence taken out of the counts.
+Whether a word is unknown is as likely as an occurrence of the training words that is the only one of its word.
+
+Spark's part: texts are cut into blocks, each with its own lists of distinct words and of distinct pairs of neighbours.
+Words are counted over all blocks and joined back to those that use them. Pairs are counted and priced in buckets (a
+packed list per block and bucket, so that no pair is a row) and sent back. Both grow with the corpus and stay in Spark;
+the driver holds tables of fixed size: counts of spelling contexts, of classes and of slots.
 """
 
 from __future__ import annotations
@@ -20,20 +22,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapflow.llm.common import hash_sample, small_batches, texts
+from snapflow.llm import wordcode
+from snapflow.llm.common import small_batches, texts
+from snapflow.llm.wordcode import Learner, Mixer, confidence, stretch
 from snapflow.session import settled
 
 SPACE, END = 0x20, 0x0A  # no word holds either
 SLOT_BITS = (16, 18, 20, 21, 22)  # slots of the contexts: last 1, 2, 3, 4 bytes, the whole word so far
 CHUNK = 1 << 12
 BLOCK_BYTES = 32 << 20
-FREQUENT, SAMPLED, COUNTERS = 2_000, 20_000, 32
+BUCKET_BYTES = 4 << 20
+COUNTERS, LEARNERS, LEARNER_WORDS = 32, 256, 20_000  # tasks that hold a count table; those that train weights, and words for one
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(_OFFSETS[-1])
@@ -81,56 +88,27 @@ def spell(words: list[bytes]) -> Bits:
     return Bits(slots, bit.astype(np.int8), node.ravel().astype(np.int32), place.astype(np.int32), np.repeat(word, 8))
 
 
-def _stretch(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
-    return np.log((ones + 0.3) / (total - ones + 0.3)).astype(np.float32)
-
-
-def _confidence(total: np.ndarray) -> np.ndarray:
-    """0 for an unseen context, then by powers of four up to 7."""
-    return np.minimum(np.ceil(np.log2(total + 1) / 2), 7).astype(np.int8)
-
-
-def _squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-@dataclass
-class Mixer:
-    """Two gated sets of weights, and a map that refines their answer by its own record."""
-
-    by_confidence: np.ndarray  # confidences of the two longest contexts -> a weight per context
-    by_place: np.ndarray  # byte and bit in the word -> a weight per context
-    refined: np.ndarray  # bits so far of the byte, level of the mixed answer -> probability
-
-    @staticmethod
-    def fresh() -> Mixer:
-        levels = _squash(np.linspace(-8, 8, 33))
-        n = len(SLOT_BITS)
-        return Mixer(np.full((64, n), 0.35, np.float32), np.full((64, n), 0.35, np.float32), np.tile(levels, (256, 1)).astype(np.float32))
-
-    def mix(self, inputs: np.ndarray, gate: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (self.by_confidence[gate] * inputs).sum(axis=1), (self.by_place[place] * inputs).sum(axis=1)
-
-    def refine(self, x: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of a one, and the map's level that was used."""
-        level = np.clip(np.rint((x + 8) * 2), 0, 32).astype(np.int32)
-        return 0.6 * _squash(x) + 0.4 * self.refined[node, level], level
+def _inputs(counts: np.ndarray, b: Bits, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and gates of all bits from zeros and ones per slot; ``own`` takes a word's own occurrence out."""
+    ones, zeros = (np.stack([counts[value, s] for s in b.slots], axis=1) for value in (1, 0))
+    if own is not None:
+        ones, zeros = np.maximum(ones - own[:, None], 0), np.maximum(zeros - ~own[:, None], 0)
+    total = ones + zeros
+    return stretch(ones, total), confidence(total[:, -1]).astype(np.int32) * 8 + confidence(total[:, -3])
 
 
 @dataclass
 class Model:
-    stretched: np.ndarray
-    confidence: np.ndarray
+    counts: np.ndarray
     mixer: Mixer
 
     def log10(self, words: list[bytes], block: int = 4_000) -> np.ndarray:
-        """log10 probability of each word."""
+        """log10 probability of each word's spelling."""
         out = np.zeros(len(words))
         for at in range(0, len(words), block):
             part = words[at:at + block]
             b = spell(part)
-            inputs = np.stack([self.stretched[s] for s in b.slots], axis=1)
-            gate = self.confidence[b.slots[-1]].astype(np.int32) * 8 + self.confidence[b.slots[-3]]
+            inputs, gate = _inputs(self.counts, b)
             one, two = self.mixer.mix(inputs, gate, b.place)
             p, _ = self.mixer.refine((one + two) / 2, b.node)
             p = np.clip(np.where(b.bit == 1, p, 1 - p), 1e-6, 1 - 1e-6)
@@ -138,107 +116,99 @@ class Model:
         return out
 
 
-def train_mixer(counts: np.ndarray, words: list[bytes], weights: np.ndarray, turns: int = 4, block: int = 256, rate: float = 0.1, seed: int = 5) -> Mixer:
-    """Online training over words: predict a block, then step its weights (scaled by their own past steps) and maps.
+def train_spelling(learner: Learner, counts: np.ndarray, words: list[bytes], block: int = 512, rate: float = 0.1) -> None:
+    """Go through words once, each bit predicted without the word's own occurrence."""
+    for at in range(0, len(words), block):
+        b = spell(words[at:at + block])
+        own = b.bit == 1
+        inputs, gate = _inputs(counts, b, own)
+        learner.step(inputs, gate, b.place, b.node, own, np.ones(len(own)), rate)
 
-    ``counts`` holds zeros and ones per slot. A word's own occurrence is taken out before it is predicted, so that the
-    weights learn how far counts can be trusted for words not seen in training.
-    """
-    mixer, random = Mixer.fresh(), np.random.default_rng(seed)
-    if not words:
-        return mixer
-    past = [np.full_like(mixer.by_confidence, 1e-9), np.full_like(mixer.by_place, 1e-9)]
-    hits, seen = mixer.refined * 4.0, np.full(mixer.refined.shape, 4.0)
-    weights = weights / weights.mean()
-    for turn in range(turns):
-        order = random.permutation(len(words))
-        for at in range(0, len(order), block):
-            chosen = order[at:at + block]
-            b = spell([words[i] for i in chosen])
-            own = b.bit == 1
-            ones = np.stack([np.maximum(counts[1, s] - own, 0) for s in b.slots], axis=1)
-            total = ones + np.stack([np.maximum(counts[0, s] - ~own, 0) for s in b.slots], axis=1)
-            inputs, sure = _stretch(ones, total), _confidence(total)
-            gate = sure[:, -1].astype(np.int32) * 8 + sure[:, -3]
-            weight = np.minimum(weights[chosen], 50.0)[b.word]
-            answers = mixer.mix(inputs, gate, b.place)
-            p, level = mixer.refine((answers[0] + answers[1]) / 2, b.node)
-            for table, sums, where, x in ((mixer.by_confidence, past[0], gate, answers[0]), (mixer.by_place, past[1], b.place, answers[1])):
-                error = (own - _squash(x)) * weight
-                step = np.stack([np.bincount(where, weights=error * inputs[:, k], minlength=len(table)) for k in range(inputs.shape[1])], axis=1)
-                step /= weight.sum()
-                sums += step ** 2
-                table += (rate * (1 - turn / turns) * step / np.sqrt(sums)).astype(np.float32)
-            cell = b.node * 33 + level
-            hits += np.bincount(cell, weights=own * weight, minlength=hits.size).reshape(hits.shape)
-            seen += np.bincount(cell, weights=weight, minlength=seen.size).reshape(seen.shape)
-            mixer.refined = (hits / seen).astype(np.float32)
-    return mixer
-
-
-def _blocks(rows: DataFrame, kind: T.DataType) -> DataFrame:
-    """Texts by blocks: rows with a ``word`` are a block's distinct words, the others its texts over those words."""
-    schema = T.StructType([*T.StructType.fromDDL("block long, word binary, id int, uses long").fields, T.StructField("doc_id", kind),
-                           *T.StructType.fromDDL("held_out boolean, tokens long, bytes long, data binary").fields])
+
+def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
+    """Texts by blocks. Rows with ``word``: a block's distinct words. With ``data``: its texts over its distinct pairs of
+    neighbours. With ``pairs``: those pairs of one bucket and their uses in training. With ``seconds``: the second word of
+    every pair, in the order of buckets. With ``tally``: uses by class and slot of one code prefix."""
+    schema = T.StructType([*T.StructType.fromDDL("block long, word binary, id int, uses long").fields, T.StructField("doc_id", kind), *T.StructType.fromDDL(
+        "held_out boolean, tokens long, bytes long, data binary, bucket int, pairs binary, seconds binary, tally binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held = TaskContext.get().partitionId(), 0, 0
         at: dict[bytes, int] = {b"\n": 0}
-        uses = np.zeros(1, np.int64)
+        docs: list[tuple] = []
+        types: dict[str, pa.DataType] = {}
         press = zstandard.ZstdCompressor(level=1)
 
+        def emit(**columns: list | np.ndarray) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            columns["block"] = np.full(n, part << 32 | number)
+            return pa.RecordBatch.from_arrays([pa.array(columns[f.name], types[f.name]) if f.name in columns else pa.nulls(n, types[f.name]) for f in schema.fields], schema.names)
+
         def flush() -> Iterator[pa.RecordBatch]:
-            words, block = list(at), part << 32 | number
+            words = list(at)
+            code, rest, before = wordcode.describe(words)
+            ends = np.cumsum([len(ids) for *_, ids in docs])
+            second = np.concatenate([ids for *_, ids in docs])
+            first = np.concatenate([np.zeros(1, np.int32), second[:-1]])  # a text's end is what the next one begins behind
+            learned = np.repeat([learn for *_, learn, _ in docs], np.diff(ends, prepend=0))
+            pairs, place = np.unique(first.astype(np.int64) * len(words) + second, return_inverse=True)
+            uses = np.bincount(place[learned], minlength=len(pairs))
+            ahead, behind = pairs // len(words), pairs % len(words)
+            bucket, keys = wordcode.key(code[behind], rest[behind], before[ahead], spread)
+            order = np.lexsort((keys, bucket))
+            bucket, keys, behind, uses = bucket[order], keys[order], behind[order], uses[order]
+            places = np.empty(len(order), np.int32)
+            places[order] = np.arange(len(order), dtype=np.int32)
+            yield emit(seconds=[press.compress(behind.astype(np.int32).tobytes())])
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(keys[i:j], uses[i:j])])
+            for prefix in range(1 << wordcode.TOP):
+                i, j = np.searchsorted(bucket, [prefix << spread, prefix + 1 << spread])
+                if uses[i:j].any():
+                    yield emit(bucket=[prefix], tally=[press.compress(wordcode.tally(keys[i:j], uses[i:j]).astype(np.int64).tobytes())])
+            total = np.bincount(behind, weights=uses, minlength=len(words)).astype(np.int64)
             for k in range(0, len(words), 1 << 16):
                 n = len(words[k:k + (1 << 16)])
-                columns = [pa.array(np.full(n, block)), pa.array(words[k:k + n], pa.binary()), pa.array(np.arange(k, k + n, dtype=np.int32)), pa.array(uses[k:k + n])]
-                yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(n, t) for t in tail]], names)
+                yield emit(word=words[k:k + n], id=np.arange(k, k + n, dtype=np.int32), uses=total[k:k + n])
+            for k in range(0, len(docs), 1 << 12):
+                some = docs[k:k + (1 << 12)]
+                packed = []
+                for end, (*_, ids) in zip(ends[k:k + len(some)], some):
+                    different, times = np.unique(places[place[end - len(ids):end]], return_counts=True)
+                    packed.append(press.compress(np.concatenate([np.diff(different, prepend=0), times]).astype(np.int32).tobytes()))
+                ids, held_out, size, *_ = zip(*some)
+                yield emit(doc_id=list(ids), held_out=list(held_out), tokens=[len(d[-1]) for d in some], bytes=list(size), data=packed)
 
-        names, tail = [f.name for f in schema.fields], None
         for batch in small_batches(batches):
-            ids_type = batch.schema.field("doc_id").type
-            tail = [ids_type, pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-            tokens, sizes, packed, lists = [], [], [], []
-            for text in texts(batch):
+            types = {f.name: t for f, t in zip(schema.fields, [pa.int64(), pa.binary(), pa.int32(), pa.int64(), batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(),
+                                                              pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()])}
+            for text, *row in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learned"))):
                 words = text.translate(_LOWER).split()
+                size = sum(map(len, words)) + len(words) + 1
                 ids = np.fromiter((at.setdefault(w, len(at)) for w in words), np.int32, len(words))
-                lists.append(ids)
-                different, times = np.unique(np.append(ids, np.int32(0)), return_counts=True)
-                packed.append(press.compress(np.concatenate([np.diff(different, prepend=0), times]).astype(np.int32).tobytes()))
-                tokens.append(len(words) + 1)
-                sizes.append(sum(map(len, words)) + len(words) + 1)
-            learned = batch.column("learned").to_pylist()
-            uses = np.concatenate([uses, np.zeros(len(at) - len(uses), np.int64)])
-            taught = [ids for ids, learn in zip(lists, learned) if learn]
-            if taught:
-                uses += np.bincount(np.concatenate(taught), minlength=len(at))
-                uses[0] += len(taught)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part << 32 | number)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
-                                              batch.column("doc_id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], names)
-            held += sum(sizes)
+                docs.append((row[0], row[1], size, row[2], np.append(ids, np.int32(0))))
+                held += size
             if held >= BLOCK_BYTES:
                 yield from flush()
-                number, held, at, uses = number + 1, 0, {b"\n": 0}, np.zeros(1, np.int64)
-        if held:
+                number, held, at, docs = number + 1, 0, {b"\n": 0}, []
+        if docs:
             yield from flush()
 
     return rows.mapInArrow(run, schema)
 
 
 def _counts(vocabulary: DataFrame) -> np.ndarray:
-    """Zeros and ones of every slot over the training words: ``SLOTS`` pairs, however large the vocabulary."""
+    """Zeros and ones of every slot, each training word counted once, as new words are like rare ones: ``SLOTS`` pairs."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((2, SLOTS))
         for batch in batches:
-            words, uses = batch.column("word").to_pylist(), batch.column("uses").to_numpy(zero_copy_only=False)
+            words = batch.column("word").to_pylist()
             for at in range(0, len(words), 4_000):
                 b = spell(words[at:at + 4_000])
-                weight = uses[at:at + 4_000][b.word].astype(np.float64)
                 for s in b.slots:
                     for value in (0, 1):
-                        mine = b.bit == value
-                        np.add.at(table[value], s[mine], weight[mine])
+                        np.add.at(table[value], s[b.bit == value], 1.0)
         for k in range(0, SLOTS, CHUNK):
             part = table[:, k:k + CHUNK]
             if part.any():
@@ -248,30 +218,80 @@ def _counts(vocabulary: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(zstandard.decompress(x)) for x in table.column("counts").to_pylist())
         return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([zstandard.compress(total.tobytes(), 1)])})
 
-    parts = vocabulary.filter("uses > 0").select("word", "uses").coalesce(COUNTERS).mapInArrow(tally, "chunk long, counts binary")
+    parts = vocabulary.filter("uses > 0").select("word").coalesce(COUNTERS).mapInArrow(tally, "chunk long, counts binary")
     out = np.zeros((2, SLOTS), np.float32)
     for row in parts.groupBy("chunk").applyInArrow(add, "chunk long, counts binary").toLocalIterator():
         out[:, row["chunk"]:row["chunk"] + CHUNK] = np.frombuffer(zstandard.decompress(row["counts"])).reshape(2, -1)
     return out
 
 
-def _train(vocabulary: DataFrame) -> Model:
-    """Count tables over all training words; weights from the most frequent ones and a bounded hash sample of the rest."""
-    counts = _counts(vocabulary)
-    known = vocabulary.filter("uses > 0").select("word", "uses")
-    frequent = known.orderBy(F.desc("uses"), "word").limit(FREQUENT).collect()
-    least = (frequent[-1]["uses"], frequent[-1]["word"]) if frequent else (0, b"")
-    rare = hash_sample(known.filter((F.col("uses") < least[0]) | ((F.col("uses") == least[0]) & (F.col("word") > F.lit(bytes(least[1]))))), "word", SAMPLED).collect()
-    rest = (known.agg(F.sum("uses")).first()[0] or 0) - sum(r["uses"] for r in frequent)
-    scale = rest / max(sum(r["uses"] for r in rare), 1)
-    words = [bytes(r["word"]) for r in [*frequent, *rare]]
-    weights = np.array([*(r["uses"] for r in frequent), *(r["uses"] * scale for r in rare)], np.float64)
-    mixer = train_mixer(counts, words, weights)
-    stretched, confidence = np.empty(SLOTS, np.float32), np.empty(SLOTS, np.int8)
-    for at in range(0, SLOTS, 1 << 16):  # piece by piece: the driver never holds a second table
-        ones, total = counts[1, at:at + (1 << 16)], counts[:, at:at + (1 << 16)].sum(axis=0)
-        stretched[at:at + (1 << 16)], confidence[at:at + (1 << 16)] = _stretch(ones, total), _confidence(total)
-    return Model(stretched, confidence, mixer)
+def _spelling(vocabulary: DataFrame) -> tuple[Broadcast, Mixer]:
+    """Count tables over all training words; weights over all that occur once, trained in parts and averaged."""
+    spark = vocabulary.sparkSession
+    counts = spark.sparkContext.broadcast(_counts(vocabulary))  # 2 x SLOTS floats
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner, n = Learner(Mixer.fresh(len(SLOT_BITS))), 0
+        for batch in batches:
+            train_spelling(learner, counts.value, batch.column("word").to_pylist())
+            n += batch.num_rows
+        if n:
+            state = [learner.mixer.by_confidence * n, learner.mixer.by_place * n, learner.hits, learner.seen]
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([np.concatenate([x.ravel() for x in state]).astype(np.float64).tobytes()])], ["n", "state"])
+
+    n, state = 0, None
+    once = vocabulary.filter("uses = 1").select("word")
+    parts = min(max(once.count() // LEARNER_WORDS, 1), LEARNERS)
+    dealt = once.repartition(parts, "word").sortWithinPartitions(F.xxhash64("word"), "word")  # the same order on every run
+    for row in dealt.mapInArrow(learn, "n long, state binary").collect():  # at most LEARNERS rows
+        mine = np.frombuffer(row["state"])
+        n, state = n + row["n"], mine if state is None else state + mine
+    mixer = Mixer.fresh(len(SLOT_BITS))
+    if state is not None:
+        size = mixer.by_confidence.size
+        mixer.by_confidence, mixer.by_place = ((state[k * size:(k + 1) * size] / n).reshape(64, -1).astype(np.float32) for k in (0, 1))
+        hits, seen = state[2 * size:].reshape(2, *mixer.refined.shape)
+        mixer.refined = (hits / seen).astype(np.float32)
+    return counts, mixer
+
+
+def _tallies(both: DataFrame) -> np.ndarray:
+    """Uses by code prefix (64) and, of each, by class and code and by slot; the sizes are fixed."""
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(zstandard.decompress(x), np.int64) for x in table.column("tally").to_pylist())
+        return pa.table({"bucket": table.column("bucket")[:1], "tally": pa.array([zstandard.compress(total.tobytes(), 1)])})
+
+    out = np.zeros((1 << wordcode.TOP, wordcode.CLASSES * wordcode.LEAVES + wordcode.SLOTS), np.int64)
+    rows = both.filter("tally IS NOT NULL").select("bucket", "tally").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
+    for row in rows.toLocalIterator():
+        out[row["bucket"]] = np.frombuffer(zstandard.decompress(row["tally"]), np.int64)
+    return out
+
+
+def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame:
+    """What each block's pairs cost, bucket by bucket: ``block, bucket, prices`` in the order of the block's pairs."""
+    size = wordcode.CLASSES * wordcode.LEAVES
+    context = both.sparkSession.sparkContext
+    first = context.broadcast(wordcode.first_bits(tallies[:, size:].T).T.copy())
+    classes = context.broadcast(tallies[:, :size].astype(np.float32))
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        lists = [wordcode.unpack(x) for x in table.column("pairs").to_pylist()]
+        keys, place = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
+        uses = np.bincount(place, weights=np.concatenate([u for _, u in lists])).astype(np.int64)
+        prefix = bucket >> spread
+        prices = np.stack(wordcode.price(keys, uses, classes.value[prefix].reshape(wordcode.CLASSES, -1), first.value[prefix])).astype(np.float32)
+        cuts = np.cumsum([0, *(len(k) for k, _ in lists)])
+        out = [zstandard.compress(np.ascontiguousarray(prices[:, place[i:j]]).view(np.uint8).reshape(3, -1, 4).transpose(0, 2, 1).tobytes(), 1) for i, j in zip(cuts[:-1], cuts[1:])]
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "prices": pa.array(out, pa.binary())})
+
+    return both.filter("pairs IS NOT NULL").select("block", "bucket", "pairs").groupBy("bucket").applyInArrow(run, "block long, bucket int, prices binary")
+
+
+def _prices(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(3, 4, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.float32)[:, :, 0]
 
 
 def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", scratch: list[str] | None = None) -> DataFrame:
@@ -280,42 +300,64 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     Gives ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte`` per row. Base and model
     scores are log10 probabilities of the text's words and its end. A null text is an empty one: the end alone. A row
     whose ``held_out`` is null is scored but not learned from. Repeated rows each count and each give a row; other columns
-    are left behind. Nothing to learn from leaves even probabilities; no rows give none.
+    are left behind. Nothing to learn from leaves spellings of even bits; no rows give none. The same rows give the same
+    scores, however they are partitioned.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"), held_out.alias("held_out"))
     rows = rows.withColumn("learned", F.coalesce(~F.col("held_out"), F.lit(False)))
     kind = rows.schema["doc_id"].dataType
-    both = settled(_blocks(rows, kind), scratch)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spread = max(0, math.ceil(math.log2(max(size, 1) / (BUCKET_BYTES << wordcode.TOP))))
+    both = settled(_blocks(rows, kind, spread), scratch)
     words = both.filter("word IS NOT NULL").select("block", "id", "word", "uses")
     vocabulary = settled(words.groupBy("word").agg(F.sum("uses").alias("uses")), scratch)
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count_if(F.col("uses") > 0)).first()
-    held = docs.sparkSession.sparkContext.broadcast(_train(vocabulary))  # SLOTS entries of five bytes
+    total, distinct, once = vocabulary.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count_if(F.col("uses") > 0), F.count_if(F.col("uses") == 1)).first()
+    counts, mixer = _spelling(vocabulary)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(counts.value, mixer)
         for batch in batches:
-            cost = held.value.log10(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("uses"), pa.array(cost)], ["word", "all_uses", "cost"])
+            uses = batch.column("uses").to_numpy(zero_copy_only=False)
+            cost, unknown = np.zeros(len(uses)), np.flatnonzero(uses == 0)
+            cost[unknown] = model.log10(batch.column("word").take(pa.array(unknown)).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("code"), batch.column("uses"), pa.array(cost)], ["word", "code", "all_uses", "cost"])
 
-    costs = vocabulary.mapInArrow(judge, "word binary, all_uses long, cost double")
+    coded = vocabulary.withColumn("code", F.shiftrightunsigned(F.xxhash64("word"), 48).cast("int"))
+    costs = coded.mapInArrow(judge, "word binary, code int, all_uses long, cost double")
     # The tagged key differs from the one words were grouped on: both sides of the join can be split.
     tagged = lambda df: df.withColumn("k", F.concat(F.lit(b"w"), "word")).drop("word")
-    priced = tagged(words.drop("uses")).join(tagged(costs), "k").select(F.col("block").alias("word_block"), "id", "all_uses", "cost")
-    documents = both.filter("word IS NULL").select("block", "doc_id", "held_out", "tokens", "bytes", "data")
+    priced = tagged(words.drop("uses")).join(tagged(costs), "k").select(F.col("block").alias("of_block"), "id", "code", "all_uses", "cost")
+    tallies = _tallies(both)
+    pairs = _price_pairs(both, tallies, spread).withColumnRenamed("block", "of_block")
+    seconds = both.filter("seconds IS NOT NULL").select(F.col("block").alias("of_block"), "seconds")
+    parts = priced.unionByName(pairs, allowMissingColumns=True).unionByName(seconds, allowMissingColumns=True)
+    documents = both.filter("data IS NOT NULL").select("block", "doc_id", "held_out", "tokens", "bytes", "data")
     floor = math.log10(total + 0.5 * (distinct + 1))
+    unknown = (once + 0.5) / (total + 1)
+    by_code = tallies[:, :wordcode.CLASSES * wordcode.LEAVES].reshape(-1, wordcode.CLASSES, wordcode.LEAVES).sum(axis=1).ravel()
 
     def total_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        n = right.num_rows
-        uses, cost = np.zeros(n, np.int64), np.zeros(n)
-        ids = right.column("id").to_numpy()
-        uses[ids], cost[ids] = right.column("all_uses").to_numpy(), right.column("cost").to_numpy()
-        base, known, model = np.log10(uses + 0.5) - floor, [], []
-        press, based = zstandard.ZstdDecompressor(), []
+        known_words = right.filter(pa.compute.is_valid(right.column("id")))
+        n = known_words.num_rows
+        uses, cost, code = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int32)
+        ids = known_words.column("id").to_numpy()
+        for values, name in ((uses, "all_uses"), (cost, "cost"), (code, "code")):
+            values[ids] = known_words.column(name).to_numpy()
+        lists = right.filter(pa.compute.is_valid(right.column("prices"))).sort_by("bucket").column("prices").to_pylist()
+        bits, share, rest = np.concatenate([_prices(x) for x in lists], axis=1).astype(np.float64)
+        press = zstandard.ZstdDecompressor()
+        second = np.frombuffer(press.decompress(right.column("seconds").drop_null()[0].as_py()), np.int32)
+        among = (uses / np.maximum(by_code[code], 1))[second]
+        inside = np.log10(np.maximum(share + rest * among, 1e-300)) + bits + math.log10(1 - unknown)
+        each = np.where(uses[second] > 0, inside, cost[second] + math.log10(unknown))
+        base, seen = (np.log10(uses + 0.5) - floor)[second], uses[second] > 0
+        known, based, model = [], [], []
         for data in left.column("data").to_pylist():
             different, times = np.frombuffer(press.decompress(data), np.int32).reshape(2, -1)
             at = np.cumsum(different)
-            known.append(int(times[uses[at] > 0].sum()))
+            known.append(int(times[seen[at]].sum()))
             based.append(float(base[at] @ times))
-            model.append(float(cost[at] @ times))
+            model.append(float(each[at] @ times))
         size = left.column("bytes").to_numpy()
         return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": left.column("tokens"), "n_known": pa.array(known, pa.int64()),
                          "train_tokens": pa.array(np.full(left.num_rows, total, np.int64)), "base_score": pa.array(based, pa.float64()),
@@ -323,4 +365,4 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
 
     result = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL(
         "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double").fields])
-    return documents.groupBy("block").cogroup(priced.groupBy("word_block")).applyInArrow(total_up, result)
+    return documents.groupBy("block").cogroup(parts.groupBy("of_block")).applyInArrow(total_up, result)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapflow.llm import lm
+from snapflow.llm import lm, wordcode
 
 
 def tokens(text):
@@ -71,15 +71,110 @@ def test_a_words_bits_are_its_bytes_and_prefixes_meet():
     assert (b.slots[-1][24:32] != b.slots[-1][56:64]).any()
 
 
-def test_model_is_a_distribution(spark):
+def test_spelling_is_a_distribution():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 5, (2, lm.SLOTS)).astype(np.float32)
-    mixer = lm.train_mixer(counts, [b"ab", b"ac", b"\n"], np.ones(3), turns=1)
-    model = lm.Model(lm._stretch(counts[1], counts.sum(axis=0)), lm._confidence(counts.sum(axis=0)), mixer)
-    first = 10 ** model.log10([bytes([b]) for b in range(256) if b not in (lm.SPACE, lm.END)])
+    learner = wordcode.Learner(wordcode.Mixer.fresh(len(lm.SLOT_BITS)))
+    lm.train_spelling(learner, counts, [b"ab", b"ac", b"\n"])
+    first = 10 ** lm.Model(counts, learner.mixer).log10([bytes([b]) for b in range(256) if b not in (lm.SPACE, lm.END)])
     assert first.sum() <= 1 + 1e-3  # one-byte words and their end share what the first byte gives them
 
 
+def priced(pairs, words):
+    """All buckets of a small corpus, every pair of its words included; log10 probability of a word behind another."""
+    code, rest, before = wordcode.describe(words)
+    n = len(words)
+    a, b = np.divmod(np.arange(n * n), n)
+    bucket, keys = wordcode.key(code[b], rest[b], before[a], 0)
+    uses = np.array([pairs[int(x), int(y)] for x, y in zip(a, b)])
+    order = np.lexsort((keys, bucket))
+    by_slot, tables = np.zeros((wordcode.SLOTS, 64)), {}
+    for k in np.unique(bucket):
+        mine = order[bucket[order] == k]
+        table = wordcode.tally(keys[mine], uses[mine])
+        tables[k] = mine, table[:65536].reshape(64, -1)
+        by_slot[:, k] = table[65536:]
+    first = wordcode.first_bits(by_slot)
+    counts = np.bincount(b, weights=uses)
+    total = np.bincount(code.astype(int), weights=counts, minlength=65536)
+    out = np.zeros(n * n)
+    for k, (mine, table) in tables.items():
+        cost, share, rest_share = wordcode.price(keys[mine], uses[mine], table, first[:, k])
+        among = counts[b[mine]] / np.maximum(total[code[b[mine]].astype(int)], 1)
+        out[mine] = cost + np.log10(np.maximum(share + rest_share * among, 1e-300))
+    return out.reshape(n, n), counts
+
+
+def test_known_words_share_what_a_word_before_gives_them():
+    rng = random.Random(4)
+    words = [b"\n"] + [f"w{i}".encode() for i in range(150)]
+    pairs = collections.Counter((rng.randrange(151), min(rng.randrange(151), rng.randrange(151))) for _ in range(3_000))
+    costs, counts = priced(pairs, words)
+    shares = (10 ** costs)[:, counts > 0].sum(axis=1)
+    assert (shares <= 1 + 1e-3).all() and (shares > 0.01).all()
+    seen = np.array([[pairs[i, j] > 1 for j in range(151)] for i in range(151)])
+    assert costs[seen].mean() > costs[~seen].mean() + 0.3
+
+
+def test_contexts_of_code_bits_against_plain_counts():
+    rng = np.random.default_rng(3)
+    before = np.sort(rng.integers(0, 2 ** 32, 12, dtype=np.uint64))
+    keys = np.unique(rng.choice(before, 400) << np.uint64(32) | rng.integers(0, 2 ** 32, 400, dtype=np.uint64))
+    uses = rng.integers(0, 4, len(keys))
+    by_class = wordcode.tally(keys, uses)[:65536].reshape(64, -1)
+    for level, where, bit in wordcode.levels(keys, uses, by_class):
+        depth = level.depth - wordcode.TOP
+        path = [format(int(k) >> 22 & 1023, "010b") for k in keys]
+        last = [int(k) >> 32 for k in keys]
+        for i in range(0, len(keys), 7):
+            alike = [j for j in range(len(keys)) if path[j][:depth] == path[i][:depth]]
+            for value, got in (("1", level.ones), ("0", level.zeros)):
+                mine = [j for j in alike if path[j][depth] == value]
+                want = [sum(uses[j] for j in mine if last[j] == last[i]), sum(uses[j] for j in mine if last[j] >> 26 == last[i] >> 26), sum(uses[j] for j in mine)]
+                assert list(got[where[i]]) == want
+            assert bit[i] == int(path[i][depth])
+
+
+def test_cases_stand_for_every_use():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 30, 500, dtype=np.uint64) << np.uint64(58) | rng.integers(0, 2 ** 32, 500, dtype=np.uint64))
+    uses = rng.integers(0, 3, len(keys))
+    for level, _, _ in wordcode.levels(keys, uses, wordcode.tally(keys, uses)[:65536].reshape(64, -1)):
+        _, own, weight = level.cases()
+        assert weight.sum() == uses.sum() and weight[own].sum() == level.ones[:, 0].sum()
+
+
+def test_packed_pairs_come_back():
+    rng = np.random.default_rng(6)
+    keys = np.sort(rng.integers(0, 2 ** 64, 999, dtype=np.uint64))
+    uses = rng.integers(0, 2 ** 40, 999)
+    back = wordcode.unpack(wordcode.pack(keys, uses))
+    assert (back[0] == keys).all() and (back[1] == uses).all()
+
+
+def test_order_of_words_counts(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in ("ka", "mo", "ri", "su") for b in ("la", "ne", "to", "vi", "x", "y")]
+    follow = {w: rng.sample(words, 3) for w in words}
+
+    def text(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+
+    rows = [(i, " ".join(text(60))) for i in range(200) if i % 5 != 1]
+    fresh = text(80)
+    mixed = rng.sample(fresh, len(fresh))
+    rows += [(1, " ".join(fresh)), (6, " ".join(mixed))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (lm.BUCKET_BYTES, 64):  # the second deals every code prefix into several buckets
+        monkeypatch.setattr(lm, "BUCKET_BYTES", size)
+        by = {r["doc_id"]: r for r in lm.score(docs, F.col("doc_id") % 5 == 1).collect()}
+        assert by[1]["score"] > by[6]["score"] + 10 and round(by[1]["base_score"], 6) == round(by[6]["base_score"], 6)
+        assert by[1]["score"] > by[1]["base_score"] + 10
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(docs, F.col("doc_id") % 5 == 1).count() == 0
