@@ -40,10 +40,12 @@ SLOT_BITS = (16, 18, 20, 21, 22)  # slots of the contexts: last 1, 2, 3, 4 bytes
 CHUNK = 1 << 12
 BLOCK_BYTES = 32 << 20
 BUCKET_BYTES = 4 << 20
+STEPS = 1024  # of a log10, in what pairs cost
 COUNTERS, LEARNERS, LEARNER_WORDS = 32, 256, 20_000  # tasks that hold a count table; those that train weights, and words for one
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(_OFFSETS[-1])
+TALLY = wordcode.CLASSES * wordcode.LEAVES + wordcode.SLOTS
 
 
 @dataclass
@@ -137,7 +139,6 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
         at: dict[bytes, int] = {b"\n": 0}
         docs: list[tuple] = []
         types: dict[str, pa.DataType] = {}
-        press = zstandard.ZstdCompressor(level=1)
 
         def emit(**columns: list | np.ndarray) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
@@ -145,28 +146,31 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(columns[f.name], types[f.name]) if f.name in columns else pa.nulls(n, types[f.name]) for f in schema.fields], schema.names)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = list(at)
-            code, rest, before = wordcode.describe(words)
+            code, rest, before = wordcode.describe(list(at))
+            order = np.lexsort((rest, code))  # words are numbered by name, so that a bucket's pairs name theirs by small steps
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            words, code, rest, before = list(map(list(at).__getitem__, order)), code[order], rest[order], before[order]
             ends = np.cumsum([len(ids) for *_, ids in docs])
-            second = np.concatenate([ids for *_, ids in docs])
-            first = np.concatenate([np.zeros(1, np.int32), second[:-1]])  # a text's end is what the next one begins behind
+            second = rank[np.concatenate([ids for *_, ids in docs])]
+            first = np.concatenate([rank[:1], second[:-1]])  # a text's end is what the next one begins behind
             learned = np.repeat([learn for *_, learn, _ in docs], np.diff(ends, prepend=0))
-            pairs, place = np.unique(first.astype(np.int64) * len(words) + second, return_inverse=True)
+            pairs, place = np.unique(second.astype(np.int64) * len(words) + first, return_inverse=True)
             uses = np.bincount(place[learned], minlength=len(pairs))
-            ahead, behind = pairs // len(words), pairs % len(words)
-            bucket, keys = wordcode.key(code[behind], rest[behind], before[ahead], spread)
-            order = np.lexsort((keys, bucket))
-            bucket, keys, behind, uses = bucket[order], keys[order], behind[order], uses[order]
+            behind, ahead = pairs // len(words), pairs % len(words)
+            bucket, names = wordcode.key(code[behind], rest[behind], before[ahead], spread)
+            order = np.argsort(bucket, kind="stable")
+            bucket, names, behind, ahead, uses = bucket[order], names[order], behind[order], before[ahead[order]], uses[order]
             places = np.empty(len(order), np.int32)
             places[order] = np.arange(len(order), dtype=np.int32)
-            yield emit(seconds=[press.compress(behind.astype(np.int32).tobytes())])
+            yield emit(seconds=[wordcode.squeeze(np.diff(behind, prepend=0) & 0xFFFFFFFF)])
             cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
             for i, j in zip(cuts[:-1], cuts[1:]):
-                yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(keys[i:j], uses[i:j])])
+                yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(names[i:j], ahead[i:j], uses[i:j])])
             for prefix in range(1 << wordcode.TOP):
                 i, j = np.searchsorted(bucket, [prefix << spread, prefix + 1 << spread])
                 if uses[i:j].any():
-                    yield emit(bucket=[prefix], tally=[press.compress(wordcode.tally(keys[i:j], uses[i:j]).astype(np.int64).tobytes())])
+                    yield emit(bucket=[prefix], tally=[wordcode.squeeze(wordcode.tally(ahead[i:j] << np.uint64(32) | names[i:j], uses[i:j]))])
             total = np.bincount(behind, weights=uses, minlength=len(words)).astype(np.int64)
             for k in range(0, len(words), 1 << 16):
                 n = len(words[k:k + (1 << 16)])
@@ -176,7 +180,7 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
                 packed = []
                 for end, (*_, ids) in zip(ends[k:k + len(some)], some):
                     different, times = np.unique(places[place[end - len(ids):end]], return_counts=True)
-                    packed.append(press.compress(np.concatenate([np.diff(different, prepend=0), times]).astype(np.int32).tobytes()))
+                    packed.append(wordcode.squeeze(np.diff(different, prepend=0), times))
                 ids, held_out, size, *_ = zip(*some)
                 yield emit(doc_id=list(ids), held_out=list(held_out), tokens=[len(d[-1]) for d in some], bytes=list(size), data=packed)
 
@@ -201,39 +205,43 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
 def _counts(vocabulary: DataFrame) -> np.ndarray:
     """Zeros and ones of every slot, each training word counted once, as new words are like rare ones: ``SLOTS`` pairs."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, SLOTS))
+        table = np.zeros((2, SLOTS), np.int32)
         for batch in batches:
             words = batch.column("word").to_pylist()
             for at in range(0, len(words), 4_000):
                 b = spell(words[at:at + 4_000])
                 for s in b.slots:
                     for value in (0, 1):
-                        np.add.at(table[value], s[b.bit == value], 1.0)
+                        np.add.at(table[value], s[b.bit == value], 1)
         for k in range(0, SLOTS, CHUNK):
             part = table[:, k:k + CHUNK]
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([zstandard.compress(part.tobytes(), 1)])], ["chunk", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zstandard.decompress(x)) for x in table.column("counts").to_pylist())
+        total = sum(np.frombuffer(zstandard.decompress(x), np.int32).astype(np.int64) for x in table.column("counts").to_pylist())
         return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([zstandard.compress(total.tobytes(), 1)])})
 
     parts = vocabulary.filter("uses > 0").select("word").coalesce(COUNTERS).mapInArrow(tally, "chunk long, counts binary")
     out = np.zeros((2, SLOTS), np.float32)
     for row in parts.groupBy("chunk").applyInArrow(add, "chunk long, counts binary").toLocalIterator():
-        out[:, row["chunk"]:row["chunk"] + CHUNK] = np.frombuffer(zstandard.decompress(row["counts"])).reshape(2, -1)
+        out[:, row["chunk"]:row["chunk"] + CHUNK] = np.frombuffer(zstandard.decompress(row["counts"]), np.int64).reshape(2, -1)
     return out
 
 
+def _table(counts: Broadcast) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(counts.value), np.float32).reshape(2, SLOTS)
+
+
 def _spelling(vocabulary: DataFrame) -> tuple[Broadcast, Mixer]:
     """Count tables over all training words; weights over all that occur once, trained in parts and averaged."""
     spark = vocabulary.sparkSession
-    counts = spark.sparkContext.broadcast(_counts(vocabulary))  # 2 x SLOTS floats
+    counts = spark.sparkContext.broadcast(zstandard.compress(_counts(vocabulary).tobytes(), 1))  # 2 x SLOTS floats
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, n = Learner(Mixer.fresh(len(SLOT_BITS))), 0
+        learner, n, table = Learner(Mixer.fresh(len(SLOT_BITS))), 0, _table(counts)
         for batch in batches:
-            train_spelling(learner, counts.value, batch.column("word").to_pylist())
+            train_spelling(learner, table, batch.column("word").to_pylist())
             n += batch.num_rows
         if n:
             state = [learner.mixer.by_confidence * n, learner.mixer.by_place * n, learner.hits, learner.seen]
@@ -258,10 +266,10 @@ def _spelling(vocabulary: DataFrame) -> tuple[Broadcast, Mixer]:
 def _tallies(both: DataFrame) -> np.ndarray:
     """Uses by code prefix (64) and, of each, by class and code and by slot; the sizes are fixed."""
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(zstandard.decompress(x), np.int64) for x in table.column("tally").to_pylist())
+        total = sum(wordcode.expand(x, TALLY)[0].astype(np.int64) for x in table.column("tally").to_pylist())
         return pa.table({"bucket": table.column("bucket")[:1], "tally": pa.array([zstandard.compress(total.tobytes(), 1)])})
 
-    out = np.zeros((1 << wordcode.TOP, wordcode.CLASSES * wordcode.LEAVES + wordcode.SLOTS), np.int64)
+    out = np.zeros((1 << wordcode.TOP, TALLY), np.int64)
     rows = both.filter("tally IS NOT NULL").select("bucket", "tally").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
     for row in rows.toLocalIterator():
         out[row["bucket"]] = np.frombuffer(zstandard.decompress(row["tally"]), np.int64)
@@ -272,8 +280,9 @@ def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame
     """What each block's pairs cost, bucket by bucket: ``block, bucket, prices`` in the order of the block's pairs."""
     size = wordcode.CLASSES * wordcode.LEAVES
     context = both.sparkSession.sparkContext
-    first = context.broadcast(wordcode.first_bits(tallies[:, size:].T).T.copy())
-    classes = context.broadcast(tallies[:, :size].astype(np.float32))
+    # Broadcasts lie on the executors' disks, and a bucket needs one of 64 parts.
+    first = context.broadcast([zstandard.compress(x.tobytes(), 1) for x in wordcode.first_bits(tallies[:, size:].T).T])
+    classes = context.broadcast([zstandard.compress(x.astype(np.float32).tobytes(), 1) for x in tallies[:, :size]])
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -281,17 +290,16 @@ def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame
         keys, place = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
         uses = np.bincount(place, weights=np.concatenate([u for _, u in lists])).astype(np.int64)
         prefix = bucket >> spread
-        prices = np.stack(wordcode.price(keys, uses, classes.value[prefix].reshape(wordcode.CLASSES, -1), first.value[prefix])).astype(np.float32)
+        table_of = lambda held: np.frombuffer(zstandard.decompress(held.value[prefix]), np.float32)
+        cost, share, rest = wordcode.price(keys, uses, table_of(classes).reshape(wordcode.CLASSES, -1), table_of(first))
+        steps = np.ceil(cost * -STEPS)  # rounded away from certainty, so that probabilities add up to one at most
+        prices = np.stack([steps.astype(np.uint32), share.astype(np.float32).view(np.uint32), rest.astype(np.float32).view(np.uint32)])
         cuts = np.cumsum([0, *(len(k) for k, _ in lists)])
-        out = [zstandard.compress(np.ascontiguousarray(prices[:, place[i:j]]).view(np.uint8).reshape(3, -1, 4).transpose(0, 2, 1).tobytes(), 1) for i, j in zip(cuts[:-1], cuts[1:])]
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "prices": pa.array(out, pa.binary())})
-
-    return both.filter("pairs IS NOT NULL").select("block", "bucket", "pairs").groupBy("bucket").applyInArrow(run, "block long, bucket int, prices binary")
-
+        out = [wordcode.squeeze(*prices[:, place[i:j]]) for i, j in zip(cuts[:-1], cuts[1:])]
+        sizes = np.diff(cuts)
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "size": pa.array(sizes), "prices": pa.array(out, pa.binary())})
 
-def _prices(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(3, 4, -1)
-    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.float32)[:, :, 0]
+    return both.filter("pairs IS NOT NULL").select("block", "bucket", "pairs").groupBy("bucket").applyInArrow(run, "block long, bucket int, size long, prices binary")
 
 
 def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", scratch: list[str] | None = None) -> DataFrame:
@@ -315,7 +323,7 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     counts, mixer = _spelling(vocabulary)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(counts.value, mixer)
+        model = Model(_table(counts), mixer)
         for batch in batches:
             uses = batch.column("uses").to_numpy(zero_copy_only=False)
             cost, unknown = np.zeros(len(uses)), np.flatnonzero(uses == 0)
@@ -343,17 +351,18 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
         ids = known_words.column("id").to_numpy()
         for values, name in ((uses, "all_uses"), (cost, "cost"), (code, "code")):
             values[ids] = known_words.column(name).to_numpy()
-        lists = right.filter(pa.compute.is_valid(right.column("prices"))).sort_by("bucket").column("prices").to_pylist()
-        bits, share, rest = np.concatenate([_prices(x) for x in lists], axis=1).astype(np.float64)
-        press = zstandard.ZstdDecompressor()
-        second = np.frombuffer(press.decompress(right.column("seconds").drop_null()[0].as_py()), np.int32)
+        lists = right.filter(pa.compute.is_valid(right.column("prices"))).sort_by("bucket").select(["prices", "size"]).to_pylist()
+        bits, share, rest = (np.concatenate(x) for x in zip(*(wordcode.expand(x["prices"], *[x["size"]] * 3) for x in lists)))
+        bits, share, rest = bits / -STEPS, share.view(np.float32).astype(np.float64), rest.view(np.float32).astype(np.float64)
+        second = np.cumsum(wordcode.expand(right.column("seconds").drop_null()[0].as_py(), len(bits))[0].view(np.int32))
         among = (uses / np.maximum(by_code[code], 1))[second]
         inside = np.log10(np.maximum(share + rest * among, 1e-300)) + bits + math.log10(1 - unknown)
         each = np.where(uses[second] > 0, inside, cost[second] + math.log10(unknown))
         base, seen = (np.log10(uses + 0.5) - floor)[second], uses[second] > 0
         known, based, model = [], [], []
         for data in left.column("data").to_pylist():
-            different, times = np.frombuffer(press.decompress(data), np.int32).reshape(2, -1)
+            size = zstandard.frame_content_size(data) // 8
+            different, times = wordcode.expand(data, size, size)
             at = np.cumsum(different)
             known.append(int(times[seen[at]].sum()))
             based.append(float(base[at] @ times))

@@ -33,21 +33,41 @@ def describe(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def key(code: np.ndarray, rest: np.ndarray, before: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and sort key of pairs; each of the 64 code prefixes has ``2 ** spread`` buckets."""
+    """Bucket of pairs, and the name of the second word in it; each of the 64 code prefixes has ``2 ** spread`` buckets."""
     bucket = (code >> np.uint64(LOW)) << np.uint64(spread) | before & np.uint64((1 << spread) - 1)
-    return bucket.astype(np.int32), before << np.uint64(32) | (code & np.uint64(LEAVES - 1)) << np.uint64(22) | rest
+    return bucket.astype(np.int32), ((code & np.uint64(LEAVES - 1)) << np.uint64(22) | rest).astype(np.uint32)
 
 
-def pack(keys: np.ndarray, uses: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte by byte, and their uses."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes() + uses.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+def squeeze(*streams: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte by byte, compressed."""
+    return zstandard.compress(b"".join(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams), 1)
+
+
+def expand(data: bytes, *sizes: int) -> list[np.ndarray]:
+    plain, out, at = zstandard.decompress(data), [], 0
+    for n in sizes:
+        out.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, 4 * n, at).reshape(4, n).T).view(np.uint32).ravel())
+        at += 4 * n
+    return out
+
+
+def pack(words: np.ndarray, before: np.ndarray, uses: np.ndarray) -> bytes:
+    """Pairs sorted by word: each word once with the number of its pairs, words before by their rank in frequency."""
+    names, place, times = np.unique(before.astype(np.uint32), return_inverse=True, return_counts=True)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(names))
+    starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+    sizes = np.array([len(names), len(starts), len(words)], np.int64)
+    return sizes.tobytes() + squeeze(np.diff(names, prepend=np.uint32(0)), times, np.diff(words[starts], prepend=np.uint32(0)),
+                                     np.diff(np.append(starts, len(words))), rank[place], uses)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(2, 8, -1)
-    steps, uses = (np.ascontiguousarray(p.T) for p in planes)
-    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64), uses.view(np.int64).ravel()
+    """Keys (word before, then word) and uses, in the order they were packed."""
+    n, kinds, pairs = np.frombuffer(data, np.int64, 3)
+    names, times, words, counts, rank, uses = expand(data[24:], n, n, kinds, kinds, pairs, pairs)
+    names = np.cumsum(names, dtype=np.uint64)[np.argsort(-times.astype(np.int64), kind="stable")]
+    return names[rank] << np.uint64(32) | np.repeat(np.cumsum(words, dtype=np.uint64), counts), uses.astype(np.int64)
 
 
 def tally(keys: np.ndarray, uses: np.ndarray) -> np.ndarray:

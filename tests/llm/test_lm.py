@@ -85,7 +85,8 @@ def priced(pairs, words):
     code, rest, before = wordcode.describe(words)
     n = len(words)
     a, b = np.divmod(np.arange(n * n), n)
-    bucket, keys = wordcode.key(code[b], rest[b], before[a], 0)
+    bucket, names = wordcode.key(code[b], rest[b], before[a], 0)
+    keys = before[a] << np.uint64(32) | names
     uses = np.array([pairs[int(x), int(y)] for x, y in zip(a, b)])
     order = np.lexsort((keys, bucket))
     by_slot, tables = np.zeros((wordcode.SLOTS, 64)), {}
@@ -146,10 +147,11 @@ def test_cases_stand_for_every_use():
 
 def test_packed_pairs_come_back():
     rng = np.random.default_rng(6)
-    keys = np.sort(rng.integers(0, 2 ** 64, 999, dtype=np.uint64))
-    uses = rng.integers(0, 2 ** 40, 999)
-    back = wordcode.unpack(wordcode.pack(keys, uses))
-    assert (back[0] == keys).all() and (back[1] == uses).all()
+    words = np.sort(rng.integers(0, 2 ** 32, 300, dtype=np.uint32))[rng.integers(0, 300, 999)]
+    words.sort()
+    before, uses = rng.choice(rng.integers(0, 2 ** 32, 40, dtype=np.uint64), 999), rng.integers(0, 2 ** 31, 999)
+    back = wordcode.unpack(wordcode.pack(words, before, uses))
+    assert (back[0] == (before << np.uint64(32) | words)).all() and (back[1] == uses).all()
 
 
 def test_order_of_words_counts(spark, monkeypatch):
