@@ -38,7 +38,7 @@ from snapflow.session import settled
 SPACE, END = 0x20, 0x0A  # no word holds either
 SLOT_BITS = (16, 18, 20, 21, 22)  # slots of the contexts: last 1, 2, 3, 4 bytes, the whole word so far
 CHUNK = 1 << 12
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 4 << 20
 STEPS = 1024  # of a log10, in what pairs cost
 COUNTERS, LEARNERS, LEARNER_WORDS = 32, 256, 20_000  # tasks that hold a count table; those that train weights, and words for one
@@ -127,6 +127,14 @@ def train_spelling(learner: Learner, counts: np.ndarray, words: list[bytes], blo
         learner.step(inputs, gate, b.place, b.node, own, np.ones(len(own)), rate)
 
 
+class _Numbers(dict):
+    """Words numbered in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
     """Texts by blocks. Rows with ``word``: a block's distinct words. With ``data``: its texts over its distinct pairs of
     neighbours. With ``pairs``: those pairs of one bucket and their uses in training. With ``seconds``: the second word of
@@ -136,7 +144,7 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held = TaskContext.get().partitionId(), 0, 0
-        at: dict[bytes, int] = {b"\n": 0}
+        at = _Numbers({b"\n": 0})
         docs: list[tuple] = []
         types: dict[str, pa.DataType] = {}
 
@@ -190,12 +198,12 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             for text, *row in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learned"))):
                 words = text.translate(_LOWER).split()
                 size = sum(map(len, words)) + len(words) + 1
-                ids = np.fromiter((at.setdefault(w, len(at)) for w in words), np.int32, len(words))
+                ids = np.fromiter(map(at.__getitem__, words), np.int32, len(words))
                 docs.append((row[0], row[1], size, row[2], np.append(ids, np.int32(0))))
                 held += size
             if held >= BLOCK_BYTES:
                 yield from flush()
-                number, held, at, docs = number + 1, 0, {b"\n": 0}, []
+                number, held, at, docs = number + 1, 0, _Numbers({b"\n": 0}), []
         if docs:
             yield from flush()
 
@@ -207,12 +215,10 @@ def _counts(vocabulary: DataFrame) -> np.ndarray:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((2, SLOTS), np.int32)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            for at in range(0, len(words), 4_000):
-                b = spell(words[at:at + 4_000])
-                for s in b.slots:
-                    for value in (0, 1):
-                        np.add.at(table[value], s[b.bit == value], 1)
+            b = spell(batch.column("word").to_pylist())
+            for k, (s, bits) in enumerate(zip(b.slots, SLOT_BITS)):
+                sums = np.bincount(s - _OFFSETS[k] + (b.bit.astype(np.int64) << bits), minlength=2 << bits)
+                table[:, _OFFSETS[k]:_OFFSETS[k + 1]] += sums.reshape(2, -1)
         for k in range(0, SLOTS, CHUNK):
             part = table[:, k:k + CHUNK]
             if part.any():

@@ -22,6 +22,7 @@ import zstandard
 TOP, LOW = 6, 10  # code bits that deal words into buckets, and those predicted inside a bucket
 LEAVES, SLOTS, CLASSES = 1 << LOW, 1 << 16, 64
 BATCH = 4_096
+_PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def describe(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,11 +41,11 @@ def key(code: np.ndarray, rest: np.ndarray, before: np.ndarray, spread: int) ->
 
 def squeeze(*streams: np.ndarray) -> bytes:
     """Numbers below 2**32, byte by byte, compressed."""
-    return zstandard.compress(b"".join(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams), 1)
+    return _PRESS.compress(b"".join(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams))
 
 
 def expand(data: bytes, *sizes: int) -> list[np.ndarray]:
-    plain, out, at = zstandard.decompress(data), [], 0
+    plain, out, at = _OPEN.decompress(data), [], 0
     for n in sizes:
         out.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, 4 * n, at).reshape(4, n).T).view(np.uint32).ravel())
         at += 4 * n
