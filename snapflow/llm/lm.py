@@ -9,8 +9,8 @@ online: a block is predicted first and updates them afterwards, with an item's o
 Whether a word is unknown is as likely as an occurrence of the training words that is the only one of its word.
 
 Spark's part: texts are cut into blocks, each with its own lists of distinct words and of distinct pairs of neighbours.
-Words are counted over all blocks and joined back to those that use them. Pairs are counted and priced in buckets (a
-packed list per block and bucket, so that no pair is a row) and sent back. Both grow with the corpus and stay in Spark;
+Words are counted, pairs counted and priced, in buckets (a packed list per block and bucket, so that a block's words and
+pairs are no rows), and what was found is sent back to the block. Both grow with the corpus and stay in Spark;
 the driver holds tables of fixed size: counts of spelling contexts, of classes and of slots.
 """
 
@@ -40,8 +40,9 @@ SLOT_BITS = (16, 18, 20, 21, 22)  # slots of the contexts: last 1, 2, 3, 4 bytes
 CHUNK = 1 << 12
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 4 << 20
+WORD_BITS = 3  # a bucket of words is that much larger
 STEPS = 1024  # of a log10, in what pairs cost
-COUNTERS, LEARNERS, LEARNER_WORDS = 32, 256, 20_000  # tasks that hold a count table; those that train weights, and words for one
+COUNTERS, TALLIERS, LEARNERS, LEARNER_WORDS = 32, 8, 256, 20_000  # tasks that hold a count table or all tallies; those that train weights, and words for one
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(_OFFSETS[-1])
@@ -92,7 +93,7 @@ def spell(words: list[bytes]) -> Bits:
 
 def _inputs(counts: np.ndarray, b: Bits, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Inputs and gates of all bits from zeros and ones per slot; ``own`` takes a word's own occurrence out."""
-    ones, zeros = (np.stack([counts[value, s] for s in b.slots], axis=1) for value in (1, 0))
+    ones, zeros = (np.stack([counts[value].take(s) for s in b.slots], axis=1) for value in (1, 0))
     if own is not None:
         ones, zeros = np.maximum(ones - own[:, None], 0), np.maximum(zeros - ~own[:, None], 0)
     total = ones + zeros
@@ -136,11 +137,13 @@ class _Numbers(dict):
 
 
 def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
-    """Texts by blocks. Rows with ``word``: a block's distinct words. With ``data``: its texts over its distinct pairs of
-    neighbours. With ``pairs``: those pairs of one bucket and their uses in training. With ``seconds``: the second word of
-    every pair, in the order of buckets. With ``tally``: uses by class and slot of one code prefix."""
-    schema = T.StructType([*T.StructType.fromDDL("block long, word binary, id int, uses long").fields, T.StructField("doc_id", kind), *T.StructType.fromDDL(
+    """Texts by blocks. Rows with ``words``: a block's distinct words of one bucket and their uses in training. With
+    ``data``: its texts over its distinct pairs of neighbours. With ``pairs``: those pairs of one bucket and their uses in
+    training. With ``seconds``: the second word of every pair, in the order of buckets, and the code of every word. With
+    ``tally``: uses by class and slot of one code prefix."""
+    schema = T.StructType([*T.StructType.fromDDL("block long, words binary").fields, T.StructField("doc_id", kind), *T.StructType.fromDDL(
         "held_out boolean, tokens long, bytes long, data binary, bucket int, pairs binary, seconds binary, tally binary").fields])
+    word_bits = max(0, wordcode.TOP + spread - WORD_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held = TaskContext.get().partitionId(), 0, 0
@@ -168,11 +171,14 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             behind, ahead = pairs // len(words), pairs % len(words)
             bucket, names = wordcode.key(code[behind], rest[behind], before[ahead], spread)
             order = np.argsort(bucket, kind="stable")
-            bucket, names, behind, ahead, uses = bucket[order], names[order], behind[order], before[ahead[order]], uses[order]
+            bucket, names, ahead = bucket[order], names[order], before[ahead[order]]
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            inside = np.concatenate([i + wordcode.arrange(names[i:j], ahead[i:j]) for i, j in zip(cuts[:-1], cuts[1:])])
+            order, names, ahead = order[inside], names[inside], ahead[inside]
+            behind, uses = behind[order], uses[order]
             places = np.empty(len(order), np.int32)
             places[order] = np.arange(len(order), dtype=np.int32)
-            yield emit(seconds=[wordcode.squeeze(np.diff(behind, prepend=0) & 0xFFFFFFFF)])
-            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            yield emit(seconds=[wordcode.squeeze(np.diff(behind, prepend=0) & 0xFFFFFFFF, np.diff(code.astype(np.int64), prepend=0))])
             for i, j in zip(cuts[:-1], cuts[1:]):
                 yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(names[i:j], ahead[i:j], uses[i:j])])
             for prefix in range(1 << wordcode.TOP):
@@ -180,9 +186,10 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
                 if uses[i:j].any():
                     yield emit(bucket=[prefix], tally=[wordcode.squeeze(wordcode.tally(ahead[i:j] << np.uint64(32) | names[i:j], uses[i:j]))])
             total = np.bincount(behind, weights=uses, minlength=len(words)).astype(np.int64)
-            for k in range(0, len(words), 1 << 16):
-                n = len(words[k:k + (1 << 16)])
-                yield emit(word=words[k:k + n], id=np.arange(k, k + n, dtype=np.int32), uses=total[k:k + n])
+            named = (code << np.uint64(22) | rest) >> np.uint64(38 - word_bits)  # words are in this order
+            cuts = np.append(np.flatnonzero(np.diff(named.astype(np.int64), prepend=-1)), len(words))
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                yield emit(bucket=[int(named[i])], words=[wordcode.pack_words(words[i:j], total[i:j])])
             for k in range(0, len(docs), 1 << 12):
                 some = docs[k:k + (1 << 12)]
                 packed = []
@@ -193,7 +200,7 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
                 yield emit(doc_id=list(ids), held_out=list(held_out), tokens=[len(d[-1]) for d in some], bytes=list(size), data=packed)
 
         for batch in small_batches(batches):
-            types = {f.name: t for f, t in zip(schema.fields, [pa.int64(), pa.binary(), pa.int32(), pa.int64(), batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(),
+            types = {f.name: t for f, t in zip(schema.fields, [pa.int64(), pa.binary(), batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(),
                                                               pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()])}
             for text, *row in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learned"))):
                 words = text.translate(_LOWER).split()
@@ -210,6 +217,31 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _count_words(both: DataFrame) -> DataFrame:
+    """Uses in training, bucket by bucket. Rows with ``word``: every word that training knows. With ``totals``: the uses of
+    a block's words in that bucket, and those of them that have none."""
+    schema = "block long, bucket int, size long, totals binary, unknown binary, word binary, uses long"
+
+    def add(table: pa.Table) -> pa.Table:
+        lists = [wordcode.unpack_words(x) for x in table.column("words").to_pylist()]
+        coded = pa.concat_arrays([words for words, _ in lists]).dictionary_encode()
+        place = coded.indices.to_numpy()
+        total = np.bincount(place, weights=np.concatenate([uses for _, uses in lists])).astype(np.int64)
+        cuts, totals, unknown = np.cumsum([0, *(len(uses) for _, uses in lists)]), [], []
+        for (words, _), i, j in zip(lists, cuts[:-1], cuts[1:]):
+            mine = total[place[i:j]]
+            new = words.take(pa.array(np.flatnonzero(mine == 0))).to_pylist()
+            totals.append(wordcode.squeeze_long(mine))
+            unknown.append(wordcode.pack_words(new, np.zeros(len(new))))
+        known = np.flatnonzero(total)
+        blocks = {"block": table.column("block"), "bucket": table.column("bucket"), "size": pa.array(np.diff(cuts)), "totals": pa.array(totals, pa.binary()), "unknown": pa.array(unknown, pa.binary())}
+        words = {"word": coded.dictionary.take(pa.array(known)).cast(pa.binary()), "uses": pa.array(total[known])}
+        types = {"block": pa.int64(), "bucket": pa.int32(), "size": pa.int64(), "totals": pa.binary(), "unknown": pa.binary(), "word": pa.binary(), "uses": pa.int64()}
+        return pa.concat_tables([pa.table({c: some[c] if c in some else pa.nulls(n, t) for c, t in types.items()}) for some, n in ((blocks, len(lists)), (words, len(known)))])
+
+    return both.filter("words IS NOT NULL").select("block", "bucket", "words").groupBy("bucket").applyInArrow(add, schema)
+
+
 def _counts(vocabulary: DataFrame) -> np.ndarray:
     """Zeros and ones of every slot, each training word counted once, as new words are like rare ones: ``SLOTS`` pairs."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,12 +303,20 @@ def _spelling(vocabulary: DataFrame) -> tuple[Broadcast, Mixer]:
 
 def _tallies(both: DataFrame) -> np.ndarray:
     """Uses by code prefix (64) and, of each, by class and code and by slot; the sizes are fixed."""
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, x in zip(batch.column("bucket").to_pylist(), batch.column("tally").to_pylist()):
+                sums[bucket] = sums.get(bucket, 0) + wordcode.expand(x, TALLY)[0].astype(np.int64)
+        for bucket, mine in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([wordcode.squeeze_long(mine)])], ["bucket", "tally"])
+
     def add(table: pa.Table) -> pa.Table:
-        total = sum(wordcode.expand(x, TALLY)[0].astype(np.int64) for x in table.column("tally").to_pylist())
+        total = sum(wordcode.expand_long(x, TALLY) for x in table.column("tally").to_pylist())
         return pa.table({"bucket": table.column("bucket")[:1], "tally": pa.array([zstandard.compress(total.tobytes(), 1)])})
 
     out = np.zeros((1 << wordcode.TOP, TALLY), np.int64)
-    rows = both.filter("tally IS NOT NULL").select("bucket", "tally").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
+    rows = both.filter("tally IS NOT NULL").select("bucket", "tally").coalesce(TALLIERS).mapInArrow(some, "bucket int, tally binary").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
     for row in rows.toLocalIterator():
         out[row["bucket"]] = np.frombuffer(zstandard.decompress(row["tally"]), np.int64)
     return out
@@ -297,9 +337,9 @@ def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame
         uses = np.bincount(place, weights=np.concatenate([u for _, u in lists])).astype(np.int64)
         prefix = bucket >> spread
         table_of = lambda held: np.frombuffer(zstandard.decompress(held.value[prefix]), np.float32)
-        cost, share, rest = wordcode.price(keys, uses, table_of(classes).reshape(wordcode.CLASSES, -1), table_of(first))
+        cost = wordcode.code_cost(keys, uses, table_of(classes).reshape(wordcode.CLASSES, -1), table_of(first))
         steps = np.ceil(cost * -STEPS)  # rounded away from certainty, so that probabilities add up to one at most
-        prices = np.stack([steps.astype(np.uint32), share.astype(np.float32).view(np.uint32), rest.astype(np.float32).view(np.uint32)])
+        prices = np.stack([steps, *wordcode.rivals(keys, uses)]).astype(np.uint32)
         cuts = np.cumsum([0, *(len(k) for k, _ in lists)])
         out = [wordcode.squeeze(*prices[:, place[i:j]]) for i, j in zip(cuts[:-1], cuts[1:])]
         sizes = np.diff(cuts)
@@ -323,24 +363,23 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = max(0, math.ceil(math.log2(max(size, 1) / (BUCKET_BYTES << wordcode.TOP))))
     both = settled(_blocks(rows, kind, spread), scratch)
-    words = both.filter("word IS NOT NULL").select("block", "id", "word", "uses")
-    vocabulary = settled(words.groupBy("word").agg(F.sum("uses").alias("uses")), scratch)
-    total, distinct, once = vocabulary.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count_if(F.col("uses") > 0), F.count_if(F.col("uses") == 1)).first()
+    counted = settled(_count_words(both), scratch)
+    vocabulary = counted.filter("word IS NOT NULL").select("word", "uses")
+    total, distinct, once = vocabulary.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count("uses"), F.count_if(F.col("uses") == 1)).first()
     counts, mixer = _spelling(vocabulary)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(_table(counts), mixer)
         for batch in batches:
-            uses = batch.column("uses").to_numpy(zero_copy_only=False)
-            cost, unknown = np.zeros(len(uses)), np.flatnonzero(uses == 0)
-            cost[unknown] = model.log10(batch.column("word").take(pa.array(unknown)).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("code"), batch.column("uses"), pa.array(cost)], ["word", "code", "all_uses", "cost"])
-
-    coded = vocabulary.withColumn("code", F.shiftrightunsigned(F.xxhash64("word"), 48).cast("int"))
-    costs = coded.mapInArrow(judge, "word binary, code int, all_uses long, cost double")
-    # The tagged key differs from the one words were grouped on: both sides of the join can be split.
-    tagged = lambda df: df.withColumn("k", F.concat(F.lit(b"w"), "word")).drop("word")
-    priced = tagged(words.drop("uses")).join(tagged(costs), "k").select(F.col("block").alias("of_block"), "id", "code", "all_uses", "cost")
+            lists = [wordcode.unpack_words(x)[0] for x in batch.column("unknown").to_pylist()]
+            coded = pa.concat_arrays([pa.array([], pa.large_binary()), *lists]).dictionary_encode()
+            cost = model.log10(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            cuts = np.cumsum([0, *map(len, lists)])
+            costs = pa.array([cost[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("block", "bucket", "size", "totals")), costs], ["of_block", "bucket", "size", "totals", "costs"])
+
+    priced = counted.filter("totals IS NOT NULL").select("block", "bucket", "size", "totals", "unknown").mapInArrow(
+        judge, "of_block long, bucket int, size long, totals binary, costs binary")
     tallies = _tallies(both)
     pairs = _price_pairs(both, tallies, spread).withColumnRenamed("block", "of_block")
     seconds = both.filter("seconds IS NOT NULL").select(F.col("block").alias("of_block"), "seconds")
@@ -351,16 +390,15 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     by_code = tallies[:, :wordcode.CLASSES * wordcode.LEAVES].reshape(-1, wordcode.CLASSES, wordcode.LEAVES).sum(axis=1).ravel()
 
     def total_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        known_words = right.filter(pa.compute.is_valid(right.column("id")))
-        n = known_words.num_rows
-        uses, cost, code = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int32)
-        ids = known_words.column("id").to_numpy()
-        for values, name in ((uses, "all_uses"), (cost, "cost"), (code, "code")):
-            values[ids] = known_words.column(name).to_numpy()
-        lists = right.filter(pa.compute.is_valid(right.column("prices"))).sort_by("bucket").select(["prices", "size"]).to_pylist()
-        bits, share, rest = (np.concatenate(x) for x in zip(*(wordcode.expand(x["prices"], *[x["size"]] * 3) for x in lists)))
-        bits, share, rest = bits / -STEPS, share.view(np.float32).astype(np.float64), rest.view(np.float32).astype(np.float64)
-        second = np.cumsum(wordcode.expand(right.column("seconds").drop_null()[0].as_py(), len(bits))[0].view(np.int32))
+        of = lambda column: right.filter(pa.compute.is_valid(right.column(column))).sort_by("bucket").to_pylist()
+        words, lists = of("totals"), of("prices")
+        uses = np.concatenate([wordcode.expand_long(x["totals"], x["size"]) for x in words])
+        cost = np.zeros(len(uses))
+        cost[uses == 0] = np.frombuffer(b"".join(x["costs"] for x in words))
+        steps, *rivals = (np.concatenate(x).astype(np.int64) for x in zip(*(wordcode.expand(x["prices"], *[x["size"]] * 4) for x in lists)))
+        bits, (share, rest) = steps / -STEPS, wordcode.shares(*rivals)
+        seconds, codes = wordcode.expand(right.column("seconds").drop_null()[0].as_py(), len(bits), len(uses))
+        second, code = np.cumsum(seconds.view(np.int32)), np.cumsum(codes)
         among = (uses / np.maximum(by_code[code], 1))[second]
         inside = np.log10(np.maximum(share + rest * among, 1e-300)) + bits + math.log10(1 - unknown)
         each = np.where(uses[second] > 0, inside, cost[second] + math.log10(unknown))

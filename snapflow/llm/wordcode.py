@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 
@@ -39,35 +40,78 @@ def key(code: np.ndarray, rest: np.ndarray, before: np.ndarray, spread: int) ->
     return bucket.astype(np.int32), ((code & np.uint64(LEAVES - 1)) << np.uint64(22) | rest).astype(np.uint32)
 
 
-def squeeze(*streams: np.ndarray) -> bytes:
-    """Numbers below 2**32, byte by byte, compressed."""
-    return _PRESS.compress(b"".join(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams))
+def squeeze(*streams: np.ndarray, tail: bytes = b"") -> bytes:
+    """Numbers below 2**32, byte by byte, then ``tail``, compressed."""
+    return _PRESS.compress(b"".join([*(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams), tail]))
 
 
 def expand(data: bytes, *sizes: int) -> list[np.ndarray]:
-    plain, out, at = _OPEN.decompress(data), [], 0
+    return _split(_OPEN.decompress(data), sizes)
+
+
+def _split(plain: bytes, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    out, at = [], 0
     for n in sizes:
         out.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, 4 * n, at).reshape(4, n).T).view(np.uint32).ravel())
         at += 4 * n
     return out
 
 
-def pack(words: np.ndarray, before: np.ndarray, uses: np.ndarray) -> bytes:
-    """Pairs sorted by word: each word once with the number of its pairs, words before by their rank in frequency."""
+def squeeze_long(values: np.ndarray) -> bytes:
+    """Numbers below 2**63."""
+    return squeeze(values & 0xFFFFFFFF, values >> 32)
+
+
+def expand_long(data: bytes, size: int) -> np.ndarray:
+    low, high = expand(data, size, size)
+    return high.astype(np.int64) << 32 | low
+
+
+def pack_words(words: list[bytes], uses: np.ndarray) -> bytes:
+    """Words and a number below 2**32 for each."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    return len(words).to_bytes(8, "little") + squeeze(lengths, uses, tail=b"".join(words))
+
+
+def unpack_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
+    n, plain = int.from_bytes(data[:8], "little"), _OPEN.decompress(data[8:])
+    lengths, uses = _split(plain, (n, n))
+    ends = np.cumsum(np.concatenate([[0], lengths]), dtype=np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(plain).slice(8 * n)]), uses.astype(np.int64)
+
+
+def _ranks(before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words before, how often each occurs, and for every pair the rank of its word before in frequency."""
     names, place, times = np.unique(before.astype(np.uint32), return_inverse=True, return_counts=True)
     rank = np.empty(len(names), np.int64)
     rank[np.argsort(-times, kind="stable")] = np.arange(len(names))
+    return names, times, rank[place]
+
+
+def arrange(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The order of pairs sorted by word in which they pack best: frequent words before first."""
+    number = np.cumsum(np.concatenate([[0], words[1:] != words[:-1]]))
+    return np.argsort(number * len(words) + _ranks(before)[2], kind="stable")
+
+
+def pack(words: np.ndarray, before: np.ndarray, uses: np.ndarray) -> bytes:
+    """Pairs sorted by word: each word once with the number of its pairs, words before by the steps of their ranks."""
+    names, times, rank = _ranks(before)
     starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+    steps = np.diff(rank, prepend=0)
+    steps[starts] = rank[starts]
     sizes = np.array([len(names), len(starts), len(words)], np.int64)
     return sizes.tobytes() + squeeze(np.diff(names, prepend=np.uint32(0)), times, np.diff(words[starts], prepend=np.uint32(0)),
-                                     np.diff(np.append(starts, len(words))), rank[place], uses)
+                                     np.diff(np.append(starts, len(words))), steps & 0xFFFFFFFF, uses)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Keys (word before, then word) and uses, in the order they were packed."""
     n, kinds, pairs = np.frombuffer(data, np.int64, 3)
-    names, times, words, counts, rank, uses = expand(data[24:], n, n, kinds, kinds, pairs, pairs)
+    names, times, words, counts, steps, uses = expand(data[24:], n, n, kinds, kinds, pairs, pairs)
     names = np.cumsum(names, dtype=np.uint64)[np.argsort(-times.astype(np.int64), kind="stable")]
+    sums, starts = np.cumsum(steps.view(np.int32), dtype=np.int64), np.cumsum(counts, dtype=np.int64) - counts
+    rank = sums - np.repeat(sums[starts] - steps[starts], counts)
     return names[rank] << np.uint64(32) | np.repeat(np.cumsum(words, dtype=np.uint64), counts), uses.astype(np.int64)
 
 
@@ -106,7 +150,7 @@ class Mixer:
         return Mixer(*gated, np.tile(levels, (256, 1)).astype(np.float32))
 
     def mix(self, inputs: np.ndarray, gate: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (self.by_confidence[gate] * inputs).sum(axis=1), (self.by_place[place] * inputs).sum(axis=1)
+        return tuple(np.einsum("ij,ij->i", weights.take(where, axis=0), inputs) for weights, where in ((self.by_confidence, gate), (self.by_place, place)))
 
     def refine(self, x: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probability of a one, and the map's level that was used."""
@@ -233,20 +277,37 @@ def levels(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray) -> list[tup
     return out
 
 
-def price(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the sorted pairs of a bucket: log10 probability of the code, and how words of one code are told apart.
+def code_cost(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """For the sorted pairs of a bucket: log10 probability of the code.
 
     ``by_class`` (64 x 1024) are uses by class and code, ``top`` the log10 probability of this bucket's prefix by slot.
-    The word's probability inside its code is ``share + rest * (its probability there whatever the word before)``.
     """
     cost = top[(keys >> np.uint64(48)).astype(np.int64)].astype(np.float64)
     bits = levels(keys, uses, by_class)
     mixer = train([level for level, _, _ in bits])
     for level, where, bit in bits:
         cost += log_odds(mixer, level)[where, bit]
+    return cost
+
+
+def rivals(keys: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """For the sorted pairs of a bucket: uses, those of other words with that code behind that word, and their kinds; below 2**32."""
     leaf = keys >> np.uint64(22)
     first = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
     sizes = np.diff(np.append(first, len(keys)))
     total, kinds = (np.repeat(np.add.reduceat(x, first), sizes) for x in (uses, (uses > 0).astype(np.int64)))
+    uses, total = (x >> max(0, int(total.max()).bit_length() - 32) for x in (uses, total))
+    return np.stack([uses, total - uses, kinds - (uses > 0)])
+
+
+def shares(uses: np.ndarray, other: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How words of one code are told apart, from ``rivals``: the word's probability inside its code is
+    ``share + rest * (its probability there whatever the word before)``."""
+    total, kinds = uses + other, kinds + (uses > 0)
     base = np.maximum(total + kinds, 1)
-    return cost, uses / base, np.where(total > 0, kinds / base, 1.0)
+    return uses / base, np.where(total > 0, kinds / base, 1.0)
+
+
+def price(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the sorted pairs of a bucket: log10 probability of the code, share and rest."""
+    return code_cost(keys, uses, by_class, top), *shares(*rivals(keys, uses))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapflow.llm import lm, wordcode
+from snapflow.session import settled
 
 
 def tokens(text):
@@ -154,6 +155,61 @@ def test_packed_pairs_come_back():
     assert (back[0] == (before << np.uint64(32) | words)).all() and (back[1] == uses).all()
 
 
+def test_arranged_pairs_pack_smaller_and_come_back():
+    rng = np.random.default_rng(9)
+    words = np.sort(rng.choice(rng.integers(0, 2 ** 32, 40, dtype=np.uint32), 8_000))
+    before = rng.choice(rng.integers(0, 2 ** 32, 900, dtype=np.uint64), 8_000)
+    uses = rng.integers(0, 3, 8_000)
+    order = wordcode.arrange(words, before)
+    assert (words[order] == words).all() and sorted(order) == list(range(8_000))
+    packed = wordcode.pack(words, before[order], uses[order])
+    back = wordcode.unpack(packed)
+    assert (back[0] == (before[order] << np.uint64(32) | words)).all() and (back[1] == uses[order]).all()
+    assert len(packed) < 0.8 * len(wordcode.pack(words, before, uses))
+
+
+def test_packed_words_and_long_numbers_come_back():
+    words = [b"\n", b"", "né\x1c".encode(), b"a" * 70_000, b"\x00"]
+    uses = np.array([0, 1, 2 ** 32 - 1, 5, 0])
+    back = wordcode.unpack_words(wordcode.pack_words(words, uses))
+    assert back[0].to_pylist() == words and list(back[1]) == list(uses)
+    assert len(wordcode.unpack_words(wordcode.pack_words([], np.zeros(0)))[0]) == 0
+    many = np.array([0, 1, 2 ** 32 - 1, 2 ** 32, 2 ** 62 + 7])
+    assert list(wordcode.expand_long(wordcode.squeeze_long(many), 5)) == list(many)
+
+
+def test_counts_travel_as_small_numbers():
+    keys = np.array([7 << 32 | 1 << 22, 7 << 32 | 1 << 22 | 1, 7 << 32 | 1 << 22 | 2, 7 << 32 | 2 << 22, 9 << 32], np.uint64)
+    uses = np.array([3, 1, 0, 5, 0])
+    assert wordcode.rivals(keys, uses).tolist() == [[3, 1, 0, 5, 0], [1, 3, 4, 0, 0], [1, 1, 2, 0, 0]]
+    share, rest = wordcode.shares(*wordcode.rivals(keys, uses))
+    assert np.allclose(share, [3 / 6, 1 / 6, 0, 5 / 6, 0]) and np.allclose(rest, [2 / 6, 2 / 6, 2 / 6, 1 / 6, 1])
+    huge = wordcode.rivals(keys, uses << 40)
+    assert huge.max() < 2 ** 32 and np.allclose(wordcode.shares(*huge)[0][:2], [3 / 4, 1 / 4], atol=1e-6)
+
+
+def test_neither_words_nor_pairs_of_a_block_are_rows(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 64)
+    rng = random.Random(10)
+    texts = [" ".join(f"w{rng.randrange(4_000)}" for _ in range(400)) for _ in range(80)]
+    rows = spark.createDataFrame([(i, t, i % 5 == 1, i % 5 != 1) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean, learned boolean").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        both = settled(lm._blocks(rows, rows.schema["doc_id"].dataType, 0))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    blocks = both.select("block").distinct().count()
+    words = both.filter("words IS NOT NULL")
+    held = [w for r in words.select("words").collect() for w in wordcode.unpack_words(r["words"])[0].to_pylist()]
+    assert blocks > 4 and set(held) == {w.encode() for t in texts for w in t.split()} | {b"\n"}
+    assert words.count() <= blocks * 8 < len(held) / 20 and both.filter("pairs IS NOT NULL").count() <= blocks * 64
+    counted = lm._count_words(both)
+    assert counted.filter("totals IS NOT NULL").count() == words.count()
+    uses = {r["word"]: r["uses"] for r in counted.filter("word IS NOT NULL").collect()}
+    assert uses == collections.Counter(w for i, t in enumerate(texts) if i % 5 != 1 for w in tokens(t))
+
+
 def test_order_of_words_counts(spark, monkeypatch):
     rng = random.Random(8)
     words = [f"{a}{b}" for a in ("ka", "mo", "ri", "su") for b in ("la", "ne", "to", "vi", "x", "y")]
