@@ -18,6 +18,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from snapflow.llm.common import id_and_text, small_batches
 
 END = 1 << 19  # stands behind the last symbol; no merge has it
-WORD_CACHE = 100_000  # words kept per generation and worker; two generations live at a time
+WORD_CACHE = 150_000  # words kept per generation and worker; two generations live at a time
 _SPACES = regex.compile(r"\p{White_Space}+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() takes these for spaces, Unicode does not
 _CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -48,7 +49,6 @@ class WordBPE:
         suffix = model.get("end_of_word_suffix") or ""
         self.names = {i: s for s, i in vocab.items()}
         letters = _byte_letters()
-        self.name = self.names.__getitem__
         self.inner = [vocab[x] for x in letters].__getitem__
         self.final = [vocab[x + suffix] for x in letters]
         self.ranks: dict[int, int] = {}  # pair of symbol ids -> rank
@@ -59,11 +59,12 @@ class WordBPE:
             self.made.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         self.names |= {i: s for s, i in self.special.items()}
+        self.by_id = pa.array([self.names.get(i) for i in range(max(self.names) + 1)], pa.string())
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.marks = {s[:2] for s in self.special}
         self.pieces = regex.compile(_CONTRACTIONS)
-        self.new: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply all merges to one word's symbols, lowest rank first, leftmost first among equals."""
@@ -99,50 +100,55 @@ class WordBPE:
         ids.pop()
         return [x for x in ids if x >= 0]
 
-    def word(self, chunk: str) -> tuple[bytes, str]:
-        """A run without white space: its ids as packed 32-bit integers, and its decoded text."""
-        out: list[int] = []
-        for piece in ((chunk,) if chunk.isalpha() else self.pieces.findall(chunk)):
-            raw = piece.encode()
-            ids = [*map(self.inner, raw)]
-            ids[-1] = self.final[raw[-1]]
-            out += self.merge(ids) if len(ids) > 1 else ids
-        return array("i", out).tobytes(), " ".join(map(self.name, out))
-
-    def _part(self, text: str, ids: list[bytes], said: list[str]) -> None:
+    def piece(self, piece: str) -> bytes:
+        """Packed 32-bit ids of a run of one script class."""
+        raw = piece.encode()
+        ids = [*map(self.inner, raw)]
+        ids[-1] = self.final[raw[-1]]
+        return array("i", self.merge(ids) if len(ids) > 1 else ids).tobytes()
+
+    def word(self, chunk: str) -> bytes:
+        """Packed ids of a run without white space. Its pieces are kept too: a word with a comma is mostly known without."""
+        if chunk.isalpha():
+            return self.piece(chunk)
+        pieces = self.pieces.findall(chunk)
+        return b"".join(map(self.kept, pieces)) if len(pieces) > 1 else self.piece(chunk)
+
+    def kept(self, chunk: str) -> bytes:
+        """What ``word`` gives, from the cache or for it."""
+        hit = self.new.get(chunk)
+        if hit is None:
+            hit = self.old.get(chunk) or self.word(chunk)
+            if len(self.new) >= WORD_CACHE:
+                self.old, self.new = self.new, {}
+            if len(chunk) <= 64:
+                self.new[chunk] = hit
+        return hit
+
+    def _part(self, text: str) -> list[bytes]:
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         if "Σ" in text:
             text = text.replace("Σ", "σ")  # lower case letter by letter, without the word-final form
-        text = text.lower()
-        for chunk in (_SPACES.split(text) if _ODD_SPACE.search(text) else text.split()):
-            hit = self.new.get(chunk)
-            if hit is None:
-                if not chunk:
-                    continue
-                hit = self.old.get(chunk) or self.word(chunk)
-                if len(self.new) >= WORD_CACHE:
-                    self.old, self.new = self.new, {}
-                if len(chunk) <= 64:
-                    self.new[chunk] = hit
-            if hit[0]:
-                ids.append(hit[0])
-                said.append(hit[1])
+        text, get, kept = text.lower(), self.new.get, self.kept
+        return [get(chunk) or kept(chunk) for chunk in (filter(None, _SPACES.split(text)) if _ODD_SPACE.search(text) else text.split())]
+
+    def ids(self, text: str) -> bytes:
+        """Packed ids of a whole text."""
+        if not self.special_pattern or not any(m in text for m in self.marks):
+            return b"".join(self._part(text))
+        out: list[bytes] = []
+        for part in self.special_pattern.split(text):
+            if part in self.special:
+                out.append(array("i", [self.special[part]]).tobytes())
+            elif part:
+                out += self._part(part)
+        return b"".join(out)
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Packed ids and decoded text of a whole text."""
-        ids: list[bytes] = []
-        said: list[str] = []
-        if self.special_pattern and any(m in text for m in self.marks):
-            for part in self.special_pattern.split(text):
-                if part in self.special:
-                    ids.append(array("i", [self.special[part]]).tobytes())
-                    said.append(part)
-                elif part:
-                    self._part(part, ids, said)
-        else:
-            self._part(text, ids, said)
-        return b"".join(ids), " ".join(said)
+        ids = self.ids(text)
+        return ids, self.decode(memoryview(ids).cast("i"))
 
     def decode(self, ids) -> str:
         """Vocabulary strings of the ids, one space between them; ids outside the vocabulary are passed over."""
@@ -165,12 +171,12 @@ def _spec(df: DataFrame, tokenizer: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _columns(ids: list[bytes], said: list[str] | None, keys: pa.Array) -> pa.RecordBatch:
+def _columns(ids: list[bytes], names: pa.Array, keys: pa.Array) -> pa.RecordBatch:
+    """Ids and decoded texts of a batch; ``names`` has the vocabulary strings by id."""
     counts = np.fromiter((len(x) // 4 for x in ids), np.int32, len(ids))
-    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    values = np.frombuffer(b"".join(ids), np.int32)
-    arrays = [keys, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(said, pa.string())], ["doc_id", "ids", "decoded"])
+    offsets, values = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32))
+    said = pa.compute.binary_join(pa.ListArray.from_arrays(offsets, names.take(values)), " ")
+    return pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, values), said], ["doc_id", "ids", "decoded"])
 
 
 def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -187,8 +193,7 @@ def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_colu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(spec.value)
         for batch in small_batches(batches, most=4 << 20):
-            done = [bpe.encode(t) for t in batch.column("text").to_pylist()]
-            yield _columns([x[0] for x in done], [x[1] for x in done], batch.column("doc_id"))
+            yield _columns([bpe.ids(t) for t in batch.column("text").to_pylist()], bpe.by_id, batch.column("doc_id"))
 
     return rows.mapInArrow(run, schema)
 

@@ -54,6 +54,24 @@ def test_cache_turns_over(own, library, monkeypatch):
     assert len(fresh.new) <= 3
 
 
+def test_pieces_of_a_word_are_merged_once(library):
+    fresh = bpe.WordBPE(open(PATH, encoding="utf-8").read())
+    merged, merge = [], fresh.merge
+    fresh.merge = lambda ids: merged.append(len(ids)) or merge(ids)
+    text = "mention mention, mention. (mention) mention's 'mention' mention-mention '''s's ... ,,, 12,5"
+    check(fresh, library, text)
+    assert merged.count(len("mention")) == 1
+    check(fresh, library, text)  # all words are known by now
+
+
+def test_odd_batches(spark, library):
+    texts = ["", None, " \n", "Some, words.", "<|endoftext|>", "\x1c ,\x85'S ''' ½a", *TEXTS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    got = {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.encode(docs, PATH).collect()}
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got == {i: (ids, library.decode(ids, skip_special_tokens=False)) for i, ids in enumerate(wanted)}
+
+
 def test_rows(spark, library):
     rows = [(1, "Some words", 5, "x"), (1, "Some words", 5, "x"), (None, None, 6, "y"), (2, "", 7, None), (3, "<|endoftext|>", 8, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string")
