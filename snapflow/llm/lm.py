@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from snapflow.llm import wordcode
 from snapflow.llm.common import small_batches, texts
 from snapflow.llm.wordcode import Learner, Mixer, confidence, stretch
-from snapflow.session import settled
+from snapflow.session import delete, settled
 
 SPACE, END = 0x20, 0x0A  # no word holds either
 SLOT_BITS = (16, 18, 20, 21, 22)  # slots of the contexts: last 1, 2, 3, 4 bytes, the whole word so far
@@ -140,9 +140,9 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
     """Texts by blocks. Rows with ``words``: a block's distinct words of one bucket and their uses in training. With
     ``data``: its texts over its distinct pairs of neighbours. With ``pairs``: those pairs of one bucket and their uses in
     training. With ``seconds``: the second word of every pair, in the order of buckets, and the code of every word. With
-    ``tally``: uses by class and slot of one code prefix."""
+    ``tally``: uses by class and slot of one code prefix. ``part`` names the one of these columns that a row has."""
     schema = T.StructType([*T.StructType.fromDDL("block long, words binary").fields, T.StructField("doc_id", kind), *T.StructType.fromDDL(
-        "held_out boolean, tokens long, bytes long, data binary, bucket int, pairs binary, seconds binary, tally binary").fields])
+        "held_out boolean, tokens long, bytes long, data binary, bucket int, pairs binary, seconds binary, tally binary, part string").fields])
     word_bits = max(0, wordcode.TOP + spread - WORD_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +153,7 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
 
         def emit(**columns: list | np.ndarray) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
+            columns["part"] = [next(c for c in ("words", "data", "pairs", "seconds", "tally") if c in columns)] * n
             columns["block"] = np.full(n, part << 32 | number)
             return pa.RecordBatch.from_arrays([pa.array(columns[f.name], types[f.name]) if f.name in columns else pa.nulls(n, types[f.name]) for f in schema.fields], schema.names)
 
@@ -167,8 +168,11 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             first = np.concatenate([rank[:1], second[:-1]])  # a text's end is what the next one begins behind
             learned = np.repeat([learn for *_, learn, _ in docs], np.diff(ends, prepend=0))
             pairs, place = np.unique(second.astype(np.int64) * len(words) + first, return_inverse=True)
-            uses = np.bincount(place[learned], minlength=len(pairs))
-            behind, ahead = pairs // len(words), pairs % len(words)
+            place = place.astype(np.int32)  # lists as long as the block are kept short, and no longer than needed
+            uses = np.bincount(place[learned], minlength=len(pairs)).astype(np.uint32)
+            del first, second, learned
+            behind, ahead = (x.astype(np.int32) for x in np.divmod(pairs, len(words)))
+            del pairs
             bucket, names = wordcode.key(code[behind], rest[behind], before[ahead], spread)
             order = np.argsort(bucket, kind="stable")
             bucket, names, ahead = bucket[order], names[order], before[ahead[order]]
@@ -178,6 +182,8 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             behind, uses = behind[order], uses[order]
             places = np.empty(len(order), np.int32)
             places[order] = np.arange(len(order), dtype=np.int32)
+            place = places[place]
+            del order, inside, places
             yield emit(seconds=[wordcode.squeeze(np.diff(behind, prepend=0) & 0xFFFFFFFF, np.diff(code.astype(np.int64), prepend=0))])
             for i, j in zip(cuts[:-1], cuts[1:]):
                 yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(names[i:j], ahead[i:j], uses[i:j])])
@@ -194,14 +200,14 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
                 some = docs[k:k + (1 << 12)]
                 packed = []
                 for end, (*_, ids) in zip(ends[k:k + len(some)], some):
-                    different, times = np.unique(places[place[end - len(ids):end]], return_counts=True)
+                    different, times = np.unique(place[end - len(ids):end], return_counts=True)
                     packed.append(wordcode.squeeze(np.diff(different, prepend=0), times))
                 ids, held_out, size, *_ = zip(*some)
                 yield emit(doc_id=list(ids), held_out=list(held_out), tokens=[len(d[-1]) for d in some], bytes=list(size), data=packed)
 
         for batch in small_batches(batches):
             types = {f.name: t for f, t in zip(schema.fields, [pa.int64(), pa.binary(), batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(),
-                                                              pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()])}
+                                                              pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.string()])}
             for text, *row in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learned"))):
                 words = text.translate(_LOWER).split()
                 size = sum(map(len, words)) + len(words) + 1
@@ -239,7 +245,7 @@ def _count_words(both: DataFrame) -> DataFrame:
         types = {"block": pa.int64(), "bucket": pa.int32(), "size": pa.int64(), "totals": pa.binary(), "unknown": pa.binary(), "word": pa.binary(), "uses": pa.int64()}
         return pa.concat_tables([pa.table({c: some[c] if c in some else pa.nulls(n, t) for c, t in types.items()}) for some, n in ((blocks, len(lists)), (words, len(known)))])
 
-    return both.filter("words IS NOT NULL").select("block", "bucket", "words").groupBy("bucket").applyInArrow(add, schema)
+    return both.filter("part = 'words'").select("block", "bucket", "words").groupBy("bucket").applyInArrow(add, schema)
 
 
 def _counts(vocabulary: DataFrame) -> np.ndarray:
@@ -316,7 +322,7 @@ def _tallies(both: DataFrame) -> np.ndarray:
         return pa.table({"bucket": table.column("bucket")[:1], "tally": pa.array([zstandard.compress(total.tobytes(), 1)])})
 
     out = np.zeros((1 << wordcode.TOP, TALLY), np.int64)
-    rows = both.filter("tally IS NOT NULL").select("bucket", "tally").coalesce(TALLIERS).mapInArrow(some, "bucket int, tally binary").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
+    rows = both.filter("part = 'tally'").select("bucket", "tally").coalesce(TALLIERS).mapInArrow(some, "bucket int, tally binary").groupBy("bucket").applyInArrow(add, "bucket int, tally binary")
     for row in rows.toLocalIterator():
         out[row["bucket"]] = np.frombuffer(zstandard.decompress(row["tally"]), np.int64)
     return out
@@ -345,7 +351,7 @@ def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame
         sizes = np.diff(cuts)
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "size": pa.array(sizes), "prices": pa.array(out, pa.binary())})
 
-    return both.filter("pairs IS NOT NULL").select("block", "bucket", "pairs").groupBy("bucket").applyInArrow(run, "block long, bucket int, size long, prices binary")
+    return both.filter("part = 'pairs'").select("block", "bucket", "pairs").groupBy("bucket").applyInArrow(run, "block long, bucket int, size long, prices binary")
 
 
 def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", scratch: list[str] | None = None) -> DataFrame:
@@ -362,8 +368,14 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     kind = rows.schema["doc_id"].dataType
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spread = max(0, math.ceil(math.log2(max(size, 1) / (BUCKET_BYTES << wordcode.TOP))))
-    both = settled(_blocks(rows, kind, spread), scratch)
-    counted = settled(_count_words(both), scratch)
+    made: list[str] = []
+    both = settled(_blocks(rows, kind, spread), made, by=("part",))
+    counted = settled(_count_words(both), made)
+    tallies = _tallies(both)
+    for part in ("words", "tally"):  # nothing reads these again
+        delete(rows.sparkSession, f"{made[0]}/part={part}")
+    if scratch is not None:
+        scratch += made
     vocabulary = counted.filter("word IS NOT NULL").select("word", "uses")
     total, distinct, once = vocabulary.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count("uses"), F.count_if(F.col("uses") == 1)).first()
     counts, mixer = _spelling(vocabulary)
@@ -380,11 +392,10 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
 
     priced = counted.filter("totals IS NOT NULL").select("block", "bucket", "size", "totals", "unknown").mapInArrow(
         judge, "of_block long, bucket int, size long, totals binary, costs binary")
-    tallies = _tallies(both)
     pairs = _price_pairs(both, tallies, spread).withColumnRenamed("block", "of_block")
-    seconds = both.filter("seconds IS NOT NULL").select(F.col("block").alias("of_block"), "seconds")
+    seconds = both.filter("part = 'seconds'").select(F.col("block").alias("of_block"), "seconds")
     parts = priced.unionByName(pairs, allowMissingColumns=True).unionByName(seconds, allowMissingColumns=True)
-    documents = both.filter("data IS NOT NULL").select("block", "doc_id", "held_out", "tokens", "bytes", "data")
+    documents = both.filter("part = 'data'").select("block", "doc_id", "held_out", "tokens", "bytes", "data")
     floor = math.log10(total + 0.5 * (distinct + 1))
     unknown = (once + 0.5) / (total + 1)
     by_code = tallies[:, :wordcode.CLASSES * wordcode.LEAVES].reshape(-1, wordcode.CLASSES, wordcode.LEAVES).sum(axis=1).ravel()

@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 import re
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapflow.llm import lm, wordcode
-from snapflow.session import settled
+from snapflow.session import discard, list_files, settled
 
 
 def tokens(text):
@@ -210,6 +211,14 @@ def test_neither_words_nor_pairs_of_a_block_are_rows(spark, monkeypatch):
     assert uses == collections.Counter(w for i, t in enumerate(texts) if i % 5 != 1 for w in tokens(t))
 
 
+def test_what_nothing_reads_again_is_deleted(spark):
+    scratch = []
+    out = lm.score(spark.createDataFrame(corpus(), "doc_id long, text string"), F.col("doc_id") % 5 == 1, scratch=scratch)
+    assert len(scratch) == 2 and {os.path.basename(p) for p in list_files(spark, scratch[0]) if "part=" in p} == {"part=data", "part=pairs", "part=seconds"}
+    assert out.count() == len(corpus())
+    discard(spark, scratch)
+
+
 def test_order_of_words_counts(spark, monkeypatch):
     rng = random.Random(8)
     words = [f"{a}{b}" for a in ("ka", "mo", "ri", "su") for b in ("la", "ne", "to", "vi", "x", "y")]
