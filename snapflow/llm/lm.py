@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapflow.llm import wordcode
-from snapflow.llm.common import small_batches, texts
+from snapflow.llm.common import small_batches
 from snapflow.llm.wordcode import Learner, Mixer, confidence, stretch
 from snapflow.session import delete, settled
 
@@ -44,6 +44,8 @@ WORD_BITS = 3  # a bucket of words is that much larger
 STEPS = 1024  # of a log10, in what pairs cost
 COUNTERS, TALLIERS, LEARNERS, LEARNER_WORDS = 32, 8, 256, 20_000  # tasks that hold a count table or all tallies; those that train weights, and words for one
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_BLANK = b" \t\n\v\f\r"
+_INSIDE = bytes(b not in _BLANK for b in range(256))
 _OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(_OFFSETS[-1])
 TALLY = wordcode.CLASSES * wordcode.LEAVES + wordcode.SLOTS
@@ -91,13 +93,19 @@ def spell(words: list[bytes]) -> Bits:
     return Bits(slots, bit.astype(np.int8), node.ravel().astype(np.int32), place.astype(np.int32), np.repeat(word, 8))
 
 
+def paired(counts: np.ndarray) -> np.ndarray:
+    """Zeros and ones of a slot side by side (as one complex number), so that one look-up finds both."""
+    return counts if np.iscomplexobj(counts) else np.ascontiguousarray(counts.T, np.float32).view(np.complex64).ravel()
+
+
 def _inputs(counts: np.ndarray, b: Bits, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and gates of all bits from zeros and ones per slot; ``own`` takes a word's own occurrence out."""
-    ones, zeros = (np.stack([counts[value].take(s) for s in b.slots], axis=1) for value in (1, 0))
+    """Inputs and gates of all bits from zeros and ones per slot (``paired``); ``own`` takes a word's own occurrence out."""
+    found = np.stack([counts.take(s) for s in b.slots])
+    ones, zeros = found.imag, found.real
     if own is not None:
-        ones, zeros = np.maximum(ones - own[:, None], 0), np.maximum(zeros - ~own[:, None], 0)
+        ones, zeros = np.maximum(ones - own, 0), np.maximum(zeros - ~own, 0)
     total = ones + zeros
-    return stretch(ones, total), confidence(total[:, -1]).astype(np.int32) * 8 + confidence(total[:, -3])
+    return np.ascontiguousarray(stretch(ones, total).T), confidence(total[-1]).astype(np.int32) * 8 + confidence(total[-3])
 
 
 @dataclass
@@ -105,13 +113,13 @@ class Model:
     counts: np.ndarray
     mixer: Mixer
 
-    def log10(self, words: list[bytes], block: int = 4_000) -> np.ndarray:
+    def log10(self, words: list[bytes], block: int = 512) -> np.ndarray:
         """log10 probability of each word's spelling."""
-        out = np.zeros(len(words))
+        out, counts = np.zeros(len(words)), paired(self.counts)
         for at in range(0, len(words), block):
             part = words[at:at + block]
             b = spell(part)
-            inputs, gate = _inputs(self.counts, b)
+            inputs, gate = _inputs(counts, b)
             one, two = self.mixer.mix(inputs, gate, b.place)
             p, _ = self.mixer.refine((one + two) / 2, b.node)
             p = np.clip(np.where(b.bit == 1, p, 1 - p), 1e-6, 1 - 1e-6)
@@ -121,6 +129,7 @@ class Model:
 
 def train_spelling(learner: Learner, counts: np.ndarray, words: list[bytes], block: int = 512, rate: float = 0.1) -> None:
     """Go through words once, each bit predicted without the word's own occurrence."""
+    counts = paired(counts)
     for at in range(0, len(words), block):
         b = spell(words[at:at + block])
         own = b.bit == 1
@@ -128,12 +137,33 @@ def train_spelling(learner: Learner, counts: np.ndarray, words: list[bytes], blo
         learner.step(inputs, gate, b.place, b.node, own, np.ones(len(own)), rate)
 
 
-class _Numbers(dict):
-    """Words numbered in the order they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+def _words(batch: pa.RecordBatch) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """Words of a batch's texts one after another, how many each text has, and its bytes without white space."""
+    column = batch.column("text").cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64, len(column) + 1, 8 * column.offset)
+    plain = bytes(memoryview(data or b"")[ends[0]:ends[-1]])
+    ends = ends - ends[0]
+    inside = np.frombuffer(plain.translate(_INSIDE), np.bool_)
+    starts = np.empty(len(inside), np.bool_)
+    starts[1:] = inside[1:] & ~inside[:-1]
+    first = ends[:-1][np.diff(ends) > 0]
+    starts[first] = inside[first]
+    counts = np.diff(np.searchsorted(np.flatnonzero(starts), ends))
+    starts, plain = starts[inside], plain.translate(_LOWER, _BLANK)
+    del inside
+    begins = np.append(np.flatnonzero(starts), len(plain))
+    sizes = np.diff(begins[np.concatenate([[0], np.cumsum(counts)])])
+    words = pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(plain)])
+    return words.dictionary_encode(), counts, sizes
+
+
+def _one_list(parts: list[pa.DictionaryArray]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words of all parts and an end mark, and the number of every word in it; the end mark has the last one."""
+    kinds = [*(p.dictionary for p in parts), pa.array([b"\n"], pa.large_binary())]
+    coded = pa.concat_arrays(kinds).dictionary_encode()
+    number, cuts = coded.indices.to_numpy(), np.cumsum([0, *map(len, kinds)])
+    return coded.dictionary, np.concatenate([*(number[i:j][p.indices.to_numpy()] for p, i, j in zip(parts, cuts[:-1], cuts[1:])), number[-1:]])
 
 
 def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
@@ -147,7 +177,7 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, held = TaskContext.get().partitionId(), 0, 0
-        at = _Numbers({b"\n": 0})
+        spelt: list[pa.DictionaryArray] = []
         docs: list[tuple] = []
         types: dict[str, pa.DataType] = {}
 
@@ -158,26 +188,39 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(columns[f.name], types[f.name]) if f.name in columns else pa.nulls(n, types[f.name]) for f in schema.fields], schema.names)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            code, rest, before = wordcode.describe(list(at))
-            order = np.lexsort((rest, code))  # words are numbered by name, so that a bucket's pairs name theirs by small steps
+            ids, held_out, size, learn, counts = zip(*docs)
+            words, number_of = _one_list(spelt)
+            spelt.clear()
+            code, rest, before = wordcode.describe(words)
+            order = np.argsort(code << np.uint64(22) | rest)  # words are numbered by name, so that a bucket's pairs name theirs by small steps
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
-            words, code, rest, before = list(map(list(at).__getitem__, order)), code[order], rest[order], before[order]
-            ends = np.cumsum([len(ids) for *_, ids in docs])
-            second = rank[np.concatenate([ids for *_, ids in docs])]
-            first = np.concatenate([rank[:1], second[:-1]])  # a text's end is what the next one begins behind
-            learned = np.repeat([learn for *_, learn, _ in docs], np.diff(ends, prepend=0))
-            pairs, place = np.unique(second.astype(np.int64) * len(words) + first, return_inverse=True)
-            place = place.astype(np.int32)  # lists as long as the block are kept short, and no longer than needed
+            words, code, rest, before = words.take(pa.array(order)), code[order], rest[order], before[order]
+            ends = np.cumsum(np.array(counts) + 1)  # a text's last token is its end
+            second = np.full(ends[-1], rank[-1])
+            inside = np.ones(len(second), np.bool_)
+            inside[ends - 1] = False
+            second[inside] = rank[number_of[:-1]]  # the end mark is the last of the list
+            del number_of, inside, order, rank
+            first = np.concatenate([second[-1:], second[:-1]])  # a text's end is what the next one begins behind
+            learned = np.repeat(learn, np.diff(ends, prepend=0))
+            pairs, place = wordcode.distinct(second.astype(np.int64) * len(words) + first)  # lists as long as the block are short, and kept no longer than needed
             uses = np.bincount(place[learned], minlength=len(pairs)).astype(np.uint32)
             del first, second, learned
-            behind, ahead = (x.astype(np.int32) for x in np.divmod(pairs, len(words)))
+            behind = (pairs // len(words)).astype(np.int32)
+            ahead = (pairs - behind * np.int64(len(words))).astype(np.int32)
             del pairs
             bucket, names = wordcode.key(code[behind], rest[behind], before[ahead], spread)
-            order = np.argsort(bucket, kind="stable")
-            bucket, names, ahead = bucket[order], names[order], before[ahead[order]]
+            order = np.argsort(bucket.astype(np.uint16) if spread <= 10 else bucket, kind="stable")  # short numbers are sorted by radix
+            bucket, names, ahead = bucket[order], names[order], before[ahead[order]].astype(np.uint32)
             cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            inside = np.concatenate([i + wordcode.arrange(names[i:j], ahead[i:j]) for i, j in zip(cuts[:-1], cuts[1:])])
+            inside, ranked = [], []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                some = wordcode.ranks(ahead[i:j])
+                best = wordcode.arrange(names[i:j], ahead[i:j], some)
+                inside.append(i + best)
+                ranked.append((*some[:2], some[2][best]))
+            inside = np.concatenate(inside)
             order, names, ahead = order[inside], names[inside], ahead[inside]
             behind, uses = behind[order], uses[order]
             places = np.empty(len(order), np.int32)
@@ -185,38 +228,44 @@ def _blocks(rows: DataFrame, kind: T.DataType, spread: int) -> DataFrame:
             place = places[place]
             del order, inside, places
             yield emit(seconds=[wordcode.squeeze(np.diff(behind, prepend=0) & 0xFFFFFFFF, np.diff(code.astype(np.int64), prepend=0))])
-            for i, j in zip(cuts[:-1], cuts[1:]):
-                yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(names[i:j], ahead[i:j], uses[i:j])])
-            for prefix in range(1 << wordcode.TOP):
-                i, j = np.searchsorted(bucket, [prefix << spread, prefix + 1 << spread])
+            for i, j, some in zip(cuts[:-1], cuts[1:], ranked):
+                yield emit(bucket=[int(bucket[i])], pairs=[wordcode.pack(names[i:j], ahead[i:j], uses[i:j], some)])
+            del ranked
+            ends_of = np.searchsorted(bucket, np.arange((1 << wordcode.TOP) + 1, dtype=np.int32) << spread)
+            for prefix, (i, j) in enumerate(zip(ends_of[:-1], ends_of[1:])):
                 if uses[i:j].any():
-                    yield emit(bucket=[prefix], tally=[wordcode.squeeze(wordcode.tally(ahead[i:j] << np.uint64(32) | names[i:j], uses[i:j]))])
+                    yield emit(bucket=[prefix], tally=[wordcode.squeeze(wordcode.tally(ahead[i:j].astype(np.uint64) << np.uint64(32) | names[i:j], uses[i:j]))])
             total = np.bincount(behind, weights=uses, minlength=len(words)).astype(np.int64)
             named = (code << np.uint64(22) | rest) >> np.uint64(38 - word_bits)  # words are in this order
             cuts = np.append(np.flatnonzero(np.diff(named.astype(np.int64), prepend=-1)), len(words))
             for i, j in zip(cuts[:-1], cuts[1:]):
-                yield emit(bucket=[int(named[i])], words=[wordcode.pack_words(words[i:j], total[i:j])])
+                yield emit(bucket=[int(named[i])], words=[wordcode.pack_words(words.slice(i, j - i), total[i:j])])
             for k in range(0, len(docs), 1 << 12):
-                some = docs[k:k + (1 << 12)]
-                packed = []
-                for end, (*_, ids) in zip(ends[k:k + len(some)], some):
-                    different, times = np.unique(place[end - len(ids):end], return_counts=True)
-                    packed.append(wordcode.squeeze(np.diff(different, prepend=0), times))
-                ids, held_out, size, *_ = zip(*some)
-                yield emit(doc_id=list(ids), held_out=list(held_out), tokens=[len(d[-1]) for d in some], bytes=list(size), data=packed)
+                begin, mine = ends[k] - counts[k] - 1, ends[k:k + (1 << 12)]
+                of_text = np.repeat(np.arange(len(mine), dtype=np.int64), np.diff(mine, prepend=begin))
+                held = np.sort(of_text << np.int64(32) | place[begin:mine[-1]])
+                start = np.flatnonzero(np.diff(held, prepend=-1))
+                times, held = np.diff(np.append(start, len(held))).astype(np.uint32), held[start]
+                steps = np.diff(held & 0xFFFFFFFF, prepend=0)
+                parts = np.searchsorted(held, np.arange(len(mine) + 1) << 32)
+                steps[parts[:-1]] = held[parts[:-1]] & 0xFFFFFFFF
+                steps = steps.astype(np.uint32)
+                packed = [wordcode.squeeze(steps[i:j], times[i:j]) for i, j in zip(parts[:-1].tolist(), parts[1:].tolist())]
+                upto = slice(k, k + len(mine))
+                yield emit(doc_id=list(ids[upto]), held_out=list(held_out[upto]), tokens=np.diff(mine, prepend=begin), bytes=list(size[upto]), data=packed)
 
         for batch in small_batches(batches):
             types = {f.name: t for f, t in zip(schema.fields, [pa.int64(), pa.binary(), batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(),
                                                               pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.string()])}
-            for text, *row in zip(texts(batch), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learned"))):
-                words = text.translate(_LOWER).split()
-                size = sum(map(len, words)) + len(words) + 1
-                ids = np.fromiter(map(at.__getitem__, words), np.int32, len(words))
-                docs.append((row[0], row[1], size, row[2], np.append(ids, np.int32(0))))
-                held += size
+            words, counts, sizes = _words(batch)
+            spelt.append(words)
+            sizes += counts + 1
+            docs.extend(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out")), sizes.tolist(), batch.column("learned").to_pylist(), counts.tolist()))
+            held += int(sizes.sum())
             if held >= BLOCK_BYTES:
                 yield from flush()
-                number, held, at, docs = number + 1, 0, _Numbers({b"\n": 0}), []
+                number, held, docs = number + 1, 0, []
+                pa.default_memory_pool().release_unused()
         if docs:
             yield from flush()
 
@@ -236,7 +285,7 @@ def _count_words(both: DataFrame) -> DataFrame:
         cuts, totals, unknown = np.cumsum([0, *(len(uses) for _, uses in lists)]), [], []
         for (words, _), i, j in zip(lists, cuts[:-1], cuts[1:]):
             mine = total[place[i:j]]
-            new = words.take(pa.array(np.flatnonzero(mine == 0))).to_pylist()
+            new = words.take(pa.array(np.flatnonzero(mine == 0)))
             totals.append(wordcode.squeeze_long(mine))
             unknown.append(wordcode.pack_words(new, np.zeros(len(new))))
         known = np.flatnonzero(total)
@@ -254,9 +303,9 @@ def _counts(vocabulary: DataFrame) -> np.ndarray:
         table = np.zeros((2, SLOTS), np.int32)
         for batch in batches:
             b = spell(batch.column("word").to_pylist())
-            for k, (s, bits) in enumerate(zip(b.slots, SLOT_BITS)):
-                sums = np.bincount(s - _OFFSETS[k] + (b.bit.astype(np.int64) << bits), minlength=2 << bits)
-                table[:, _OFFSETS[k]:_OFFSETS[k + 1]] += sums.reshape(2, -1)
+            for s in b.slots:
+                cells, times = np.unique(s + b.bit * np.int32(SLOTS), return_counts=True)
+                table.reshape(-1)[cells] += times.astype(np.int32)
         for k in range(0, SLOTS, CHUNK):
             part = table[:, k:k + CHUNK]
             if part.any():
@@ -274,13 +323,13 @@ def _counts(vocabulary: DataFrame) -> np.ndarray:
 
 
 def _table(counts: Broadcast) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(counts.value), np.float32).reshape(2, SLOTS)
+    return np.frombuffer(zstandard.decompress(counts.value), np.complex64)
 
 
 def _spelling(vocabulary: DataFrame) -> tuple[Broadcast, Mixer]:
     """Count tables over all training words; weights over all that occur once, trained in parts and averaged."""
     spark = vocabulary.sparkSession
-    counts = spark.sparkContext.broadcast(zstandard.compress(_counts(vocabulary).tobytes(), 1))  # 2 x SLOTS floats
+    counts = spark.sparkContext.broadcast(zstandard.compress(paired(_counts(vocabulary)).tobytes(), 1))  # 2 x SLOTS floats
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner, n, table = Learner(Mixer.fresh(len(SLOT_BITS))), 0, _table(counts)
@@ -339,7 +388,7 @@ def _price_pairs(both: DataFrame, tallies: np.ndarray, spread: int) -> DataFrame
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         lists = [wordcode.unpack(x) for x in table.column("pairs").to_pylist()]
-        keys, place = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
+        keys, place = wordcode.distinct(np.concatenate([k for k, _ in lists]))
         uses = np.bincount(place, weights=np.concatenate([u for _, u in lists])).astype(np.int64)
         prefix = bucket >> spread
         table_of = lambda held: np.frombuffer(zstandard.decompress(held.value[prefix]), np.float32)
@@ -416,7 +465,7 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
         base, seen = (np.log10(uses + 0.5) - floor)[second], uses[second] > 0
         known, based, model = [], [], []
         for data in left.column("data").to_pylist():
-            size = zstandard.frame_content_size(data) // 8
+            size = (zstandard.frame_content_size(data) - 2) // 8
             different, times = wordcode.expand(data, size, size)
             at = np.cumsum(different)
             known.append(int(times[seen[at]].sum()))

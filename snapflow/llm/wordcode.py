@@ -23,15 +23,57 @@ import zstandard
 TOP, LOW = 6, 10  # code bits that deal words into buckets, and those predicted inside a bucket
 LEAVES, SLOTS, CLASSES = 1 << LOW, 1 << 16, 64
 BATCH = 4_096
+_P1, _P2, _P3, _P4, _P5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))  # of XXH64
 _PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def describe(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _held(words: list[bytes] | pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Where words begin and end, and the bytes they lie in."""
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.large_binary())
+    _, ends, data = words.buffers()
+    return np.frombuffer(ends, np.int64, len(words) + 1, 8 * words.offset) if len(words) else np.zeros(1, np.int64), memoryview(data or b"")
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def hashes(words: list[bytes] | pa.Array, seed: int = 42) -> np.ndarray:
+    """XXH64 of words, all of a length at once; those of 32 bytes and more one by one."""
+    ends, data = _held(words)
+    lengths, raw = np.diff(ends), np.frombuffer(data, np.uint8)
+    out = np.empty(len(lengths), np.uint64)
+    for n in np.flatnonzero(np.bincount(np.minimum(lengths, 32), minlength=33)[:32]):
+        mine = np.flatnonzero(lengths == n)
+        spelt = raw[ends[mine][:, None] + np.arange(n)]
+        h = np.full(len(mine), (seed + int(_P5) + int(n)) & (1 << 64) - 1, np.uint64)
+        for at in range(0, n - 7, 8):
+            lane = np.ascontiguousarray(spelt[:, at:at + 8]).view(np.uint64).ravel()
+            h = _turn(h ^ _turn(lane * _P2, 31) * _P1, 27) * _P1 + _P4
+        at = n // 8 * 8
+        if n - at >= 4:
+            h = _turn(h ^ np.ascontiguousarray(spelt[:, at:at + 4]).view(np.uint32).ravel() * _P1, 23) * _P2 + _P3
+            at += 4
+        for k in range(at, n):
+            h = _turn(h ^ spelt[:, k] * _P5, 11) * _P1
+        h = (h ^ h >> np.uint64(33)) * _P2
+        h = (h ^ h >> np.uint64(29)) * _P3
+        out[mine] = h ^ h >> np.uint64(32)
+    for i in np.flatnonzero(lengths >= 32):
+        out[i] = xxhash.xxh64_intdigest(data[ends[i]:ends[i + 1]], seed)
+    return out
+
+
+def describe(words: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code (16 bits), the rest of its name (22 bits), and its name as a previous word (class in the top 6 of 32 bits)."""
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
-    ends = np.fromiter((int.from_bytes(w[-2:], "big") for w in words), np.uint32, len(words))
-    group = (ends * np.uint32(0x9E3779B1) >> np.uint32(26)).astype(np.uint64)
-    return hashes >> np.uint64(48), hashes >> np.uint64(26) & np.uint64((1 << 22) - 1), group << np.uint64(26) | hashes & np.uint64((1 << 26) - 1)
+    ends, data = _held(words)
+    named, raw = hashes(words), np.frombuffer(data, np.uint8)
+    last = np.zeros((2, len(named)), np.uint32)
+    for k in (0, 1):
+        there = np.diff(ends) > k
+        last[k, there] = raw[ends[1:][there] - 1 - k]
+    group = ((last[1] << np.uint32(8) | last[0]) * np.uint32(0x9E3779B1) >> np.uint32(26)).astype(np.uint64)
+    return named >> np.uint64(48), named >> np.uint64(26) & np.uint64((1 << 22) - 1), group << np.uint64(26) | named & np.uint64((1 << 26) - 1)
 
 
 def key(code: np.ndarray, rest: np.ndarray, before: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,21 +82,47 @@ def key(code: np.ndarray, rest: np.ndarray, before: np.ndarray, spread: int) ->
     return bucket.astype(np.int32), ((code & np.uint64(LEAVES - 1)) << np.uint64(22) | rest).astype(np.uint32)
 
 
-def squeeze(*streams: np.ndarray, tail: bytes = b"") -> bytes:
+def _planes(stream: np.ndarray) -> bytes:
+    """Four bytes of each number, byte by byte; how many of them are not all zero comes first."""
+    stream = np.ascontiguousarray(stream, np.uint32)
+    n = (int(stream.max(initial=0)).bit_length() + 7) // 8
+    planes = [stream.astype(np.uint8)] if n == 1 else [np.ascontiguousarray(stream.view(np.uint8)[k::4]) for k in range(n)]
+    return b"".join([bytes([n]), *planes, bytes((4 - n) * len(stream))])
+
+
+def squeeze(*streams: np.ndarray, tail: bytes | memoryview = b"") -> bytes:
     """Numbers below 2**32, byte by byte, then ``tail``, compressed."""
-    return _PRESS.compress(b"".join([*(np.ascontiguousarray(s, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for s in streams), tail]))
+    return _PRESS.compress(b"".join([*map(_planes, streams), tail]))
 
 
 def expand(data: bytes, *sizes: int) -> list[np.ndarray]:
-    return _split(_OPEN.decompress(data), sizes)
+    return _split(_OPEN.decompress(data), sizes)[0]
 
 
-def _split(plain: bytes, sizes: tuple[int, ...]) -> list[np.ndarray]:
+def _split(plain: bytes, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], int]:
+    """Numbers, and where the tail begins."""
     out, at = [], 0
-    for n in sizes:
-        out.append(np.ascontiguousarray(np.frombuffer(plain, np.uint8, 4 * n, at).reshape(4, n).T).view(np.uint32).ravel())
-        at += 4 * n
-    return out
+    for size in sizes:
+        n, at = plain[at], at + 1
+        if n == 1:
+            out.append(np.frombuffer(plain, np.uint8, size, at).astype(np.uint32))
+        else:
+            numbers = np.zeros(4 * size, np.uint8)
+            for k in range(n):
+                numbers[k::4] = np.frombuffer(plain, np.uint8, size, at + k * size)
+            out.append(numbers.view(np.uint32))
+        at += 4 * size
+    return out, at
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and the place of every value among them."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return values[new], place
 
 
 def squeeze_long(values: np.ndarray) -> bytes:
@@ -67,42 +135,50 @@ def expand_long(data: bytes, size: int) -> np.ndarray:
     return high.astype(np.int64) << 32 | low
 
 
-def pack_words(words: list[bytes], uses: np.ndarray) -> bytes:
+def pack_words(words: list[bytes] | pa.Array, uses: np.ndarray) -> bytes:
     """Words and a number below 2**32 for each."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    return len(words).to_bytes(8, "little") + squeeze(lengths, uses, tail=b"".join(words))
+    ends, data = _held(words)
+    return (len(ends) - 1).to_bytes(8, "little") + squeeze(np.diff(ends), uses, tail=data[ends[0]:ends[-1]])
 
 
 def unpack_words(data: bytes) -> tuple[pa.Array, np.ndarray]:
     n, plain = int.from_bytes(data[:8], "little"), _OPEN.decompress(data[8:])
-    lengths, uses = _split(plain, (n, n))
+    (lengths, uses), tail = _split(plain, (n, n))
     ends = np.cumsum(np.concatenate([[0], lengths]), dtype=np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(plain).slice(8 * n)]), uses.astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(plain).slice(tail)]), uses.astype(np.int64)
 
 
-def _ranks(before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words before, how often each occurs, and for every pair the rank of its word before in frequency."""
-    names, place, times = np.unique(before.astype(np.uint32), return_inverse=True, return_counts=True)
-    rank = np.empty(len(names), np.int64)
-    rank[np.argsort(-times, kind="stable")] = np.arange(len(names))
-    return names, times, rank[place]
+Ranks = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def arrange(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+def ranks(before: np.ndarray) -> Ranks:
+    """Words before, how often each occurs, and for every pair the rank of its word before in frequency."""
+    before = before.astype(np.uint32)
+    order = np.argsort(before)
+    ordered = before[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(before)])
+    times = np.diff(np.append(first, len(before)))
+    rank, out = np.empty(len(first), np.int32), np.empty(len(before), np.int32)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(first))
+    out[order] = np.repeat(rank, times)
+    return ordered[first], times, out
+
+
+def arrange(words: np.ndarray, before: np.ndarray, ranked: Ranks | None = None) -> np.ndarray:
     """The order of pairs sorted by word in which they pack best: frequent words before first."""
     number = np.cumsum(np.concatenate([[0], words[1:] != words[:-1]]))
-    return np.argsort(number * len(words) + _ranks(before)[2], kind="stable")
+    return np.argsort(number * len(words) + (ranked or ranks(before))[2])
 
 
-def pack(words: np.ndarray, before: np.ndarray, uses: np.ndarray) -> bytes:
+def pack(words: np.ndarray, before: np.ndarray, uses: np.ndarray, ranked: Ranks | None = None) -> bytes:
     """Pairs sorted by word: each word once with the number of its pairs, words before by the steps of their ranks."""
-    names, times, rank = _ranks(before)
+    names, times, rank = ranked or ranks(before)
     starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-    steps = np.diff(rank, prepend=0)
+    steps = np.diff(rank, prepend=np.int32(0))
     steps[starts] = rank[starts]
     sizes = np.array([len(names), len(starts), len(words)], np.int64)
     return sizes.tobytes() + squeeze(np.diff(names, prepend=np.uint32(0)), times, np.diff(words[starts], prepend=np.uint32(0)),
-                                     np.diff(np.append(starts, len(words))), steps & 0xFFFFFFFF, uses)
+                                     np.diff(np.append(starts, len(words))), steps.view(np.uint32), uses)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -196,23 +272,42 @@ class Level:
     zeros: np.ndarray
     cell: np.ndarray  # class and bits so far: contexts of one cell differ in the word before only
 
-    def inputs(self, where: np.ndarray | slice, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, where: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Inputs and gates; ``own`` takes one occurrence of that value out of each context first."""
-        ones, zeros = self.ones[where], self.zeros[where]
+        ones, zeros = self.ones.take(where, axis=0), self.zeros.take(where, axis=0)
         if own is not None:
             ones, zeros = np.maximum(ones - own[:, None], 0), np.maximum(zeros - ~own[:, None], 0)
         total = ones + zeros
         sure = confidence(total[:, :2]).astype(np.int32)
         return stretch(ones, total), sure[:, 0] * 8 + sure[:, 1]
 
+    def kinds(self, few: int = 4) -> tuple[np.ndarray, np.ndarray]:
+        """One context of each kind, and the kind of every context. Contexts of a cell with the same, few uses behind
+        the word before have the same inputs."""
+        ones, zeros = self.ones[:, 0], self.zeros[:, 0]
+        name = self.cell * few ** 2 + (ones * few + zeros).astype(np.int64)
+        many = np.flatnonzero((ones >= few) | (zeros >= few))
+        top = (int(self.cell.max(initial=0)) + 1) * few ** 2
+        name[many] = np.arange(top, top + len(many))
+        one = np.full(top + len(many), -1, np.int32)
+        one[name] = np.arange(len(name))
+        found = np.flatnonzero(one >= 0)
+        number = np.empty(len(one), np.int32)
+        number[found] = np.arange(len(found))
+        return one[found], number[name]
+
     def cases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Contexts, values and weights that stand for every use. Words before that occur once look alike without
         their own occurrence, so one of them stands for all of its cell and value."""
-        once = self.ones[:, 0] + self.zeros[:, 0] == 1
+        ones, zeros = self.ones[:, 0], self.zeros[:, 0]
+        once = ones + zeros == 1
         alike = np.flatnonzero(once)
-        _, first, times = np.unique(self.cell[alike] * 2 + (self.ones[alike, 0] > 0), return_index=True, return_counts=True)
-        where, own, weight = [alike[first]], [self.ones[alike[first], 0] > 0], [times]
-        for value, counts in ((True, self.ones[:, 0]), (False, self.zeros[:, 0])):
+        name = self.cell[alike] * 2 + (ones[alike] > 0)
+        times, one = np.bincount(name), np.empty(name.max(initial=0) + 1, np.int64)
+        one[name] = alike
+        found = np.flatnonzero(times)
+        where, own, weight = [one[found]], [found % 2 == 1], [times[found]]
+        for value, counts in ((True, ones), (False, zeros)):
             more = np.flatnonzero((counts > 0) & ~once)
             where, own, weight = [*where, more], [*own, np.full(len(more), value)], [*weight, counts[more]]
         return np.concatenate(where), np.concatenate(own), np.concatenate(weight).astype(np.float64)
@@ -234,14 +329,15 @@ def train(levels: list[Level], rate: float = 0.08, seed: int = 7) -> Mixer:
 
 def log_odds(mixer: Mixer, level: Level) -> np.ndarray:
     """log10 probability of a zero and of a one in every context of a level."""
-    out = np.empty((len(level.ones), 2))
-    for at in range(0, len(out), 1 << 17):
-        inputs, gate = level.inputs(slice(at, at + (1 << 17)))
+    some, kind = level.kinds()
+    out = np.empty((len(some), 2))
+    for at in range(0, len(out), 1 << 14):
+        inputs, gate = level.inputs(some[at:at + (1 << 14)])
         depth = np.full(len(inputs), level.depth)
         one, two = mixer.mix(inputs, gate, depth)
         p = np.clip(mixer.refine((one + two) / 2, depth)[0], 1e-6, 1 - 1e-6)
-        out[at:at + (1 << 17)] = np.log10(np.stack([1 - p, p], axis=1))
-    return out
+        out[at:at + (1 << 14)] = np.log10(np.stack([1 - p, p], axis=1))
+    return out.take(kind, axis=0)
 
 
 def first_bits(by_slot: np.ndarray) -> np.ndarray:
@@ -263,17 +359,24 @@ def first_bits(by_slot: np.ndarray) -> np.ndarray:
 
 def levels(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray) -> list[tuple[Level, np.ndarray, np.ndarray]]:
     """The ten bits inside a bucket: contexts, the context of every pair, and its bit there. Keys are sorted."""
-    code, group = (keys >> np.uint64(22)).astype(np.int64) & LEAVES - 1, (keys >> np.uint64(58)).astype(np.int64)
+    code, group = (keys >> np.uint64(22)).astype(np.int32) & LEAVES - 1, (keys >> np.uint64(58)).astype(np.int64)
+    apart, so_far = keys[1:] ^ keys[:-1], np.concatenate([[0], np.cumsum(uses)])
     out = []
     for depth in range(LOW):
-        context = keys >> np.uint64(32 - depth)
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        where = np.cumsum(np.concatenate([[0], (context[1:] != context[:-1]).astype(np.int64)]))
+        new = np.concatenate([[True], apart >= np.uint64(1 << 32 - depth)])
+        first = np.flatnonzero(new)
+        where = np.cumsum(new, dtype=np.int32) - 1
         bit = code >> LOW - 1 - depth & 1
         cells = by_class.reshape(CLASSES, 1 << depth, 2, -1).sum(axis=3)
-        alone, node = cells.sum(axis=0), code[first] >> LOW - depth
-        counts = [np.stack([np.add.reduceat(uses * (bit == b), first), cells[group[first], node, b], alone[node, b]], axis=1).astype(np.float32) for b in (1, 0)]
-        out.append((Level(TOP + depth, *counts, group[first] << depth | node), where, bit))
+        alone, cell = np.broadcast_to(cells.sum(axis=0), cells.shape), group[first] << depth | code[first] >> LOW - depth
+        ends, with_one = np.append(first, len(keys)), np.concatenate([[0], np.cumsum(uses * bit)])
+        ones, counts = np.diff(with_one[ends]), []
+        for value, mine in ((1, ones), (0, np.diff(so_far[ends]) - ones)):
+            table = np.empty((len(first), 3), np.float32)
+            table[:, 0] = mine
+            table[:, 1:] = np.stack([cells[:, :, value].ravel(), alone[:, :, value].ravel()], axis=1).astype(np.float32).take(cell, axis=0)
+            counts.append(table)
+        out.append((Level(TOP + depth, *counts, cell), where, bit))
     return out
 
 
@@ -286,7 +389,7 @@ def code_cost(keys: np.ndarray, uses: np.ndarray, by_class: np.ndarray, top: np.
     bits = levels(keys, uses, by_class)
     mixer = train([level for level, _, _ in bits])
     for level, where, bit in bits:
-        cost += log_odds(mixer, level)[where, bit]
+        cost += log_odds(mixer, level).ravel().take(where * 2 + bit)
     return cost
 
 

@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from snapflow.llm import lm, wordcode
@@ -82,6 +84,57 @@ def test_spelling_is_a_distribution():
     assert first.sum() <= 1 + 1e-3  # one-byte words and their end share what the first byte gives them
 
 
+def test_contexts_that_look_alike_are_priced_once(monkeypatch):
+    rng = np.random.default_rng(11)
+    keys = np.unique(rng.integers(0, 2 ** 32, 4_000, dtype=np.uint64) << np.uint64(32) | rng.integers(0, 2 ** 32, 4_000, dtype=np.uint64))
+    keys = np.unique(np.concatenate([keys, keys[::5] ^ np.uint64(1 << 24), keys[::9] ^ np.uint64(1 << 22)]))
+    uses = np.minimum(rng.geometric(0.5, len(keys)) - 1, 9)
+    uses[::97] = 5_000
+    bits = wordcode.levels(keys, uses, wordcode.tally(keys, uses)[:65536].reshape(64, -1))
+    mixer, mix, asked = wordcode.train([level for level, _, _ in bits]), wordcode.Mixer.mix, []
+    monkeypatch.setattr(wordcode.Mixer, "mix", lambda self, inputs, *rest: asked.append(len(inputs)) or mix(self, inputs, *rest))
+    for level, _, _ in bits:
+        asked.clear()
+        got = wordcode.log_odds(mixer, level)
+        kinds = np.unique(np.column_stack([level.cell, level.ones, level.zeros]), axis=0)
+        assert len(kinds) <= sum(asked) < len(level.ones)
+        inputs, gate = level.inputs(np.arange(len(level.ones)))  # every context by itself
+        depth = np.full(len(gate), level.depth)
+        one, two = mix(mixer, inputs, gate, depth)
+        p = np.clip(mixer.refine((one + two) / 2, depth)[0], 1e-6, 1 - 1e-6)
+        assert (got == np.log10(np.stack([1 - p, p], axis=1))).all()
+
+
+def test_words_of_a_batch_against_split():
+    texts = ["Ab  c\x1cd\x85\n", "", " \t\v\f\r\n", "x", "É z\u00a0Y é", "a", " lead", "b" * 50, "\x00 \x00"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["before", *texts, "behind"])], ["text"]).slice(1, len(texts))
+    wanted = [tokens(t)[:-1] for t in texts]
+    words, counts, sizes = lm._words(batch)
+    assert words.to_pylist() == sum(wanted, []) and list(counts) == list(map(len, wanted)) and list(sizes) == [sum(map(len, w)) for w in wanted]
+    kinds, numbers = lm._one_list([words, lm._words(batch.slice(3, 2))[0]])
+    assert kinds.take(pa.array(numbers)).to_pylist() == sum(wanted + wanted[3:5], []) + [b"\n"] and len(kinds) == len(set(kinds.to_pylist()))
+    empty = lm._words(batch.slice(1, 2))
+    assert len(empty[0]) == 0 and list(empty[1]) == list(empty[2]) == [0, 0] and lm._one_list([empty[0]])[0].to_pylist() == [b"\n"]
+
+
+def test_names_of_words_are_their_xxh64():
+    rng = random.Random(12)
+    words = [bytes(rng.randrange(256) for _ in range(n)) for n in [*range(70), *range(70)]]
+    for some in (words, pa.array(words, pa.large_binary()), pa.array([b"x", *words], pa.large_binary()).slice(1)):
+        assert wordcode.hashes(some).tolist() == [xxhash.xxh64_intdigest(w, 42) for w in words]
+        code, rest, before = wordcode.describe(some)
+        for w, c, r, b in zip(words, code.tolist(), rest.tolist(), before.tolist()):
+            h = xxhash.xxh64_intdigest(w, 42)
+            group = int.from_bytes(w[-2:], "big") * 0x9E3779B1 % 2 ** 32 >> 26
+            assert (c, r, b) == (h >> 48, h >> 26 & 2 ** 22 - 1, group << 26 | h & 2 ** 26 - 1)
+    assert len(wordcode.hashes([])) == 0
+
+
+def test_numbers_of_any_size_come_back():
+    streams = [np.array(x, np.uint32) for x in ([], [0, 0], [255], [256, 1], [2 ** 24 - 1, 0, 3], [2 ** 24, 2 ** 32 - 1])]
+    assert [list(x) for x in wordcode.expand(wordcode.squeeze(*streams), *map(len, streams))] == [list(x) for x in streams]
+
+
 def priced(pairs, words):
     """All buckets of a small corpus, every pair of its words included; log10 probability of a word behind another."""
     code, rest, before = wordcode.describe(words)
